@@ -132,3 +132,57 @@ for _key, _w in (("late_drop_count", "10 seconds"), ("late_drop_count_1h", "1 ho
                  ("late_drop_count_1d", "1 day")):
     SQL[_key] = (f"WITH {_classified(_w)} SELECT count(*) FILTER (WHERE NOT is_late) AS kept_rows, "
                  "count(*) FILTER (WHERE is_late) AS dropped_rows FROM classified")
+
+_RECS = RIDES + f""",
+recs AS (
+  SELECT ride_id AS rid, CAST(ride_id AS VARCHAR) AS ride_id,
+         'rider-' || CAST(user_id AS VARCHAR) AS rider_name, pickup_city,
+         ['Columbus','Cleveland','Cincinnati','Toledo'][CAST((user_id + 1) % 4 AS INT) + 1] AS dropoff_city,
+         fare, status, {ISO_MS.format(t='event_time')} AS event_time
+  FROM rides)"""
+
+_JSON = ("to_json({'ride_id': ride_id, 'rider_name': rider_name, 'pickup_city': pickup_city, "
+         "'dropoff_city': dropoff_city, 'fare': fare, 'status': status, 'event_time': event_time})")
+
+SQL["json_topic_encode"] = (f"WITH {_RECS} SELECT rid AS ride_id, {_JSON} AS value_text, "
+                            f"CAST(strlen({_JSON}) AS BIGINT) AS value_bytes FROM recs")
+
+SQL["json_topic_decode"] = (f"WITH {_RECS} SELECT ride_id, rider_name, pickup_city, dropoff_city, "
+                            "fare, status, event_time FROM recs")
+
+SQL["raw_scan_declared"] = (f"WITH {RIDES} SELECT CAST(ride_id AS VARCHAR) AS ride_id, pickup_city, "
+                            "fare, date_trunc('milliseconds', event_time) AS event_time FROM rides")
+
+_VIOLATIONS = ("concat_ws(',', CASE WHEN ride_id % 13 = 0 THEN 'type:fare' END, "
+               "CASE WHEN ride_id % 17 = 0 THEN 'missing:status' END)")
+
+SQL["contract_validate"] = (f"WITH {RIDES} SELECT CAST(ride_id AS VARCHAR) AS ride_id, "
+                            f"{_VIOLATIONS} AS violations FROM rides")
+
+SQL["contract_accept"] = (f"WITH {_RECS} SELECT ride_id, rider_name, pickup_city, dropoff_city, "
+                          "fare, status, event_time FROM recs WHERE rid % 13 <> 0 AND rid % 17 <> 0")
+
+SQL["contract_quarantine"] = (f"WITH {RIDES} SELECT CAST(ride_id AS VARCHAR) AS ride_id, "
+                              f"{_VIOLATIONS} AS violations FROM rides "
+                              "WHERE ride_id % 13 = 0 OR ride_id % 17 = 0")
+
+SQL["contract_summary"] = (f"WITH {RIDES} SELECT 'fare' AS field, 'type' AS kind, count(*) AS n "
+                           "FROM rides WHERE ride_id % 13 = 0 UNION ALL "
+                           "SELECT 'status', 'missing', count(*) FROM rides WHERE ride_id % 17 = 0")
+
+SQL["evolve_union"] = (f"WITH {RIDES} SELECT ride_id, pickup_city, fare, "
+                       "CASE WHEN ride_id % 2 = 1 THEN fare / 100 END AS driver_rating FROM rides")
+
+SQL["frame_split"] = (f"WITH {RIDES} SELECT ride_id, 0 AS magic, 1 + ride_id % 2 AS schema_id, "
+                      "CAST(strlen(pickup_city) AS BIGINT) AS body_len, "
+                      "CAST(5 + strlen(pickup_city) AS BIGINT) AS frame_len, "
+                      "pickup_city AS body_text, CAST(NULL AS VARCHAR) AS problem FROM rides")
+
+SQL["frame_route"] = (f"WITH {RIDES} SELECT r.ride_id, 1 + r.ride_id % 3 AS schema_id, "
+                      "g.subject, g.version FROM rides r LEFT JOIN "
+                      "(VALUES (1, 'rides_avro-value', 1), (2, 'rides_avro-value', 2)) "
+                      "g(schema_id, subject, version) ON 1 + r.ride_id % 3 = g.schema_id")
+
+SQL["schema_latest"] = (f"WITH {RIDES} SELECT 'rides_avro-value' AS subject, 2 AS version, "
+                        "CAST(2 AS BIGINT) AS schema_id, count(*) AS records "
+                        "FROM rides WHERE 1 + ride_id % 2 = 2")

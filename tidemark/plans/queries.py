@@ -188,3 +188,149 @@ def _late_drops(width: str) -> Query:
 QUERIES["late_drop_count"] = _late_drops("10 seconds")
 QUERIES["late_drop_count_1h"] = _late_drops("1 hour")
 QUERIES["late_drop_count_1d"] = _late_drops("1 day")
+
+
+# --- JSON log codec ------------------------------------------------------------
+
+from tidemark.operators import contracts  # noqa: E402
+from tidemark.operators import schemas  # noqa: E402
+from tidemark.sources import log as logs  # noqa: E402
+
+V1 = schemas.Contract.parse(schemas.RIDE_V1)
+V1_FIELDS = [f.name for f in V1.fields]
+
+
+def _ride_log(spark, sf_dir) -> DataFrame:
+    r = rel.rides(spark, sf_dir)
+    rec = rel.ride_records(r).withColumn("_part", (F.col("ride_id") % 4).cast("int"))
+    return logs.to_log(rec, logs.json_records(rec, V1_FIELDS), "rides",
+                       partition=F.col("_part"), timestamp=F.lit(None))
+
+
+@query("json_topic_encode")
+def json_topic_encode(spark, sf_dir):
+    lg = _ride_log(spark, sf_dir)
+    return lg.select(F.get_json_object(F.decode("value", "UTF-8"), "$.ride_id")
+                     .cast("bigint").alias("ride_id"),
+                     F.decode("value", "UTF-8").alias("value_text"),
+                     F.octet_length("value").cast("bigint").alias("value_bytes"))
+
+
+@query("json_topic_decode")
+def json_topic_decode(spark, sf_dir):
+    """Encode the rides as JSON records, then decode them with the v1 schema."""
+    return logs.json_topic_decode(_ride_log(spark, sf_dir), V1.spark_schema())
+
+
+@query("raw_scan_declared")
+def raw_scan_declared(spark, sf_dir):
+    """Declared typed scan over the JSON log: ISO text -> instant."""
+    lg = _ride_log(spark, sf_dir)
+    t = logs.declared_scan(lg, "ride_id string, pickup_city string, fare double, "
+                               "event_time timestamp", time_col="event_time")
+    return zoneless(t)
+
+
+# --- contracts -----------------------------------------------------------------
+
+def _validated(spark, sf_dir) -> DataFrame:
+    return contracts.validate(rel.ride_json(spark, sf_dir), "value", V1)
+
+
+@query("contract_validate")
+def contract_validate(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return v.select(F.try_variant_get("_record", "$.ride_id", "string").alias("ride_id"),
+                    F.array_join("violations", ",").alias("violations"))
+
+
+@query("contract_accept")
+def contract_accept(spark, sf_dir):
+    return contracts.accepted(_validated(spark, sf_dir), V1)
+
+
+@query("contract_quarantine")
+def contract_quarantine(spark, sf_dir):
+    q = contracts.quarantined(_validated(spark, sf_dir))
+    return q.select(F.col("ride_id").cast("string").alias("ride_id"),
+                    F.array_join("violations", ",").alias("violations"))
+
+
+@query("contract_summary")
+def contract_summary(spark, sf_dir):
+    return contracts.summary(_validated(spark, sf_dir))
+
+
+@query("evolve_union")
+def evolve_union(spark, sf_dir):
+    """Even rides written with v1, odd rides with v2_safe (driver_rating =
+    fare / 100); merged into one v2_safe table."""
+    v2 = schemas.Contract.parse(schemas.RIDE_V2_SAFE)
+    r = rel.rides(spark, sf_dir)
+    rec = rel.ride_records(r).withColumn("_id", F.col("ride_id").cast("bigint"))
+    old = rec.where(F.col("_id") % 2 == 0).drop("_id")
+    new = rec.where(F.col("_id") % 2 == 1).withColumn("driver_rating", F.col("fare") / 100) \
+        .drop("_id")
+    merged = contracts.evolve_union([old, new], v2)
+    return merged.select(F.col("ride_id").cast("bigint").alias("ride_id"), "pickup_city",
+                         "fare", "driver_rating")
+
+
+@query("schema_compat")
+def schema_compat(spark, sf_dir):
+    """Which contract versions can read the records in the log?  The writer
+    schema is observed from every accepted record (a merged-schema aggregate
+    over the whole log); each candidate is checked against it."""
+    ok = contracts.accepted(_validated(spark, sf_dir), V1)
+    lg = logs.to_log(ok, logs.json_records(ok, V1_FIELDS), "rides")
+    return contracts.compat_with_observed(lg, "value", {
+        "v1": schemas.RIDE_V1, "v2_safe": schemas.RIDE_V2_SAFE,
+        "v2_breaking": schemas.RIDE_V2_BREAKING, "v2_removed": schemas.RIDE_V2_REMOVED})
+
+
+# --- frames --------------------------------------------------------------------
+
+def _frames(spark, sf_dir, versions: int) -> DataFrame:
+    r = rel.rides(spark, sf_dir)
+    sid = (1 + F.col("ride_id") % versions).cast("bigint")
+    return r.select("ride_id", codec.frame(sid, F.encode("pickup_city", "UTF-8")).alias("value"))
+
+
+@query("frame_split")
+def frame_split(spark, sf_dir):
+    f = _frames(spark, sf_dir, 2).select("ride_id", "value", codec.unframe("value").alias("u"))
+    return f.select("ride_id", "u.magic", "u.schema_id",
+                    F.octet_length("u.body").cast("bigint").alias("body_len"),
+                    codec.encoded_length("value").cast("bigint").alias("frame_len"),
+                    F.decode("u.body", "UTF-8").alias("body_text"), "u.problem")
+
+
+def registry_of_rides(spark) -> DataFrame:
+    """Two registered versions of the ride subject (ids 1 and 2)."""
+    reg = schemas.empty_registry(spark)
+    reg, _ = schemas.register(reg, schemas.RIDE_SUBJECT, schemas.RIDE_V1)
+    reg, _ = schemas.register(reg, schemas.RIDE_SUBJECT, schemas.RIDE_V2_SAFE)
+    return reg
+
+
+@query("frame_route")
+def frame_route(spark, sf_dir):
+    """Route framed records to their registered contract by schema id; an
+    unknown id surfaces as a row with null subject and version."""
+    f = _frames(spark, sf_dir, 3).select("ride_id", codec.unframe("value").alias("u"))
+    reg = registry_of_rides(spark).select("schema_id", "subject", "version")
+    routed = contracts.route_by_schema_id(
+        f.select("ride_id", F.col("u.schema_id").alias("schema_id")), reg)
+    return routed.select("ride_id", "schema_id", "subject", "version")
+
+
+@query("schema_latest")
+def schema_latest(spark, sf_dir):
+    """Latest registered version per subject, with how many framed records in
+    the log were written with it."""
+    f = _frames(spark, sf_dir, 2).select(codec.unframe("value").alias("u"))
+    used = f.groupBy(F.col("u.schema_id").alias("schema_id")).agg(
+        F.count(F.lit(1)).alias("records"))
+    lat = schemas.latest(registry_of_rides(spark))
+    return lat.join(used, "schema_id", "left").select(
+        "subject", "version", "schema_id", F.coalesce("records", F.lit(0)).alias("records"))
