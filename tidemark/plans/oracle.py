@@ -186,3 +186,33 @@ SQL["frame_route"] = (f"WITH {RIDES} SELECT r.ride_id, 1 + r.ride_id % 3 AS sche
 SQL["schema_latest"] = (f"WITH {RIDES} SELECT 'rides_avro-value' AS subject, 2 AS version, "
                         "CAST(2 AS BIGINT) AS schema_id, count(*) AS records "
                         "FROM rides WHERE 1 + ride_id % 2 = 2")
+
+SQL["stream_tumble_count"] = (
+    f"WITH {RIDES}, c AS ("
+    "SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start, "
+    "time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end, "
+    "status, count(*) AS ride_count FROM rides WHERE event_time IS NOT NULL GROUP BY 1, 2, 3) "
+    "SELECT * FROM c WHERE window_end <= "
+    "(SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 5 SECOND FROM rides)")
+
+SQL["stream_late_replay"] = (
+    f"WITH {_classified('10 seconds')}, c AS ("
+    "SELECT window_start, window_end, pickup_city, count(*) AS ride_count FROM classified "
+    "WHERE NOT is_late GROUP BY 1, 2, 3) SELECT * FROM c WHERE window_end <= "
+    "(SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 5 SECOND FROM feed)")
+
+SQL["watermark_policy"] = (
+    f"WITH {RIDES}, a AS (SELECT * FROM rides WHERE ride_id % 2 = 0), "
+    "b AS (SELECT * FROM rides WHERE ride_id % 2 = 1 AND dayofmonth(event_time) = 1), "
+    "u AS (SELECT * FROM a UNION ALL SELECT * FROM b), "
+    "m AS (SELECT (SELECT date_trunc('milliseconds', max(event_time)) FROM a) AS ma, "
+    "(SELECT date_trunc('milliseconds', max(event_time)) FROM b) AS mb), "
+    "c AS (SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start, "
+    "time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end, "
+    "pickup_city, count(*) AS ride_count FROM u GROUP BY 1, 2, 3) "
+    "SELECT 'min' AS policy, c.* FROM c, m WHERE window_end <= least(ma, mb) - INTERVAL 5 SECOND "
+    "UNION ALL "
+    "SELECT 'max' AS policy, c.* FROM c, m WHERE window_end <= greatest(ma, mb) - INTERVAL 5 SECOND")
+
+SQL["stream_dedup"] = f"WITH {DELIVERIES} SELECT DISTINCT ride_id FROM deliveries"
+SQL["stream_dedup_bounded"] = SQL["stream_dedup"]

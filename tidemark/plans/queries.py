@@ -334,3 +334,86 @@ def schema_latest(spark, sf_dir):
     lat = schemas.latest(registry_of_rides(spark))
     return lat.join(used, "schema_id", "left").select(
         "subject", "version", "schema_id", F.coalesce("records", F.lit(0)).alias("records"))
+
+
+# --- streaming -------------------------------------------------------------------
+
+from tidemark.streaming import dedup as sdedup  # noqa: E402
+from tidemark.streaming import progress as sprogress  # noqa: E402
+from tidemark.streaming import runner, windows  # noqa: E402
+
+
+def _events_schema(spark, sf_dir):
+    return table(spark, sf_dir, "events").schema
+
+
+def _ride_stream(spark, sf_dir, max_files=None) -> DataFrame:
+    rel.rides(spark, sf_dir)  # pins the session zone
+    ev = runner.events_stream(spark, sf_dir, _events_schema(spark, sf_dir), max_files)
+    return rel.rides_from(ev)
+
+
+@query("stream_tumble_count")
+def stream_tumble_count(spark, sf_dir):
+    """10 s windows per status under a 5 s watermark, append mode."""
+    s = windows.with_event_time(_ride_stream(spark, sf_dir), "event_time", WATERMARK_DELAY_S)
+    run = runner.run_available_now(
+        windows.tumble_count(s, "event_time", ["status"], "10 seconds"), "tumble")
+    return zoneless(run.output)
+
+
+def _late_replay(spark, sf_dir):
+    f = rel.feed(spark, sf_dir).select("ride_id", "pickup_city", "event_time", "batch")
+    return windows.late_replay(f, "event_time", ["pickup_city"], "batch", "10 seconds",
+                               WATERMARK_DELAY_S)
+
+
+@query("stream_late_replay")
+def stream_late_replay(spark, sf_dir):
+    """Arrival batches replayed one per trigger; late rows are dropped."""
+    return zoneless(_late_replay(spark, sf_dir).output)
+
+
+@query("stream_progress")
+def stream_progress(spark, sf_dir):
+    """Per micro-batch metrics of the late replay."""
+    return sprogress.progress_rows(spark, _late_replay(spark, sf_dir).progress)
+
+
+@query("watermark_policy")
+def watermark_policy(spark, sf_dir):
+    """Two sources, one going quiet after the first day of the month: the
+    min policy holds windows back, the max policy lets them close."""
+    out = None
+    for policy in ("min", "max"):
+        s = _ride_stream(spark, sf_dir)
+        a = s.where(F.col("ride_id") % 2 == 0)
+        b = _ride_stream(spark, sf_dir).where(
+            (F.col("ride_id") % 2 == 1) & (F.dayofmonth("event_time") == 1))
+        run = windows.union_count([a, b], "event_time", ["pickup_city"], "10 seconds",
+                                  WATERMARK_DELAY_S, policy)
+        part = run.output.select(F.lit(policy).alias("policy"), "*")
+        out = part if out is None else out.unionByName(part)
+    return zoneless(out)
+
+
+def _delivery_stream(spark, sf_dir, label) -> DataFrame:
+    """The delivered log replayed in arrival order, one week per trigger."""
+    d = _deliveries(spark, sf_dir).select("ride_id", "event_time", "part", "off")
+    d = d.withColumn("week", F.floor(rel.arrival_day(F.col("event_time")) / 7).cast("bigint"))
+    src = windows.replay_batches(d, "week", label)
+    return runner.file_stream(spark, src, d.schema, max_files=1)
+
+
+@query("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    s = sdedup.dedup(_delivery_stream(spark, sf_dir, "dedup"), ["ride_id"])
+    return runner.run_available_now(s, "dedup").output.select("ride_id")
+
+
+@query("stream_dedup_bounded")
+def stream_dedup_bounded(spark, sf_dir):
+    s = sdedup.dedup_bounded(_delivery_stream(spark, sf_dir, "dedup-bounded"), ["ride_id"],
+                             "event_time",
+                             "1 hour")
+    return runner.run_available_now(s, "dedup-bounded").output.select("ride_id")

@@ -44,7 +44,11 @@ def _city(idx: Column) -> Column:
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    ev = table(spark, sf_dir, "events")
+    return rides_from(table(spark, sf_dir, "events"))
+
+
+def rides_from(ev: DataFrame) -> DataFrame:
+    """The ride columns of an ``events`` DataFrame (batch or streaming)."""
     return ev.select(
         F.col("event_id").alias("ride_id"),
         "user_id",
@@ -71,7 +75,10 @@ def arrival_day(ts: Column) -> Column:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = rides(spark, sf_dir)
+    return feed_from(rides(spark, sf_dir))
+
+
+def feed_from(r: DataFrame) -> DataFrame:
     late = F.when(F.col("ride_id") % LATE_EVERY == 0, F.lit(LATE_BATCHES)).otherwise(F.lit(0))
     return r.withColumn("batch", arrival_day(F.col("event_time")) + late)
 
