@@ -216,3 +216,43 @@ SQL["watermark_policy"] = (
 
 SQL["stream_dedup"] = f"WITH {DELIVERIES} SELECT DISTINCT ride_id FROM deliveries"
 SQL["stream_dedup_bounded"] = SQL["stream_dedup"]
+
+_ENDS = DELIVERIES + """,
+ends AS (SELECT 'rides_chaos' AS topic, part, max(off) + 1 AS end_offset FROM deliveries GROUP BY part),
+commits AS (
+  SELECT 'naive-consumer-group' AS grp, topic, part, CAST(floor(end_offset * 0.9) AS BIGINT) AS committed FROM ends
+  UNION ALL
+  SELECT 'idempotent-consumer-group', topic, part, CAST(floor(end_offset * 0.75) AS BIGINT) FROM ends)"""
+
+SQL["consumer_lag"] = (f"WITH {_ENDS} SELECT c.grp, e.topic, e.part, e.end_offset, c.committed, "
+                       "e.end_offset - c.committed AS lag FROM ends e JOIN commits c "
+                       "ON e.topic = c.topic AND e.part = c.part")
+
+SQL["topic_rate"] = (f"WITH {DELIVERIES}, s AS ("
+    "SELECT status AS topic, part, time_bucket(INTERVAL '1 hour', event_time) AS ts, "
+    "arg_max(off, (event_time, off)) AS value FROM deliveries GROUP BY 1, 2, 3), "
+    "d AS (SELECT *, CAST(ts AS DATE) AS day, lag(value) OVER (PARTITION BY topic, part, "
+    "CAST(ts AS DATE) ORDER BY ts) AS prev FROM s), "
+    "r AS (SELECT topic, part, day, sum(CASE WHEN prev IS NULL THEN NULL WHEN value < prev "
+    "THEN value ELSE value - prev END) AS incr, "
+    "(epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS span FROM d GROUP BY 1, 2, 3) "
+    "SELECT topic, day, round(sum(CASE WHEN span > 0 THEN incr / span END), 9) AS rate "
+    "FROM r GROUP BY 1, 2")
+
+SQL["offset_progress"] = (f"WITH {DELIVERIES} SELECT 'rides_chaos' AS topic, part, "
+                          "time_bucket(INTERVAL '1 hour', event_time) AS ts, "
+                          "arg_max(off, (event_time, off)) AS committed_offset "
+                          "FROM deliveries GROUP BY 1, 2, 3")
+
+SQL["gauge_latest"] = (f"WITH {RIDES} SELECT pickup_city AS city, max(event_time) AS latest_ts, "
+                       "arg_max(fare, (event_time, ride_id)) AS latest_value FROM rides GROUP BY 1")
+
+SQL["partition_total"] = (f"WITH {DELIVERIES}, g AS (SELECT status AS topic, CAST(event_time AS DATE) AS day, "
+                          "count(DISTINCT part) AS partitions FROM deliveries GROUP BY 1, 2) "
+                          "SELECT CAST(sum(v) AS BIGINT) AS partition_total FROM "
+                          "(SELECT topic, arg_max(partitions, (day, partitions)) AS v FROM g GROUP BY 1)")
+
+SQL["scrape_grid"] = (f"WITH {RIDES}, r AS (SELECT * FROM rides WHERE event_time > "
+                      "(SELECT max(event_time) FROM rides) - INTERVAL 15 DAY) "
+                      "SELECT pickup_city AS city, time_bucket(INTERVAL '5 seconds', event_time) AS ts, "
+                      "arg_max(fare, (event_time, ride_id)) AS value FROM r GROUP BY 1, 2")

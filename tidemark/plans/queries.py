@@ -417,3 +417,84 @@ def stream_dedup_bounded(spark, sf_dir):
                              "event_time",
                              "1 hour")
     return runner.run_available_now(s, "dedup-bounded").output.select("ride_id")
+
+
+# --- monitoring metrics ----------------------------------------------------------
+
+from tidemark.operators import metrics  # noqa: E402
+
+CHAOS_TOPIC = "rides_chaos"
+# Consumer groups and the share of each partition's log they have committed.
+GROUP_COMMITS = {"naive-consumer-group": 0.9, "idempotent-consumer-group": 0.75}
+RATE_RANGE = "1 day"
+GRID_STEP = "5 seconds"
+GRID_RANGE_S = 15 * 86_400
+
+
+def _end_offsets(spark, sf_dir) -> DataFrame:
+    d = _deliveries(spark, sf_dir)
+    return d.groupBy("part").agg((F.max("off") + 1).alias("end_offset")) \
+        .select(F.lit(CHAOS_TOPIC).alias("topic"), "part", "end_offset")
+
+
+@query("consumer_lag")
+def consumer_lag(spark, sf_dir):
+    end = _end_offsets(spark, sf_dir)
+    commits = None
+    for grp, share in GROUP_COMMITS.items():
+        c = end.select(F.lit(grp).alias("grp"), "topic", "part",
+                       F.floor(F.col("end_offset") * share).cast("bigint").alias("committed"))
+        commits = c if commits is None else commits.unionByName(c)
+    subs = spark.createDataFrame([(g, CHAOS_TOPIC) for g in GROUP_COMMITS], "grp string, topic string")
+    return metrics.consumer_lag(subs, end, commits)
+
+
+def _offset_samples(spark, sf_dir) -> DataFrame:
+    """Per (topic = status, part) the log offset sampled hourly."""
+    d = _deliveries(spark, sf_dir).select(F.col("status").alias("topic"), "part",
+                                          "event_time", "off")
+    return metrics.last_per_step(d, ["topic", "part"], "event_time", "off", "1 hour",
+                                 out="value")
+
+
+@query("topic_rate")
+def topic_rate(spark, sf_dir):
+    """sum(rate(offset)) by topic, one rate per day range."""
+    s = _offset_samples(spark, sf_dir).withColumn("day", F.to_date("event_time"))
+    r = metrics.counter_rate(s, ["topic", "part"], "event_time", "value", "day")
+    return r.groupBy("topic", "day").agg(F.round(F.sum("rate"), 9).alias("rate"))
+
+
+@query("offset_progress")
+def offset_progress(spark, sf_dir):
+    """Committed offset of the consumer over time, one sample per hour."""
+    d = _deliveries(spark, sf_dir)
+    p = metrics.last_per_step(d, ["part"], "event_time", "off", "1 hour", out="committed_offset")
+    return zoneless(p.select(F.lit(CHAOS_TOPIC).alias("topic"), "part",
+                             F.col("event_time").alias("ts"), "committed_offset"))
+
+
+@query("gauge_latest")
+def gauge_latest(spark, sf_dir):
+    r = rel.rides(spark, sf_dir).select(F.col("pickup_city").alias("city"), "event_time",
+                                        "ride_id", "fare")
+    return zoneless(metrics.latest(r, ["city"], "event_time", "fare", tie="ride_id"))
+
+
+@query("partition_total")
+def partition_total(spark, sf_dir):
+    """sum over topics of the latest partition-count gauge (one per day)."""
+    d = _deliveries(spark, sf_dir)
+    g = d.groupBy(F.col("status").alias("topic"), F.to_date("event_time").alias("day")) \
+        .agg(F.count_distinct("part").alias("partitions"))
+    return metrics.gauge_sum(g, ["topic"], "day", "partitions", out="partition_total")
+
+
+@query("scrape_grid")
+def scrape_grid(spark, sf_dir):
+    """Fares as a gauge per city on a 5 s grid, last 15 days of data."""
+    r = rel.rides(spark, sf_dir).select(F.col("pickup_city").alias("city"), "event_time",
+                                        "ride_id", "fare")
+    g = metrics.last_per_step(metrics.in_last(r, "event_time", GRID_RANGE_S), ["city"],
+                              "event_time", "fare", GRID_STEP, tie="ride_id")
+    return zoneless(g.select("city", F.col("event_time").alias("ts"), "value"))
