@@ -52,26 +52,54 @@ def parsed(value: Column | str) -> Column:
     return F.try_parse_json(F.decode(v.cast("binary"), "UTF-8"))
 
 
-def violations(record: Column, contract: Contract) -> Column:
-    """array<string> of every violation of ``record`` (a variant column)."""
-    is_object = F.schema_of_variant(record).startswith("OBJECT")
+def _kinds(record: Column, contract: Contract) -> Column:
+    """struct of the JSON token kind of every contract field (null = absent)."""
+    return F.struct(*[F.schema_of_variant(F.try_variant_get(record, _path(f.name), "variant"))
+                      .alias(f.name) for f in contract.fields])
+
+
+def _violations_from_kinds(is_object: Column, kinds: Column, contract: Contract) -> Column:
     checks = []
     for f in contract.fields:
-        tok = F.try_variant_get(record, _path(f.name), "variant")
-        kind = F.schema_of_variant(tok)
-        absent = tok.isNull() | (kind == "VOID")
+        kind = kinds[f.name]
+        absent = kind.isNull() | (kind == "VOID")
         checks.append(
             F.when(absent, F.lit(None if f.nullable else f"missing:{f.name}"))
             .when(~_kind_ok(kind, f.value_type), F.lit(f"type:{f.name}")))
     found = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return F.when(record.isNull() | ~is_object, F.array(F.lit("malformed"))).otherwise(found)
+    return F.when(~is_object, F.array(F.lit("malformed"))).otherwise(found)
+
+
+def _is_object(record: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+
+
+def violations(record: Column, contract: Contract) -> Column:
+    """array<string> of every violation of ``record`` (a variant column)."""
+    return _violations_from_kinds(_is_object(record), _kinds(record, contract), contract)
+
+
+def _once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns computed exactly once per row.
+
+    The columns come out of a one-row generator; filters on them cannot be
+    pushed below it, so the optimizer never copies their (costly) defining
+    expressions into later predicates.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
 def validate(df: DataFrame, value_col: str, contract: Contract) -> DataFrame:
-    """Add ``_record`` (variant) and ``violations`` (array<string>)."""
-    rec = parsed(value_col)
-    return df.withColumn("_record", rec).withColumn("violations",
-                                                    violations(F.col("_record"), contract))
+    """Add ``_record`` (variant) and ``violations`` (array<string>).
+
+    The JSON text is parsed once and each field's token kind read once;
+    violations are string tests over those kinds.
+    """
+    staged = _once(df, _record=parsed(value_col))
+    staged = _once(staged, _obj=_is_object(F.col("_record")),
+                   _kinds=_kinds(F.col("_record"), contract))
+    v = _violations_from_kinds(F.col("_obj"), F.col("_kinds"), contract)
+    return staged.withColumn("violations", v).drop("_obj", "_kinds")
 
 
 def typed_fields(record: Column, contract: Contract) -> list[Column]:

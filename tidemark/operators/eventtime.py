@@ -54,9 +54,17 @@ def closed_only(counts: DataFrame, watermark: Column) -> DataFrame:
 
 
 def tumble_count_closed(df: DataFrame, ts: str, keys: Sequence[str], width: str,
-                        delay_seconds: float) -> DataFrame:
+                        delay_seconds: float, watermark: Column | None = None) -> DataFrame:
+    """Windows closed under the final watermark.
+
+    By default the watermark is taken over ``df`` itself.  When ``df`` is the
+    end of a long chain, pass the watermark of the source it came from (as a
+    stream declares it on its source): that subquery scans one column of the
+    source instead of running the chain a second time.
+    """
     counts = tumble_count(df, ts, keys, width)
-    return closed_only(counts, final_watermark(df, ts, delay_seconds))
+    wm = watermark if watermark is not None else final_watermark(df, ts, delay_seconds)
+    return closed_only(counts, wm)
 
 
 def watermark_trace(df: DataFrame, ts: str, batch_col: str, delay_seconds: float,

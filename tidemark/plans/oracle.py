@@ -256,3 +256,13 @@ SQL["scrape_grid"] = (f"WITH {RIDES}, r AS (SELECT * FROM rides WHERE event_time
                       "(SELECT max(event_time) FROM rides) - INTERVAL 15 DAY) "
                       "SELECT pickup_city AS city, time_bucket(INTERVAL '5 seconds', event_time) AS ts, "
                       "arg_max(fare, (event_time, ride_id)) AS value FROM r GROUP BY 1, 2")
+
+SQL["configured_ingest"] = SQL["raw_scan"]
+
+SQL["flagship"] = (
+    f"WITH {RIDES}, ok AS (SELECT * FROM rides WHERE ride_id % 13 <> 0 AND ride_id % 17 <> 0), "
+    "c AS (SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start, "
+    "time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end, "
+    "pickup_city, count(*) AS ride_count FROM ok GROUP BY 1, 2, 3) "
+    "SELECT * FROM c WHERE window_end <= "
+    "(SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 5 SECOND FROM rides)")

@@ -498,3 +498,51 @@ def scrape_grid(spark, sf_dir):
     g = metrics.last_per_step(metrics.in_last(r, "event_time", GRID_RANGE_S), ["city"],
                               "event_time", "fare", GRID_STEP, tie="ride_id")
     return zoneless(g.select("city", F.col("event_time").alias("ts"), "value"))
+
+
+# --- config-driven ingest --------------------------------------------------------
+
+from tidemark.plans import ingest  # noqa: E402
+from tidemark.session import fresh_dir  # noqa: E402
+
+
+@query("configured_ingest")
+def configured_ingest(spark, sf_dir):
+    """A config moves events -> rides into a Parquet table as a stream; the
+    table is read back."""
+    rel.rides(spark, sf_dir)  # pins the session zone
+    out = fresh_dir(spark, "ingest-out")
+    config = {
+        "pipeline_name": "rides_stream",
+        "mode": "stream",
+        "trigger": "available_now",
+        "source": {"type": "parquet",
+                   "options": {"path": sf_dir, "pathGlobFilter": "events.parquet"}},
+        "transforms": [{"type": "rides"},
+                       {"type": "select",
+                        "columns": ["ride_id", "pickup_city", "fare", "event_time"]}],
+        "sink": {"type": "parquet",
+                 "options": {"path": out,
+                             "checkpointLocation": fresh_dir(spark, "ingest-ckpt")}},
+    }
+    ingest.run(spark, config)
+    return zoneless(spark.read.parquet(out))
+
+
+# --- flagship: log -> contract split -> dedup -> closed tumbling count -------------
+
+@query("flagship")
+def flagship(spark, sf_dir):
+    """The delivered log as JSON records (with resends and contract damage):
+    quarantine the records that break the v1 contract, keep the first
+    delivery of every ride, and count rides per city in closed 10 s windows
+    under a 5 s watermark declared on the source (all delivered records)."""
+    d = rel.deliveries(spark, sf_dir)
+    wm = eventtime.final_watermark(rel.rides(spark, sf_dir), "event_time", WATERMARK_DELAY_S)
+    lg = rel.damaged_json(d, keep=("part", "off"))
+    ok = contracts.accepted(contracts.validate(lg, "value", V1), V1, keep=("part", "off"))
+    first = delivery.keep_first(ok, "ride_id", ["part", "off"])
+    timed = first.withColumn("event_time", codec.iso_parse("event_time"))
+    counts = eventtime.tumble_count_closed(timed, "event_time", ["pickup_city"], "10 seconds",
+                                           WATERMARK_DELAY_S, watermark=wm)
+    return zoneless(counts)

@@ -83,8 +83,9 @@ def feed_from(r: DataFrame) -> DataFrame:
     return r.withColumn("batch", arrival_day(F.col("event_time")) + late)
 
 
-def ride_records(r: DataFrame) -> DataFrame:
-    """The v1 contract fields of each ride (ride_id as text, ISO event time)."""
+def ride_records(r: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The v1 contract fields of each ride (ride_id as text, ISO event time),
+    plus the ``keep`` columns passed through."""
     return r.select(
         F.col("ride_id").cast("string").alias("ride_id"),
         F.concat(F.lit("rider-"), F.col("user_id").cast("string")).alias("rider_name"),
@@ -93,20 +94,25 @@ def ride_records(r: DataFrame) -> DataFrame:
         "fare",
         "status",
         iso_format(F.col("event_time")).alias("event_time"),
+        *keep,
     )
 
 
 def ride_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ride_id bigint, value string): damaged JSON records for contract checks."""
-    r = rides(spark, sf_dir)
-    rec = ride_records(r)
-    bad_fare = F.col("_id") % BAD_FARE_EVERY == 0
-    no_status = F.col("_id") % NO_STATUS_EVERY == 0
-    fare = F.when(bad_fare, F.lit(BAD_FARE_TEXT).cast("variant")).otherwise(
+    return damaged_json(rides(spark, sf_dir))
+
+
+def damaged_json(r: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(ride_id bigint, value string, keep...): v1 JSON text of each ride with
+    the contract damage applied: every 13th ride sends its fare as text,
+    every 17th leaves out its status."""
+    rid = F.col("ride_id").cast("bigint")
+    fare = F.when(rid % BAD_FARE_EVERY == 0, F.lit(BAD_FARE_TEXT).cast("variant")).otherwise(
         F.col("fare").cast("variant"))
-    status = F.when(no_status, F.lit(None).cast("string")).otherwise(F.col("status"))
-    doc = F.struct(
-        "ride_id", "rider_name", "pickup_city", "dropoff_city",
-        fare.alias("fare"), status.alias("status"), "event_time")
-    return (rec.withColumn("_id", F.col("ride_id").cast("bigint"))
-            .select(F.col("_id").alias("ride_id"), F.to_json(doc).alias("value")))
+    status = F.when(rid % NO_STATUS_EVERY == 0, F.lit(None).cast("string")).otherwise(
+        F.col("status"))
+    doc = F.struct("ride_id", "rider_name", "pickup_city", "dropoff_city",
+                   fare.alias("fare"), status.alias("status"), "event_time")
+    return ride_records(r, keep).select(rid.alias("ride_id"), F.to_json(doc).alias("value"),
+                                        *keep)
