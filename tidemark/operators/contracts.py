@@ -124,7 +124,7 @@ def summary(validated: DataFrame) -> DataFrame:
     """(field, kind, n): violation counts, one row per field and kind."""
     v = validated.select(F.explode("violations").alias("v"))
     parts = F.split(F.col("v"), ":", 2)
-    return v.select(F.coalesce(F.element_at(parts, 2), F.lit("")).alias("field"),
+    return v.select(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")).alias("field"),
                     F.element_at(parts, 1).alias("kind")) \
         .groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n"))
 

@@ -20,9 +20,11 @@ def step_start(ts: Column | str, step: str) -> Column:
 
 
 def last_per_step(samples: DataFrame, series: Sequence[str], ts: str, value: str,
-                  step: str, tie: str | None = None, out: str = "value") -> DataFrame:
+                  step: str, tie: str | None = None, out: str | None = None) -> DataFrame:
     """The last sample of each series in each step (a scrape grid):
-    (series..., ts=step start, value).  Ties on ts are broken by ``tie``."""
+    (series..., ts=step start, value as ``out``).  Ties on ts are broken by
+    ``tie``."""
+    out = out or value
     order = F.struct(ts, tie) if tie else F.struct(ts, value)
     g = samples.groupBy(*series, step_start(ts, step).alias("_tm_step")) \
         .agg(F.max_by(value, order).alias(out))

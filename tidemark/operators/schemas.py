@@ -168,12 +168,16 @@ def compat_table(spark: SparkSession, subject: str, writer_json: str,
 
 
 # --- registry table ----------------------------------------------------------
+#
+# The registry is a catalogue: a few rows per subject.  Its rules run on those
+# rows on the driver; ``registry_frame`` turns them into a table for joins.
 
 REGISTRY_SCHEMA = "subject string, version int, schema_id bigint, schema_json string"
+Row = tuple  # (subject, version, schema_id, schema_json)
 
 
-def empty_registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REGISTRY_SCHEMA)
+def registry_frame(spark: SparkSession, rows: list[Row]) -> DataFrame:
+    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
 def latest(registry: DataFrame) -> DataFrame:
@@ -183,8 +187,8 @@ def latest(registry: DataFrame) -> DataFrame:
         .select("subject", "version", "b.schema_id", "b.schema_json")
 
 
-def register(registry: DataFrame, subject: str, schema_json: str) -> tuple[DataFrame, dict]:
-    """Register a version; returns (new registry, outcome).
+def register(rows: list[Row], subject: str, schema_json: str) -> tuple[list[Row], dict]:
+    """Register a version; returns (new rows, outcome).
 
     Equal canonical text under the subject -> existing id (idempotent).
     Else the candidate must read data of the latest version; if not, the
@@ -192,19 +196,16 @@ def register(registry: DataFrame, subject: str, schema_json: str) -> tuple[DataF
     """
     text = canonical(schema_json)
     cand = Contract.parse(schema_json)
-    same = registry.where((F.col("subject") == subject) & (F.col("schema_json") == text)) \
-        .select("version", "schema_id").limit(1).collect()
-    if same:
-        return registry, {"status": "exists", "version": same[0][0], "schema_id": same[0][1]}
-    cur = latest(registry.where(F.col("subject") == subject)).collect()
-    if cur:
-        problems = read_compatible(cand, Contract.parse(cur[0]["schema_json"]))
+    mine = [r for r in rows if r[0] == subject]
+    for r in mine:
+        if r[3] == text:
+            return rows, {"status": "exists", "version": r[1], "schema_id": r[2]}
+    if mine:
+        cur = max(mine, key=lambda r: r[1])
+        problems = read_compatible(cand, Contract.parse(cur[3]))
         if problems:
-            return registry, {"status": "incompatible", "problems": problems}
-    top = registry.agg(F.max("schema_id"), F.max(F.when(F.col("subject") == subject,
-                                                         F.col("version")))).first()
-    new_id = (top[0] or 0) + 1
-    version = (top[1] or 0) + 1
-    row = registry.sparkSession.createDataFrame([(subject, version, new_id, text)], REGISTRY_SCHEMA)
-    return registry.unionByName(row), {"status": "registered", "version": version,
-                                       "schema_id": new_id}
+            return rows, {"status": "incompatible", "problems": problems}
+    new_id = max((r[2] for r in rows), default=0) + 1
+    version = max((r[1] for r in mine), default=0) + 1
+    return rows + [(subject, version, new_id, text)], {
+        "status": "registered", "version": version, "schema_id": new_id}

@@ -307,10 +307,9 @@ def frame_split(spark, sf_dir):
 
 def registry_of_rides(spark) -> DataFrame:
     """Two registered versions of the ride subject (ids 1 and 2)."""
-    reg = schemas.empty_registry(spark)
-    reg, _ = schemas.register(reg, schemas.RIDE_SUBJECT, schemas.RIDE_V1)
-    reg, _ = schemas.register(reg, schemas.RIDE_SUBJECT, schemas.RIDE_V2_SAFE)
-    return reg
+    rows, _ = schemas.register([], schemas.RIDE_SUBJECT, schemas.RIDE_V1)
+    rows, _ = schemas.register(rows, schemas.RIDE_SUBJECT, schemas.RIDE_V2_SAFE)
+    return schemas.registry_frame(spark, rows)
 
 
 @query("frame_route")
@@ -496,7 +495,7 @@ def scrape_grid(spark, sf_dir):
     r = rel.rides(spark, sf_dir).select(F.col("pickup_city").alias("city"), "event_time",
                                         "ride_id", "fare")
     g = metrics.last_per_step(metrics.in_last(r, "event_time", GRID_RANGE_S), ["city"],
-                              "event_time", "fare", GRID_STEP, tie="ride_id")
+                              "event_time", "fare", GRID_STEP, tie="ride_id", out="value")
     return zoneless(g.select("city", F.col("event_time").alias("ts"), "value"))
 
 
