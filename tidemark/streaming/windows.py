@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import fresh_dir
 from tidemark.streaming.runner import StreamRun, file_stream, run_available_now, stage
 
 POLICY_CONF = "spark.sql.streaming.multipleWatermarkPolicy"
@@ -40,7 +41,7 @@ def replay_batches(df: DataFrame, batch_col: str, label: str) -> str:
     batch file is then written from its own partition folder only."""
     spark = df.sparkSession
     staged = stage(df, f"{label}-staged", partition_by=[batch_col])
-    src = stage(df.limit(0), f"{label}-src")
+    src = fresh_dir(spark, f"{label}-src")
     batches = [r[0] for r in spark.read.parquet(staged).select(batch_col).distinct()
                .orderBy(batch_col).collect()]
     rest = [c for c in df.columns if c != batch_col]
