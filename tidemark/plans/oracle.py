@@ -266,3 +266,7 @@ SQL["flagship"] = (
     "pickup_city, count(*) AS ride_count FROM ok GROUP BY 1, 2, 3) "
     "SELECT * FROM c WHERE window_end <= "
     "(SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 5 SECOND FROM rides)")
+
+SQL["avro_decode"] = (f"WITH {RIDES} SELECT ride_id, pickup_city, fare, status, "
+                      "CASE WHEN ride_id % 2 = 1 THEN fare / 100 END AS driver_rating, "
+                      "CAST(NULL AS VARCHAR) AS problem FROM rides")
