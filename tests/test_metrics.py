@@ -22,12 +22,12 @@ def test_counter_rate_with_reset(spark):
 
 
 def test_consumer_lag_missing_commit_is_null(spark):
-    subs = spark.createDataFrame([("g1", "t"), ("g2", "t")], "grp string, topic string")
     ends = spark.createDataFrame([("t", 0, 100), ("t", 1, 50)],
                                  "topic string, part int, end_offset bigint")
-    commits = spark.createDataFrame([("g1", "t", 0, 90), ("g1", "t", 1, 50), ("g2", "t", 0, 10)],
-                                    "grp string, topic string, part int, committed bigint")
-    got = rows(metrics.consumer_lag(subs, ends, commits), "grp", "part", "lag")
+    assigned = spark.createDataFrame(
+        [("g1", "t", 0, 90), ("g1", "t", 1, 50), ("g2", "t", 0, 10), ("g2", "t", 1, None)],
+        "grp string, topic string, part int, committed bigint")
+    got = rows(metrics.consumer_lag(ends, assigned), "grp", "part", "lag")
     assert got == srt([("g1", 0, 10), ("g1", 1, 0), ("g2", 0, 90), ("g2", 1, None)])
 
 

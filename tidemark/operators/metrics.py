@@ -74,15 +74,15 @@ def counter_rate(samples: DataFrame, series: Sequence[str], ts: str, value: str,
     return g.select(*series, range_col, rate.alias("rate"))
 
 
-def consumer_lag(subscriptions: DataFrame, end_offsets: DataFrame,
-                 committed: DataFrame) -> DataFrame:
+def consumer_lag(end_offsets: DataFrame, assignments: DataFrame) -> DataFrame:
     """Lag per (grp, topic, part) = end offset - committed offset.
 
-    ``subscriptions`` (grp, topic) x ``end_offsets`` (topic, part,
-    end_offset), joined on topic, left-joined to ``committed`` (grp, topic,
-    part, committed): a partition with no commit yet has a null lag.
+    ``assignments`` has one row per partition a group is assigned
+    (grp, topic, part, committed), with a null ``committed`` where the group
+    has not committed yet (lag is then null).  ``end_offsets`` is (topic,
+    part, end_offset).  An equi-join on (topic, part); both sides hold one
+    row per partition, so the end offsets are broadcast.
     """
-    rows = subscriptions.join(end_offsets, "topic")
-    j = rows.join(committed, ["grp", "topic", "part"], "left")
+    j = assignments.join(F.broadcast(end_offsets), ["topic", "part"], "left")
     return j.select("grp", "topic", "part", "end_offset", "committed",
                     (F.col("end_offset") - F.col("committed")).alias("lag"))

@@ -439,13 +439,12 @@ def _end_offsets(spark, sf_dir) -> DataFrame:
 @query("consumer_lag")
 def consumer_lag(spark, sf_dir):
     end = _end_offsets(spark, sf_dir)
-    commits = None
-    for grp, share in GROUP_COMMITS.items():
-        c = end.select(F.lit(grp).alias("grp"), "topic", "part",
-                       F.floor(F.col("end_offset") * share).cast("bigint").alias("committed"))
-        commits = c if commits is None else commits.unionByName(c)
-    subs = spark.createDataFrame([(g, CHAOS_TOPIC) for g in GROUP_COMMITS], "grp string, topic string")
-    return metrics.consumer_lag(subs, end, commits)
+    groups = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(share).alias("share"))
+                                 for g, share in GROUP_COMMITS.items()])).alias("g")
+    assigned = end.select("topic", "part", "end_offset", groups).select(
+        "g.grp", "topic", "part",
+        F.floor(F.col("end_offset") * F.col("g.share")).cast("bigint").alias("committed"))
+    return metrics.consumer_lag(end, assigned)
 
 
 def _offset_samples(spark, sf_dir) -> DataFrame:

@@ -62,9 +62,10 @@ def rides_from(ev: DataFrame) -> DataFrame:
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """rides + resent copies, with log partition ``part`` and offset ``off``."""
     r = rides(spark, sf_dir)
-    both = r.withColumn("copy", F.lit(0)).unionByName(
-        r.where(F.col("ride_id") % RESEND_EVERY == 0).withColumn("copy", F.lit(1)))
-    both = both.withColumn("part", (F.col("user_id") % LOG_PARTS).cast("int"))
+    copies = F.when(F.col("ride_id") % RESEND_EVERY == 0, F.array(F.lit(0), F.lit(1))) \
+        .otherwise(F.array(F.lit(0)))
+    both = r.withColumn("copy", F.explode(copies)) \
+        .withColumn("part", (F.col("user_id") % LOG_PARTS).cast("int"))
     return assign_offsets(both, "part", ["ride_id", "copy"],
                           F.floor(F.col("ride_id") / OFFSET_BLOCK_IDS), "off")
 
