@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.operators.schemas import Contract
+from tidemark.session import spread
 
 
 def _zigzag(n: int) -> int:
@@ -150,7 +151,7 @@ def encode_bodies(df: DataFrame, contract: Contract, out_col: str = "body",
                                                    pa.array(problems, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, out_col, "problem"])
 
-    return df.select(*keep, *[c for c in names if c not in keep]).mapInArrow(run, out_schema)
+    return spread(df.select(*keep, *[c for c in names if c not in keep])).mapInArrow(run, out_schema)
 
 
 def decode_bodies(df: DataFrame, writers: dict[int, str], reader: Contract,
@@ -194,4 +195,4 @@ def decode_bodies(df: DataFrame, writers: dict[int, str], reader: Contract,
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names, "problem"])
 
     cols = list(dict.fromkeys([*keep, id_col, body_col]))
-    return df.select(*cols).mapInArrow(run, out_schema)
+    return spread(df.select(*cols)).mapInArrow(run, out_schema)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.schemas import _PRIMITIVE, Contract
+from tidemark.session import spread
 
 _INTEGER_KINDS = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 _NUMBER_KINDS = _INTEGER_KINDS + ["DOUBLE", "FLOAT"]
@@ -95,7 +96,7 @@ def validate(df: DataFrame, value_col: str, contract: Contract) -> DataFrame:
     The JSON text is parsed once and each field's token kind read once;
     violations are string tests over those kinds.
     """
-    staged = _once(df, _record=parsed(value_col))
+    staged = _once(spread(df), _record=parsed(value_col))
     staged = _once(staged, _obj=_is_object(F.col("_record")),
                    _kinds=_kinds(F.col("_record"), contract))
     v = _violations_from_kinds(F.col("_obj"), F.col("_kinds"), contract)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -74,3 +74,19 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over the cluster's cores before CPU-heavy row work.
+
+    A single-file table arrives as one scan partition, and a narrow pipeline
+    over it would run on one core.  When the input has fewer partitions than
+    the default parallelism it is repartitioned round-robin; any large input
+    (at least one split per core) is returned unchanged, with no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+        return df
+    return df.repartition(target) if n < target else df
