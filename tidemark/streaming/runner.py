@@ -52,20 +52,38 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> s
     return path
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new stream: one per core of the cluster, never
+    more than the session's shuffle partitions."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+
+
 def run_available_now(stream: DataFrame, label: str, output_mode: str = "append",
-                      checkpoint: str | None = None, sink_path: str | None = None) -> StreamRun:
+                      checkpoint: str | None = None, sink_path: str | None = None,
+                      partitions: int | None = None) -> StreamRun:
     """Run ``stream`` over all available input into a Parquet sink; returns the
     committed output read back plus the progress reports.  Rerunning with the
-    same checkpoint and sink continues where the last run stopped."""
+    same checkpoint and sink continues where the last run stopped.
+
+    The number of state partitions is fixed when a checkpoint is created;
+    it is ``partitions`` or one per core (see ``state_partitions``).
+    """
     spark = stream.sparkSession
     sink_path = sink_path or fresh_dir(spark, f"{label}-out")
     checkpoint = checkpoint or fresh_dir(spark, f"{label}-ckpt")
-    q = (stream.writeStream.format("parquet")
-         .option("path", sink_path)
-         .option("checkpointLocation", checkpoint)
-         .outputMode(output_mode)
-         .trigger(availableNow=True)
-         .start())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        q = (stream.writeStream.format("parquet")
+             .option("path", sink_path)
+             .option("checkpointLocation", checkpoint)
+             .outputMode(output_mode)
+             .trigger(availableNow=True)
+             .start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     progress = [p for p in q.recentProgress]
     out = spark.read.schema(stream.schema).parquet(sink_path)
