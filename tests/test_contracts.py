@@ -131,3 +131,13 @@ def test_observed_schema_compat(spark):
                "v2_safe": schemas.RIDE_V2_SAFE}).collect()}
     assert got == {"v1": (True, []), "v2_safe": (True, []),
                    "v2_breaking": (False, ["missing:payment_method"])}
+
+
+def test_compat_three_outcomes(spark):
+    t = schemas.compat_table(spark, "s", schemas.RIDE_V1, {
+        "safe": schemas.RIDE_V2_SAFE, "breaking": schemas.RIDE_V2_BREAKING,
+        "broken": '{"type": "record", "name": "x", "fields": [{"name": "a", "type": "map"}]}',
+        "not_json": "{"})
+    got = {r.candidate: r.status for r in t.collect()}
+    assert got == {"safe": "compatible", "breaking": "incompatible", "broken": "error",
+                   "not_json": "error"}

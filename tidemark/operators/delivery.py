@@ -128,3 +128,32 @@ def resume_from_offsets(log: DataFrame, committed: DataFrame, part_col: str,
     j = log.join(F.broadcast(c), log[part_col] == c["_tm_p"], "left")
     return j.where(F.col(off_col) >= F.coalesce(F.col("_tm_c"), F.lit(0))) \
         .select(*log.columns)
+
+
+def incremental_run(incoming: DataFrame, seen_path: str, key: str, order: Sequence[str],
+                    out_path: str, run_id: str, key_type: str = "string") -> DataFrame:
+    """One run of dedup across runs, with its state saved.
+
+    Loads the seen keys (empty the first time), keeps the first incoming row
+    of every new key, writes those rows as this run's partition of
+    ``out_path`` and then their keys as this run's partition of the seen
+    table.  Both writes replace the run's partition, so a run repeated after
+    a crash neither loses keys nor writes rows twice.  Returns the rows
+    written.
+    """
+    from tidemark.sources.seen import RUN_COL, load_seen, save_seen
+
+    spark = incoming.sparkSession
+    seen = load_seen(spark, seen_path, key, key_type, before_run=run_id)
+    fresh = dedup_against_seen(incoming, seen, key, order)
+    conf = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "dynamic")
+    try:
+        fresh.withColumn(RUN_COL, F.lit(run_id)).write.mode("overwrite") \
+            .partitionBy(RUN_COL).parquet(out_path)
+    finally:
+        spark.conf.set(conf, before)
+    written = spark.read.parquet(out_path).where(F.col(RUN_COL) == run_id).drop(RUN_COL)
+    save_seen(written.select(key), seen_path, run_id)
+    return written

@@ -155,16 +155,23 @@ def read_compatible(reader: Contract, writer: Contract) -> list[str]:
     return problems
 
 
+def compat_status(reader_json: str, writer_json: str) -> tuple[str, list[str]]:
+    """('compatible' | 'incompatible' | 'error', problems).  A candidate that
+    is not a valid contract is an error, never reported as incompatible."""
+    try:
+        reader, writer = Contract.parse(reader_json), Contract.parse(writer_json)
+    except (ValueError, KeyError, TypeError) as e:
+        return "error", [f"{type(e).__name__}: {e}"]
+    problems = read_compatible(reader, writer)
+    return ("incompatible" if problems else "compatible"), problems
+
+
 def compat_table(spark: SparkSession, subject: str, writer_json: str,
                  candidates: dict[str, str]) -> DataFrame:
-    """One row per candidate: (subject, candidate, compatible, problems)."""
-    w = Contract.parse(writer_json)
-    rows = []
-    for name, js in candidates.items():
-        p = read_compatible(Contract.parse(js), w)
-        rows.append((subject, name, not p, p))
+    """One row per candidate: (subject, candidate, status, problems)."""
+    rows = [(subject, name, *compat_status(js, writer_json)) for name, js in candidates.items()]
     return spark.createDataFrame(
-        rows, "subject string, candidate string, compatible boolean, problems array<string>")
+        rows, "subject string, candidate string, status string, problems array<string>")
 
 
 # --- registry table ----------------------------------------------------------
