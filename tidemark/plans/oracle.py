@@ -141,8 +141,9 @@ recs AS (
          fare, status, {ISO_MS.format(t='event_time')} AS event_time
   FROM rides)"""
 
-_JSON = ("to_json({'ride_id': ride_id, 'rider_name': rider_name, 'pickup_city': pickup_city, "
-         "'dropoff_city': dropoff_city, 'fare': fare, 'status': status, 'event_time': event_time})")
+_JSON = ("CAST(to_json({'ride_id': ride_id, 'rider_name': rider_name, 'pickup_city': pickup_city, "
+         "'dropoff_city': dropoff_city, 'fare': fare, 'status': status, "
+         "'event_time': event_time}) AS VARCHAR)")
 
 SQL["json_topic_encode"] = (f"WITH {_RECS} SELECT rid AS ride_id, {_JSON} AS value_text, "
                             f"CAST(strlen({_JSON}) AS BIGINT) AS value_bytes FROM recs")
