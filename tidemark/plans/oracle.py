@@ -203,8 +203,8 @@ SQL["stream_late_replay"] = (
     "(SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 5 SECOND FROM feed)")
 
 SQL["watermark_policy"] = (
-    f"WITH {RIDES}, a AS (SELECT * FROM rides WHERE ride_id % 2 = 0), "
-    "b AS (SELECT * FROM rides WHERE ride_id % 2 = 1 AND dayofmonth(event_time) = 1), "
+    f"WITH {RIDES}, a AS (SELECT * FROM rides), "
+    "b AS (SELECT * FROM rides WHERE dayofmonth(event_time) = 1), "
     "u AS (SELECT * FROM a UNION ALL SELECT * FROM b), "
     "m AS (SELECT (SELECT date_trunc('milliseconds', max(event_time)) FROM a) AS ma, "
     "(SELECT date_trunc('milliseconds', max(event_time)) FROM b) AS mb), "

@@ -381,14 +381,13 @@ def stream_progress(spark, sf_dir):
 
 @query("watermark_policy")
 def watermark_policy(spark, sf_dir):
-    """Two sources, one going quiet after the first day of the month: the
-    min policy holds windows back, the max policy lets them close."""
+    """Two sources into one count: every ride (A), and a second feed that
+    carries only the first day of the month and then goes quiet (B).  The
+    min policy holds windows back at B's watermark; max lets them close."""
     out = None
     for policy in ("min", "max"):
-        s = _ride_stream(spark, sf_dir)
-        a = s.where(F.col("ride_id") % 2 == 0)
-        b = _ride_stream(spark, sf_dir).where(
-            (F.col("ride_id") % 2 == 1) & (F.dayofmonth("event_time") == 1))
+        a = _ride_stream(spark, sf_dir)
+        b = _ride_stream(spark, sf_dir).where(F.dayofmonth("event_time") == 1)
         run = windows.union_count([a, b], "event_time", ["pickup_city"], "10 seconds",
                                   WATERMARK_DELAY_S, policy)
         part = run.output.select(F.lit(policy).alias("policy"), "*")
