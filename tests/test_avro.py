@@ -54,3 +54,17 @@ def test_encode_rejects_missing_required(spark):
         df = df.withColumn(f.name, F.lit(None).cast("double" if f.name == "fare" else "string"))
     r = avro.encode_bodies(df, V1).first()
     assert r.body is None and r.problem == "missing:rider_name"
+
+
+def test_framed_records_from_json(spark):
+    import json
+    from tidemark.operators import contracts
+    good = json.dumps(REC)
+    bad = json.dumps({**REC, "fare": "forty two dollars"})
+    df = spark.createDataFrame([(1, good), (2, bad), (3, "junk")], "k int, value string")
+    out = {r.k: r for r in avro.framed_records(contracts.validate(df, "value", V1), V1, 7,
+                                               keep=("k",)).collect()}
+    assert bytes(out[1].value)[:5] == bytes.fromhex("0000000007")
+    assert avro.decode_record(V1, bytes(out[1].value)[5:]) == REC
+    assert out[2].value is None and list(out[2].violations) == ["type:fare"]
+    assert list(out[3].violations) == ["malformed"]

@@ -16,6 +16,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql import DataFrame
 
 from tidemark.operators.schemas import Contract
@@ -196,3 +197,24 @@ def decode_bodies(df: DataFrame, writers: dict[int, str], reader: Contract,
 
     cols = list(dict.fromkeys([*keep, id_col, body_col]))
     return spread(df.select(*cols)).mapInArrow(run, out_schema)
+
+
+def framed_records(validated: DataFrame, contract: Contract, schema_id: int,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """The framed binary sink's input: accepted records of ``contract`` as
+    Avro bodies framed with ``schema_id`` (``value`` binary); records with
+    violations are not framed and carry their reasons instead (``value`` is
+    null), so the job never fails on a bad row."""
+    from tidemark.functions.codec import frame
+    from tidemark.operators.contracts import typed_fields
+
+    ok = validated.where(F.size("violations") == 0).select(
+        *keep, *typed_fields(F.col("_record"), contract))
+    enc = encode_bodies(ok, contract, keep=keep)
+    good = enc.select(*keep, F.when(F.col("body").isNotNull(),
+                                    frame(F.lit(schema_id), "body")).alias("value"),
+                      F.when(F.col("problem").isNotNull(), F.array("problem"))
+                      .otherwise(F.array().cast("array<string>")).alias("violations"))
+    bad = validated.where(F.size("violations") > 0).select(
+        *keep, F.lit(None).cast("binary").alias("value"), "violations")
+    return good.unionByName(bad)
