@@ -157,12 +157,6 @@ def evolve_union(frames: Sequence[DataFrame], target: Contract,
     return reduce(DataFrame.unionByName, parts)
 
 
-def observed_schema(records: DataFrame, value_col: str) -> DataFrame:
-    """One row: the merged variant schema of every record in the column
-    (an aggregate over the whole log, partial per task)."""
-    return records.select(F.schema_of_variant_agg(parsed(value_col)).alias("observed"))
-
-
 def _kind_class(kind: Column) -> Column:
     return (F.when(kind.isin(_INTEGER_KINDS), "INTEGER")
             .when(kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), "NUMBER")

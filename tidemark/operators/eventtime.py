@@ -26,10 +26,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.codec import minus_seconds, truncate_ms
 
 
-def window_bounds(ts: Column | str, width: str) -> Column:
-    return F.window(ts, width)
-
-
 def tumble_count(df: DataFrame, ts: str, keys: Sequence[str], width: str,
                  count_col: str = "ride_count") -> DataFrame:
     """COUNT(*) per (tumbling window, keys); every window (batch form).

@@ -15,6 +15,7 @@ from pyspark.sql.types import TimestampType
 
 from tidemark.functions import codec
 from tidemark.operators import delivery, eventtime
+from tidemark.sources import log as logs
 from tidemark.sources import relations as rel
 from tidemark.sources.tables import table
 
@@ -55,7 +56,7 @@ def raw_scan(spark, sf_dir):
 def bounded_scan(spark, sf_dir):
     """The first N rides by id (a bounded source made deterministic)."""
     r = rel.rides(spark, sf_dir)
-    return r.orderBy("ride_id").limit(BOUNDED_ROWS).select(
+    return logs.bounded(r, ["ride_id"], BOUNDED_ROWS).select(
         F.col("pickup_city").alias("city"), "fare")
 
 
@@ -194,7 +195,6 @@ QUERIES["late_drop_count_1d"] = _late_drops("1 day")
 
 from tidemark.operators import contracts  # noqa: E402
 from tidemark.operators import schemas  # noqa: E402
-from tidemark.sources import log as logs  # noqa: E402
 
 V1 = schemas.Contract.parse(schemas.RIDE_V1)
 V1_FIELDS = [f.name for f in V1.fields]

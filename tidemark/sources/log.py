@@ -1,5 +1,6 @@
 """Append-only log records in the Kafka source column layout, and the scans
-over them: JSON topic decode, declared typed scan, raw bytes, bounded scan.
+over them: JSON topic decode, declared typed scan, bounded scan.  Values stay
+binary (raw bytes) until a decoder reads them (JSON, frames, Avro).
 
 Layout: key binary, value binary, topic string, partition int, offset bigint,
 timestamp timestamp.  The same functions serve a Kafka stream
@@ -64,11 +65,6 @@ def declared_scan(log: DataFrame, ddl: str, time_col: str | None = None,
     return out.withColumn(time_col, iso_parse(F.col(time_col)))
 
 
-def raw_values(log: DataFrame) -> DataFrame:
-    """Values kept as bytes, to be decoded later (frames, Avro)."""
-    return log.select("topic", "partition", "offset", "value")
-
-
 def bounded(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first ``n`` rows by ``order`` (a top-k, not a sample)."""
     return df.orderBy(*order).limit(n)
