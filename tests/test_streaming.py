@@ -131,3 +131,27 @@ def test_parity_stream_and_batch_dedup(spark):
     d = rel.deliveries(spark, SF_SMALL).select("ride_id", "part", "off")
     batch = delivery.keep_first(d, "ride_id", ["part", "off"]).select("ride_id")
     assert rows(stream) == rows(batch)
+
+
+def test_stream_contract_split_is_exactly_once(spark):
+    import json
+    from tidemark.operators import schemas
+    from tidemark.streaming import contracts as scontracts
+    v1 = schemas.Contract.parse(schemas.RIDE_V1)
+    good = {"ride_id": "a", "rider_name": "n", "pickup_city": "c", "dropoff_city": "d",
+            "fare": 1.0, "status": "s", "event_time": "t"}
+    src = fresh_dir(spark, "split-src")
+    spark.createDataFrame([(json.dumps(good),), ("junk",)], "value string") \
+        .coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    ckpt, acc, qua = fresh_dir(spark, "c"), fresh_dir(spark, "a"), fresh_dir(spark, "q")
+    for _ in range(2):  # a rerun over the same checkpoint adds nothing
+        scontracts.split_stream(runner.file_stream(spark, src, schema), "value", v1,
+                                checkpoint=ckpt, accepted_path=acc, quarantine_path=qua)
+    assert spark.read.parquet(acc).count() == 1
+    bad = spark.read.parquet(qua).collect()
+    assert len(bad) == 1 and list(bad[0].violations) == ["malformed"]
+    # a batch that runs again overwrites its own folder
+    spark.createDataFrame([(json.dumps(good),)], "value string").write.mode("overwrite") \
+        .parquet(f"{acc}/batch_id=0")
+    assert spark.read.parquet(acc).count() == 1

@@ -271,3 +271,5 @@ SQL["flagship"] = (
 SQL["avro_decode"] = (f"WITH {RIDES} SELECT ride_id, pickup_city, fare, status, "
                       "CASE WHEN ride_id % 2 = 1 THEN fare / 100 END AS driver_rating, "
                       "CAST(NULL AS VARCHAR) AS problem FROM rides")
+
+SQL["stream_contract_split"] = SQL["contract_accept"]

@@ -578,3 +578,20 @@ def avro_decode(spark, sf_dir):
     out = avro.decode_bodies(split, writers, v2)
     return out.select(F.col("ride_id").cast("bigint").alias("ride_id"), "pickup_city", "fare",
                       "status", "driver_rating", "problem")
+
+
+# --- contract split on a stream ----------------------------------------------------
+
+from tidemark.streaming import contracts as scontracts  # noqa: E402
+
+
+@query("stream_contract_split")
+def stream_contract_split(spark, sf_dir):
+    """The damaged JSON records as a stream (four files, one per trigger),
+    split per micro-batch into accepted and quarantined tables; the accepted
+    table is returned."""
+    src = runner.stage(rel.ride_json(spark, sf_dir).repartition(4), "ride-json")
+    schema = spark.read.parquet(src).schema
+    stream = runner.file_stream(spark, src, schema, max_files=1)
+    run = scontracts.split_stream(stream, "value", V1)
+    return spark.read.parquet(run.accepted_path).drop("batch_id")
