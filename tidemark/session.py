@@ -80,13 +80,18 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over the cluster's cores before CPU-heavy row work.
 
     A single-file table arrives as one scan partition, and a narrow pipeline
-    over it would run on one core.  When the input has fewer partitions than
-    the default parallelism it is repartitioned round-robin; any large input
-    (at least one split per core) is returned unchanged, with no shuffle.
+    over it would run on one core.  When a shuffle-free input has fewer scan
+    splits than the default parallelism it is repartitioned round-robin; any
+    large input (at least one split per core), and any input that already
+    went through a shuffle, is returned unchanged.  Nothing is executed to
+    decide: the physical plan is only inspected, and the split count of a
+    shuffle-free plan comes from file listing alone.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     try:
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+    except Exception:  # noqa: BLE001  (no plan or RDD access, e.g. a remote session)
         return df
     return df.repartition(target) if n < target else df
