@@ -155,3 +155,15 @@ def test_stream_contract_split_is_exactly_once(spark):
     spark.createDataFrame([(json.dumps(good),)], "value string").write.mode("overwrite") \
         .parquet(f"{acc}/batch_id=0")
     assert spark.read.parquet(acc).count() == 1
+
+
+def test_progress_rows_of_replay(spark):
+    from tidemark.streaming import progress
+    f = _feed(spark, LATE_DEMO)
+    run = windows.late_replay(f, "event_time", ["pickup_city"], "batch", "10 seconds", 5)
+    p = progress.progress_rows(spark, run.progress).orderBy("batch_id").collect()
+    data = [r for r in p if r.num_input_rows > 0]
+    assert len(data) == len(LATE_DEMO)
+    assert all(r.observed_rows == 1 for r in data)
+    assert sum(r.num_dropped_by_watermark for r in p) == 2
+    assert p[-1].watermark == dt.datetime(2026, 9, 23, 12, 1, 30)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import fresh_dir
+from tidemark.streaming.progress import OBSERVED
 from tidemark.streaming.runner import StreamRun, file_stream, run_available_now, stage
 
 POLICY_CONF = "spark.sql.streaming.multipleWatermarkPolicy"
@@ -90,6 +91,7 @@ def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, wid
     """Replay ``df`` batch by batch through a watermarked windowed count."""
     src = replay_batches(df, batch_col, label)
     stream = file_stream(df.sparkSession, src, df.schema, max_files=1)
+    stream = stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
     counts = tumble_count(with_event_time(stream, ts, delay_seconds), ts, keys, width)
     return run_available_now(counts, label)
 
