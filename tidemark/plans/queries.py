@@ -403,26 +403,27 @@ def watermark_policy(spark, sf_dir):
     return zoneless(out)
 
 
-def _delivery_stream(spark, sf_dir, label) -> DataFrame:
-    """The delivered log replayed in arrival order, one week per trigger."""
+def _delivery_stream(spark, sf_dir, label):
+    """The delivered log replayed in arrival order, one week per trigger;
+    returns the stream and the state partitions its size calls for."""
     d = _deliveries(spark, sf_dir).select("ride_id", "event_time", "part", "off")
     d = d.withColumn("week", F.floor(rel.arrival_day(F.col("event_time")) / 7).cast("bigint"))
     src = windows.replay_batches(d, "week", label)
-    return runner.file_stream(spark, src, d.schema, max_files=1)
+    return runner.file_stream(spark, src, d.schema, max_files=1), runner.sized_partitions(d)
 
 
 @query("stream_dedup")
 def stream_dedup(spark, sf_dir):
-    s = sdedup.dedup(_delivery_stream(spark, sf_dir, "dedup"), ["ride_id"])
-    return runner.run_available_now(s, "dedup").output.select("ride_id")
+    s, n = _delivery_stream(spark, sf_dir, "dedup")
+    return runner.run_available_now(sdedup.dedup(s, ["ride_id"]), "dedup",
+                                    partitions=n).output.select("ride_id")
 
 
 @query("stream_dedup_bounded")
 def stream_dedup_bounded(spark, sf_dir):
-    s = sdedup.dedup_bounded(_delivery_stream(spark, sf_dir, "dedup-bounded"), ["ride_id"],
-                             "event_time",
-                             "1 hour")
-    return runner.run_available_now(s, "dedup-bounded").output.select("ride_id")
+    s, n = _delivery_stream(spark, sf_dir, "dedup-bounded")
+    s = sdedup.dedup_bounded(s, ["ride_id"], "event_time", "1 hour")
+    return runner.run_available_now(s, "dedup-bounded", partitions=n).output.select("ride_id")
 
 
 # --- monitoring metrics ----------------------------------------------------------

@@ -59,6 +59,18 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
 
 
+def sized_partitions(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
+    """State partitions for a stream over ``df``'s data: one per
+    ``bytes_per_partition`` of Catalyst's size estimate (no job runs), at
+    least one, at most one per core."""
+    spark = df.sparkSession
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return state_partitions(spark)
+    return max(1, min(state_partitions(spark), -(-size // bytes_per_partition)))
+
+
 def run_available_now(stream: DataFrame, label: str, output_mode: str = "append",
                       checkpoint: str | None = None, sink_path: str | None = None,
                       partitions: int | None = None) -> StreamRun:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import fresh_dir
 from tidemark.streaming.progress import OBSERVED
-from tidemark.streaming.runner import StreamRun, file_stream, run_available_now, stage
+from tidemark.streaming.runner import (StreamRun, file_stream, run_available_now,
+                                       sized_partitions, stage)
 
 POLICY_CONF = "spark.sql.streaming.multipleWatermarkPolicy"
 
@@ -87,13 +88,16 @@ def _order_by_mtime(spark, src: str, batch_col: str) -> bool:
 
 
 def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, width: str,
-                delay_seconds: float, label: str = "late-replay") -> StreamRun:
-    """Replay ``df`` batch by batch through a watermarked windowed count."""
+                delay_seconds: float, label: str = "late-replay",
+                partitions: int | None = None) -> StreamRun:
+    """Replay ``df`` batch by batch through a watermarked windowed count.
+    State partitions follow the size of ``df`` unless given."""
+    partitions = partitions or sized_partitions(df)
     src = replay_batches(df, batch_col, label)
     stream = file_stream(df.sparkSession, src, df.schema, max_files=1)
     stream = stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
     counts = tumble_count(with_event_time(stream, ts, delay_seconds), ts, keys, width)
-    return run_available_now(counts, label)
+    return run_available_now(counts, label, partitions=partitions)
 
 
 def union_count(sources: Sequence[DataFrame], ts: str, keys: Sequence[str], width: str,
