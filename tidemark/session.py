@@ -27,6 +27,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small shuffles keep enough partitions to use every core for the
+        # per-row work behind them (parsing); large shuffles are far above it
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.streaming.stateStore.providerClass",
