@@ -357,7 +357,8 @@ def stream_tumble_count(spark, sf_dir):
     """10 s windows per status under a 5 s watermark, append mode."""
     s = windows.with_event_time(_ride_stream(spark, sf_dir), "event_time", WATERMARK_DELAY_S)
     run = runner.run_available_now(
-        windows.tumble_count(s, "event_time", ["status"], "10 seconds"), "tumble")
+        windows.tumble_count(s, "event_time", ["status"], "10 seconds"), "tumble",
+        partitions=runner.sized_partitions(rel.rides(spark, sf_dir)))
     return zoneless(run.output)
 
 
@@ -397,7 +398,8 @@ def watermark_policy(spark, sf_dir):
         a = _ride_stream(spark, sf_dir)
         b = _ride_stream(spark, sf_dir).where(F.dayofmonth("event_time") == 1)
         run = windows.union_count([a, b], "event_time", ["pickup_city"], "10 seconds",
-                                  WATERMARK_DELAY_S, policy)
+                                  WATERMARK_DELAY_S, policy,
+                                  partitions=runner.sized_partitions(rel.rides(spark, sf_dir)))
         part = run.output.select(F.lit(policy).alias("policy"), "*")
         out = part if out is None else out.unionByName(part)
     return zoneless(out)

@@ -101,7 +101,8 @@ def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, wid
 
 
 def union_count(sources: Sequence[DataFrame], ts: str, keys: Sequence[str], width: str,
-                delay_seconds: float, policy: str, label: str = "union") -> StreamRun:
+                delay_seconds: float, policy: str, label: str = "union",
+                partitions: int | None = None) -> StreamRun:
     """Windowed count over a union of watermarked sources under a policy."""
     spark = sources[0].sparkSession
     marked = [with_event_time(s, ts, delay_seconds) for s in sources]
@@ -111,7 +112,8 @@ def union_count(sources: Sequence[DataFrame], ts: str, keys: Sequence[str], widt
     before = spark.conf.get(POLICY_CONF, None)
     spark.conf.set(POLICY_CONF, policy)
     try:
-        return run_available_now(tumble_count(u, ts, keys, width), f"{label}-{policy}")
+        return run_available_now(tumble_count(u, ts, keys, width), f"{label}-{policy}",
+                                 partitions=partitions)
     finally:
         if before is None:
             spark.conf.unset(POLICY_CONF)
