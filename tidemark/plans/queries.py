@@ -305,11 +305,15 @@ def frame_split(spark, sf_dir):
                     F.decode("u.body", "UTF-8").alias("body_text"), "u.problem")
 
 
-def registry_of_rides(spark) -> DataFrame:
+def ride_registry_rows() -> list[tuple]:
     """Two registered versions of the ride subject (ids 1 and 2)."""
     rows, _ = schemas.register([], schemas.RIDE_SUBJECT, schemas.RIDE_V1)
     rows, _ = schemas.register(rows, schemas.RIDE_SUBJECT, schemas.RIDE_V2_SAFE)
-    return schemas.registry_frame(spark, rows)
+    return rows
+
+
+def registry_of_rides(spark) -> DataFrame:
+    return schemas.registry_frame(spark, ride_registry_rows())
 
 
 @query("frame_route")
@@ -576,8 +580,7 @@ def avro_decode(spark, sf_dir):
         keep=("_id",)).withColumn("schema_id", F.lit(2).cast("bigint"))
     framed = old.unionByName(new).select(codec.frame("schema_id", "body").alias("value"))
     split = framed.select(codec.unframe("value").alias("u")).select("u.schema_id", "u.body")
-    rows_ = registry_of_rides(spark).select("schema_id", "schema_json").collect()
-    writers = {r_.schema_id: r_.schema_json for r_ in rows_}
+    writers = {sid: js for _, _, sid, js in ride_registry_rows()}
     out = avro.decode_bodies(split, writers, v2)
     return out.select(F.col("ride_id").cast("bigint").alias("ride_id"), "pickup_city", "fare",
                       "status", "driver_rating", "problem")
