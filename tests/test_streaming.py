@@ -112,8 +112,8 @@ def test_stream_dedup_bounded_forgets(spark):
                                 ("c", t0 + dt.timedelta(minutes=10), 2),
                                 ("a", t0 + dt.timedelta(minutes=10, seconds=1), 3)],
                                "ride_id string, event_time timestamp, batch int")
-    src = windows.replay_batches(df, "batch", "bounded")
-    s = runner.file_stream(spark, src, df.schema, max_files=1)
+    replay = windows.replay_batches(df.repartition(3), "batch", "bounded")
+    s = runner.file_stream(spark, replay.path, df.schema, max_files=replay.files_per_trigger)
     run = runner.run_available_now(sdedup.dedup_bounded(s, ["ride_id"], "event_time", "1 minute"),
                                    "bounded")
     assert rows(run.output, "ride_id") == [("a",), ("a",), ("b",), ("c",)]
@@ -167,3 +167,25 @@ def test_progress_rows_of_replay(spark):
     assert all(r.observed_rows == 1 for r in data)
     assert sum(r.num_dropped_by_watermark for r in p) == 2
     assert p[-1].watermark == dt.datetime(2026, 9, 23, 12, 1, 30)
+
+
+def test_replay_pads_batches_to_equal_file_counts(spark):
+    import os
+    rows_ = [(i, "c", dt.datetime(2026, 9, 23) + dt.timedelta(seconds=i), 0) for i in range(40)]
+    rows_ += [(100, "c", dt.datetime(2026, 9, 23, 1), 1)]
+    rows_ += [(200 + i, "c", dt.datetime(2026, 9, 23, 2) + dt.timedelta(seconds=i), 2)
+              for i in range(7)]
+    df = spark.createDataFrame(rows_, "ride_id int, pickup_city string, t timestamp_ntz, batch int") \
+        .select("ride_id", "pickup_city", F.col("t").cast("timestamp").alias("event_time"), "batch") \
+        .repartition(5)
+    replay = windows.replay_batches(df, "batch", "pad")
+    assert replay.files_per_trigger > 1
+    local = replay.path.replace("file:", "")
+    counts = [len([f for f in os.listdir(f"{local}/batch={b}") if f.endswith(".parquet")])
+              for b in (0, 1, 2)]
+    assert counts == [replay.files_per_trigger] * 3
+    s = runner.file_stream(spark, replay.path, df.schema, max_files=replay.files_per_trigger)
+    run = runner.run_available_now(s.select("ride_id"), "pad")
+    inputs = [p["numInputRows"] for p in run.progress if p["numInputRows"]]
+    assert inputs == [40, 1, 7]
+    assert run.output.count() == 48

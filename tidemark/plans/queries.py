@@ -414,8 +414,10 @@ def _delivery_stream(spark, sf_dir, label):
     returns the stream and the state partitions its size calls for."""
     d = _deliveries(spark, sf_dir).select("ride_id", "event_time", "part", "off")
     d = d.withColumn("week", F.floor(rel.arrival_day(F.col("event_time")) / 7).cast("bigint"))
-    src = windows.replay_batches(d, "week", label)
-    return runner.file_stream(spark, src, d.schema, max_files=1), runner.sized_partitions(d)
+    replay = windows.replay_batches(d, "week", label)
+    stream = runner.file_stream(spark, replay.path, d.schema,
+                                max_files=replay.files_per_trigger)
+    return stream, runner.sized_partitions(d)
 
 
 @query("stream_dedup")

@@ -10,6 +10,7 @@ slowest source holds everything back) or ``max``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.session import fresh_dir
 from tidemark.streaming.progress import OBSERVED
 from tidemark.streaming.runner import (StreamRun, file_stream, run_available_now,
-                                       sized_partitions, stage)
+                                       sized_partitions)
 
 POLICY_CONF = "spark.sql.streaming.multipleWatermarkPolicy"
 
@@ -36,55 +37,55 @@ def tumble_count(stream: DataFrame, ts: str, keys: Sequence[str], width: str,
                     F.col("w.end").alias("window_end"), *keys, count_col)
 
 
-def replay_batches(df: DataFrame, batch_col: str, label: str) -> str:
-    """Lay ``df`` out as an arriving log: one file per arrival batch, ordered
-    by batch, so a file stream with one file per trigger sees the batches in
-    order.
+@dataclass
+class Replay:
+    """A log laid out for replay: read it with ``files_per_trigger`` files
+    per trigger and every micro-batch is exactly one arrival batch."""
+    path: str
+    files_per_trigger: int
 
-    All batches are written in one job (one file per ``batch=`` folder); the
-    files' modification times are then set in batch order through the
-    Hadoop file system (metadata only).  Where the store cannot set times,
-    the batches are written one after another instead.
+
+def replay_batches(df: DataFrame, batch_col: str, label: str) -> Replay:
+    """Lay ``df`` out as an arriving log, one arrival batch per micro-batch.
+
+    All batches are written in one parallel job (``partitionBy`` the batch;
+    no batch is gathered into one task, however large).  Every batch folder
+    is then brought to the same file count K by adding schema-only parquet
+    files, and the files of batch i get modification time t0 + i seconds
+    (metadata only).  A file stream taking K files per trigger, oldest
+    first, then sees exactly one arrival batch per micro-batch, in order.
     """
     spark = df.sparkSession
     src = fresh_dir(spark, f"{label}-src")
-    df.repartition(batch_col).write.partitionBy(batch_col).parquet(src)
-    if _order_by_mtime(spark, src, batch_col):
-        return src
-    src = fresh_dir(spark, f"{label}-src-seq")
-    staged = stage(df, f"{label}-staged", partition_by=[batch_col])
-    batches = [r[0] for r in spark.read.parquet(staged).select(batch_col).distinct()
-               .orderBy(batch_col).collect()]
-    rest = [c for c in df.columns if c != batch_col]
-    for b in batches:
-        part = spark.read.schema(df.select(*rest).schema).parquet(f"{staged}/{batch_col}={b}")
-        part = part.withColumn(batch_col, F.lit(b).cast(df.schema[batch_col].dataType))
-        part.select(*df.columns).coalesce(1).write.mode("append") \
-            .partitionBy(batch_col).parquet(src)
-    return src
-
-
-def _order_by_mtime(spark, src: str, batch_col: str) -> bool:
-    """Give the data files under ``src/batch=*`` increasing modification
-    times in batch order; False when the file system refuses."""
+    df.write.partitionBy(batch_col).parquet(src)
     jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(src)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dirs = []
+    fs = root.getFileSystem(conf)
+    batches = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(f"{batch_col}="):
-            dirs.append((int(name.split("=", 1)[1]), st.getPath()))
-    dirs.sort()
-    t0 = max(fs.getFileStatus(root).getModificationTime(), 1_000_000) - 1000 * (len(dirs) + 1)
-    try:
-        for i, (_, d) in enumerate(dirs):
-            for st in fs.listStatus(d):
-                if st.getPath().getName().endswith(".parquet"):
-                    fs.setTimes(st.getPath(), t0 + 1000 * i, -1)
-    except Exception:  # noqa: BLE001  (e.g. object stores without setTimes)
-        return False
-    return True
+            files = [f.getPath() for f in fs.listStatus(st.getPath())
+                     if f.getPath().getName().endswith(".parquet")]
+            batches.append((int(name.split("=", 1)[1]), st.getPath(), files))
+    batches.sort(key=lambda b: b[0])
+    k = max((len(f) for _, _, f in batches), default=1)
+    if any(len(f) < k for _, _, f in batches):
+        tmpl_dir = fresh_dir(spark, f"{label}-empty")
+        df.drop(batch_col).limit(0).coalesce(1).write.parquet(tmpl_dir)
+        tmpl = next(f.getPath() for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmpl_dir))
+                    if f.getPath().getName().endswith(".parquet"))
+        for _, d, files in batches:
+            for i in range(k - len(files)):
+                pad = jvm.org.apache.hadoop.fs.Path(d, f"part-pad-{i:05d}.parquet")
+                jvm.org.apache.hadoop.fs.FileUtil.copy(fs, tmpl, fs, pad, False, conf)
+                files.append(pad)
+    t0 = fs.getFileStatus(root).getModificationTime() - 1000 * (len(batches) + 1)
+    for i, (_, _, files) in enumerate(batches):
+        for f in files:
+            fs.setTimes(f, t0 + 1000 * i, -1)
+    return Replay(src, k)
 
 
 def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, width: str,
@@ -93,8 +94,9 @@ def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, wid
     """Replay ``df`` batch by batch through a watermarked windowed count.
     State partitions follow the size of ``df`` unless given."""
     partitions = partitions or sized_partitions(df)
-    src = replay_batches(df, batch_col, label)
-    stream = file_stream(df.sparkSession, src, df.schema, max_files=1)
+    replay = replay_batches(df, batch_col, label)
+    stream = file_stream(df.sparkSession, replay.path, df.schema,
+                         max_files=replay.files_per_trigger)
     stream = stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
     counts = tumble_count(with_event_time(stream, ts, delay_seconds), ts, keys, width)
     return run_available_now(counts, label, partitions=partitions)
