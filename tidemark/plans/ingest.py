@@ -15,6 +15,7 @@ driver only builds the plan; data moves on executors.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ from tidemark.operators import delivery
 from tidemark.sources import connectors
 from tidemark.sources.relations import rides_from
 from tidemark.functions.codec import json_encode
+from tidemark.session import build_session, checkpoint_root, use_utc
 
 DEFAULT_NAME = "unnamed_pipeline"
 DEFAULT_INTERVAL_S = 1
@@ -69,13 +71,23 @@ def build(spark: SparkSession, config: dict) -> DataFrame:
     return df
 
 
+def _resolve_paths(spark: SparkSession, options: dict) -> dict:
+    """Relative sink paths and checkpoints resolve under the shared root."""
+    out = dict(options)
+    for k in ("path", "checkpointLocation"):
+        v = out.get(k)
+        if v and not v.startswith("/") and not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", v):
+            out[k] = f"{checkpoint_root(spark).rstrip('/')}/{v}"
+    return out
+
+
 def run(spark: SparkSession, config: dict, wait: bool = True) -> IngestRun:
     """Run one config.  Batch: write and return.  Stream: start; with
     ``wait`` block until the query ends (availableNow) and stop it."""
     name = config.get("pipeline_name", DEFAULT_NAME)
     df = build(spark, config)
     sink = connectors.build_sink(config["sink"])
-    options = dict(config["sink"].get("options") or {})
+    options = _resolve_paths(spark, config["sink"].get("options") or {})
     q = sink(df, options, _trigger(config))
     if q is not None and wait:
         try:
@@ -83,3 +95,21 @@ def run(spark: SparkSession, config: dict, wait: bool = True) -> IngestRun:
         finally:
             q.stop()
     return IngestRun(name, q)
+
+
+def main(argv: list[str]) -> int:
+    """python -m tidemark.plans.ingest <config.yaml>"""
+    if len(argv) != 2:
+        print("usage: python -m tidemark.plans.ingest <config.yaml>")
+        return 1
+    spark = build_session()
+    use_utc(spark)
+    config = load_config(argv[1])
+    result = run(spark, config)
+    print(f"{result.name}: done")
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main(sys.argv))
