@@ -14,10 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tidemark.functions import codec
-from tidemark.operators import delivery, eventtime
+from tidemark.operators import avro, contracts, delivery, eventtime, metrics, schemas
+from tidemark.plans import ingest
+from tidemark.session import fresh_dir
 from tidemark.sources import log as logs
 from tidemark.sources import relations as rel
 from tidemark.sources.tables import table
+from tidemark.streaming import contracts as scontracts
+from tidemark.streaming import dedup as sdedup
+from tidemark.streaming import progress as sprogress
+from tidemark.streaming import runner, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,8 +199,6 @@ QUERIES["late_drop_count_1d"] = _late_drops("1 day")
 
 # --- JSON log codec ------------------------------------------------------------
 
-from tidemark.operators import contracts  # noqa: E402
-from tidemark.operators import schemas  # noqa: E402
 
 V1 = schemas.Contract.parse(schemas.RIDE_V1)
 V1_FIELDS = [f.name for f in V1.fields]
@@ -341,10 +345,6 @@ def schema_latest(spark, sf_dir):
 
 # --- streaming -------------------------------------------------------------------
 
-from tidemark.streaming import dedup as sdedup  # noqa: E402
-from tidemark.streaming import progress as sprogress  # noqa: E402
-from tidemark.streaming import runner, windows  # noqa: E402
-
 
 def _events_schema(spark, sf_dir):
     return table(spark, sf_dir, "events").schema
@@ -436,7 +436,6 @@ def stream_dedup_bounded(spark, sf_dir):
 
 # --- monitoring metrics ----------------------------------------------------------
 
-from tidemark.operators import metrics  # noqa: E402
 
 CHAOS_TOPIC = "rides_chaos"
 # Consumer groups and the share of each partition's log they have committed.
@@ -516,9 +515,6 @@ def scrape_grid(spark, sf_dir):
 
 # --- config-driven ingest --------------------------------------------------------
 
-from tidemark.plans import ingest  # noqa: E402
-from tidemark.session import fresh_dir  # noqa: E402
-
 
 @query("configured_ingest")
 def configured_ingest(spark, sf_dir):
@@ -564,8 +560,6 @@ def flagship(spark, sf_dir):
 
 # --- Avro bodies -----------------------------------------------------------------
 
-from tidemark.operators import avro  # noqa: E402
-
 
 @query("avro_decode")
 def avro_decode(spark, sf_dir):
@@ -590,8 +584,6 @@ def avro_decode(spark, sf_dir):
 
 # --- contract split on a stream ----------------------------------------------------
 
-from tidemark.streaming import contracts as scontracts  # noqa: E402
-
 
 @query("stream_contract_split")
 def stream_contract_split(spark, sf_dir):
