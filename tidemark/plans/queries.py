@@ -417,7 +417,7 @@ def _delivery_stream(spark, sf_dir, label):
     replay = windows.replay_batches(d, "week", label)
     stream = runner.file_stream(spark, replay.path, d.schema,
                                 max_files=replay.files_per_trigger)
-    return stream, runner.sized_partitions(d)
+    return stream, runner.sized_partitions(d, replay.batches)
 
 
 @query("stream_dedup")

@@ -59,16 +59,20 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
 
 
-def sized_partitions(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
-    """State partitions for a stream over ``df``'s data: one per
-    ``bytes_per_partition`` of Catalyst's size estimate (no job runs), at
-    least one, at most one per core."""
+def sized_partitions(df: DataFrame, batches: int = 1,
+                     bytes_per_partition: int = 512 << 10) -> int:
+    """State partitions for a stream over ``df`` arriving in ``batches``
+    micro-batches: one per ``bytes_per_partition`` of one micro-batch's share
+    of Catalyst's size estimate (no job runs), at least one, at most one per
+    core.  State work grows with the rows of a micro-batch, while a
+    partition's fixed cost is paid in every micro-batch."""
     spark = df.sparkSession
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001
         return state_partitions(spark)
-    return max(1, min(state_partitions(spark), -(-size // bytes_per_partition)))
+    per_batch = size // max(1, batches)
+    return max(1, min(state_partitions(spark), -(-per_batch // bytes_per_partition)))
 
 
 def run_available_now(stream: DataFrame, label: str, output_mode: str = "append",

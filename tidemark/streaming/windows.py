@@ -43,6 +43,7 @@ class Replay:
     per trigger and every micro-batch is exactly one arrival batch."""
     path: str
     files_per_trigger: int
+    batches: int
 
 
 def replay_batches(df: DataFrame, batch_col: str, label: str) -> Replay:
@@ -85,7 +86,7 @@ def replay_batches(df: DataFrame, batch_col: str, label: str) -> Replay:
     for i, (_, _, files) in enumerate(batches):
         for f in files:
             fs.setTimes(f, t0 + 1000 * i, -1)
-    return Replay(src, k)
+    return Replay(src, k, len(batches))
 
 
 def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, width: str,
@@ -93,8 +94,8 @@ def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, wid
                 partitions: int | None = None) -> StreamRun:
     """Replay ``df`` batch by batch through a watermarked windowed count.
     State partitions follow the size of ``df`` unless given."""
-    partitions = partitions or sized_partitions(df)
     replay = replay_batches(df, batch_col, label)
+    partitions = partitions or sized_partitions(df, replay.batches)
     stream = file_stream(df.sparkSession, replay.path, df.schema,
                          max_files=replay.files_per_trigger)
     stream = stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
