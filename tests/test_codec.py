@@ -61,3 +61,18 @@ def test_minus_seconds_and_truncate(spark):
     r = df.select(codec.minus_seconds(codec.truncate_ms(F.col("t").cast("timestamp")), 5)
                   .cast("timestamp_ntz")).first()[0]
     assert r == dt.datetime(2024, 1, 1, 0, 0, 7, 194000)
+
+
+def test_frame_rejects_ids_out_of_range(spark):
+    df = spark.createDataFrame([(2**32,), (-1,), (2**32 - 1,)], "sid bigint")
+    got = [r.v for r in df.select(codec.frame("sid", F.lit(b"x")).alias("v")).collect()]
+    assert got[0] is None and got[1] is None and bytes(got[2]) == bytes.fromhex("00FFFFFFFF") + b"x"
+
+
+def test_arrival_day_is_floor(spark):
+    from tidemark.sources.relations import arrival_day
+    ts = [dt.datetime(1970, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59),
+          dt.datetime(2024, 1, 1, 23, 59, 59, 999999), dt.datetime(2024, 1, 2)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    got = [r[0] for r in df.select(arrival_day(F.col("t").cast("timestamp"))).collect()]
+    assert got == [0, -1, 19723, 19724]

@@ -24,10 +24,12 @@ def _col(c: Column | str) -> Column:
 
 
 def frame(schema_id: Column | str, body: Column | str) -> Column:
-    """magic byte + 4-byte big-endian id + body (binary)."""
+    """magic byte + 4-byte big-endian id + body (binary); null when the id
+    does not fit in 4 unsigned bytes."""
     sid = _col(schema_id).cast("bigint")
     header = F.unhex(F.concat(F.lit("%02X" % MAGIC_BYTE), F.lpad(F.hex(sid), 8, "0")))
-    return F.concat(header, _col(body).cast("binary"))
+    fits = (sid >= 0) & (sid <= MAX_SCHEMA_ID)
+    return F.when(fits, F.concat(header, _col(body).cast("binary")))
 
 
 def unframe(value: Column | str) -> Column:

@@ -67,12 +67,14 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = r.withColumn("copy", F.explode(copies)) \
         .withColumn("part", (F.col("user_id") % LOG_PARTS).cast("int"))
     return assign_offsets(both, "part", ["ride_id", "copy"],
-                          F.floor(F.col("ride_id") / OFFSET_BLOCK_IDS), "off")
+                          F.expr(f"CAST(ride_id AS BIGINT) div {OFFSET_BLOCK_IDS}"), "off")
 
 
 def arrival_day(ts: Column) -> Column:
-    """Days since the epoch of an instant (UTC)."""
-    return F.floor(F.unix_micros(ts) / F.lit(DAY_MICROS)).cast("bigint")
+    """Days since the epoch of an instant (UTC), by exact floor division."""
+    us = F.unix_micros(ts)
+    day = F.lit(DAY_MICROS)
+    return ((us - F.pmod(us, day)) / day).cast("bigint")
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
