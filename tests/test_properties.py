@@ -63,3 +63,45 @@ def test_float_specials_roundtrip():
     for d in (math.inf, -math.inf, 0.0, -0.0, 5e-324):
         rec = {"s": "", "d": d, "n": 0, "b": False, "o": None}
         assert avro.decode_record(MIXED, avro.encode_record(MIXED, rec)) == rec
+
+
+V2 = schemas.Contract.parse(schemas.RIDE_V2_SAFE)
+json_values = st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6),
+                        st.floats(allow_nan=False, allow_infinity=False, width=32),
+                        st.text(max_size=8), st.lists(st.integers(), max_size=2),
+                        st.dictionaries(st.text(max_size=3), st.integers(), max_size=2))
+field_states = st.fixed_dictionaries(
+    {f.name: st.one_of(st.just("absent"), json_values) for f in V2.fields})
+
+
+def _expected(rec: dict) -> list[str]:
+    """The contract rules, stated plainly."""
+    out = []
+    for f in V2.fields:
+        v = rec.get(f.name)
+        if v is None:
+            if not f.nullable:
+                out.append(f"missing:{f.name}")
+            continue
+        if f.value_type == "string":
+            ok = isinstance(v, str)
+        else:  # double
+            ok = isinstance(v, (int, float)) and not isinstance(v, bool)
+        if not ok:
+            out.append(f"type:{f.name}")
+    return out
+
+
+@given(st.lists(field_states, min_size=1, max_size=30))
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_validation_matches_rules(spark, states):
+    import json
+
+    from tidemark.operators import contracts
+    recs = [{k: v for k, v in s.items() if v != "absent"} for s in states]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(recs)],
+                               "i int, value string")
+    got = {r.i: list(r.violations) for r in
+           contracts.validate(df, "value", V2).select("i", "violations").collect()}
+    for i, r in enumerate(recs):
+        assert got[i] == _expected(r), r
