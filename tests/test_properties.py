@@ -105,3 +105,57 @@ def test_validation_matches_rules(spark, states):
            contracts.validate(df, "value", V2).select("i", "violations").collect()}
     for i, r in enumerate(recs):
         assert got[i] == _expected(r), r
+
+
+keys = st.lists(st.one_of(st.none(), st.sampled_from("aabbbbcdef")), min_size=1, max_size=60)
+
+
+@given(keys, st.lists(st.one_of(st.none(), st.sampled_from("abcxyz")), max_size=10))
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_dedup_family_matches_brute_force(spark, ks, seen_keys):
+    from tidemark.operators import delivery
+    log = spark.createDataFrame([(k, i % 3, i) for i, k in enumerate(ks)],
+                                "k string, part int, off bigint")
+    order = sorted(range(len(ks)), key=lambda i: (i % 3, i))
+    first = {}
+    for i in order:
+        first.setdefault(ks[i], i)
+    got = {r.k: r.off for r in delivery.keep_first(log, "k", ["part", "off"]).collect()}
+    assert got == first
+    flags = {r.off: r.is_duplicate for r in
+             delivery.flag_duplicates(log, "k", ["part", "off"]).collect()}
+    assert flags == {i: first[ks[i]] != i for i in range(len(ks))}
+    seen = spark.createDataFrame([(k,) for k in seen_keys], "k string")
+    fresh = {r.k: r.off for r in
+             delivery.dedup_against_seen(log, seen, "k", ["part", "off"]).collect()}
+    assert fresh == {k: i for k, i in first.items() if k not in set(seen_keys)}
+    a = delivery.duplicate_audit(log, "k").first()
+    assert (a.processed, a.unique_rides, a.duplicates) == \
+        (len(ks), len(set(ks)), len(ks) - len(set(ks)))
+
+
+events = st.lists(st.tuples(st.integers(0, 120), st.integers(0, 6)), min_size=1, max_size=40)
+
+
+@given(events, st.sampled_from([1, 2]))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_late_classification_matches_brute_force(spark, evs, lag):
+    from tidemark.operators import eventtime
+    t0 = dt.datetime(2026, 9, 23)
+    df = spark.createDataFrame(
+        [(i, t0 + dt.timedelta(seconds=s), b) for i, (s, b) in enumerate(evs)],
+        "ride_id int, t timestamp_ntz, batch int") \
+        .select("ride_id", F.col("t").cast("timestamp").alias("event_time"), "batch")
+    batches = sorted({b for _, b in evs})
+    bmax = {b: max(s for s, bb in evs if bb == b) for b in batches}
+    wm = {}
+    for j, b in enumerate(batches):
+        prior = [bmax[x] for x in batches[:max(0, j - lag + 1)]]
+        wm[b] = max(prior) - 5 if prior else None
+    expect = {}
+    for i, (s, b) in enumerate(evs):
+        end = (s // 10 + 1) * 10
+        expect[i] = wm[b] is not None and end <= wm[b]
+    got = {r.ride_id: r.is_late for r in
+           eventtime.late_classify(df, "event_time", "batch", "10 seconds", 5, lag).collect()}
+    assert got == expect
