@@ -159,3 +159,37 @@ def test_late_classification_matches_brute_force(spark, evs, lag):
     got = {r.ride_id: r.is_late for r in
            eventtime.late_classify(df, "event_time", "batch", "10 seconds", 5, lag).collect()}
     assert got == expect
+
+
+@given(st.lists(st.tuples(st.integers(0, 500), st.integers(0, 3)), min_size=1, max_size=60,
+                unique_by=lambda t: t[0]), st.integers(1, 50))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_offsets_match_row_number(spark, rows_, block):
+    from tidemark.operators.offsets import assign_offsets
+    df = spark.createDataFrame(rows_, "id bigint, part int")
+    got = {r.id: r.off for r in
+           assign_offsets(df, "part", ["id"], F.expr(f"id div {block}"), "off").collect()}
+    expect = {}
+    for p in {p for _, p in rows_}:
+        for n, i in enumerate(sorted(i for i, pp in rows_ if pp == p)):
+            expect[i] = n
+    assert got == expect
+
+
+@given(st.lists(st.tuples(st.integers(0, 3600), st.integers(0, 1000)), min_size=1, max_size=30,
+                unique_by=lambda t: t[0]))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_counter_rate_matches_brute_force(spark, samples):
+    from tidemark.operators import metrics
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("t", 0, t0 + dt.timedelta(seconds=s), float(v), "d")
+                                for s, v in samples],
+                               "topic string, part int, ts timestamp, value double, day string")
+    got = metrics.counter_rate(df, ["topic", "part"], "ts", "value", "day").first().rate
+    pts = sorted(samples)
+    inc = sum((v if v < pv else v - pv) for (_, pv), (_, v) in zip(pts, pts[1:]))
+    span = pts[-1][0] - pts[0][0]
+    if span == 0:
+        assert got is None
+    else:
+        assert math.isclose(got, inc / span, rel_tol=1e-12)
