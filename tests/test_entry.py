@@ -12,6 +12,9 @@ from tests.conftest import SF_SMALL
 from tidemark.sources.tables import TABLES
 
 ROWS_ONLY = {"schema_compat", "stream_progress"}
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+              "binary": "BLOB"}
 
 
 def _norm(v):
@@ -56,6 +59,10 @@ def test_query_matches_oracle(spark, duck, name):
     want = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(df.columns, got) == _bag(ocols, want)
+    spark_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = dict(zip(ocols, map(str, duck.sql(E.oracle_sql()[name]).types)))
+    assert spark_types == duck_types
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
