@@ -103,19 +103,23 @@ SQL["tumble_count_1h"] = f"WITH {RIDES} {_tumble_sql('1 hour')}"
 SQL["tumble_count_closed"] = _closed_sql("10 seconds")
 SQL["tumble_count_closed_1h"] = _closed_sql("1 hour")
 
-_TRACE = FEED + """,
+def _trace(lag: int = 2) -> str:
+    return FEED + f""",
 trace AS (
   SELECT batch, batch_max,
          date_trunc('milliseconds', max(batch_max) OVER
-           (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+           (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND {lag} PRECEDING))
            - INTERVAL 5 SECOND AS watermark
   FROM (SELECT batch, max(event_time) AS batch_max FROM feed GROUP BY batch))"""
 
+
+_TRACE = _trace()
+
 SQL["watermark_trace"] = f"WITH {_TRACE} SELECT batch, batch_max, watermark FROM trace"
 
 
-def _classified(width: str) -> str:
-    return _TRACE + f""",
+def _classified(width: str, lag: int = 2) -> str:
+    return _trace(lag) + f""",
 classified AS (
   SELECT f.ride_id, f.batch, f.pickup_city,
          time_bucket(INTERVAL '{width}', f.event_time) AS window_start,
@@ -128,10 +132,11 @@ classified AS (
 SQL["late_classify"] = (f"WITH {_classified('10 seconds')} "
                         "SELECT ride_id, batch, window_start, window_end, is_late FROM classified")
 
-for _key, _w in (("late_drop_count", "10 seconds"), ("late_drop_count_1h", "1 hour"),
-                 ("late_drop_count_1d", "1 day")):
-    SQL[_key] = (f"WITH {_classified(_w)} SELECT count(*) FILTER (WHERE NOT is_late) AS kept_rows, "
-                 "count(*) FILTER (WHERE is_late) AS dropped_rows FROM classified")
+for _key, _w, _lag in (("late_drop_count", "10 seconds", 2), ("late_drop_count_1h", "1 hour", 2),
+                       ("late_drop_count_1d", "1 day", 2),
+                       ("late_drop_count_ideal", "10 seconds", 1)):
+    SQL[_key] = (f"WITH {_classified(_w, _lag)} SELECT count(*) FILTER (WHERE NOT is_late) "
+                 "AS kept_rows, count(*) FILTER (WHERE is_late) AS dropped_rows FROM classified")
 
 _RECS = RIDES + f""",
 recs AS (

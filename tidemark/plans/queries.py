@@ -185,16 +185,19 @@ def late_classify(spark, sf_dir):
     return zoneless(c.select("ride_id", "batch", "window_start", "window_end", "is_late"))
 
 
-def _late_drops(width: str) -> Query:
+def _late_drops(width: str, lag: int = 2) -> Query:
     def run(spark, sf_dir):
         f = rel.feed(spark, sf_dir)
-        return eventtime.late_drop_count(f, "event_time", "batch", width, WATERMARK_DELAY_S)
+        return eventtime.late_drop_count(f, "event_time", "batch", width, WATERMARK_DELAY_S,
+                                         lag=lag)
     return run
 
 
 QUERIES["late_drop_count"] = _late_drops("10 seconds")
 QUERIES["late_drop_count_1h"] = _late_drops("1 hour")
 QUERIES["late_drop_count_1d"] = _late_drops("1 day")
+# the ideal rule: a batch is filtered with everything that arrived before it
+QUERIES["late_drop_count_ideal"] = _late_drops("10 seconds", lag=1)
 
 
 # --- JSON log codec ------------------------------------------------------------
