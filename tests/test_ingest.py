@@ -77,3 +77,20 @@ def test_runnable_config(spark):
     from tidemark.session import checkpoint_root
     out = spark.read.parquet(f"{checkpoint_root(spark).rstrip('/')}/cfg-out-{suffix}")
     assert out.count() == 1000
+
+
+def test_dedup_transform_batch_and_stream(spark):
+    from pyspark.sql import functions as F
+    src = fresh_dir(spark, "dup-src")
+    spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, n int") \
+        .coalesce(1).write.parquet(src)
+    batch_cfg = {"source": {"type": "parquet", "options": {"path": src}},
+                 "transforms": [{"type": "dedup", "keys": ["k"], "order": ["n"]}]}
+    got = {r.k: r.n for r in ingest.build(spark, batch_cfg).collect()}
+    assert got == {"a": 1, "b": 3}
+    out = fresh_dir(spark, "dup-out")
+    stream_cfg = {**batch_cfg, "mode": "stream", "trigger": "available_now",
+                  "sink": {"type": "parquet",
+                           "options": {"path": out, "checkpointLocation": fresh_dir(spark, "ck")}}}
+    ingest.run(spark, stream_cfg)
+    assert sorted(r.k for r in spark.read.parquet(out).select(F.col("k")).collect()) == ["a", "b"]
