@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.oracle import SQL
 from tests.conftest import SF_SMALL
 from tidemark.sources.tables import TABLES
 
@@ -46,11 +47,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    from tidemark.plans.queries import QUERIES
+    assert set(QUERIES) - set(E.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
