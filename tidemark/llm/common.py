@@ -41,3 +41,10 @@ def text_of(name: str = "text") -> Column:
 def rest_of(doc_id: Column, mod: int) -> Column:
     """crc32(doc_id as text) mod ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
+
+
+def sampled(df: DataFrame, bound: int, *cols: str) -> DataFrame:
+    """About ``bound`` rows of ``df``, chosen by a hash of ``cols``, the same on every run; never
+    more than twice that.  For fitting models: what they are applied to is never sampled."""
+    share = min(1.0, bound / max(1, df.count()))
+    return df.filter(F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * bound)

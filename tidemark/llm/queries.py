@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import read
+from tidemark.llm.common import read, rest_of
 
 
 def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,4 +15,50 @@ def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "weight")
 
 
-QUERIES = {"op5_fair_mix": op5_fair_mix}
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in ``documents`` by fixed patterns and a skip-chain random field."""
+    from tidemark.llm.pii import find_pii
+    return find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of ``documents`` by a weighted pattern grammar fitted on ``labels``."""
+    from tidemark.llm.toxicity import THRESHOLD, score_toxicity, train
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (rest_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_hits")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in ``documents`` by an exact set-similarity join with templates."""
+    from tidemark.llm.license_join import license_scan
+    return license_scan(read(spark, sf_dir, "documents")).drop("matches")
+
+
+def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of at most 2048 tokens."""
+    from tidemark.llm.packing import pack
+    return pack(read(spark, sf_dir, "documents"), word_tokenizer())
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies in ``documents``: Jaccard >= 0.9 of 3-word shingles, and their components."""
+    from tidemark.llm.ngram_join import jaccard_join
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
+def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of ``pages`` by composite text density."""
+    from tidemark.llm.html_text import extract_text
+    return extract_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def word_tokenizer() -> str:
+    """Path of the public tokenizer file that packing uses."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+QUERIES = {f.__name__: f for f in (op1_skip_chain_pii, op2_toxicity, op4_license_scan, op5_fair_mix, op6_best_fit_pack,
+                                  op7_ngram_jaccard, op9_text_density)}
