@@ -30,6 +30,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_hits")
 
 
+def op3_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies in ``embeddings``: cosine >= 0.98 under equal labels, and their components."""
+    from tidemark.llm.subspace_join import near_vectors
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in ``documents`` by an exact set-similarity join with templates."""
     from tidemark.llm.license_join import license_scan
@@ -45,7 +51,13 @@ def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies in ``documents``: Jaccard >= 0.9 of 3-word shingles, and their components."""
     from tidemark.llm.ngram_join import jaccard_join
-    return jaccard_join(read(spark, sf_dir, "documents"))
+    return jaccard_join(read(spark, sf_dir, "documents")).drop("group")
+
+
+def op8_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 5 by integer inner product for every 50th vector of ``embeddings``."""
+    from tidemark.llm.kd_search import top_k
+    return top_k(read(spark, sf_dir, "embeddings"))
 
 
 def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,5 +72,17 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_skip_chain_pii, op2_toxicity, op4_license_scan, op5_fair_mix, op6_best_fit_pack,
-                                  op7_ngram_jaccard, op9_text_density)}
+def op10_context_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of ``documents`` by a word-count base and online logistic context mixing."""
+    from tidemark.llm.context_mix import score_texts
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` on ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_skip_chain_pii, op2_toxicity, op3_subspace_join, op4_license_scan, op5_fair_mix, op6_best_fit_pack,
+                                  op7_ngram_jaccard, op8_kd_top_k, op9_text_density, op10_context_mix, pipeline)}
