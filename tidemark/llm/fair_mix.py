@@ -62,9 +62,9 @@ def time_range(v: Column) -> Column:
 
 
 def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
-             seed: str = "mix") -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text; other columns are ignored): doc_id,
-    source, size, source_size, weight, target, copies, taken.
+             seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text; of other columns those in ``carry`` stay):
+    doc_id, source, size, source_size, weight, target, copies, taken.
 
     Null text: size 0.  Null source: a source of its own, last.  Null doc_id: shuffled as the
     empty text.  Repeated rows are documents of their own; ties end in doc_id.  Documents of
@@ -72,7 +72,7 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
     spark = docs.sparkSession
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = written(docs.select(
-        "doc_id", "source", F.regexp_count(text_of(), F.lit(WORDS)).cast("bigint").alias("size"),
+        "doc_id", "source", *carry, F.regexp_count(text_of(), F.lit(WORDS)).cast("bigint").alias("size"),
         key.alias("key")).withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")),
         "mix-sized")
     shelves = sized.groupBy("source", "bucket").agg(F.sum("size").alias("shelf"))
@@ -88,7 +88,7 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
     placed = (sized.withColumn("inside", F.sum("size").over(inside))
               .join(shelves, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
               .withColumn("upto", F.col("started") + F.col("inside"))
-              .select("doc_id", "source", "size", "source_size", "weight", "target", "key", "upto"))
+              .select("doc_id", "source", *carry, "size", "source_size", "weight", "target", "key", "upto"))
     placed = written(placed, "mix-placed")
 
     copies = (placed.filter("size > 0").withColumn("copy", F.explode(F.array(*map(F.lit, range(cap)))))
@@ -124,5 +124,5 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
             (where == met["range"]) & inside, 1).otherwise(0)
 
     n = sum((taken(c) for c in range(cap)), F.lit(0))
-    return placed.select("doc_id", "source", "size", "source_size", "weight", "target",
+    return placed.select("doc_id", "source", *carry, "size", "source_size", "weight", "target",
                          n.cast("bigint").alias("copies"), (n * F.col("size")).cast("bigint").alias("taken"))

@@ -83,7 +83,9 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, print (of the set), rare (its first columns)."""
+    """``docs`` without text, with n_shingles, print (of the set), rare (its first columns)."""
+    keep = [c for c in docs.columns if c != "text"]
+
     def run(batches):
         import xxhash
         shingles = shingler(words)
@@ -97,13 +99,13 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
                 rare.append(s[np.argsort(order[s >> np.uint64(64 - BITS)], kind="stable")[:first]].view(np.int64))
             ends = np.cumsum([0, *map(len, rare)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
+                [*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rare])))],
-                ["doc_id", "n_shingles", "print", "rare"])
+                [*keep, "n_shingles", "print", "rare"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, print binary, rare array<long>")
+    return docs.mapInArrow(run, T.StructType(
+        [docs.schema[c] for c in keep] + [T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
+                                          T.StructField("rare", T.ArrayType(T.LongType()))]))
 
 
 def whole_rows(docs: DataFrame, words: int) -> DataFrame:
@@ -139,15 +141,17 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
         run, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())]))
 
 
-def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_shingles,
-    component_id, the smallest doc_id reachable by links.
+def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; of other columns those in ``carry`` stay): doc_id,
+    n_shingles, component_id, the smallest doc_id reachable by links, and group, which rows of one
+    component share (null without n-grams).
 
     Null and empty texts, and those of white space: no n-grams, no links, a component of their own.
     Texts of fewer words: their whole sequence is the one n-gram.  Repeated texts link; rows with
     one doc_id and other texts are documents of their own.  A null doc_id is never the smallest.
     Empty table: empty result."""
-    docs = docs.select("doc_id", text_of().alias("text"))
+    docs = docs.select("doc_id", *carry, text_of().alias("text"))
     signs = written(signatures(docs, frequencies(docs, words), words, percent), "grams-signs")
     least = signs.filter("n_shingles > 0").groupBy("print").agg(F.min("doc_id").alias("least"))
     least = written(least, "grams-least")
@@ -191,7 +195,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     least = (least.join(parts.withColumnRenamed("v", "print"), "print", "left")
              .withColumn("root", F.coalesce("root", "print")))
     lowest = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(lowest, "root").select(F.col("print").alias("p"), "component_id")
-    out = signs.select("doc_id", "n_shingles", "print").join(named, F.col("print") == F.col("p"), "left")
-    return out.select("doc_id", "n_shingles",
-                      F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = least.join(lowest, "root").select(F.col("print").alias("p"), "component_id", F.col("root").alias("group"))
+    out = signs.select("doc_id", *carry, "n_shingles", "print").join(named, F.col("print") == F.col("p"), "left")
+    return out.select("doc_id", *carry, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
+                      .otherwise(F.col("doc_id")).alias("component_id"), "group")
