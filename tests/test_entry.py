@@ -12,7 +12,7 @@ from tidemark.plans.oracle import SQL
 from tests.conftest import SF_SMALL
 from tidemark.sources.tables import TABLES
 
-ROWS_ONLY = {"schema_compat", "stream_progress"}
+ROWS_ONLY: set[str] = set()
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
               "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
               "binary": "BLOB"}

@@ -60,7 +60,7 @@ def test_shipped_configs_build(spark):
     assert paths
     for p in paths:
         cfg = ingest.load_config(p)
-        cfg["source"]["options"]["path"] = SF_SMALL
+        cfg["source"]["options"]["path"] = f"{SF_SMALL}/events.parquet"
         df = ingest.build(spark, cfg)
         assert df.isStreaming == (cfg.get("mode") == "stream")
         assert cfg["sink"]["type"] in ingest.connectors.SINKS
@@ -70,7 +70,7 @@ def test_runnable_config(spark):
     import os
     cfg = ingest.load_config(os.path.join(os.path.dirname(os.path.dirname(__file__)),
                                           "configs", "rides_to_parquet.yaml"))
-    cfg["source"]["options"]["path"] = SF_SMALL
+    cfg["source"]["options"]["path"] = f"{SF_SMALL}/events.parquet"
     suffix = fresh_dir(spark, "x").rsplit("/", 1)[1]
     cfg["sink"]["options"] = {"path": f"cfg-out-{suffix}", "checkpointLocation": f"cfg-ck-{suffix}"}
     ingest.run(spark, cfg)

@@ -7,11 +7,12 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tidemark.operators import delivery
+from tidemark.plans.queries import QUERIES
 from tidemark.sources import relations as rel
 
-STREAMS = {n for n in E.queries() if n.startswith("stream_")} | {
+STREAMS = {n for n in QUERIES if n.startswith("stream_")} | {
     "watermark_policy", "configured_ingest", "schema_compat", "avro_decode"}
-BATCH = sorted(set(E.queries()) - STREAMS)
+BATCH = sorted(set(QUERIES) - STREAMS)
 
 
 def _plan(df) -> str:
@@ -44,6 +45,18 @@ def test_keep_first_aggregates_before_the_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(ride_id#\d+L?, \d+\)[\s\S]*partial_min", plan)
 
 
+@pytest.mark.parametrize("name", ["duplicate_flag", "dedup_incremental", "run_summary", "crash_replay"])
+def test_orders_of_numbers_aggregate_by_hash(spark, name):
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_dedup_across_runs_passes_over_the_log_once_for_rows(spark):
+    """One scan for the rows and one for the end offsets, each with its block counts."""
+    plan = _plan(E.queries()["dedup_incremental"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") <= 4
+
+
 def test_hot_key_results(spark):
     """One key holding a third of the rows: results stay whole and exact."""
     from pyspark.sql import functions as F

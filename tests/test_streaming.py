@@ -75,12 +75,13 @@ def test_two_sources_one_quiet(spark):
                               "ride_id int, pickup_city string, event_time timestamp")
     pa, pb = runner.stage(a, "srcA"), runner.stage(b, "srcB")
     out = {}
+    before = spark.conf.get(windows.POLICY_CONF)
     for policy in ("min", "max"):
-        sa = runner.file_stream(spark, pa, a.schema)
-        sb = runner.file_stream(spark, pb, b.schema)
-        run = windows.union_count([sa, sb], "event_time", ["pickup_city"], "10 seconds", 5,
-                                  policy, label="two")
+        run = windows.union_count(
+            lambda s: [runner.file_stream(s, pa, a.schema), runner.file_stream(s, pb, b.schema)],
+            spark, "event_time", ["pickup_city"], "10 seconds", 5, policy, label="two")
         out[policy] = [(r.pickup_city, r.ride_count) for r in run.output.collect()]
+    assert spark.conf.get(windows.POLICY_CONF) == before
     assert out == {"min": [], "max": [("c", 2)]}
 
 

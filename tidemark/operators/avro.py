@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import DataFrame
 
 from tidemark.operators.schemas import Contract
-from tidemark.session import spread
 
 
 def _zigzag(n: int) -> int:
@@ -84,7 +83,7 @@ class _Reader:
         return (n >> 1) ^ -(n & 1)
 
     def take(self, n: int) -> bytes:
-        if self.pos + n > len(self.buf):
+        if n < 0 or self.pos + n > len(self.buf):
             raise ValueError("truncated")
         b = self.buf[self.pos:self.pos + n]
         self.pos += n
@@ -102,7 +101,11 @@ class _Reader:
         if avro_type == "float":
             return struct.unpack("<f", self.take(4))[0]
         if avro_type in ("long", "int"):
-            return self.varint()
+            n = self.varint()
+            bits = 63 if avro_type == "long" else 31
+            if not -1 << bits <= n < 1 << bits:
+                raise ValueError(f"{avro_type} out of range")
+            return n
         if avro_type == "boolean":
             return self.take(1) != b"\x00"
         raise ValueError(avro_type)
@@ -112,7 +115,10 @@ def decode_record(writer: Contract, body: bytes) -> dict:
     r = _Reader(body)
     rec = {}
     for f in writer.fields:
-        t = f.types[r.varint()] if len(f.types) > 1 else f.value_type
+        branch = r.varint() if len(f.types) > 1 else 0
+        if not 0 <= branch < len(f.types):
+            raise ValueError("no such branch")
+        t = f.types[branch] if len(f.types) > 1 else f.value_type
         rec[f.name] = r.read(t)
     if r.pos != len(body):
         raise ValueError("trailing bytes")
@@ -152,7 +158,7 @@ def encode_bodies(df: DataFrame, contract: Contract, out_col: str = "body",
                                                    pa.array(problems, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, out_col, "problem"])
 
-    return spread(df.select(*keep, *[c for c in names if c not in keep])).mapInArrow(run, out_schema)
+    return df.select(*keep, *[c for c in names if c not in keep]).mapInArrow(run, out_schema)
 
 
 def decode_bodies(df: DataFrame, writers: dict[int, str], reader: Contract,
@@ -196,7 +202,7 @@ def decode_bodies(df: DataFrame, writers: dict[int, str], reader: Contract,
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names, "problem"])
 
     cols = list(dict.fromkeys([*keep, id_col, body_col]))
-    return spread(df.select(*cols)).mapInArrow(run, out_schema)
+    return df.select(*cols).mapInArrow(run, out_schema)
 
 
 def framed_records(validated: DataFrame, contract: Contract, schema_id: int,

@@ -6,9 +6,10 @@ Validation reads the JSON token type of each field (via a variant), so a
 number sent for a string field, or text sent for a double, is a violation
 even when a lenient cast would succeed.  Rules:
 
-* field absent or JSON null, and the field is not nullable -> ``missing:<f>``
+* field absent or JSON null, not nullable and without a default -> ``missing:<f>``
 * ``string``: a JSON string only; ``double``/``float``: any JSON number;
-  ``long``/``int``: an integer; ``boolean``: true/false -> else ``type:<f>``
+  ``long``/``int``: an integer within range; ``boolean``: true/false -> else
+  ``type:<f>``
 * nullable union: null or absent passes
 * extra fields are ignored
 * text that is not a JSON object -> the single violation ``malformed``
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.schemas import _PRIMITIVE, Contract
-from tidemark.session import spread
 
 _INTEGER_KINDS = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 _NUMBER_KINDS = _INTEGER_KINDS + ["DOUBLE", "FLOAT"]
@@ -54,9 +54,16 @@ def parsed(value: Column | str) -> Column:
 
 
 def _kinds(record: Column, contract: Contract) -> Column:
-    """struct of the JSON token kind of every contract field (null = absent)."""
-    return F.struct(*[F.schema_of_variant(F.try_variant_get(record, _path(f.name), "variant"))
-                      .alias(f.name) for f in contract.fields])
+    """struct of the JSON token kind of every contract field (null = absent).
+    A number that its type can't hold has the kind of no type."""
+    def kind(f):
+        k = F.schema_of_variant(F.try_variant_get(record, _path(f.name), "variant"))
+        if f.value_type in ("long", "int"):
+            typed = F.try_variant_get(record, _path(f.name), _PRIMITIVE[f.value_type].simpleString())
+            k = F.when(k.isNotNull() & (k != "VOID") & typed.isNull(), F.lit("OUT_OF_RANGE")).otherwise(k)
+        return k.alias(f.name)
+
+    return F.struct(*[kind(f) for f in contract.fields])
 
 
 def _violations_from_kinds(is_object: Column, kinds: Column, contract: Contract) -> Column:
@@ -65,7 +72,8 @@ def _violations_from_kinds(is_object: Column, kinds: Column, contract: Contract)
         kind = kinds[f.name]
         absent = kind.isNull() | (kind == "VOID")
         checks.append(
-            F.when(absent, F.lit(None if f.nullable else f"missing:{f.name}"))
+            F.when(absent, F.lit(None if f.nullable or f.default_value is not None
+                                 else f"missing:{f.name}"))
             .when(~_kind_ok(kind, f.value_type), F.lit(f"type:{f.name}")))
     found = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return F.when(~is_object, F.array(F.lit("malformed"))).otherwise(found)
@@ -96,7 +104,7 @@ def validate(df: DataFrame, value_col: str, contract: Contract) -> DataFrame:
     The JSON text is parsed once and each field's token kind read once;
     violations are string tests over those kinds.
     """
-    staged = _once(spread(df), _record=parsed(value_col))
+    staged = _once(df, _record=parsed(value_col))
     staged = _once(staged, _obj=_is_object(F.col("_record")),
                    _kinds=_kinds(F.col("_record"), contract))
     v = _violations_from_kinds(F.col("_obj"), F.col("_kinds"), contract)
@@ -104,9 +112,16 @@ def validate(df: DataFrame, value_col: str, contract: Contract) -> DataFrame:
 
 
 def typed_fields(record: Column, contract: Contract) -> list[Column]:
-    """Contract fields read out of a validated record with their types."""
-    return [F.try_variant_get(record, _path(f.name), _PRIMITIVE[f.value_type].simpleString())
-            .alias(f.name) for f in contract.fields]
+    """Contract fields read out of a validated record with their types; an
+    absent required field takes its default."""
+    def read(f):
+        kind = _PRIMITIVE[f.value_type].simpleString()
+        c = F.try_variant_get(record, _path(f.name), kind)
+        if not f.nullable and f.default_value is not None:
+            c = F.coalesce(c, F.lit(f.default_value).cast(kind))
+        return c.alias(f.name)
+
+    return [read(f) for f in contract.fields]
 
 
 def accepted(validated: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
@@ -222,6 +237,6 @@ def compat_with_observed(records: DataFrame, value_col: str,
 def route_by_schema_id(framed: DataFrame, registry: DataFrame) -> DataFrame:
     """Attach (subject, version) of each record's schema id; unknown ids keep
     their rows with nulls.  The registry is a catalogue of registered
-    versions (a few rows per subject), so it is broadcast."""
+    versions; AQE broadcasts it where it measures it small."""
     reg = registry.select("schema_id", "subject", "version")
-    return framed.join(F.broadcast(reg), "schema_id", "left")
+    return framed.join(reg, "schema_id", "left")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 _FIRST = "_tm_first"
 
@@ -42,6 +43,37 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -
         .select(*df.columns)
 
 
+def _packed(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """Two integer columns as one number in the same order, nulls first; null
+    where the columns are of other types.  A number is a hash aggregate's
+    buffer, a struct makes it sort."""
+    kinds = [df.schema[c].dataType for c in order]
+    if len(order) != 2 or not all(isinstance(k, (IntegerType, LongType)) for k in kinds):
+        return None
+    high, low = (F.coalesce(F.col(c).cast("decimal(20,0)"), F.lit(_NONE).cast("decimal(20,0)"))
+                 for c in order)
+    return (high * F.lit(_SPAN).cast("decimal(18,0)") + low).cast("decimal(38,0)")
+
+
+_SPAN, _NONE = 10 ** 17, -(10 ** 16)   # offsets below 10^16 keep their order
+
+
+def _first_of(df: DataFrame, order: Sequence[str]) -> Column:
+    packed = _packed(df, order)
+    return packed if packed is not None else F.struct(*order)
+
+
+def _unpacked(first: Column, df: DataFrame, order: Sequence[str]) -> list[Column]:
+    if _packed(df, order) is None:
+        return [first[c].alias(c) for c in order]
+    span = F.lit(_SPAN).cast("decimal(18,0)")
+    # the low part lies in [_NONE, _SPAN + _NONE)
+    high = F.floor((first - F.lit(_NONE).cast("decimal(20,0)")) / span)
+    low = first - high * span
+    return [F.when(v != _NONE, v.cast(df.schema[c].dataType)).alias(c)
+            for v, c in zip((high.cast("decimal(20,0)"), low.cast("decimal(20,0)")), order)]
+
+
 def flag_duplicates(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                     out_col: str = "is_duplicate") -> DataFrame:
     """Every row, flagged true unless it is the first of its key.
@@ -51,39 +83,57 @@ def flag_duplicates(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     being ranked in one task.
     """
     ks = _keys(keys)
-    firsts = df.groupBy(*ks).agg(F.min(F.struct(*order)).alias(_FIRST))
+    firsts = df.groupBy(*ks).agg(F.min(_first_of(df, order)).alias(_FIRST))
     firsts = firsts.select(*[F.col(k).alias(f"_tm_k_{k}") for k in ks], _FIRST)
     cond = [df[k].eqNullSafe(firsts[f"_tm_k_{k}"]) for k in ks]
     joined = df.join(firsts, cond, "inner")
-    return joined.select(*df.columns,
-                         (F.struct(*order) != F.col(_FIRST)).alias(out_col))
+    return joined.select(*df.columns, (_first_of(df, order) != F.col(_FIRST)).alias(out_col))
 
 
-def _cogroup_seen(incoming: DataFrame, seen_keys: DataFrame, key: str,
-                  order: Sequence[str]) -> DataFrame:
-    """Per key: known (in the seen set), n_in (incoming rows), first row."""
-    rest = [c for c in incoming.columns if c != key and c not in order]
-    row_type = incoming.select(F.struct(*order, *rest).alias("r")).schema["r"].dataType
-    seen = seen_keys.select(F.col(key), F.lit(True).alias("_tm_known"),
-                            F.lit(None).cast(row_type).alias("_tm_row"))
-    inc = incoming.select(F.col(key), F.lit(False).alias("_tm_known"),
-                          F.struct(*order, *rest).alias("_tm_row"))
-    return seen.unionByName(inc).groupBy(key).agg(
-        F.max("_tm_known").alias("known"),
-        F.count("_tm_row").alias("n_in"),
-        F.min("_tm_row").alias(_FIRST),
-    )
+def _cogroup(rows: DataFrame, known: Column, key: str, order: Sequence[str]) -> DataFrame:
+    """Per key of ``rows`` (key and order columns), of which those that are
+    ``known`` are the seen set and the others the input: known, n_in, first."""
+    return rows.groupBy(key).agg(
+        F.max(known).alias("known"), F.count_if(~known).alias("n_in"),
+        F.min(F.when(~known, _first_of(rows, order))).alias(_FIRST))
+
+
+def dedup_flagged(rows: DataFrame, known: Column, key: str, order: Sequence[str]) -> DataFrame:
+    """``dedup_against_seen`` for one table that holds both sides, told apart
+    by ``known``: one pass, one shuffle, one number per key in its buffer."""
+    new = _cogroup(rows, known, key, order).where(~F.col("known") & (F.col("n_in") > 0))
+    return new.select(key, *_unpacked(F.col(_FIRST), rows, order))
+
+
+def summary_flagged(rows: DataFrame, known: Column, key: str, order: Sequence[str]) -> DataFrame:
+    """``run_summary`` for one table that holds both sides."""
+    return _summary(_cogroup(rows, known, key, order))
+
+
+def _both(incoming: DataFrame, seen_keys: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    seen = seen_keys.select(F.col(key), *[F.lit(None).cast(incoming.schema[c].dataType).alias(c)
+                                          for c in order], F.lit(True).alias("_tm_known"))
+    return seen.unionByName(incoming.select(key, *order, F.lit(False).alias("_tm_known")))
 
 
 def dedup_against_seen(incoming: DataFrame, seen_keys: DataFrame, key: str,
                        order: Sequence[str]) -> DataFrame:
     """Rows to process in this run: the first incoming row of every key that
     is not in ``seen_keys`` (a null key is one key).  The seen set and the
-    input are co-grouped in one shuffle (no separate anti join + dedup)."""
-    g = _cogroup_seen(incoming, seen_keys, key, order)
-    fields = [c for c in incoming.columns if c != key]
-    new = g.where(~F.col("known") & (F.col("n_in") > 0))
-    return new.select(F.col(key), *[F.col(f"{_FIRST}.{c}").alias(c) for c in fields]) \
+    input are co-grouped in one shuffle (no separate anti join + dedup);
+    columns beside key and order make the rows themselves the buffer."""
+    rest = [c for c in incoming.columns if c != key and c not in order]
+    if not rest:
+        rows = _both(incoming, seen_keys, key, order)
+        return dedup_flagged(rows, F.col("_tm_known"), key, order).select(*incoming.columns)
+    row_type = incoming.select(F.struct(*order, *rest).alias("r")).schema["r"].dataType
+    seen = seen_keys.select(F.col(key), F.lit(True).alias("_tm_known"),
+                            F.lit(None).cast(row_type).alias("_tm_row"))
+    inc = incoming.select(F.col(key), F.lit(False).alias("_tm_known"),
+                          F.struct(*order, *rest).alias("_tm_row"))
+    new = seen.unionByName(inc).groupBy(key).agg(
+        F.max("_tm_known").alias("known"), F.min("_tm_row").alias(_FIRST)).where(~F.col("known"))
+    return new.select(F.col(key), *[F.col(f"{_FIRST}.{c}").alias(c) for c in [*order, *rest]]) \
         .select(*incoming.columns)
 
 
@@ -91,7 +141,10 @@ def run_summary(incoming: DataFrame, seen_keys: DataFrame, key: str,
                 order: Sequence[str]) -> DataFrame:
     """One row: known_before (distinct seen keys), processed (new keys taken),
     skipped (incoming rows not taken: known keys and in-run repeats)."""
-    g = _cogroup_seen(incoming, seen_keys, key, order)
+    return _summary(_cogroup(_both(incoming, seen_keys, key, order), F.col("_tm_known"), key, order))
+
+
+def _summary(g: DataFrame) -> DataFrame:
     processed = F.count_if(~F.col("known") & (F.col("n_in") > 0))
     out = g.agg(F.count_if(F.col("known")).alias("known_before"),
                 processed.alias("processed"),
@@ -100,17 +153,18 @@ def run_summary(incoming: DataFrame, seen_keys: DataFrame, key: str,
                       (F.col("_n") - F.col("processed")).alias("skipped"))
 
 
-def crash_replay(log: DataFrame, off_col: str, processed_upto: int,
-                 committed: int) -> DataFrame:
+def crash_replay(log: DataFrame, off_col: str, processed_upto: int | Column,
+                 committed: int | Column) -> DataFrame:
     """What a restarted consumer sees after processing offsets below
     ``processed_upto`` but committing only ``committed``: the first run's
     rows plus everything from the committed offset again."""
     o = F.col(off_col)
-    return log.where(o < processed_upto).unionByName(log.where(o >= committed))
+    times = F.array_repeat(F.lit(1), (o < processed_upto).cast("int") + (o >= committed).cast("int"))
+    return log.withColumn("_tm_time", F.explode(times)).drop("_tm_time")
 
 
-def replay_audit(log: DataFrame, key: str, off_col: str, processed_upto: int,
-                 committed: int) -> DataFrame:
+def replay_audit(log: DataFrame, key: str, off_col: str, processed_upto: int | Column,
+                 committed: int | Column) -> DataFrame:
     """Naive vs idempotent consumer over a crash replay, side by side."""
     a = duplicate_audit(crash_replay(log, off_col, processed_upto, committed), key)
     return a.select(F.col("processed").alias("naive_processed"),
@@ -122,10 +176,9 @@ def resume_from_offsets(log: DataFrame, committed: DataFrame, part_col: str,
                         off_col: str, committed_col: str = "committed") -> DataFrame:
     """Rows at or after the committed offset of their partition; a partition
     with no commit is read from the start.  ``committed`` holds one row per
-    log partition (bounded by the topic's partition count), so it is
-    broadcast."""
+    log partition; AQE broadcasts it where it measures it small."""
     c = committed.select(F.col(part_col).alias("_tm_p"), F.col(committed_col).alias("_tm_c"))
-    j = log.join(F.broadcast(c), log[part_col] == c["_tm_p"], "left")
+    j = log.join(c, log[part_col].eqNullSafe(c["_tm_p"]), "left")
     return j.where(F.col(off_col) >= F.coalesce(F.col("_tm_c"), F.lit(0))) \
         .select(*log.columns)
 
@@ -146,14 +199,8 @@ def incremental_run(incoming: DataFrame, seen_path: str, key: str, order: Sequen
     spark = incoming.sparkSession
     seen = load_seen(spark, seen_path, key, key_type, before_run=run_id)
     fresh = dedup_against_seen(incoming, seen, key, order)
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "dynamic")
-    try:
-        fresh.withColumn(RUN_COL, F.lit(run_id)).write.mode("overwrite") \
-            .partitionBy(RUN_COL).parquet(out_path)
-    finally:
-        spark.conf.set(conf, before)
+    fresh.withColumn(RUN_COL, F.lit(run_id)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(out_path)
     written = spark.read.parquet(out_path).where(F.col(RUN_COL) == run_id).drop(RUN_COL)
     save_seen(written.select(key), seen_path, run_id)
     return written

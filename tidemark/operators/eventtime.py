@@ -30,7 +30,8 @@ def tumble_count(df: DataFrame, ts: str, keys: Sequence[str], width: str,
                  count_col: str = "ride_count") -> DataFrame:
     """COUNT(*) per (tumbling window, keys); every window (batch form).
 
-    Partial + final hash aggregation; the window bucket is a projection.
+    Partial + final hash aggregation; the window bucket is a projection.  Rows
+    without an event time are in no window (``late_drop_count`` counts them).
     """
     w = F.window(ts, width)
     g = df.where(F.col(ts).isNotNull()).groupBy(w.alias("w"), *keys) \
@@ -69,7 +70,8 @@ def watermark_trace(df: DataFrame, ts: str, batch_col: str, delay_seconds: float
     filter uses (max over batches up to ``lag`` before it, minus delay).
 
     The per-batch table has one row per arrival batch, so the running max is
-    a window over that small table, not over the events.
+    a window over that table, not over the events.  It is ordered in one task:
+    fine for a million batches, too much for batches of a second over years.
     """
     per_batch = df.groupBy(batch_col).agg(F.max(ts).alias("batch_max"))
     upto = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -lag)
@@ -83,11 +85,15 @@ def late_classify(df: DataFrame, ts: str, batch_col: str, width: str,
                   delay_seconds: float, lag: int = 2) -> DataFrame:
     """Every row with its window and ``is_late``.  The trace (one row per
     batch) is joined back on the batch; AQE broadcasts it when its measured
-    size is small and falls back to a shuffle join when not."""
+    size is small and falls back to a shuffle join when not.  A row without an
+    event time stays, without a window and not late."""
     trace = watermark_trace(df, ts, batch_col, delay_seconds, lag) \
         .select(F.col(batch_col).alias("_tm_b"), "watermark")
-    w = F.window(ts, width)
-    rows = df.withColumn("window_start", w.start).withColumn("window_end", w.end)
+    there = F.col(ts).isNotNull()
+    w = F.window(F.coalesce(F.col(ts), F.lit(0).cast("timestamp")), width)
+    rows = df.withColumn("_tm_w", w).select(
+        "*", F.when(there, F.col("_tm_w.start")).alias("window_start"),
+        F.when(there, F.col("_tm_w.end")).alias("window_end")).drop("_tm_w")
     j = rows.join(trace, rows[batch_col] == trace["_tm_b"], "left").drop("_tm_b")
     late = F.coalesce(F.col("window_end") <= F.col("watermark"), F.lit(False))
     return j.withColumn("is_late", late)
@@ -95,17 +101,21 @@ def late_classify(df: DataFrame, ts: str, batch_col: str, width: str,
 
 def late_drop_count(df: DataFrame, ts: str, batch_col: str, width: str,
                     delay_seconds: float, lag: int = 2) -> DataFrame:
-    """One row: input rows kept and dropped as late (rows, not groups)."""
+    """One row: input rows kept, dropped as late (rows, not groups), and without
+    an event time."""
     c = late_classify(df, ts, batch_col, width, delay_seconds, lag)
-    return c.agg(F.count_if(~F.col("is_late")).alias("kept_rows"),
-                 F.count_if(F.col("is_late")).alias("dropped_rows"))
+    there = F.col(ts).isNotNull()
+    return c.agg(F.count_if(there & ~F.col("is_late")).alias("kept_rows"),
+                 F.count_if(F.col("is_late")).alias("dropped_rows"),
+                 F.count_if(~there).alias("no_event_time"))
 
 
 def late_kept_closed(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str,
                      width: str, delay_seconds: float, lag: int = 2) -> DataFrame:
     """What an append-mode stream emits over the arrival batches: counts of
     the kept rows, for windows closed by the final watermark."""
-    c = late_classify(df, ts, batch_col, width, delay_seconds, lag).where(~F.col("is_late"))
+    c = late_classify(df, ts, batch_col, width, delay_seconds, lag).where(
+        ~F.col("is_late") & F.col(ts).isNotNull())
     counts = c.groupBy("window_start", "window_end", *keys) \
         .agg(F.count(F.lit(1)).alias("ride_count"))
     return closed_only(counts, final_watermark(df, ts, delay_seconds))

@@ -23,7 +23,7 @@ def last_per_step(samples: DataFrame, series: Sequence[str], ts: str, value: str
                   step: str, tie: str | None = None, out: str | None = None) -> DataFrame:
     """The last sample of each series in each step (a scrape grid):
     (series..., ts=step start, value as ``out``).  Ties on ts are broken by
-    ``tie``."""
+    ``tie``.  Samples without a time are in no step."""
     out = out or value
     order = F.struct(ts, tie) if tie else F.struct(ts, value)
     g = samples.groupBy(*series, step_start(ts, step).alias("_tm_step")) \
@@ -80,9 +80,9 @@ def consumer_lag(end_offsets: DataFrame, assignments: DataFrame) -> DataFrame:
     ``assignments`` has one row per partition a group is assigned
     (grp, topic, part, committed), with a null ``committed`` where the group
     has not committed yet (lag is then null).  ``end_offsets`` is (topic,
-    part, end_offset).  An equi-join on (topic, part); both sides hold one
-    row per partition, so the end offsets are broadcast.
+    part, end_offset).  An equi-join on (topic, part), which AQE broadcasts
+    where it measures a small side.
     """
-    j = assignments.join(F.broadcast(end_offsets), ["topic", "part"], "left")
+    j = assignments.join(end_offsets, ["topic", "part"], "left")
     return j.select("grp", "topic", "part", "end_offset", "committed",
                     (F.col("end_offset") - F.col("committed")).alias("lag"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 _BLK = "_tm_blk"
 _START = "_tm_start"
+_PART, _AT = "_tm_part", "_tm_at"
 
 
 def assign_offsets(df: DataFrame, partition_col: str, order_cols: Sequence[str],
@@ -32,9 +33,11 @@ def assign_offsets(df: DataFrame, partition_col: str, order_cols: Sequence[str],
     running = Window.partitionBy(partition_col).orderBy(_BLK).rowsBetween(
         Window.unboundedPreceding, -1)
     starts = counts.select(
-        partition_col, _BLK,
+        F.col(partition_col).alias(_PART), F.col(_BLK).alias(_AT),
         F.coalesce(F.sum("_tm_n").over(running), F.lit(0)).cast("bigint").alias(_START))
     within = Window.partitionBy(partition_col, _BLK).orderBy(*order_cols)
-    return (d.join(starts, [partition_col, _BLK])
+    # null-safe: rows without a partition are a partition, rows without a block come first
+    here = F.col(partition_col).eqNullSafe(F.col(_PART)) & F.col(_BLK).eqNullSafe(F.col(_AT))
+    return (d.join(starts, here)
             .withColumn(out_col, F.col(_START) + F.row_number().over(within).cast("bigint") - 1)
-            .drop(_BLK, _START))
+            .drop(_BLK, _START, _PART, _AT))

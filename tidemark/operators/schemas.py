@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The ride contract versions (Avro record JSON).
-RIDE_V1 = """{"type": "record", "name": "RideEvent",
+RIDE_V1 = """{"type": "record", "name": "RideEvent", "namespace": "com.streamingplatform.rides",
  "fields": [
   {"name": "ride_id", "type": "string"},
   {"name": "rider_name", "type": "string"},
@@ -26,7 +26,7 @@ RIDE_V1 = """{"type": "record", "name": "RideEvent",
   {"name": "status", "type": "string"},
   {"name": "event_time", "type": "string"}]}"""
 
-RIDE_V2_SAFE = """{"type": "record", "name": "RideEvent",
+RIDE_V2_SAFE = """{"type": "record", "name": "RideEvent", "namespace": "com.streamingplatform.rides",
  "fields": [
   {"name": "ride_id", "type": "string"},
   {"name": "rider_name", "type": "string"},
@@ -37,7 +37,7 @@ RIDE_V2_SAFE = """{"type": "record", "name": "RideEvent",
   {"name": "event_time", "type": "string"},
   {"name": "driver_rating", "type": ["null", "double"], "default": null}]}"""
 
-RIDE_V2_BREAKING = """{"type": "record", "name": "RideEvent",
+RIDE_V2_BREAKING = """{"type": "record", "name": "RideEvent", "namespace": "com.streamingplatform.rides",
  "fields": [
   {"name": "ride_id", "type": "string"},
   {"name": "rider_name", "type": "string"},
@@ -49,7 +49,7 @@ RIDE_V2_BREAKING = """{"type": "record", "name": "RideEvent",
   {"name": "payment_method", "type": "string"}]}"""
 
 # Ours: a field removed (the rule "removing a field is safe" needs a case).
-RIDE_V2_REMOVED = """{"type": "record", "name": "RideEvent",
+RIDE_V2_REMOVED = """{"type": "record", "name": "RideEvent", "namespace": "com.streamingplatform.rides",
  "fields": [
   {"name": "ride_id", "type": "string"},
   {"name": "rider_name", "type": "string"},
@@ -97,6 +97,11 @@ class Field:
     def has_default(self) -> bool:
         return self.default is not _NO_DEFAULT
 
+    @property
+    def default_value(self) -> object:
+        """The default, null where there is none or it is null."""
+        return self.default if self.has_default else None
+
     @property
     def required(self) -> bool:
         return not self.nullable
@@ -124,6 +129,12 @@ class Contract:
         name = ".".join(p for p in (doc.get("namespace"), doc["name"]) if p)
         return Contract(name, tuple(fields), canonical(schema_json))
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Contract":
+        """A contract from a file holding one Avro record schema, on any file
+        system that Spark reads."""
+        return Contract.parse(spark.read.text(path, wholetext=True).first()[0])
+
     def field(self, name: str) -> Field | None:
         return next((f for f in self.fields if f.name == name), None)
 
@@ -194,6 +205,15 @@ def latest(registry: DataFrame) -> DataFrame:
         .select("subject", "version", "b.schema_id", "b.schema_json")
 
 
+def check_registered(rows: list[Row], subject: str, schema_json: str) -> tuple[str, list[str]]:
+    """Whether a candidate can read what the latest registered version of a
+    subject has written: compat_status, or ('nothing_registered', [])."""
+    mine = [r for r in rows if r[0] == subject]
+    if not mine:
+        return "nothing_registered", []
+    return compat_status(schema_json, max(mine, key=lambda r: r[1])[3])
+
+
 def register(rows: list[Row], subject: str, schema_json: str) -> tuple[list[Row], dict]:
     """Register a version; returns (new rows, outcome).
 

@@ -62,9 +62,14 @@ SQL["dedup_keep_first_lineitem"] = (
     "SELECT * FROM lineitem QUALIFY row_number() OVER "
     f"(PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_ORDER}) = 1")
 
-_INCR = DELIVERIES + """,
-seen AS (SELECT ride_id FROM deliveries WHERE off < 1000),
-inp AS (SELECT ride_id, part, off FROM deliveries WHERE off >= 990),
+_CRASHED = DELIVERIES + """,
+crashed AS (
+  SELECT *, floor(end_offset * 0.5) AS processed, floor(end_offset * 0.45) AS committed
+  FROM (SELECT *, max(off) OVER (PARTITION BY part) + 1 AS end_offset FROM deliveries))"""
+
+_INCR = _CRASHED + """,
+seen AS (SELECT ride_id FROM crashed WHERE off < processed),
+inp AS (SELECT ride_id, part, off FROM crashed WHERE off >= committed),
 fresh AS (
   SELECT ride_id, part, off FROM inp
   WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.ride_id IS NOT DISTINCT FROM inp.ride_id)
@@ -72,18 +77,20 @@ fresh AS (
 
 SQL["dedup_incremental"] = f"WITH {_INCR} SELECT ride_id, part, off FROM fresh"
 
+SQL["dedup_saved_state"] = SQL["dedup_incremental"]
+
 SQL["run_summary"] = (f"WITH {_INCR} SELECT "
                       "(SELECT count(DISTINCT ride_id) FROM seen) AS known_before, "
                       "(SELECT count(*) FROM fresh) AS processed, "
                       "(SELECT count(*) FROM inp) - (SELECT count(*) FROM fresh) AS skipped")
 
-SQL["crash_replay"] = (f"WITH {DELIVERIES}, replay AS ("
-                       "SELECT ride_id FROM deliveries WHERE off < 1000 "
-                       "UNION ALL SELECT ride_id FROM deliveries WHERE off >= 990) "
+SQL["crash_replay"] = (f"WITH {_CRASHED}, replay AS ("
+                       "SELECT ride_id FROM crashed WHERE off < processed "
+                       "UNION ALL SELECT ride_id FROM crashed WHERE off >= committed) "
                        "SELECT count(*) AS naive_processed, count(DISTINCT ride_id) AS idempotent_processed, "
                        "count(*) - count(DISTINCT ride_id) AS double_processed FROM replay")
 
-SQL["resume_from_offsets"] = f"WITH {DELIVERIES} SELECT ride_id, part, off FROM deliveries WHERE off >= 1000"
+SQL["resume_from_offsets"] = f"WITH {_CRASHED} SELECT ride_id, part, off FROM crashed WHERE off >= processed"
 
 
 def _tumble_sql(width: str) -> str:
@@ -121,7 +128,7 @@ SQL["watermark_trace"] = f"WITH {_TRACE} SELECT batch, batch_max, watermark FROM
 def _classified(width: str, lag: int = 2) -> str:
     return _trace(lag) + f""",
 classified AS (
-  SELECT f.ride_id, f.batch, f.pickup_city,
+  SELECT f.ride_id, f.batch, f.pickup_city, f.event_time,
          time_bucket(INTERVAL '{width}', f.event_time) AS window_start,
          time_bucket(INTERVAL '{width}', f.event_time) + INTERVAL '{width}' AS window_end,
          coalesce(time_bucket(INTERVAL '{width}', f.event_time) + INTERVAL '{width}'
@@ -135,8 +142,9 @@ SQL["late_classify"] = (f"WITH {_classified('10 seconds')} "
 for _key, _w, _lag in (("late_drop_count", "10 seconds", 2), ("late_drop_count_1h", "1 hour", 2),
                        ("late_drop_count_1d", "1 day", 2),
                        ("late_drop_count_ideal", "10 seconds", 1)):
-    SQL[_key] = (f"WITH {_classified(_w, _lag)} SELECT count(*) FILTER (WHERE NOT is_late) "
-                 "AS kept_rows, count(*) FILTER (WHERE is_late) AS dropped_rows FROM classified")
+    SQL[_key] = (f"WITH {_classified(_w, _lag)} SELECT count(*) FILTER (WHERE NOT is_late AND event_time IS NOT NULL) "
+                 "AS kept_rows, count(*) FILTER (WHERE is_late) AS dropped_rows, "
+                 "count(*) FILTER (WHERE event_time IS NULL) AS no_event_time FROM classified")
 
 _RECS = RIDES + f""",
 recs AS (
@@ -228,7 +236,8 @@ ends AS (SELECT 'rides_chaos' AS topic, part, max(off) + 1 AS end_offset FROM de
 commits AS (
   SELECT 'naive-consumer-group' AS grp, topic, part, CAST(floor(end_offset * 0.9) AS BIGINT) AS committed FROM ends
   UNION ALL
-  SELECT 'idempotent-consumer-group', topic, part, CAST(floor(end_offset * 0.75) AS BIGINT) FROM ends)"""
+  SELECT 'idempotent-consumer-group', topic, part,
+         CASE WHEN part <> 3 THEN CAST(floor(end_offset * 0.75) AS BIGINT) END FROM ends)"""
 
 SQL["consumer_lag"] = (f"WITH {_ENDS} SELECT c.grp, e.topic, e.part, e.end_offset, c.committed, "
                        "e.end_offset - c.committed AS lag FROM ends e JOIN commits c "
@@ -245,10 +254,36 @@ SQL["topic_rate"] = (f"WITH {DELIVERIES}, s AS ("
     "SELECT topic, day, round(sum(CASE WHEN span > 0 THEN incr / span END), 9) AS rate "
     "FROM r GROUP BY 1, 2")
 
-SQL["offset_progress"] = (f"WITH {DELIVERIES} SELECT 'rides_chaos' AS topic, part, "
+SQL["offset_progress"] = (f"WITH {DELIVERIES}, p AS (SELECT 'rides_chaos' AS topic, part, "
                           "time_bucket(INTERVAL '1 hour', event_time) AS ts, "
-                          "arg_max(off, (event_time, off)) AS committed_offset "
-                          "FROM deliveries GROUP BY 1, 2, 3")
+                          "arg_max(off, (event_time, off)) + 1 AS held "
+                          "FROM deliveries GROUP BY 1, 2, 3) "
+                          "SELECT grp, topic, part, ts, CAST(floor(held * share) AS BIGINT) AS committed_offset "
+                          "FROM p, (VALUES ('naive-consumer-group', 0.9), ('idempotent-consumer-group', 0.75)) "
+                          "AS g(grp, share)")
+
+# the log holds the seven fields of v1 in every accepted record
+SQL["schema_compat"] = (
+    f"WITH {_RECS}, ok AS (SELECT * FROM recs WHERE rid % 13 <> 0 AND rid % 17 <> 0), "
+    "seen AS (SELECT count(*) AS n FROM ok), "
+    "told AS (SELECT * FROM (VALUES "
+    "(NULL, 'v1', 'compatible', ''), (NULL, 'v2_safe', 'compatible', ''), "
+    "(NULL, 'v2_breaking', 'incompatible', 'missing:payment_method'), (NULL, 'v2_removed', 'compatible', ''), "
+    "('rides_avro-value', 'v1', 'compatible', ''), ('rides_avro-value', 'v2_safe', 'compatible', ''), "
+    "('rides_avro-value', 'v2_breaking', 'incompatible', "
+    "'reader field ''payment_method'' has no default and is missing in writer'), "
+    "('rides_avro-value', 'v2_removed', 'compatible', ''), "
+    "('rides_new-value', 'v1', 'nothing_registered', ''), ('rides_new-value', 'v2_safe', 'nothing_registered', ''), "
+    "('rides_new-value', 'v2_breaking', 'nothing_registered', ''), "
+    "('rides_new-value', 'v2_removed', 'nothing_registered', '')) AS t(subject, candidate, status, problems)) "
+    "SELECT CAST(subject AS VARCHAR) AS subject, candidate, status, problems FROM told, seen WHERE n > 0")
+
+# a micro-batch runs under the newest event time of the batches before it
+SQL["stream_progress"] = (
+    f"WITH {FEED}, b AS (SELECT batch, count(*) AS n, max(event_time) AS newest FROM feed GROUP BY batch) "
+    "SELECT row_number() OVER (ORDER BY batch) - 1 AS batch_id, n AS num_input_rows, "
+    "coalesce(date_trunc('milliseconds', max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING)) - INTERVAL 5 SECOND, TIMESTAMP '1970-01-01 00:00:00') AS watermark FROM b")
 
 SQL["gauge_latest"] = (f"WITH {RIDES} SELECT pickup_city AS city, max(event_time) AS latest_ts, "
                        "arg_max(fare, (event_time, ride_id)) AS latest_value FROM rides GROUP BY 1")
@@ -277,4 +312,9 @@ SQL["avro_decode"] = (f"WITH {RIDES} SELECT ride_id, pickup_city, fare, status,
                       "CASE WHEN ride_id % 2 = 1 THEN fare / 100 END AS driver_rating, "
                       "CAST(NULL AS VARCHAR) AS problem FROM rides")
 
-SQL["stream_contract_split"] = SQL["contract_accept"]
+SQL["stream_contract_split"] = (
+    f"WITH {_RECS} SELECT 'accepted' AS side, ride_id, rider_name, pickup_city, dropoff_city, fare, status, "
+    "event_time, CAST(NULL AS VARCHAR) AS violations FROM recs WHERE rid % 13 <> 0 AND rid % 17 <> 0 "
+    "UNION ALL SELECT 'quarantined', CAST(rid AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, "
+    "concat_ws(',', CASE WHEN rid % 13 = 0 THEN 'type:fare' END, CASE WHEN rid % 17 = 0 THEN 'missing:status' END) "
+    "FROM recs WHERE rid % 13 = 0 OR rid % 17 = 0")

@@ -30,9 +30,10 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters of the log scenarios (see FIXTURES.md §3).
 WATERMARK_DELAY_S = 5
-FIRST_RUN_PROCESSED = 1000   # run 1 processed offsets below this ...
-FIRST_RUN_COMMITTED = 990    # ... but committed only up to here, then crashed
-RESUME_COMMITTED = 1000      # committed offset every partition resumes from
+# Shares of each partition's end offset, so that they grow with the log.
+FIRST_RUN_PROCESSED = 0.5    # run 1 processed offsets below this ...
+FIRST_RUN_COMMITTED = 0.45   # ... but committed only up to here, then crashed
+RESUME_COMMITTED = 0.5       # committed offset every partition resumes from
 BOUNDED_ROWS = 5
 
 
@@ -119,36 +120,69 @@ def dedup_keep_first_lineitem(spark, sf_dir):
     return delivery.keep_first(li, LINEITEM_KEY, order)
 
 
-def _incremental_inputs(spark, sf_dir):
+def _ends(d: DataFrame) -> DataFrame:
+    """(part, end_offset) of a log: one row per partition."""
+    return d.groupBy("part").agg((F.max("off") + 1).alias("end_offset"))
+
+
+def _share(share: float):
+    return F.floor(F.col("end_offset") * share).cast("bigint")
+
+
+def _crashed_log(spark, sf_dir) -> DataFrame:
+    """The log with, per row, where run 1 stopped and what it had committed."""
     d = _deliveries(spark, sf_dir).select("ride_id", "part", "off")
-    seen = d.where(F.col("off") < FIRST_RUN_PROCESSED).select("ride_id")
-    incoming = d.where(F.col("off") >= FIRST_RUN_COMMITTED)
-    return incoming, seen
+    e = _ends(d).select(F.col("part").alias("_p"), _share(FIRST_RUN_PROCESSED).alias("processed"),
+                        _share(FIRST_RUN_COMMITTED).alias("committed"))
+    return d.join(e, d["part"].eqNullSafe(e["_p"])).drop("_p")
+
+
+def _incremental_inputs(spark, sf_dir):
+    """(incoming of run 2, keys of run 1); one pass over the log makes both."""
+    runs = F.array(F.when(F.col("off") < F.col("processed"), F.lit(1)),
+                   F.when(F.col("off") >= F.col("committed"), F.lit(2)))
+    d = _crashed_log(spark, sf_dir).select("ride_id", "part", "off",
+                                           F.explode(F.array_compact(runs)).alias("run"))
+    return d
 
 
 @query("dedup_incremental")
 def dedup_incremental(spark, sf_dir):
-    incoming, seen = _incremental_inputs(spark, sf_dir)
-    return delivery.dedup_against_seen(incoming, seen, "ride_id", ["part", "off"])
+    d = _incremental_inputs(spark, sf_dir)
+    return delivery.dedup_flagged(d, F.col("run") == 1, "ride_id", ["part", "off"]) \
+        .select("ride_id", "part", "off")
 
 
 @query("run_summary")
 def run_summary(spark, sf_dir):
-    incoming, seen = _incremental_inputs(spark, sf_dir)
-    return delivery.run_summary(incoming, seen, "ride_id", ["part", "off"])
+    d = _incremental_inputs(spark, sf_dir)
+    return delivery.summary_flagged(d, F.col("run") == 1, "ride_id", ["part", "off"])
+
+
+@query("dedup_saved_state")
+def dedup_saved_state(spark, sf_dir):
+    """Two runs with their state saved between them: run 1 takes the log up to
+    where it crashed and saves the keys it took; run 2 starts again from the
+    committed offsets with the saved keys.  What run 2 took is read back."""
+    d = _crashed_log(spark, sf_dir)
+    cols = ["ride_id", "part", "off"]
+    out, seen = fresh_dir(spark, "dedup-rows"), fresh_dir(spark, "dedup-seen")
+    delivery.incremental_run(d.where("off < processed").select(cols), seen, "ride_id",
+                             ["part", "off"], out, "run-1", key_type="bigint")
+    return delivery.incremental_run(d.where("off >= committed").select(cols), seen, "ride_id",
+                                    ["part", "off"], out, "run-2", key_type="bigint")
 
 
 @query("crash_replay")
 def crash_replay(spark, sf_dir):
-    d = _deliveries(spark, sf_dir).select("ride_id", "part", "off")
-    return delivery.replay_audit(d, "ride_id", "off", FIRST_RUN_PROCESSED, FIRST_RUN_COMMITTED)
+    d = _crashed_log(spark, sf_dir)
+    return delivery.replay_audit(d, "ride_id", "off", F.col("processed"), F.col("committed"))
 
 
 @query("resume_from_offsets")
 def resume_from_offsets(spark, sf_dir):
     d = _deliveries(spark, sf_dir).select("ride_id", "part", "off")
-    committed = d.select("part").distinct().withColumn(
-        "committed", F.lit(RESUME_COMMITTED).cast("bigint"))
+    committed = _ends(d).select("part", _share(RESUME_COMMITTED).alias("committed"))
     return delivery.resume_from_offsets(d, committed, "part", "off")
 
 
@@ -290,9 +324,19 @@ def schema_compat(spark, sf_dir):
     over the whole log); each candidate is checked against it."""
     ok = contracts.accepted(_validated(spark, sf_dir), V1)
     lg = logs.to_log(ok, logs.json_records(ok, V1_FIELDS), "rides")
-    return contracts.compat_with_observed(lg, "value", {
-        "v1": schemas.RIDE_V1, "v2_safe": schemas.RIDE_V2_SAFE,
-        "v2_breaking": schemas.RIDE_V2_BREAKING, "v2_removed": schemas.RIDE_V2_REMOVED})
+    candidates = {"v1": schemas.RIDE_V1, "v2_safe": schemas.RIDE_V2_SAFE,
+                  "v2_breaking": schemas.RIDE_V2_BREAKING, "v2_removed": schemas.RIDE_V2_REMOVED}
+    seen = contracts.compat_with_observed(lg, "value", candidates).select(
+        F.lit(None).cast("string").alias("subject"), "candidate",
+        F.when(F.col("compatible"), "compatible").otherwise("incompatible").alias("status"),
+        F.array_join("problems", ",").alias("problems"))
+    # the same candidates against the latest version registered for a subject
+    rows, _ = schemas.register([], schemas.RIDE_SUBJECT, schemas.RIDE_V1)
+    told = [(subject, name, *schemas.check_registered(rows, subject, text))
+            for subject in (schemas.RIDE_SUBJECT, "rides_new-value") for name, text in candidates.items()]
+    return seen.unionByName(spark.createDataFrame(
+        [(s, n, status, ",".join(p)) for s, n, status, p in told],
+        "subject string, candidate string, status string, problems string"))
 
 
 # --- frames --------------------------------------------------------------------
@@ -364,23 +408,15 @@ def stream_tumble_count(spark, sf_dir):
     """10 s windows per status under a 5 s watermark, append mode."""
     s = windows.with_event_time(_ride_stream(spark, sf_dir), "event_time", WATERMARK_DELAY_S)
     run = runner.run_available_now(
-        windows.tumble_count(s, "event_time", ["status"], "10 seconds"), "tumble",
-        partitions=runner.sized_partitions(rel.rides(spark, sf_dir)))
+        windows.tumble_count(s, "event_time", ["status"], "10 seconds"), "tumble")
     return zoneless(run.output)
 
 
-_REPLAYS: dict[tuple[str, str], runner.StreamRun] = {}
-
-
 def _late_replay(spark, sf_dir):
-    """The arrival-batch replay of ``feed``; run once per session and data
-    folder, its committed output and progress serve both replay queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _REPLAYS:
-        f = rel.feed(spark, sf_dir).select("ride_id", "pickup_city", "event_time", "batch")
-        _REPLAYS[key] = windows.late_replay(f, "event_time", ["pickup_city"], "batch",
-                                            "10 seconds", WATERMARK_DELAY_S)
-    return _REPLAYS[key]
+    """The arrival batches of ``feed`` through a watermarked count."""
+    f = rel.feed(spark, sf_dir).select("ride_id", "pickup_city", "event_time", "batch")
+    return windows.late_replay(f, "event_time", ["pickup_city"], "batch", "10 seconds",
+                               WATERMARK_DELAY_S)
 
 
 @query("stream_late_replay")
@@ -391,8 +427,9 @@ def stream_late_replay(spark, sf_dir):
 
 @query("stream_progress")
 def stream_progress(spark, sf_dir):
-    """Per micro-batch metrics of the late replay."""
-    return sprogress.progress_rows(spark, _late_replay(spark, sf_dir).progress)
+    """Per micro-batch that had input: its rows and the watermark it ran under."""
+    p = sprogress.progress_rows(spark, _late_replay(spark, sf_dir).progress)
+    return p.where("num_input_rows > 0").select("batch_id", "num_input_rows", "watermark")
 
 
 @query("watermark_policy")
@@ -400,41 +437,40 @@ def watermark_policy(spark, sf_dir):
     """Two sources into one count: every ride (A), and a second feed that
     carries only the first day of the month and then goes quiet (B).  The
     min policy holds windows back at B's watermark; max lets them close."""
+    def sources(session):
+        a = _ride_stream(session, sf_dir)
+        return [a, _ride_stream(session, sf_dir).where(F.dayofmonth("event_time") == 1)]
+
     out = None
     for policy in ("min", "max"):
-        a = _ride_stream(spark, sf_dir)
-        b = _ride_stream(spark, sf_dir).where(F.dayofmonth("event_time") == 1)
-        run = windows.union_count([a, b], "event_time", ["pickup_city"], "10 seconds",
-                                  WATERMARK_DELAY_S, policy,
-                                  partitions=runner.sized_partitions(rel.rides(spark, sf_dir)))
-        part = run.output.select(F.lit(policy).alias("policy"), "*")
+        run = windows.union_count(sources, spark, "event_time", ["pickup_city"], "10 seconds",
+                                  WATERMARK_DELAY_S, policy)
+        rows = spark.read.schema(run.output.schema).parquet(run.sink_path)
+        part = rows.select(F.lit(policy).alias("policy"), "*")
         out = part if out is None else out.unionByName(part)
     return zoneless(out)
 
 
 def _delivery_stream(spark, sf_dir, label):
-    """The delivered log replayed in arrival order, one week per trigger;
-    returns the stream and the state partitions its size calls for."""
+    """The delivered log replayed in arrival order, one week per trigger."""
     d = _deliveries(spark, sf_dir).select("ride_id", "event_time", "part", "off")
     d = d.withColumn("week", F.floor(rel.arrival_day(F.col("event_time")) / 7).cast("bigint"))
     replay = windows.replay_batches(d, "week", label)
-    stream = runner.file_stream(spark, replay.path, d.schema,
-                                max_files=replay.files_per_trigger)
-    return stream, runner.sized_partitions(d, replay.batches)
+    return runner.file_stream(spark, replay.path, d.schema,
+                              max_files=replay.files_per_trigger)
 
 
 @query("stream_dedup")
 def stream_dedup(spark, sf_dir):
-    s, n = _delivery_stream(spark, sf_dir, "dedup")
-    return runner.run_available_now(sdedup.dedup(s, ["ride_id"]), "dedup",
-                                    partitions=n).output.select("ride_id")
+    s = _delivery_stream(spark, sf_dir, "dedup")
+    return runner.run_available_now(sdedup.dedup(s, ["ride_id"]), "dedup").output.select("ride_id")
 
 
 @query("stream_dedup_bounded")
 def stream_dedup_bounded(spark, sf_dir):
-    s, n = _delivery_stream(spark, sf_dir, "dedup-bounded")
+    s = _delivery_stream(spark, sf_dir, "dedup-bounded")
     s = sdedup.dedup_bounded(s, ["ride_id"], "event_time", "1 hour")
-    return runner.run_available_now(s, "dedup-bounded", partitions=n).output.select("ride_id")
+    return runner.run_available_now(s, "dedup-bounded").output.select("ride_id")
 
 
 # --- monitoring metrics ----------------------------------------------------------
@@ -443,25 +479,30 @@ def stream_dedup_bounded(spark, sf_dir):
 CHAOS_TOPIC = "rides_chaos"
 # Consumer groups and the share of each partition's log they have committed.
 GROUP_COMMITS = {"naive-consumer-group": 0.9, "idempotent-consumer-group": 0.75}
-RATE_RANGE = "1 day"
+NEW_IN = ("idempotent-consumer-group", 3)   # assigned to the group, nothing committed yet
 GRID_STEP = "5 seconds"
 GRID_RANGE_S = 15 * 86_400
 
 
 def _end_offsets(spark, sf_dir) -> DataFrame:
-    d = _deliveries(spark, sf_dir)
-    return d.groupBy("part").agg((F.max("off") + 1).alias("end_offset")) \
-        .select(F.lit(CHAOS_TOPIC).alias("topic"), "part", "end_offset")
+    return _ends(_deliveries(spark, sf_dir)).select(F.lit(CHAOS_TOPIC).alias("topic"), "part",
+                                                    "end_offset")
+
+
+def _groups():
+    """A row per consumer group: its name and the share of the log it has committed."""
+    return F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(share).alias("share"))
+                               for g, share in GROUP_COMMITS.items()])).alias("g")
 
 
 @query("consumer_lag")
 def consumer_lag(spark, sf_dir):
     end = _end_offsets(spark, sf_dir)
-    groups = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(share).alias("share"))
-                                 for g, share in GROUP_COMMITS.items()])).alias("g")
-    assigned = end.select("topic", "part", "end_offset", groups).select(
+    # a group that has not yet committed in its last partition: no commit, no lag
+    fresh = (F.col("g.grp") == NEW_IN[0]) & (F.col("part") == NEW_IN[1])
+    assigned = end.select("topic", "part", "end_offset", _groups()).select(
         "g.grp", "topic", "part",
-        F.floor(F.col("end_offset") * F.col("g.share")).cast("bigint").alias("committed"))
+        F.when(~fresh, F.floor(F.col("end_offset") * F.col("g.share")).cast("bigint")).alias("committed"))
     return metrics.consumer_lag(end, assigned)
 
 
@@ -483,11 +524,14 @@ def topic_rate(spark, sf_dir):
 
 @query("offset_progress")
 def offset_progress(spark, sf_dir):
-    """Committed offset of the consumer over time, one sample per hour."""
+    """Committed offset of every consumer group over time, one sample per hour:
+    a group has committed its share of what the log then held."""
     d = _deliveries(spark, sf_dir)
-    p = metrics.last_per_step(d, ["part"], "event_time", "off", "1 hour", out="committed_offset")
-    return zoneless(p.select(F.lit(CHAOS_TOPIC).alias("topic"), "part",
-                             F.col("event_time").alias("ts"), "committed_offset"))
+    p = metrics.last_per_step(d, ["part"], "event_time", "off", "1 hour", out="newest")
+    g = p.select("part", "event_time", "newest", _groups())
+    return zoneless(g.select(
+        "g.grp", F.lit(CHAOS_TOPIC).alias("topic"), "part", F.col("event_time").alias("ts"),
+        F.floor((F.col("newest") + 1) * F.col("g.share")).cast("bigint").alias("committed_offset")))
 
 
 @query("gauge_latest")
@@ -530,7 +574,7 @@ def configured_ingest(spark, sf_dir):
         "mode": "stream",
         "trigger": "available_now",
         "source": {"type": "parquet",
-                   "options": {"path": sf_dir, "pathGlobFilter": "events.parquet"}},
+                   "options": {"path": f"{sf_dir.rstrip('/')}/events.parquet"}},
         "transforms": [{"type": "rides"},
                        {"type": "select",
                         "columns": ["ride_id", "pickup_city", "fare", "event_time"]}],
@@ -590,11 +634,17 @@ def avro_decode(spark, sf_dir):
 
 @query("stream_contract_split")
 def stream_contract_split(spark, sf_dir):
-    """The damaged JSON records as a stream (four files, one per trigger),
-    split per micro-batch into accepted and quarantined tables; the accepted
-    table is returned."""
-    src = runner.stage(rel.ride_json(spark, sf_dir).repartition(4), "ride-json")
+    """The damaged JSON records as a stream, split per micro-batch into an
+    accepted and a quarantined table; both are returned, told apart by side."""
+    src = runner.stage(rel.ride_json(spark, sf_dir), "ride-json")
     schema = spark.read.parquet(src).schema
-    stream = runner.file_stream(spark, src, schema, max_files=1)
+    stream = runner.file_stream(spark, src, schema, max_bytes=64 << 20)
     run = scontracts.split_stream(stream, "value", V1)
-    return spark.read.parquet(run.accepted_path).drop("batch_id")
+    nothing = F.lit(None).cast("string")
+    good = spark.read.schema(run.accepted_schema).parquet(run.accepted_path)
+    bad = spark.read.schema(run.quarantine_schema).parquet(run.quarantine_path)
+    return good.select(F.lit("accepted").alias("side"), *V1_FIELDS, nothing.alias("violations")) \
+        .unionByName(bad.select(F.lit("quarantined").alias("side"),
+                                F.col("ride_id").cast("string").alias("ride_id"),
+                                F.array_join("violations", ",").alias("violations")),
+                     allowMissingColumns=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -27,9 +27,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # small shuffles keep enough partitions to use every core for the
-        # per-row work behind them (parsing); large shuffles are far above it
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.streaming.stateStore.providerClass",
@@ -55,8 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or a directory already set
-    with ``setCheckpointDir``); a local temp folder is registered only when
-    the session names none (tests and single-machine runs).
+    with ``setCheckpointDir``).  Where none is named, a local temp folder is
+    registered on a ``local`` master (tests, a laptop); on a cluster that is an
+    error, because no other machine could read it.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -64,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.get()
     root = sc.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(root)
     return sc._jsc.sc().getCheckpointDir().get()
@@ -79,22 +79,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over the cluster's cores before CPU-heavy row work.
-
-    A single-file table arrives as one scan partition, and a narrow pipeline
-    over it would run on one core.  When a shuffle-free input has fewer scan
-    splits than the default parallelism it is repartitioned round-robin; any
-    large input (at least one split per core), and any input that already
-    went through a shuffle, is returned unchanged.  Nothing is executed to
-    decide: the physical plan is only inspected, and the split count of a
-    shuffle-free plan comes from file listing alone.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no plan or RDD access, e.g. a remote session)
-        return df
-    return df.repartition(target) if n < target else df
+def session_with(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session beside ``spark`` (same settings, views and context) with some
+    settings of its own; ``spark`` and what runs on it are not touched.  Dots
+    in names are written as ``__``."""
+    beside = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for name, value in settings.items():
+        beside.conf.set(name.replace("__", "."), value)
+    return beside

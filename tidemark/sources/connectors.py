@@ -13,6 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidemark.sources.tables import table_stream
 
 # Fixed value: broker address used when a Kafka config names none.
 DEFAULT_BROKERS = "localhost:9092"
@@ -31,7 +34,9 @@ def _file_source(fmt: str) -> SourceFn:
         if streaming:
             if schema is None:  # file streams need a schema; take the batch one
                 schema = spark.read.format(fmt).options(**opts).load(path).schema
-            return spark.readStream.format(fmt).schema(schema).options(**opts).load(path)
+            elif isinstance(schema, str):
+                schema = StructType.fromDDL(schema)
+            return table_stream(spark, path, schema, fmt, **opts)
         r = spark.read.format(fmt).options(**opts)
         return (r.schema(schema) if schema else r).load(path)
     return read
@@ -41,8 +46,20 @@ for _fmt in ("parquet", "json", "csv", "orc", "text"):
     SOURCES[_fmt] = _file_source(_fmt)
 
 
+def broker_options(options: dict) -> dict:
+    """Kafka options with the brokers under the connector's name, whether a
+    config calls them that or ``bootstrap_servers`` (text or a list)."""
+    opts = dict(options)
+    named = opts.pop("bootstrap_servers", None)
+    if named is not None and not isinstance(named, str):
+        named = ",".join(named)
+    return {"kafka.bootstrap.servers": named or DEFAULT_BROKERS, **opts}
+
+
 def _kafka_source(spark: SparkSession, options: dict, streaming: bool) -> DataFrame:
-    opts = {"kafka.bootstrap.servers": DEFAULT_BROKERS, "startingOffsets": "earliest", **options}
+    opts = {"startingOffsets": "earliest", **broker_options(options)}
+    if "topic" in opts and not opts.keys() & {"subscribe", "subscribePattern", "assign"}:
+        opts["subscribe"] = opts.pop("topic")
     r = spark.readStream if streaming else spark.read
     return r.format("kafka").options(**opts).load()
 
@@ -92,7 +109,7 @@ for _fmt in ("parquet", "json", "csv", "orc"):
 
 
 def _kafka_sink(df: DataFrame, options: dict, trigger: dict):
-    opts = {"kafka.bootstrap.servers": DEFAULT_BROKERS, **options}
+    opts = broker_options(options)
     if df.isStreaming:
         return _start(df, "kafka", opts, trigger)
     df.write.format("kafka").options(**opts).save()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.codec import iso_format
 from tidemark.operators.offsets import assign_offsets
-from tidemark.session import spread, use_utc
+from tidemark.session import use_utc
 from tidemark.sources.tables import table
 
 # The four pickup cities of the late-data producer.
@@ -117,5 +117,5 @@ def damaged_json(r: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("status"))
     doc = F.struct("ride_id", "rider_name", "pickup_city", "dropoff_city",
                    fare.alias("fare"), status.alias("status"), "event_time")
-    return ride_records(spread(r), keep).select(rid.alias("ride_id"),
+    return ride_records(r, keep).select(rid.alias("ride_id"),
                                                 F.to_json(doc).alias("value"), *keep)

@@ -41,12 +41,5 @@ def import_json_array(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 def save_seen(keys: DataFrame, path: str, run_id: str) -> None:
     """Write this run's new keys as the run's partition (idempotent)."""
-    spark = keys.sparkSession
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "dynamic")
-    try:
-        keys.withColumn(RUN_COL, F.lit(run_id)).write.mode("overwrite") \
-            .partitionBy(RUN_COL).parquet(path)
-    finally:
-        spark.conf.set(conf, before)
+    keys.withColumn(RUN_COL, F.lit(run_id)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(path)

@@ -33,3 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def table_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+                 **options) -> DataFrame:
+    """A table as a file stream, whichever way it is laid out: a folder of part
+    files is the source itself, a single file is picked out of its folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    r = spark.readStream.format(fmt).schema(schema).options(**options)
+    if fs.exists(p) and not fs.getFileStatus(p).isDirectory():
+        return r.option("pathGlobFilter", p.getName()).load(p.getParent().toString())
+    return r.load(path)

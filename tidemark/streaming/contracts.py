@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.operators import contracts
 from tidemark.operators.schemas import Contract
@@ -26,6 +27,8 @@ class SplitRun:
     accepted_path: str
     quarantine_path: str
     query: StreamingQuery
+    accepted_schema: StructType
+    quarantine_schema: StructType
 
 
 def split_stream(stream: DataFrame, value_col: str, contract: Contract,
@@ -54,4 +57,7 @@ def split_stream(stream: DataFrame, value_col: str, contract: Contract,
          .start())
     if wait:
         q.awaitTermination()
-    return SplitRun(accepted_path, quarantine_path, q)
+    like = contracts.validate(spark.createDataFrame([], stream.schema), value_col, contract)
+    return SplitRun(accepted_path, quarantine_path, q,
+                    contracts.accepted(like, contract, keep).schema,
+                    contracts.quarantined(like, keep).schema)

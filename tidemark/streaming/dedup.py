@@ -4,7 +4,9 @@
 provider: state lives on local disk of the executors and in the checkpoint,
 not in memory).  ``dedup_bounded`` forgets a key once the watermark passes
 its event time + delay, so state stays bounded; a key redelivered after that
-is let through again.
+is let through again.  A row older than the watermark when it arrives is
+dropped even if its key is new; ``StreamRun.progress`` counts those rows
+(``numRowsDroppedByWatermark`` of the state operator).
 """
 
 from __future__ import annotations

@@ -8,12 +8,16 @@ fresh paths under the shared checkpoint root.
 
 from __future__ import annotations
 
+import json
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tidemark.session import fresh_dir
+from tidemark.sources.tables import table_stream
 
 
 @dataclass
@@ -26,19 +30,20 @@ class StreamRun:
 
 def events_stream(spark: SparkSession, sf_dir: str, schema: StructType,
                   max_files: int | None = None) -> DataFrame:
-    """The given ``events`` table as a file stream (the folder is the source,
-    the glob picks the one table file)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    """The given ``events`` table as a file stream, one file or many."""
+    options = {"maxFilesPerTrigger": max_files} if max_files else {}
+    return table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema, **options)
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType,
-                max_files: int | None = None) -> DataFrame:
+                max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Part files of a folder as a stream; micro-batches are cut by their number
+    or by size."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.parquet(path)
 
 
@@ -52,45 +57,50 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> s
     return path
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new stream: one per core of the cluster, never
-    more than the session's shuffle partitions."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+class AllProgress(StreamingQueryListener):
+    """Every progress report of the queries of a session, by run.  (A query
+    itself keeps the last 100 or so only.)"""
 
+    def __init__(self):
+        self.reports: dict[str, list[dict]] = {}
+        self.ended: dict[str, threading.Event] = {}
 
-def sized_partitions(df: DataFrame, batches: int = 1,
-                     bytes_per_partition: int = 512 << 10) -> int:
-    """State partitions for a stream over ``df`` arriving in ``batches``
-    micro-batches: one per ``bytes_per_partition`` of one micro-batch's share
-    of Catalyst's size estimate (no job runs), at least one, at most one per
-    core.  State work grows with the rows of a micro-batch, while a
-    partition's fixed cost is paid in every micro-batch."""
-    spark = df.sparkSession
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return state_partitions(spark)
-    per_batch = size // max(1, batches)
-    return max(1, min(state_partitions(spark), -(-per_batch // bytes_per_partition)))
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event):
+        p = json.loads(event.progress.json)
+        self.reports.setdefault(p["runId"], []).append(p)
+
+    def onQueryTerminated(self, event):
+        self._end(str(event.runId)).set()
+
+    def of(self, run: str, wait_s: float = 120) -> list[dict]:
+        """All reports of an ended run; its last event comes after them."""
+        if not self._end(run).wait(wait_s):
+            raise TimeoutError(f"no end of streaming run {run} was reported")
+        return self.reports.get(run, [])
 
 
 def run_available_now(stream: DataFrame, label: str, output_mode: str = "append",
-                      checkpoint: str | None = None, sink_path: str | None = None,
-                      partitions: int | None = None) -> StreamRun:
+                      checkpoint: str | None = None, sink_path: str | None = None) -> StreamRun:
     """Run ``stream`` over all available input into a Parquet sink; returns the
-    committed output read back plus the progress reports.  Rerunning with the
-    same checkpoint and sink continues where the last run stopped.
+    committed output read back plus a progress report per micro-batch.
+    Rerunning with the same checkpoint and sink continues where the last run
+    stopped.
 
-    The number of state partitions is fixed when a checkpoint is created;
-    it is ``partitions`` or one per core (see ``state_partitions``).
+    State partitions are the session's ``spark.sql.shuffle.partitions`` when
+    the checkpoint is created and stay what they are; for another number build
+    the stream on ``session_with(spark, ...)``.
     """
     spark = stream.sparkSession
     sink_path = sink_path or fresh_dir(spark, f"{label}-out")
     checkpoint = checkpoint or fresh_dir(spark, f"{label}-ckpt")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    seen = AllProgress()
+    spark.streams.addListener(seen)
     try:
         q = (stream.writeStream.format("parquet")
              .option("path", sink_path)
@@ -98,9 +108,9 @@ def run_available_now(stream: DataFrame, label: str, output_mode: str = "append"
              .outputMode(output_mode)
              .trigger(availableNow=True)
              .start())
+        q.awaitTermination()
+        progress = seen.of(str(q.runId))
     finally:
-        spark.conf.set(key, before)
-    q.awaitTermination()
-    progress = [p for p in q.recentProgress]
+        spark.streams.removeListener(seen)
     out = spark.read.schema(stream.schema).parquet(sink_path)
     return StreamRun(out, progress, sink_path, checkpoint)

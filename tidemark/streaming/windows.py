@@ -9,21 +9,23 @@ slowest source holds everything back) or ``max``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, session_with
 from tidemark.streaming.progress import OBSERVED
-from tidemark.streaming.runner import (StreamRun, file_stream, run_available_now,
-                                       sized_partitions)
+from tidemark.streaming.runner import StreamRun, file_stream, run_available_now
 
 POLICY_CONF = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
 def with_event_time(stream: DataFrame, ts: str, delay_seconds: float) -> DataFrame:
+    """Rows without an event time belong to no window and leave the stream here;
+    ``eventtime.late_drop_count`` counts them on the batch side."""
     return stream.where(F.col(ts).isNotNull()).withWatermark(ts, f"{delay_seconds} seconds")
 
 
@@ -69,7 +71,10 @@ def replay_batches(df: DataFrame, batch_col: str, label: str) -> Replay:
         if st.isDirectory() and name.startswith(f"{batch_col}="):
             files = [f.getPath() for f in fs.listStatus(st.getPath())
                      if f.getPath().getName().endswith(".parquet")]
-            batches.append((int(name.split("=", 1)[1]), st.getPath(), files))
+            value = name.split("=", 1)[1]
+            # rows without a batch arrive after all others
+            at = math.inf if value == "__HIVE_DEFAULT_PARTITION__" else int(value)
+            batches.append((at, st.getPath(), files))
     batches.sort(key=lambda b: b[0])
     k = max((len(f) for _, _, f in batches), default=1)
     if any(len(f) < k for _, _, f in batches):
@@ -90,35 +95,24 @@ def replay_batches(df: DataFrame, batch_col: str, label: str) -> Replay:
 
 
 def late_replay(df: DataFrame, ts: str, keys: Sequence[str], batch_col: str, width: str,
-                delay_seconds: float, label: str = "late-replay",
-                partitions: int | None = None) -> StreamRun:
-    """Replay ``df`` batch by batch through a watermarked windowed count.
-    State partitions follow the size of ``df`` unless given."""
+                delay_seconds: float, label: str = "late-replay") -> StreamRun:
+    """Replay ``df`` batch by batch through a watermarked windowed count."""
     replay = replay_batches(df, batch_col, label)
-    partitions = partitions or sized_partitions(df, replay.batches)
     stream = file_stream(df.sparkSession, replay.path, df.schema,
                          max_files=replay.files_per_trigger)
     stream = stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
     counts = tumble_count(with_event_time(stream, ts, delay_seconds), ts, keys, width)
-    return run_available_now(counts, label, partitions=partitions)
+    return run_available_now(counts, label)
 
 
-def union_count(sources: Sequence[DataFrame], ts: str, keys: Sequence[str], width: str,
-                delay_seconds: float, policy: str, label: str = "union",
-                partitions: int | None = None) -> StreamRun:
-    """Windowed count over a union of watermarked sources under a policy."""
-    spark = sources[0].sparkSession
-    marked = [with_event_time(s, ts, delay_seconds) for s in sources]
+def union_count(sources: Callable[[SparkSession], Sequence[DataFrame]], spark: SparkSession,
+                ts: str, keys: Sequence[str], width: str, delay_seconds: float, policy: str,
+                label: str = "union") -> StreamRun:
+    """Windowed count over a union of watermarked sources under a policy.  The
+    sources are built in a session of their own, which holds the policy."""
+    marked = [with_event_time(s, ts, delay_seconds)
+              for s in sources(session_with(spark, **{POLICY_CONF.replace(".", "__"): policy}))]
     u = marked[0]
     for s in marked[1:]:
         u = u.unionByName(s)
-    before = spark.conf.get(POLICY_CONF, None)
-    spark.conf.set(POLICY_CONF, policy)
-    try:
-        return run_available_now(tumble_count(u, ts, keys, width), f"{label}-{policy}",
-                                 partitions=partitions)
-    finally:
-        if before is None:
-            spark.conf.unset(POLICY_CONF)
-        else:
-            spark.conf.set(POLICY_CONF, before)
+    return run_available_now(tumble_count(u, ts, keys, width), f"{label}-{policy}")
