@@ -56,7 +56,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_join(docs.select("doc_id", "text", row_key().alias(KEY)), carry=(KEY,))
     # documents without words are in no group: each is its own
-    own = F.coalesce(F.col("group"), F.encode(F.col(KEY), "utf-8"))
+    own = F.coalesce(F.col("group").cast("string"), F.col(KEY))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY)).alias("first")
     kept = groups.groupBy(own.alias("g"), F.col("group").isNull().alias("alone")).agg(first, F.count("*").alias("n"))
     copies = F.when(F.col("alone"), F.col("n")).otherwise(1).cast("bigint")

@@ -7,7 +7,8 @@ overlaps.  Only entries that can reach the threshold t are made:
   t * |x| n-grams, so one of the first |x| - ceil(t |x|) + 1 columns of x.  The product over
   these columns (the rare block) meets every pair that can link.
 * Overlaps are summed up per pair with the last common places i and j; a pair is dropped if
-  overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for.
+  overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for, or if it shares fewer
+  rare columns than two such sets must.
 * For the pairs that are left, the other block is multiplied: whole rows, exact overlap.
 
 Documents with the same set are one row of A.  The frequencies that order columns are those of
@@ -34,6 +35,10 @@ by_value(__name__)
 WORDS, PERCENT = 3, 90
 #: Frequencies are kept for 2^BITS hash buckets.
 BITS = 18
+#: Bits of the sieve that picks texts to read again.
+SIEVE_BITS = 23
+#: Times that columns multiply by a centre before all remaining pairs are made.
+TURNS = 2
 #: Word hashes a task keeps; the store is emptied when it is full.
 KEPT = 500_000
 
@@ -108,37 +113,110 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
                                           T.StructField("rare", T.ArrayType(T.LongType()))]))
 
 
-def whole_rows(docs: DataFrame, words: int) -> DataFrame:
-    """print, grams (the whole set, packed) of each document."""
+def sieve(ids: DataFrame) -> np.ndarray:
+    """A bitmap of 2^SIEVE_BITS bits that has the bit of every doc_id in ``ids``.  It only saves
+    work: rows that pass by chance are never joined."""
+    bit = sieve_bit(F.col("doc_id"))
+    words = (ids.select(F.shiftright(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int")).alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(1 << SIEVE_BITS - 6, np.int64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return out.view(np.uint64)
+
+
+def sieve_bit(doc_id):
+    return F.pmod(F.xxhash64(F.lit("sieve"), doc_id), F.lit(1 << SIEVE_BITS))
+
+
+def whole_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """id, grams (the whole set, packed) of the rows of the matrix in ``wanted`` (id, print,
+    doc_id).  No text is shuffled: tasks pass over the texts and keep what the sieve lets by."""
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
+
     def run(batches):
         import xxhash
-        shingles = shingler(words)
+        shingles, held = shingler(words), bits.value
         for batch in batches:
-            sets = [np.unique(shingles(t)).tobytes() for t in batch.column("text").to_pylist()]
+            at = batch.column("bit").to_numpy()
+            let = (held[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            sets = [np.unique(shingles(t)).tobytes() for t in batch.column("text").filter(pa.array(let)).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
                                               pa.array(sets, pa.binary())], ["print", "grams"])
 
-    return docs.select("text").mapInArrow(run, "print binary, grams binary")
+    found = docs.select(sieve_bit(F.col("doc_id")).alias("bit"), "text").mapInArrow(run, "print binary, grams binary")
+    return written(found.join(wanted.select("id", "print"), "print").select("id", "grams").dropDuplicates(["id"]), "grams-rows")
+
+
+def overlapping(pairs: DataFrame, rows: DataFrame, column: str, keep) -> DataFrame:
+    """Of ``pairs`` (a, b), those whose rows (id, ``column``) overlap enough; ``keep`` takes both
+    rows as arrays of numbers."""
+    x, y = (rows.select(F.col("id").alias(k), F.col(column).alias(c), F.col("n").alias(f"n{c}")) for k, c in (("a", "x"), ("b", "y")))
 
+    def values(v) -> np.ndarray:
+        return np.frombuffer(v.as_buffer(), np.uint64) if isinstance(v, pa.BinaryScalar) else v.values.to_numpy()
 
-def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b), those whose whole rows overlap enough."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    both = (pairs.join(rows.select(F.col("print").alias("a"), F.col("grams").alias("x")), "a")
-            .join(rows.select(F.col("print").alias("b"), F.col("grams").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(
-        run, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())]))
+            cols = [batch.column(c) for c in ("x", "y", "nx", "ny")]
+            ok = [keep(values(u), values(v), m.as_py(), n.as_py()) for u, v, m, n in zip(*cols)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long")
+
+
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """Numbers that two sorted sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
+
+
+def least_overlap(m, n, percent: int):
+    """Overlap that Jaccard >= percent asks of sets of m and n."""
+    return -(-percent * (m + n) // (100 + percent))
+
+
+def least_rare(m: int, n: int, percent: int) -> int:
+    """First columns that such sets share at least: the kth common column of x stands at most
+    at k + |x| less the overlap."""
+    need = least_overlap(m, n, percent)
+    first = lambda k: k + percent * -k // 100 + 1  # noqa: E731  k less the ceiling of percent * k
+    return max(1, min(first(m) - m + need, first(n) - n + need))
+
+
+def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of ``pairs``, those that link: first by their rare columns, then by whole rows."""
+    def rare(x, y, m, n):
+        return common(np.sort(x), np.sort(y)) >= least_rare(m, n, percent)
+
+    def whole(x, y, m, n):
+        both = common(x, y)
+        return 100 * both >= percent * (m + n - both)
+
+    left = written(overlapping(pairs, matrix, "rare", rare), "grams-left")
+    ends = left.select(F.col("a").alias("id")).unionByName(left.select(F.col("b").alias("id"))).distinct()
+    wanted = written(matrix.join(ends, "id", "left_semi").select("id", "print", "doc_id", "n"), "grams-wanted")
+    rows = whole_rows(docs, wanted, words).join(wanted.select("id", "n"), "id")
+    return written(overlapping(left, rows, "grams", whole), "grams-links")
+
+
+def rooted(rare: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries with the component of their document, of columns that meet more than one."""
+    parts = components(links)
+    own = rare.join(parts.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    split = own.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+    return own.join(split.filter("r0 != r1").select("gram"), "gram")
+
+
+def stars(own: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a document and the centre of its columns, if in another component: for each
+    document the centre it shares most columns with."""
+    order = F.xxhash64(F.lit(turn), "id")
+    centre = own.groupBy("gram").agg(F.min(order).alias("o"))
+    centre = (own.withColumn("o", order).join(centre, ["gram", "o"]).groupBy("gram")
+              .agg(F.min("id").alias("centre"), F.min("root").alias("hub")))
+    return (own.join(centre, "gram").filter("root != hub").groupBy("id", "centre").agg(F.count("*").alias("common"))
+            .groupBy("id").agg(F.max_by("centre", "common").alias("b")).select(F.col("id").alias("a"), "b"))
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -153,48 +231,41 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     Empty table: empty result."""
     docs = docs.select("doc_id", *carry, text_of().alias("text"))
     signs = written(signatures(docs, frequencies(docs, words), words, percent), "grams-signs")
-    least = signs.filter("n_shingles > 0").groupBy("print").agg(F.min("doc_id").alias("least"))
-    least = written(least, "grams-least")
-    # one row of the matrix for each set: that of its smallest document
-    one = (signs.join(least.withColumnRenamed("print", "p"),
-                      (F.col("print") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("least")))
-           .dropDuplicates(["print"]).select("print", "doc_id", F.col("n_shingles").alias("n"), "rare"))
-    entries = one.select("print", "doc_id", "n", F.posexplode("rare").alias("i", "gram"))
-    columns = entries.groupBy("gram").agg(F.min("print").alias("centre"), F.count("*").alias("rows"))
-    rare = written(entries.join(columns.filter("rows > 1").drop("rows"), "gram"), "grams-rare")
-
-    wanted = rare.select(F.col("doc_id").alias("of")).distinct()
-    rows = written(whole_rows(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi"), words),
-                   "grams-rows")
-    star = (rare.filter("print != centre").groupBy("print", "centre").agg(F.count("*").alias("common"))
-            .groupBy("print").agg(F.max(F.struct("common", "centre")).alias("best"))
-            .select(F.col("print").alias("a"), F.col("best.centre").alias("b")))
-    links = written(verified(star, rows, percent), "grams-links")
-    parts = components(links)
-
-    own = rare.join(parts.withColumnRenamed("v", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print"))
-    split = own.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    hub = own.filter("print = centre").select("gram", F.col("root").alias("hub"))
-    own = written(own.join(split.filter("r0 != r1").select("gram"), "gram").join(hub, "gram"), "grams-split")
-    x = own.filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in ("print", "n", "i", "root")])
-    y = own.select("gram", *[F.col(c).alias(f"{c}_y") for c in ("print", "n", "i", "root")])
-    # every pair of different components once: with the hub's component, or by order of rows
+    # documents of one set are one row of the matrix
+    matrix = (signs.filter("n_shingles > 0").groupBy("print")
+              .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare")))
+    matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
+    entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
+    columns = entries.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a != b")
+    rare = written(entries.join(columns.select("gram"), "gram"), "grams-rare")
+
+    links, own = None, rare.withColumn("root", F.col("id"))
+    for turn in range(TURNS):
+        more = verified(stars(own, turn), matrix, docs, words, percent)
+        links = more if links is None else links.unionByName(more)
+        own = written(rooted(rare, links), "grams-split")
+
+    # what is left: every pair of different components, made once.  Documents outside a column's
+    # largest component meet all others in it.
+    sizes = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
+    hub = sizes.groupBy("gram").agg(F.max_by("root", F.col("k")).alias("hub"))
+    sized = own.join(matrix.select("id", "n"), "id")
+    x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "i", "root")])
+    y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "i", "root")])
+    need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
     met = (x.join(y, "gram").filter(
-        (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("print_x") < F.col("print_y")))
+        (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
         & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
-        .select(F.least("print_x", "print_y").alias("a"), F.greatest("print_x", "print_y").alias("b"),
+        .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
                 (F.col("n_x") + F.col("n_y")).alias("sizes"),
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
         .groupBy("a", "b", "sizes").agg(F.count("*").alias("common"), F.min("left").alias("left"))
-        # Jaccard >= p% asks for an overlap of p / (100 + p) of both sizes
-        .filter((F.col("common") + F.col("left")) * (100 + percent) >= percent * F.col("sizes")))
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(met.select("a", "b").join(tried, ["a", "b"], "left_anti"), rows, percent)
-    parts = components(links.unionByName(more))
-    least = (least.join(parts.withColumnRenamed("v", "print"), "print", "left")
-             .withColumn("root", F.coalesce("root", "print")))
-    lowest = least.groupBy("root").agg(F.min("least").alias("component_id"))
+        .filter(F.col("common") + F.col("left") >= need).select("a", "b"))
+    links = links.unionByName(verified(met, matrix, docs, words, percent))
+    parts = components(links)
+    least = (matrix.select("id", "print", "doc_id").join(parts.withColumnRenamed("v", "id"), "id", "left")
+             .withColumn("root", F.coalesce("root", "id")))
+    lowest = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = least.join(lowest, "root").select(F.col("print").alias("p"), "component_id", F.col("root").alias("group"))
     out = signs.select("doc_id", *carry, "n_shingles", "print").join(named, F.col("print") == F.col("p"), "left")
     return out.select("doc_id", *carry, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
