@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, rest_of, sampled, text_of
+from tidemark.llm.common import by_value, rest_of, sampled, text_of, written
 
 by_value(__name__)
 
@@ -52,11 +52,17 @@ QUOTES = frozenset("\"“”«»")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”«»]")
 END = re.compile(r"[.!?;\n]")
 
-#: A hit is an insult or a threat; aimed, negated, reported or not: 16 patterns, in this order of bits.
+#: A hit is an insult or a threat; aimed, negated, reported or not: 16 patterns, in this order of
+#: bits.  Beside their numbers a text has the weight of its strongest arc and its different hits.
 PATTERNS = 16
-#: What each mark is worth before any label is seen: log odds of a single clause.
-PRIOR = np.array([3.0 + 1.0 * (k >> 1 & 1) - 2.0 * (k >> 2 & 1) - 1.5 * (k >> 3 & 1)
-                  for k in range(PATTERNS)])
+FEATURES = PATTERNS + 2
+#: What each is worth before any label is seen: log odds of a single clause.
+PRIOR = np.array([2.0 + 1.0 * (k >> 1 & 1) - 1.5 * (k >> 2 & 1) - 1.0 * (k >> 3 & 1)
+                  for k in range(PATTERNS)] + [0.5, 0.5])
+#: Weight of an arc of the fixed words; learned arcs have their log odds, up to MOST_WEIGHT.
+ARC, MOST_WEIGHT = 3.0, 6.0
+#: A beginning is an insult if it is so much more frequent in toxic texts, and surely so.
+RATIO, SURE = 20.0, 30.0
 
 
 @dataclass
@@ -74,29 +80,35 @@ class Reader:
         import ahocorasick
         self.words = grammar.words
         self.net = ahocorasick.Automaton()
-        for s in grammar.stems:
-            self.net.add_word(s, (len(s), False, 0))
+        for s, weight in grammar.stems.items():
+            self.net.add_word(s, (len(s), False, 0, min(weight, MOST_WEIGHT)))
         for words, kind in ((grammar.words, 0), (THREAT, 1)):
             for w in words:
-                self.net.add_word(w, (len(w), True, kind))
+                self.net.add_word(w, (len(w), True, kind, ARC))
         self.net.make_automaton()
 
-    def hits(self, low: str) -> list[tuple[int, int, int]]:
-        """(start, end, kind) of words that are an insult or a threat, or begin like one."""
+    def hits(self, low: str) -> list[tuple[int, int, int, float]]:
+        """(start, end, kind, weight) of words that are an insult or a threat, or begin like one;
+        of arcs for one word the strongest."""
         found = []
-        for last, (n, whole, kind) in self.net.iter(low):
+        for last, (n, whole, kind, weight) in self.net.iter(low):
             a, b = last - n + 1, last + 1
             if (a and low[a - 1].isalpha()) or (whole and b < len(low) and low[b].isalpha()):
                 continue
             if not found or found[-1][0] != a:
-                found.append((a, b, kind))
+                found.append((a, b, kind, weight))
+            elif weight > found[-1][3]:
+                found[-1] = (a, b, kind, weight)
         return found
 
     def patterns(self, text: str) -> list[tuple[int, int, int]]:
         """(start, end, pattern) of each hit of a text."""
         low = text.lower()
+        return self.marked(low, self.hits(low))
+
+    def marked(self, low: str, hits) -> list[tuple[int, int, int]]:
         out = []
-        for a, b, kind in self.hits(low):
+        for a, b, kind, _ in hits:
             before = END.split(low[max(0, a - REACH):a])[-1]
             after = END.split(low[b:b + REACH], maxsplit=1)[0]
             negated = reported = aimed = False
@@ -113,10 +125,15 @@ class Reader:
         return out
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), PATTERNS))
+        out = np.zeros((len(texts), FEATURES))
         for i, t in enumerate(texts):
-            for _, _, p in self.patterns(t):
-                out[i, p] += 1
+            low = t.lower()
+            hits = self.hits(low)
+            if hits:
+                for _, _, p in self.marked(low, hits):
+                    out[i, p] += 1
+                out[i, PATTERNS] = 2 ** max(w for *_, w in hits) - 1  # the logarithm is taken later
+                out[i, PATTERNS + 1] = len({low[a:b] for a, b, *_ in hits})
         return out
 
 
@@ -133,7 +150,7 @@ def fit(counts: np.ndarray, toxic: np.ndarray, share: float) -> tuple[np.ndarray
     x = np.log2(1 + counts)
     each = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     w, b = PRIOR.copy(), math.log(share / (1 - share))
-    m, v = np.zeros(PATTERNS + 1), np.zeros(PATTERNS + 1)
+    m, v = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     for t in range(1, 801):
         p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
         e = each * (p - toxic)
@@ -165,26 +182,33 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE,
     some = (sampled(known.filter("toxic = 1"), toxic_sample, "doc_id")
             .unionByName(sampled(known.filter("toxic = 0"), clean_sample, "doc_id")))
     texts = docs.select("doc_id", text_of().alias("text")).join(some, "doc_id").select("text", "toxic")
-    words = F.array_distinct(F.expr(r"regexp_extract_all(lower(text), r'\p{L}+', 0)"))
-    starts = F.array_distinct(F.flatten(F.transform(words, lambda w: F.array(
+    texts = written(texts, "toxic-texts")  # a bounded sample, read three times
+    # near copies count once: texts of one class with the same least 3-word shingle
+    every = F.expr(r"regexp_extract_all(lower(text), r'\p{L}+', 0)")
+    copy = F.coalesce(F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size("all") - 3, F.lit(0))),
+                                              lambda i: F.xxhash64(F.slice("all", i + 1, 3)))), F.lit(0))
+    starts = F.array_distinct(F.flatten(F.transform(F.array_distinct("all"), lambda w: F.array(
         *[F.when(F.length(w) >= k, F.substring(w, 1, k)) for k in STEMS]))))
-    total = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    seen = texts.withColumn("all", every).select("toxic", copy.alias("copy"), starts.alias("starts"))
+    # a text for each: which of the copies doesn't matter
+    seen = written(seen.groupBy("toxic", "copy").agg(F.first("starts").alias("starts")), "toxic-starts")
+    total = {r["toxic"]: r["n"] for r in seen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = total.get(1, 0), total.get(0, 0)
     if not pos or not neg:
         return Grammar()
-    stems = (texts.select("toxic", F.explode(starts).alias("s")).filter("s is not null").groupBy("s")
+    stems = (seen.select("toxic", F.explode("starts").alias("s")).filter("s is not null").groupBy("s")
              .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-             .filter((F.col("a") >= 5) & (F.col("a") * neg >= 20.0 * F.col("b") * pos))
+             .filter((F.col("a") >= 5) & (F.col("a") * neg >= RATIO * F.col("b") * pos))
              .orderBy(F.desc("a"), F.length("s"), "s").limit(MOST_STEMS).collect())
     kept: dict[str, float] = {}
     for r in stems:
         s, a, b = r["s"], int(r["a"]), int(r["b"])
-        if surprise(a, pos, b, neg) >= 30 and not any(s[:k] in kept for k in STEMS if k < len(s)):
+        if surprise(a, pos, b, neg) >= SURE and not any(s[:k] in kept for k in STEMS if k < len(s)):
             kept[s] = math.log((a + 0.5) / (pos + 1)) - math.log((b + 0.5) / (neg + 1))
     grammar = Grammar(stems=kept)
     run = counter(grammar)
     rows = texts.mapInArrow(run, T.StructType([T.StructField("c", T.BinaryType()), T.StructField("toxic", T.BinaryType())])).collect()
-    counts = np.concatenate([np.frombuffer(r["c"], np.float64).reshape(-1, PATTERNS) for r in rows])
+    counts = np.concatenate([np.frombuffer(r["c"], np.float64).reshape(-1, FEATURES) for r in rows])
     toxic = np.concatenate([np.frombuffer(r["toxic"], np.int64) for r in rows])
     grammar.weights, grammar.bias = fit(counts, toxic, n[1] / (n[0] + n[1]))
     return grammar
@@ -215,7 +239,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar) -> DataFrame:
         for batch in batches:
             c = reader.counts([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(scores(grammar, c)), pa.array(c.sum(1).astype(np.int64))],
+                [*(batch.column(k) for k in keep), pa.array(scores(grammar, c)), pa.array(c[:, :PATTERNS].sum(1).astype(np.int64))],
                 [*keep, *out])
 
     return docs.select(*keep).mapInArrow(run, T.StructType(
