@@ -256,6 +256,22 @@ def test_jaccard_join(spark):
     assert jaccard_join(docs(spark).limit(0)).count() == 0
 
 
+def test_repeated_columns_across_batches(spark):
+    from tidemark.llm.ngram_join import repeated
+    rng = np.random.default_rng(8)
+    rows = [(int(g), i, 0) for i, g in enumerate(rng.integers(0, 400, 500))]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size in ("1", "2", "7", "10000"):
+            spark.conf.set(key, size)
+            got = repeated(spark.createDataFrame(rows, "gram long, id long, i int").repartition(3)).collect()
+            often = Counter(g for g, _, _ in rows)
+            assert sorted(map(tuple, got)) == sorted(r for r in rows if often[r[0]] > 1)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_context_mix(spark):
     from tidemark.llm.context_mix import score_texts
     rng = np.random.default_rng(5)

@@ -37,6 +37,8 @@ WORDS, PERCENT = 3, 90
 BITS = 18
 #: Bits of the sieve that picks texts to read again.
 SIEVE_BITS = 23
+#: Documents that a task compares with one centre, about.
+STAR = 512
 #: Times that columns multiply by a centre before all remaining pairs are made.
 TURNS = 2
 #: Word hashes a task keeps; the store is emptied when it is full.
@@ -128,37 +130,49 @@ def sieve_bit(doc_id):
     return F.pmod(F.xxhash64(F.lit("sieve"), doc_id), F.lit(1 << SIEVE_BITS))
 
 
-def whole_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """id, grams (the whole set, packed) of the rows of the matrix in ``wanted`` (id, print,
-    doc_id).  No text is shuffled: tasks pass over the texts and keep what the sieve lets by."""
+def sifted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and text of documents that ``wanted`` may ask for.  Tasks pass over the texts and
+    keep what the sieve lets by, so that few texts are shuffled after."""
     bits = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
 
     def run(batches):
-        import xxhash
-        shingles, held = shingler(words), bits.value
+        held = bits.value
         for batch in batches:
             at = batch.column("bit").to_numpy()
             let = (held[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            sets = [np.unique(shingles(t)).tobytes() for t in batch.column("text").filter(pa.array(let)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
-                                              pa.array(sets, pa.binary())], ["print", "grams"])
+            yield batch.select(["doc_id", "text"]).filter(pa.array(let))
+
+    return docs.select(sieve_bit(F.col("doc_id")).alias("bit"), "doc_id", "text").mapInArrow(
+        run, T.StructType([docs.schema["doc_id"], T.StructField("text", T.StringType())]))
+
 
-    found = docs.select(sieve_bit(F.col("doc_id")).alias("bit"), "text").mapInArrow(run, "print binary, grams binary")
-    return written(found.join(wanted.select("id", "print"), "print").select("id", "grams").dropDuplicates(["id"]), "grams-rows")
+def repeated(entries: DataFrame) -> DataFrame:
+    """The entries (gram, id, i) of columns with more than one: one shuffle, one pass in order."""
+    def run(batches):
+        held, sent = None, False  # the last row so far, and whether it was sent: the next may equal it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            gram = batch.column("gram").to_numpy()
+            same = gram[1:] == gram[:-1]
+            keep = np.append(same, False) | np.insert(same, 0, False)
+            keep[0] &= not sent
+            yield batch.filter(pa.array(keep))
+            held, sent = batch.slice(len(gram) - 1), bool(len(same) and same[-1])
 
+    return entries.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, id long, i int")
 
-def overlapping(pairs: DataFrame, rows: DataFrame, column: str, keep) -> DataFrame:
-    """Of ``pairs`` (a, b), those whose rows (id, ``column``) overlap enough; ``keep`` takes both
-    rows as arrays of numbers."""
-    x, y = (rows.select(F.col("id").alias(k), F.col(column).alias(c), F.col("n").alias(f"n{c}")) for k, c in (("a", "x"), ("b", "y")))
 
-    def values(v) -> np.ndarray:
-        return np.frombuffer(v.as_buffer(), np.uint64) if isinstance(v, pa.BinaryScalar) else v.values.to_numpy()
+def overlapping(pairs: DataFrame, matrix: DataFrame, keep) -> DataFrame:
+    """Of ``pairs`` (a, b), those whose rare columns overlap enough, as ``keep`` says."""
+    x, y = (matrix.select(F.col("id").alias(k), F.col("rare").alias(c), F.col("n").alias(f"n{c}")) for k, c in (("a", "x"), ("b", "y")))
 
     def run(batches):
         for batch in batches:
             cols = [batch.column(c) for c in ("x", "y", "nx", "ny")]
-            ok = [keep(values(u), values(v), m.as_py(), n.as_py()) for u, v, m, n in zip(*cols)]
+            ok = [keep(u.values.to_numpy(), v.values.to_numpy(), m.as_py(), n.as_py()) for u, v, m, n in zip(*cols)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long")
@@ -193,11 +207,42 @@ def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, p
         both = common(x, y)
         return 100 * both >= percent * (m + n - both)
 
-    left = written(overlapping(pairs, matrix, "rare", rare), "grams-left")
-    ends = left.select(F.col("a").alias("id")).unionByName(left.select(F.col("b").alias("id"))).distinct()
-    wanted = written(matrix.join(ends, "id", "left_semi").select("id", "print", "doc_id", "n"), "grams-wanted")
-    rows = whole_rows(docs, wanted, words).join(wanted.select("id", "n"), "id")
-    return written(overlapping(left, rows, "grams", whole), "grams-links")
+    left = written(overlapping(pairs, matrix, rare), "grams-left")
+    # the texts of a star meet in its centre's task; large stars are parted, the centre goes along
+    stars = left.groupBy("b").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    mine = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    asked = left.join(stars, "b").select(F.col("a").alias("id"), F.col("b").alias("star"), mine.alias("part"), F.lit(1).alias("ray"))
+    asked = asked.unionByName(stars.select(F.col("b").alias("id"), F.col("b").alias("star"), F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("ray")))
+    asked = written(asked.join(matrix.select("id", "print", "doc_id", "n"), "id"), "grams-asked")
+
+    def run(batches):
+        import xxhash
+        shingles = shingler(words)
+        where, centre, seen = None, None, None
+        for batch in batches:
+            a, b = [], []
+            for r in batch.to_pylist():
+                if (r["star"], r["part"]) != where:
+                    where, centre, seen = (r["star"], r["part"]), None, None
+                if r["ray"] == 1 and (centre is None or r["id"] == seen):
+                    continue
+                s = np.unique(shingles(r["text"]))
+                if xxhash.xxh3_128_digest(s.tobytes()) != r["print"]:
+                    continue  # another text under the same doc_id
+                if r["ray"] == 0:
+                    centre = s
+                    continue
+                seen = r["id"]
+                if whole(s, centre, len(s), len(centre)):
+                    a.append(r["id"])
+                    b.append(r["star"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    texts = sifted(docs, asked).withColumnRenamed("doc_id", "of")
+    rows = asked.join(texts, F.col("doc_id").eqNullSafe(F.col("of"))).select("star", "part", "ray", "id", "print", "text")
+    met = rows.repartition("star", "part").sortWithinPartitions("star", "part", "ray", "id")
+    return written(met.mapInArrow(run, "a long, b long"), "grams-links")
 
 
 def rooted(rare: DataFrame, links: DataFrame) -> DataFrame:
@@ -236,8 +281,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
               .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare")))
     matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
     entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
-    columns = entries.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a != b")
-    rare = written(entries.join(columns.select("gram"), "gram"), "grams-rare")
+    rare = written(repeated(entries.select("gram", "id", "i")), "grams-rare")
 
     links, own = None, rare.withColumn("root", F.col("id"))
     for turn in range(TURNS):
