@@ -12,7 +12,9 @@ A piece gets its place from its rank among pieces of its length.  Ranks come fro
 
 from __future__ import annotations
 
+import os
 import zlib
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ SIZE = 2048
 #: Hash buckets of a length; a length with 40 billion pieces makes 10 million rows in each.
 BUCKETS = 4096
 #: Chunks of text whose ids a worker keeps; the store is emptied when it is full.
-KEPT = 400_000
+KEPT = 1_000_000
 
 
 def encoder(path: str):
@@ -35,28 +37,49 @@ def encoder(path: str):
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its
     chunks.  Chunks recur: their ids are kept, in a store that later tasks of the same worker
-    find again.  A chunk of letters with a full stop or comma behind is two such chunks."""
+    find again.  A chunk of letters with a full stop or comma behind is two such chunks.  New
+    chunks of letters are encoded many at a time: each ends with the one id that ends a word."""
     import tokenizers
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     store = tokenizers.__dict__.setdefault("_kept_chunks", {})
-    tok, kept = store.get(path) or store.setdefault(path, (tokenizers.Tokenizer.from_file(path), {}))
+    if path not in store:
+        tok = tokenizers.Tokenizer.from_file(path)
+        suffix = getattr(tok.model, "end_of_word_suffix", None)
+        ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
+        for word, i in tok.get_vocab().items():
+            ends[i] = bool(suffix) and word.endswith(suffix)
+        store[path] = tok, ends, {}
+    tok, ends, kept = store[path]
 
-    def learn(chunks) -> None:
-        asked = {}
-        for c in chunks:
-            core = c[:-1]
-            if c[-1:] in (b".", b",") and len(c) > 1:
-                s = core.decode()
-                if s.isalpha() and max(s) < "\u0500":
-                    asked[c] = core
-                    continue
-            asked[c] = None
-        alone = list({core or c for c, core in asked.items() if (core or c) not in kept}
-                     | ({c[-1:] for c, core in asked.items() if core} - kept.keys()))
-        for c, e in zip(alone, tok.encode_batch([c.decode() for c in alone], add_special_tokens=False)):
+    def letters(chunk: bytes) -> bool:
+        if chunk.isascii():
+            return chunk.isalpha()
+        s = chunk.decode()
+        return s.isalpha() and s.lower().isalpha() and max(s) < "\u0500"
+
+    def one_by_one(chunks: list[bytes]) -> None:
+        for c, e in zip(chunks, tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)):
             kept[c] = np.array(e.ids, "<u4").tobytes()
-        for c, core in asked.items():
-            if core:
-                kept[c] = kept[core] + kept[c[-1:]]
+
+    def learn(chunks) -> None:
+        parted = {c: c[:-1] for c in chunks if c[-1:] in (b".", b",") and len(c) > 1 and letters(c[:-1])}
+        new = ({parted.get(c, c) for c in chunks} | {c[-1:] for c in parted}) - kept.keys()
+        plain = list(filter(letters, new)) if ends.any() else []
+        one_by_one(list(new.difference(plain)))
+        runs = [plain[k:k + 500] for k in range(0, len(plain), 500)]
+        coded = tok.encode_batch_fast([b" ".join(r).decode() for r in runs], add_special_tokens=False)
+        for some, e in zip(runs, coded):
+            ids = np.array(e.ids, "<u4")
+            upto = np.flatnonzero(ends[ids]) + 1
+            if len(upto) != len(some) or upto[-1] != len(ids):
+                one_by_one(some)
+                continue
+            data, at = ids.tobytes(), 0
+            for c, n in zip(some, (4 * upto).tolist()):
+                kept[c] = data[at:n]
+                at = n
+        for c, core in parted.items():
+            kept[c] = kept[core] + kept[c[-1:]]
 
     def encode(texts: list[str]) -> list[bytes]:
         # the tokenizer lowers case itself; special tokens are matched before it does
@@ -72,12 +95,22 @@ def encoder(path: str):
 
 
 def plan(count: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Patterns (times, [(length, how many)]) that use up ``count`` (length -> pieces)."""
+    """Patterns (times, [(length, how many)]) that use up ``count`` (length -> pieces): the best of
+    four plans, which look for exact complements of up to 0, 1, 2 and 3 pieces before best fit.
+    Where long pieces abound, each takes a sequence anyway, and small ones are better kept for them."""
+    plans = [complements(count, size, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: sum(times for times, _ in p))
+
+
+def complements(count: dict[int, int], size: int, most: int):
+    """A plan that fills gaps exactly with up to ``most`` pieces where it can, by number of pieces
+    and the longest length first, then fits what is left."""
     have = np.zeros(size + 1, np.int64)
     for length, n in count.items():
         have[length] = n
     out: list[tuple[int, list[tuple[int, int]]]] = []
-    pairs = {"sums": None}
+    there = (have > 0).astype(np.int64)
+    sums = np.convolve(there, there)  # index of pair sums: how many (x, y) in stock have each
 
     def take(lengths: list[int]) -> bool:
         items = sorted({x: lengths.count(x) for x in lengths}.items(), reverse=True)
@@ -87,50 +120,70 @@ def plan(count: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[
             for x, k in items:
                 have[x] -= times * k
                 if not have[x]:
-                    pairs["sums"] = None
+                    sums[x:x + size + 1] -= 2 * there
+                    sums[2 * x] += 1
+                    there[x] = 0
         return times > 0
 
-    def pair(total: int, also: list[int]) -> bool:
-        """Take a pair of that sum (the longest length first) beside ``also``."""
-        low = np.arange(1, total // 2 + 1)
-        for a in low[(have[low] > 0) & (have[total - low] > 0)]:
-            if take([*also, int(total - a), int(a)]):
-                return True
-        return False
+    def single(gap: int, also: list[int]) -> bool:
+        return bool(have[gap]) and take([*also, gap])
+
+    def pair(gap: int, also: list[int]) -> bool:
+        """The pair of the longest length first."""
+        low = np.arange(1, gap // 2 + 1)
+        return any(take([*also, int(gap - a), int(a)]) for a in low[(have[low] > 0) & (have[gap - low] > 0)])
 
     def triple(gap: int, also: list[int]) -> bool:
-        if pairs["sums"] is None:
-            there = (have > 0).astype(np.float32)
-            pairs["sums"] = np.convolve(there, there)[:size + 1] > 0.5
-        first = np.arange(1, gap - 1)
-        for b in first[(have[first] > 0) & pairs["sums"][gap - first]][::-1]:
-            if pair(int(gap - b), [*also, int(b)]):
-                return True
-        return False
+        first = np.arange(1, max(1, gap - 1))
+        return any(pair(int(gap - b), [*also, int(b)]) for b in first[(have[first] > 0) & (sums[gap - first] > 0)][::-1])
 
     if have[size]:
         take([size])
-    for a in range(size - 1, 0, -1):
-        gap = size - a
-        while have[a] and ((have[gap] and take([a, gap])) or pair(gap, [a]) or triple(gap, [a])):
-            pass
-    while have.any():
-        used: dict[int, int] = {}
-        gap = size
-        left = have.copy()
-        while gap:
-            fits = np.flatnonzero(left[:gap + 1])
-            if not len(fits):
-                break
-            b = int(fits[-1])
-            k = int(min(gap // b, left[b])) if used else 1
-            used[b] = used.get(b, 0) + k
-            left[b] -= k
-            gap -= k * b
-        take([x for x, k in used.items() for _ in range(k)])
+    for find in (single, pair, triple)[:most]:
+        for a in range(size - 1, 0, -1):
+            while have[a] and find(size - a, [a]):
+                pass
+    fit(have, size, out)
     return out
 
 
+def fit(have: np.ndarray, size: int, out: list) -> None:
+    """Best fit, the longest first, of all pieces of a length at once.  ``open_`` holds the patterns
+    begun, by gap: a length goes to the smallest gap it fits in; a pattern of which only some
+    sequences get a piece is parted in two."""
+    gaps: list[int] = []
+    open_: dict[int, list[list]] = {}
+
+    def put(gap: int, times: int, items: dict[int, int]) -> None:
+        if gap not in open_:
+            insort(gaps, gap)
+        open_.setdefault(gap, []).append([times, items])
+
+    for x in np.flatnonzero(have)[::-1]:
+        x, left = int(x), int(have[x])
+        while left:
+            at = bisect_left(gaps, x)
+            if at == len(gaps):
+                k = min(size // x, left)
+                put(size - k * x, left // k, {x: k})
+                if left % k:
+                    put(size - left % k * x, 1, {x: left % k})
+                left = 0
+                break
+            gap = gaps[at]
+            times, items = open_[gap].pop()
+            if not open_[gap]:
+                del open_[gap], gaps[at]
+            k = min(gap // x, left)  # so many in each sequence: what is left fits no better elsewhere
+            n = min(times, left // k)
+            if n < times:
+                put(gap, times - n, items)
+            put(gap - k * x, n, items | {x: items.get(x, 0) + k})
+            left -= n * k
+        have[x] = 0
+    out += [(times, sorted(items.items(), reverse=True)) for some in open_.values() for times, items in some]
+
+
 def places(patterns) -> tuple[np.ndarray, ...]:
     """The plan by length and rank: key (length << 44 | first rank), first sequence, pieces of
     that length in a sequence, first offset."""
