@@ -7,8 +7,9 @@ overlaps.  Only entries that can reach the threshold t are made:
   t * |x| n-grams, so one of the first |x| - ceil(t |x|) + 1 columns of x.  The product over
   these columns (the rare block) meets every pair that can link.
 * Overlaps are summed up per pair with the last common places i and j; a pair is dropped if
-  overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for, or if it shares fewer
-  rare columns than two such sets must.
+  overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for, if it shares fewer
+  rare columns than two such sets must, or if one surely lacks more of the other's rare columns
+  than they may differ by.
 * For the pairs that are left, the other block is multiplied: whole rows, exact overlap.
 
 Documents with the same set are one row of A.  The frequencies that order columns are those of
@@ -198,10 +199,23 @@ def least_rare(m: int, n: int, percent: int) -> int:
     return max(1, min(first(m) - m + need, first(n) - n + need))
 
 
-def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def surely_missing(x: np.ndarray, y: np.ndarray, order: np.ndarray) -> tuple[int, int]:
+    """Of the first columns of two rows, how many both have, and how many of x the other surely
+    lacks: those not among the first of y though they come before the last of these."""
+    low = np.sort(y)
+    has = low[np.minimum(np.searchsorted(low, x), len(low) - 1)] == x
+    f, last = order[x >> np.uint64(64 - BITS)], order[y[-1] >> np.uint64(64 - BITS)]
+    before = (f < last) | ((f == last) & (x < y[-1]))
+    return int(has.sum()), int((before & ~has).sum())
+
+
+def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, percent: int, order: np.ndarray) -> DataFrame:
     """Of ``pairs``, those that link: first by their rare columns, then by whole rows."""
     def rare(x, y, m, n):
-        return common(np.sort(x), np.sort(y)) >= least_rare(m, n, percent)
+        x, y = x.view(np.uint64), y.view(np.uint64)
+        both, x_only = surely_missing(x, y, order)
+        need = least_overlap(m, n, percent)
+        return both >= least_rare(m, n, percent) and x_only <= m - need and surely_missing(y, x, order)[1] <= n - need
 
     def whole(x, y, m, n):
         both = common(x, y)
@@ -275,7 +289,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     one doc_id and other texts are documents of their own.  A null doc_id is never the smallest.
     Empty table: empty result."""
     docs = docs.select("doc_id", *carry, text_of().alias("text"))
-    signs = written(signatures(docs, frequencies(docs, words), words, percent), "grams-signs")
+    order = frequencies(docs, words)
+    signs = written(signatures(docs, order, words, percent), "grams-signs")
     # documents of one set are one row of the matrix
     matrix = (signs.filter("n_shingles > 0").groupBy("print")
               .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare")))
@@ -285,7 +300,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     links, own = None, rare.withColumn("root", F.col("id"))
     for turn in range(TURNS):
-        more = verified(stars(own, turn), matrix, docs, words, percent)
+        more = verified(stars(own, turn), matrix, docs, words, percent, order)
         links = more if links is None else links.unionByName(more)
         own = written(rooted(rare, links), "grams-split")
 
@@ -305,7 +320,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
         .groupBy("a", "b", "sizes").agg(F.count("*").alias("common"), F.min("left").alias("left"))
         .filter(F.col("common") + F.col("left") >= need).select("a", "b"))
-    links = links.unionByName(verified(met, matrix, docs, words, percent))
+    links = links.unionByName(verified(met, matrix, docs, words, percent, order))
     parts = components(links)
     least = (matrix.select("id", "print", "doc_id").join(parts.withColumnRenamed("v", "id"), "id", "left")
              .withColumn("root", F.coalesce("root", "id")))
