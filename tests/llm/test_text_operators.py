@@ -303,18 +303,19 @@ def test_context_mix(spark):
 def test_choices_make_a_probability():
     """Over all next bytes, the code's choices sum to one: a byte's bits are a path to one leaf."""
     from tidemark.llm.context_mix import Code
-    code = Code(np.arange(256)[::-1] ** 2 + 1)
-    assert sum(2.0 ** -int(n) for n in code.length) == 1.0
-    at = [slice(a, a + n) for a, n in zip(code.first, code.length)]
-    paths = {tuple(zip(code.node[s].tolist(), code.turn[s].tolist())) for s in at}
-    assert len(paths) == 256
+    code = Code(np.random.default_rng(9).integers(1, 10 ** 6, (256, 256)) ** 3)
+    for other in (0, 32, 97, 255):
+        length, first = (x[256 * other:256 * other + 256] for x in (code.length, code.first))
+        assert sum(2.0 ** -int(n) for n in length) == 1.0
+        at = [slice(a, a + n) for a, n in zip(first, length)]
+        assert len({tuple(zip(code.node[s].tolist(), code.turn[s].tolist())) for s in at}) == 256
 
 
 def test_score_does_not_depend_on_the_batch():
     from tidemark.llm.context_mix import GATES, ORDERS, SLOTS, Code, Model
     rng = np.random.default_rng(6)
-    model = Model(Code(np.ones(256, np.int64)), rng.normal(0, 1, SLOTS).astype(np.float32),
-                  np.full((GATES, len(ORDERS) + 1), 0.3, np.float32))
+    model = Model(Code(np.ones((256, 256), np.int64)), rng.integers(-99, 99, SLOTS).astype(np.int8),
+                  np.full((GATES, len(ORDERS)), 0.3, np.float32))
     texts = ["abc def", "", LONG[:5000], "äöü", "abc def"]
     together = model.score(texts)[0]
     alone = np.array([model.score([t])[0][0] for t in texts])
