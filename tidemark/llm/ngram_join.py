@@ -40,8 +40,9 @@ BITS = 18
 SIEVE_BITS = 23
 #: Documents that a task compares with one centre, about.
 STAR = 512
-#: Times that columns multiply by a centre before all remaining pairs are made.
-TURNS = 2
+#: Times at most that columns multiply by a centre before all remaining pairs are made; they end
+#: earlier once a turn links fewer than one in WORTH documents.
+TURNS, WORTH = 5, 50
 #: Word hashes a task keeps; the store is emptied when it is full.
 KEPT = 500_000
 
@@ -298,11 +299,14 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
     rare = written(repeated(entries.select("gram", "id", "i")), "grams-rare")
 
-    links, own = None, rare.withColumn("root", F.col("id"))
+    links, own, rows = None, rare.withColumn("root", F.col("id")), matrix.count()
     for turn in range(TURNS):
         more = verified(stars(own, turn), matrix, docs, words, percent, order)
         links = more if links is None else links.unionByName(more)
-        own = written(rooted(rare, links), "grams-split")
+        # components only grow, so a column that meets one stays out
+        own = written(rooted(own.select("gram", "id", "i"), links), "grams-split")
+        if more.count() * WORTH < rows:
+            break
 
     # what is left: every pair of different components, made once.  Documents outside a column's
     # largest component meet all others in it.
@@ -312,9 +316,13 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "i", "root")])
     y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "i", "root")])
     need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
+    # at a common column at places i and j, the overlap is at most min(i, j) before, 1, and what
+    # the shorter rest allows after it
+    most = (F.least("i_x", "i_y") + 1 + F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1))
     met = (x.join(y, "gram").filter(
         (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
-        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+        & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
                 (F.col("n_x") + F.col("n_y")).alias("sizes"),
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
