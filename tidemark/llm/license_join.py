@@ -1,8 +1,10 @@
 """Licence scan: an exact set-similarity join of text blocks with licence templates.
 
 A block is a line of a text; a line of over ``BLOCK`` words gives overlapping blocks, so that
-every run of ``BLOCK // 2`` words lies whole in one.  A block meets a template if it holds at
-least ``THRESHOLD`` of the template's distinct words.  The join finds all such pairs:
+every run of ``BLOCK // 2`` words lies whole in one.  With ``wrapped``, the words of the whole text
+give such overlapping blocks too, so a notice that is wrapped over lines is met like one on a line.
+A block meets a template if it holds at least ``THRESHOLD`` of the template's distinct words.  The
+join finds all such pairs:
 
 * words of no template can't add to an overlap, so a block is the set of its template words;
 * words are ordered by frequency over all blocks, rare first;
@@ -63,11 +65,12 @@ def words_in(text: Column) -> Column:
 
 
 def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
-                 block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK, wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_words,
     n_base, first_word, last_word, base_labels, labels, score, matches (label, containment of
     each template met).  ``labels`` are the base labels and those of the templates met; ``score``
-    is 1 where there is a base label, else the greatest containment, else 0.
+    is 1 where there is a base label, else the greatest containment, else 0.  ``wrapped`` adds the
+    blocks that cross line ends.
 
     Null or empty text: no words, no labels, score 0.  Repeated rows and ids stay rows of their
     own.  Empty table: empty result."""
@@ -85,11 +88,14 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
 
     lines = F.filter(F.transform(F.split(F.lower(text_of()), "\n", -1),
                                  lambda x: F.trim(F.regexp_replace(x, GAPS, "  "))), lambda x: x != "")
+    cuts = F.flatten(F.transform("lines", cut))
+    if wrapped:  # where there is one line, its blocks are those of the text
+        cuts = F.when(F.size("lines") > 1, F.concat(cuts, cut(F.trim("whole")))).otherwise(cuts)
     t = (docs.select("doc_id", lines.alias("lines"))
          .withColumn("whole", F.when(F.size("lines") == 0, "").otherwise(
              F.concat(F.lit(" "), F.array_join("lines", "  "), F.lit(" "))))
          .select("doc_id", "whole", words_in(F.col("whole")).alias("n_words"),
-                 F.filter(F.flatten(F.transform("lines", cut)), lambda b: F.size(b) >= min(need)).alias("blocks"),
+                 F.filter(cuts, lambda b: F.size(b) >= min(need)).alias("blocks"),
                  *[count_of(F.col("whole"), p).alias(f"n{i}") for i, (p, _) in enumerate(PHRASES)]))
     first, last, labels = [], [], []
     for i, (p, label) in enumerate(PHRASES):
