@@ -35,3 +35,24 @@ def test_license_scan_of_wrapped_notices(spark):
         assert ",".join(sorted(found)) == got[i]["labels"] and set(filter(None, [label])) <= found, i
     assert [by_line[i] for i in (1, 2, 3, 4)] == [""] * 4
     assert license_scan(table.limit(0), wrapped=True).count() == 0
+
+
+def test_context_tables_grow_with_the_corpus(spark):
+    """Slots follow the contexts in the texts, and tables counted in parts are those counted at once."""
+    from tidemark.llm.context_mix import BLOCK, Code, bases, context_odds, contexts, normal, pair_counts, path_of, slots_of, table_bits
+    rng = np.random.default_rng(10)
+    texts = ["".join(rng.choice(list("abcdefgh  "), 4000)) for _ in range(40)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    code = Code(pair_counts(d) * 256 + 1)
+    least = (10, 10, 10)
+    few, many = table_bits(d.limit(1), code, least), table_bits(d, code, least)
+    assert all(a < b for a, b in zip(few[1:], many[1:])) and all(a >= b for a, b in zip(many, least))
+    byte, hashes, _ = contexts([normal(t) for t in texts])
+    place, length = path_of(byte, code)
+    for bits, h in zip(many, hashes):  # as many slots as choices met, or all but as many: it is an estimate
+        met = len(np.unique(np.repeat(h, length).astype(np.int64) << 17 | code.node[place]))
+        assert 2 ** bits >= 0.7 * met
+    whole = context_odds(d, code, many)
+    assert len(whole) == bases(many)[-1] and (whole != 0).sum() > 1000
+    assert (context_odds(d, code, many, counted=int(-(-len(whole) // 3 // BLOCK) + 1) * BLOCK) == whole).all()
+    assert (slots_of(many[1], hashes[1], length, code.key[place]) < 1 << many[1]).all()
