@@ -56,3 +56,34 @@ def test_context_tables_grow_with_the_corpus(spark):
     assert len(whole) == bases(many)[-1] and (whole != 0).sum() > 1000
     assert (context_odds(d, code, many, counted=int(-(-len(whole) // 3 // BLOCK) + 1) * BLOCK) == whole).all()
     assert (slots_of(many[1], hashes[1], length, code.key[place]) < 1 << many[1]).all()
+
+
+def test_learning_goes_on_to_the_end_of_a_text():
+    """Weights, the constant's too, and the map are carried along: plain loops over one text at a time give the same."""
+    from tidemark.llm import context_mix as M
+    rng = np.random.default_rng(11)
+    code = M.Code(rng.integers(1, 1000, (256, 256)))
+    odds = rng.integers(-60, 60, M.SLOTS).astype(np.int8)
+    weights = rng.uniform(0.1, 0.4, (M.GATES, len(M.ORDERS) + 1)).astype(np.float32)
+    texts = [M.normal(" ".join(rng.choice(["one", "two", "three"], n))) for n in (700, 0, 3, 250)]
+    assert max(map(len, texts)) > 3 * 512 and M.STEP == 32
+    got = M.mixed(texts, code, odds, weights)
+    tables, lasts = [odds[a:b] for a, b in zip(M.bases(M.BITS), M.bases(M.BITS)[1:])], []
+    for t, bits in zip(texts, got[0]):
+        byte, hashes, _ = M.contexts([t])
+        w, refine, want = weights.astype(float), M.first_map().astype(float), 0.0
+        for a in range(0, len(t), M.STEP):
+            place, length = M.path_of(byte[a:a + M.STEP], code)
+            x = np.stack([tab[M.slots_of(b, h[a:a + M.STEP], length, code.key[place])] for b, tab, h in zip(M.BITS, tables, hashes)], 1)
+            g = code.gate[place] + (x[:, -1] != 0) + (x[:, -2] != 0)
+            x = np.concatenate([x * M.ODDS_STEP, np.full((len(x), 1), M.BIAS)], 1)
+            y, z = code.turn[place], np.clip((w[g] * x).sum(1), -8, 7.99)
+            p, c = 1 / (1 + np.exp(-z)), ((z + 8) * (M.BUCKETS / 16)).astype(int)
+            q = np.clip(.6 * p + .4 * refine[c], 1 / 8192, 1 - 1 / 8192)
+            want += np.log2(np.where(y, q, 1 - q)).sum()
+            np.add.at(w, g, M.RATE * (y - p)[:, None] * x)
+            n, ones = np.bincount(c, minlength=M.BUCKETS), np.bincount(c, y, M.BUCKETS)
+            refine += M.MAP_RATE * (ones - n * refine) / (1 + M.MAP_RATE * n)
+        assert bits == pytest.approx(want, rel=1e-3)
+        lasts.append(w)
+    assert np.allclose(got[1], np.mean(lasts, 0), atol=2e-3)
