@@ -52,9 +52,10 @@ def test_context_tables_grow_with_the_corpus(spark):
     for bits, h in zip(many, hashes):  # as many slots as choices met, or all but as many: it is an estimate
         met = len(np.unique(np.repeat(h, length).astype(np.int64) << 17 | code.node[place]))
         assert 2 ** bits >= 0.7 * met
-    whole = context_odds(d, code, many)
+    d = d.selectExpr("text", "false AS fitted")
+    whole = context_odds(d, code, many)[0]
     assert len(whole) == bases(many)[-1] and (whole != 0).sum() > 1000
-    assert (context_odds(d, code, many, counted=int(-(-len(whole) // 3 // BLOCK) + 1) * BLOCK) == whole).all()
+    assert (context_odds(d, code, many, counted=int(-(-len(whole) // 3 // BLOCK) + 1) * BLOCK)[0] == whole).all()
     assert (slots_of(many[1], hashes[1], length, code.key[place]) < 1 << many[1]).all()
 
 
@@ -87,3 +88,22 @@ def test_learning_goes_on_to_the_end_of_a_text():
         assert bits == pytest.approx(want, rel=1e-3)
         lasts.append(w)
     assert np.allclose(got[1], np.mean(lasts, 0), atol=2e-3)
+
+
+def test_fitted_texts_are_counted(spark, monkeypatch):
+    """Counts cover all texts; while weights are fitted, the fitted texts' own are off; whole texts are drawn, once each."""
+    from tidemark.llm import context_mix as M
+    rng = np.random.default_rng(12)
+    rows = [(7 if n % 3 == 0 else n, " ".join(rng.choice(["red", "green", "blue", f"n{n}"], 1500)), "a") for n in range(60)]
+    rows += [(1, "again and again", "a")] * 30
+    d, seen, odds = docs(spark, rows, clash=False), [], []
+    mixed, counted = M.mixed, M.context_odds
+    monkeypatch.setattr(M, "mixed", lambda texts, code, o, *a: (seen.append(texts), odds.append(o), mixed(texts, code, o, *a))[2])
+    model = M.train(d)
+    code = M.Code(M.pair_counts(d) * 256 + 1)
+    assert (model.odds == counted(d.selectExpr("text", "false AS fitted"), code, model.bits)[0]).all()
+    fitted = seen[0]
+    assert len(set(fitted)) == len(fitted) > 0 and set(fitted) < {M.normal(t) for _, t, _ in rows}
+    assert max(map(len, fitted)) > 4096
+    rest = spark.createDataFrame([(t,) for _, t, _ in rows if M.normal(t) not in set(fitted)], "text string")
+    assert (odds[-1] == counted(rest.selectExpr("text", "false AS fitted"), code, model.bits)[0]).all()
