@@ -5,8 +5,9 @@ stage before it kept, and returns a DataFrame that is written as Parquet and rea
 next one's docs.  All but the last return the columns of ``documents``.
 
 * toxicity: documents that score as toxic go (empty texts have nothing to reject: they stay).
-* near_duplicates: of each group of near copies the document of the smallest doc_id stays; ties
-  go to the smallest text hash; documents without words stay.
+* near_duplicates: near copies share 80 % of their five-word shingles (Jaccard); of each group the
+  document of the smallest doc_id stays; ties go to the smallest text hash; documents without
+  words stay.
 * personal_data: every span found is replaced by its kind in square brackets.
 * mixing: a document stays as often as the mix takes it, up to three times, or not at all;
   documents without words have no words to mix and go.
@@ -30,6 +31,8 @@ from tidemark.llm.toxicity import THRESHOLD, score_toxicity, train
 
 #: Rows that share it have the same doc_id and text.
 KEY = "row_key"
+#: Words of a shingle and percent of Jaccard that make near copies.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def row_key() -> Column:
@@ -54,7 +57,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join(docs.select("doc_id", "text", row_key().alias(KEY)), carry=(KEY,))
+    groups = jaccard_join(docs.select("doc_id", "text", row_key().alias(KEY)), NEAR_WORDS, NEAR_PERCENT, carry=(KEY,))
     # documents without words are in no group: each is its own
     own = F.coalesce(F.col("group").cast("string"), F.col(KEY))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY)).alias("first")

@@ -107,3 +107,25 @@ def test_fitted_texts_are_counted(spark, monkeypatch):
     assert max(map(len, fitted)) > 4096
     rest = spark.createDataFrame([(t,) for _, t, _ in rows if M.normal(t) not in set(fitted)], "text string")
     assert (odds[-1] == counted(rest.selectExpr("text", "false AS fitted"), code, model.bits)[0]).all()
+
+
+def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark, tmp_path):
+    import corpus_pipeline as P
+    from tidemark.llm.ngram_join import jaccard_join
+    rng = np.random.default_rng(13)
+    vocabulary, rows = [f"w{i}" for i in range(5000)], []
+    for n in range(12):
+        t = list(rng.choice(vocabulary, 50, replace=False))
+        rows.append((n, " ".join(t), "a"))
+        rows.append((100 + n, " ".join([*t[:25], "changed", *t[26:]]), "a"))  # between both thresholds
+        t[10] = t[20] = t[30] = "other"
+        rows.append((200 + n, " ".join(t), "a"))  # below both
+    d = docs(spark, rows, clash=False)
+    kept = sorted(r["doc_id"] for r in P.near_duplicates(spark, d, str(tmp_path)).collect())
+    assert kept == [*range(12), *range(200, 212)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (words(t) for _, t, _ in rows)]
+    links = [(a, b) for a in range(36) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = [rows[r][0] for r in roots(36, links)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join(d, 5, 80).collect()}
+    assert [got[i] for i, _, _ in rows] == want
+    assert all(r["doc_id"] == r["component_id"] for r in jaccard_join(d).collect())  # the query's own thresholds
