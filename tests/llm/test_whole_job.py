@@ -129,3 +129,28 @@ def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark, tmp_path)
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join(d, 5, 80).collect()}
     assert [got[i] for i, _, _ in rows] == want
     assert all(r["doc_id"] == r["component_id"] for r in jaccard_join(d).collect())  # the query's own thresholds
+
+
+ARTICLE = "The article has a first paragraph of quite a few words, so that it counts as text of the page."
+
+
+@pytest.mark.parametrize("opened", ["<a href=/{0}>entry {0} ", "<font>entry {0} ", "<b><i>entry {0} "])
+def test_end_tags_match_at_any_depth(opened):
+    from tidemark.llm.html_text import Page, main_text
+    menu = "<nav>" + "".join(opened.format(n) for n in range(400)) + "</nav>"
+    assert main_text(f"<body>{menu}<div><p>{ARTICLE}</p></div></body>") == ARTICLE
+    assert main_text(f"<body><p>one<p>{'<b>' * 400}two<p>three</body>") == "one\ntwo\nthree"
+    tree = Page("<a>x<a>y<div><a>z</div></a>t")
+    assert [(t, p) for t, p in zip(tree.tag, tree.parent)] == [("#", -1), ("a", 0), ("a", 0), ("div", 2), ("a", 3)]
+
+
+def test_named_parts_inside_an_article():
+    from tidemark.llm.html_text import main_text
+    whole = (f"<div class=article-header><h1 id=social-media>Head line</h1></div><p>{ARTICLE}</p>"
+             "<section id=discussion><p>What was found is discussed.</p></section><p class='notice copyright'>Take note of this.</p>")
+    want = f"Head line\n{ARTICLE}\nWhat was found is discussed.\nTake note of this."
+    gone = ("<div class='post-comments'><p>First!</p></div><div class=related-reading><a href=/1>Another text</a> <a href=/2>One more</a></div>"
+            "<div id=sidebar>Buy</div>")
+    assert main_text(f"<body><article>{whole}{gone}</article></body>") == want
+    assert main_text(f"<body><main>{gone}{whole}</main></body>") == want
+    assert main_text(f"<body><div class=header>Top line</div><div><p>{ARTICLE}</p></div><div id=discussion>Talk</div></body>") == ARTICLE

@@ -5,11 +5,13 @@ share of link characters and link tags (composite density), and the sum of its c
 densities: the main text is the subtree whose sum is greatest.  The least density on the path
 from that node up to the body is the threshold; where the page names no article, other nodes that
 reach it add their own greatest subtree, so a text in several parts is found whole.  Menus,
-footers, forms and the like are told by tag, role, class or id and never count.
+footers, forms and the like are told by tag, role, class or id and never count; inside an article,
+a class or id tells only where it names nothing else, or where most of the element is links.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -47,29 +49,42 @@ AWAY_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising ad
  sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar cookie cookies consent
  gdpr notice alert popup modal overlay newsletter subscribe subscription signup login related recommended share sharing
  social comment comments commentlist respond reply replies disqus discussion pagination pager widget copyright skip""".split())
+#: Words of these that name a part clearly also inside an article, and words that may stand beside them.
+CLEAR = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo sidebar nav navbar
+ navigation breadcrumb breadcrumbs cookie cookies consent gdpr popup modal newsletter subscribe subscription signup login share
+ sharing social comment comments commentlist respond reply replies disqus pagination pager widget skip""".split())
+BESIDE = frozenset("""article area bar block bottom box button buttons container content entry form icons inner item left link
+ links list main media page panel post posts right section site thread title top wrap wrapper""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+STAYS, GOES, GOES_AS_LINKS = range(3)
 MAIN = frozenset(("article", "main"))
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def away(tag: str, attributes: str, inside_main: bool) -> bool:
-    """Whether an element is no part of the main text, whatever is in it."""
+def away(tag: str, attributes: str, inside_main: bool) -> int:
+    """Whether an element is no part of the main text, whatever is in it, or if most of it is links."""
     if tag in AWAY or (tag == "header" and not inside_main):
-        return True
+        return GOES
     if not attributes.strip() or tag in MAIN or tag in ("html", "body"):
-        return False
+        return STAYS
+    found = STAYS
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return GOES
         if name == "role" and value.lower() in AWAY_ROLES:
-            return True
+            return GOES
         if name in ("class", "id"):
-            words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower())
-            if not AWAY_WORDS.isdisjoint(words):
-                return True
+            for part in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
+                words = set(re.split(r"[^a-z]+", part)) - {""}
+                if AWAY_WORDS.isdisjoint(words):
+                    continue
+                if not inside_main or (tag not in HEADINGS and not CLEAR.isdisjoint(words) and words <= CLEAR | BESIDE):
+                    return GOES
+                found = GOES_AS_LINKS
         if name == "style" and NOT_SHOWN.search(value):
-            return True
-    return False
+            return GOES
+    return found
 
 
 class Page:
@@ -80,7 +95,13 @@ class Page:
         #: (node, text), or (node, None) where a block begins or ends.
         self.parts: list[tuple[int, str | None]] = []
         self.body = 0
+        self.doubted: list[int] = []  # nodes that go if most of them is links
+        #: Places of the open elements of a tag, and of open blocks.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
         self.read(source)
+        if self.doubted:
+            self.settle()
 
     def read(self, source: str) -> None:
         opened, at, raw_ends = [0], 0, {}
@@ -108,7 +129,10 @@ class Page:
             self.tag.append(name)
             self.parent.append(up)
             self.main.append(self.main[up] or name in MAIN)
-            self.gone.append(self.gone[up] or away(name, attributes, self.main[up]))
+            how = GOES if self.gone[up] else away(name, attributes, self.main[up])
+            self.gone.append(how == GOES)
+            if how == GOES_AS_LINKS:
+                self.doubted.append(node)
             if name == "body":
                 self.body = node
             if name in BLOCK:
@@ -118,33 +142,56 @@ class Page:
                 e = end.search(source, at)
                 at = e.start() if e else len(source)
             if name not in VOID and not (attributes.endswith("/") and name not in BLOCK):
+                self.places.setdefault(name, []).append(len(opened))
+                if name in BLOCK:
+                    self.blocks.append(len(opened))
                 opened.append(node)
 
+    def cut(self, opened: list[int], k: int) -> None:
+        """Ends the open elements from place ``k`` on."""
+        for node in opened[k:]:
+            self.places[self.tag[node]].pop()
+        del opened[k:]
+        del self.blocks[bisect.bisect_left(self.blocks, k):]
+
     def close(self, opened: list[int], name: str) -> None:
-        for k in range(len(opened) - 1, max(0, len(opened) - 200), -1):
-            tag = self.tag[opened[k]]
-            if tag == name:
-                del opened[k:]
-                break
-            if name not in BLOCK and tag in BLOCK:
-                break  # an inline element doesn't end the blocks inside it
+        places = self.places.get(name)
+        # an inline element doesn't end the blocks inside it
+        if places and (name in BLOCK or not self.blocks or self.blocks[-1] < places[-1]):
+            self.cut(opened, places[-1])
         if name in BLOCK:
             self.parts.append((opened[-1], None))
 
     def imply(self, opened: list[int], name: str) -> None:
+        if name == "a":  # a link ends the one before, unless a block stands open inside it
+            self.close(opened, name)
+            return
         ends, until = ENDS.get(name, ((), ()))
         if not ends:
             return
-        cut = None
-        for k in range(len(opened) - 1, max(0, len(opened) - 200), -1):
-            tag = self.tag[opened[k]]
-            if tag in until:
-                break
-            if tag in ends:
-                cut = k
-        if cut is not None:
-            self.parts.append((self.parent[opened[cut]], None))
-            del opened[cut:]
+        stop = max((p[-1] for t in until if (p := self.places.get(t))), default=0)
+        cuts = [p[k] for t in ends if (p := self.places.get(t)) and (k := bisect.bisect_right(p, stop)) < len(p)]
+        if cuts:
+            k = min(cuts)
+            self.parts.append((self.parent[opened[k]], None))
+            self.cut(opened, k)
+
+    def settle(self) -> None:
+        """Doubted nodes that hold more link text than other text go, and all in them."""
+        n = len(self.tag)
+        chars, links = [0] * n, [0] * n
+        for node, part in self.parts:
+            if part is not None:
+                chars[node] += len(part.strip())
+        for k in range(n - 1, 0, -1):
+            if self.tag[k] == "a":
+                links[k] = chars[k]
+            chars[self.parent[k]] += chars[k]
+            links[self.parent[k]] += links[k]
+        for k in self.doubted:
+            self.gone[k] = links[k] * 2 > chars[k]
+        for k in range(1, n):
+            self.gone[k] = self.gone[k] or self.gone[self.parent[k]]
 
     def text(self) -> str:
         chosen = self.choose()
@@ -168,7 +215,7 @@ class Page:
         n = len(self.tag)
         chars, own, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
         for node, part in self.parts:
-            if part is not None:
+            if part is not None and not self.gone[node]:
                 own[node] += len(part.strip())
         for k in range(n - 1, -1, -1):
             chars[k] += own[k]
