@@ -78,6 +78,26 @@ def op10_context_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+def op11_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of ``documents`` by string kernels and ridge regression."""
+    from tidemark.llm.language_id import language_id
+    return language_id(read(spark, sf_dir, "documents"))
+
+
+def op12_qdwh_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of ``embeddings`` by QDWH spectral divide and conquer."""
+    from tidemark.llm.whitening import whiten
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every 100th vector of ``embeddings`` by one-bit codes; a seventh of the
+    rows take the next label."""
+    from tidemark.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` on ``documents``."""
     import corpus_pipeline
@@ -85,4 +105,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_skip_chain_pii, op2_toxicity, op3_subspace_join, op4_license_scan, op5_fair_mix, op6_best_fit_pack,
-                                  op7_ngram_jaccard, op8_kd_top_k, op9_text_density, op10_context_mix, pipeline)}
+                                  op7_ngram_jaccard, op8_kd_top_k, op9_text_density, op10_context_mix, op11_string_kernel,
+                                  op12_qdwh_whiten, op13_one_bit_negatives, pipeline)}
