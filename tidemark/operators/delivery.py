@@ -204,3 +204,26 @@ def incremental_run(incoming: DataFrame, seen_path: str, key: str, order: Sequen
     written = spark.read.parquet(out_path).where(F.col(RUN_COL) == run_id).drop(RUN_COL)
     save_seen(written.select(key), seen_path, run_id)
     return written
+
+
+def stored_run(incoming: DataFrame, store, key: str, order: Sequence[str], out_path: str,
+               run_id: str) -> DataFrame:
+    """``incremental_run`` against a ``KeyStore``: the saved keys are joined where
+    they lie, bucket by bucket; only the run's own rows are dealt.
+
+    A run repeated after a crash replaces its rows and keys, as long as no other
+    run has followed it.  Returns the rows written.
+    """
+    from tidemark.sources.keystore import not_in_store
+    from tidemark.sources.seen import RUN_COL
+
+    spark = incoming.sparkSession
+    store.check(run_id)
+    read, _ = store.state()
+    fresh = not_in_store(keep_first(incoming, key, order), key, store.keys(without_run=run_id))
+    place = f"{out_path.rstrip('/')}/{RUN_COL}={run_id}"
+    fresh.write.mode("overwrite").parquet(place)  # also where nothing is new
+    written = spark.read.schema(fresh.schema).parquet(place)
+    store.commit(run_id, written.select(key), read)
+    store.merge()
+    return written

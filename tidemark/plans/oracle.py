@@ -318,3 +318,15 @@ SQL["stream_contract_split"] = (
     "UNION ALL SELECT 'quarantined', CAST(rid AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, "
     "concat_ws(',', CASE WHEN rid % 13 = 0 THEN 'type:fare' END, CASE WHEN rid % 17 = 0 THEN 'missing:status' END) "
     "FROM recs WHERE rid % 13 = 0 OR rid % 17 = 0")
+
+# five runs; a key is taken by the first run that reads it, at its first place among what that run reads
+SQL["dedup_key_store"] = (
+    f"WITH {DELIVERIES}, e AS (SELECT *, max(off) OVER (PARTITION BY part) + 1 AS end_offset FROM deliveries), "
+    "runs AS (SELECT * FROM (VALUES (1, 0.0, 0.2), (2, 0.15, 0.4), (3, 0.35, 0.6), (4, 0.55, 0.8), (5, 0.75, 1.0)) "
+    "AS r(run, low, high)) "
+    "SELECT ride_id, part, off, run FROM e JOIN runs ON off >= floor(end_offset * low::DOUBLE) AND off < floor(end_offset * high::DOUBLE) "
+    "QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY run, part, off) = 1")
+
+SQL["resume_stored_log"] = (
+    f"WITH {DELIVERIES}, e AS (SELECT *, max(off) OVER (PARTITION BY part) + 1 AS end_offset FROM deliveries) "
+    "SELECT ride_id, part, off FROM e WHERE off >= floor(end_offset * 0.9)")

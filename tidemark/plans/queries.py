@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampType
 
 from tidemark.functions import codec
 from tidemark.operators import avro, contracts, delivery, eventtime, metrics, schemas
-from tidemark.plans import ingest
+from tidemark.plans import ingest, stored
 from tidemark.session import fresh_dir
 from tidemark.sources import log as logs
 from tidemark.sources import relations as rel
@@ -648,3 +648,8 @@ def stream_contract_split(spark, sf_dir):
                                 F.col("ride_id").cast("string").alias("ride_id"),
                                 F.array_join("violations", ",").alias("violations")),
                      allowMissingColumns=True)
+
+
+# --- queries over stored state, and over times -----------------------------------------
+
+QUERIES.update(stored.QUERIES)
