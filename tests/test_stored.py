@@ -117,3 +117,40 @@ def test_rows_without_a_partition_are_read(spark):
     assert scan_from(spark, path, none).count() == 3
     some = spark.createDataFrame([(None, 1), (0, 1)], "part int, committed bigint")
     assert rows(scan_from(spark, path, some)) == [(None, 1)]
+
+
+def test_concurrent_registrations(spark):
+    from tidemark.operators import schemas as S
+    from tidemark.sources.registry import Registry
+    path = fresh_dir(spark, "registry")
+    with ThreadPoolExecutor(6) as pool:
+        told = list(pool.map(lambda n: Registry(spark, path).register(f"s{n % 3}", S.RIDE_V1), range(6)))
+    # three subjects get three ids; of two equal registrations one gets the other's id
+    assert sorted(t["status"] for t in told) == ["exists"] * 3 + ["registered"] * 3
+    assert all(told[n]["schema_id"] == told[n + 3]["schema_id"] for n in range(3))
+    assert {t["schema_id"] for t in told} == {1, 2, 3}
+    registry = Registry(spark, path)
+    assert registry.register("s0", S.RIDE_V2_BREAKING)["status"] == "incompatible"
+    assert registry.register("s0", S.RIDE_V2_SAFE) == {"status": "registered", "version": 2, "schema_id": 4}
+    with pytest.raises(ValueError):
+        registry.register("s0", '{"type": "string"}')
+    assert Registry(spark, path).check("s0", S.RIDE_V1)[0] == "compatible"
+    assert Registry(spark, path).check("none", S.RIDE_V1)[0] == "nothing_registered"
+    table = registry.table()
+    assert rows(table, "subject", "version", "schema_id") == srt(
+        [(f"s{n}", 1, told[n]["schema_id"]) for n in range(3)] + [("s0", 2, 4)])
+    assert {r.schema_json for r in table.collect()} == {S.canonical(S.RIDE_V1), S.canonical(S.RIDE_V2_SAFE)}
+
+
+def test_registry_tool(spark, tmp_path, capsys):
+    from tidemark.operators import schemas as S
+    from tidemark.sources.registry import Registry, main
+    path = fresh_dir(spark, "registry")
+    assert Registry(spark, path).table().count() == 0 and Registry(spark, path).rows() == []
+    for name, text in (("v1", S.RIDE_V1), ("breaking", S.RIDE_V2_BREAKING)):
+        (tmp_path / name).write_text(text)
+    calls = [("check", "v1"), ("register", "v1"), ("check", "breaking"), ("register", "breaking"), ("register", "v1")]
+    codes = [main([do, path, "rides", str(tmp_path / name)], spark) for do, name in calls]
+    assert codes == [0, 0, 1, 1, 0] and main(["drop", path], spark) == 2
+    said = [line.split('"status": "')[1].split('"')[0] for line in capsys.readouterr().out.splitlines()]
+    assert said == ["nothing_registered", "registered", "incompatible", "incompatible", "exists"]

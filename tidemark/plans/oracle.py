@@ -330,3 +330,9 @@ SQL["dedup_key_store"] = (
 SQL["resume_stored_log"] = (
     f"WITH {DELIVERIES}, e AS (SELECT *, max(off) OVER (PARTITION BY part) + 1 AS end_offset FROM deliveries) "
     "SELECT ride_id, part, off FROM e WHERE off >= floor(end_offset * 0.9)")
+
+# ids in order of registration: rides v1, rides v2_safe, deliveries v2_breaking, deliveries v1
+SQL["registry_usage"] = (
+    f"WITH {RIDES}, u AS (SELECT 1 + ride_id % 5 AS schema_id, count(*) AS records FROM rides GROUP BY 1) "
+    "SELECT u.schema_id, g.subject, g.version, records FROM u LEFT JOIN (VALUES (1, 'rides_avro-value', 1), "
+    "(2, 'rides_avro-value', 2), (3, 'deliveries-value', 1), (4, 'deliveries-value', 2)) AS g(schema_id, subject, version) ON u.schema_id = g.schema_id")

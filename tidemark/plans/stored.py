@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import delivery
+from tidemark.functions import codec
+from tidemark.operators import contracts, delivery, schemas
 from tidemark.session import fresh_dir
 from tidemark.sources import relations as rel
 from tidemark.sources.keystore import KeyStore
 from tidemark.sources.offset_log import end_offsets, scan_from, store_log
+from tidemark.sources.registry import Registry
 
 #: Shares of the log that each run reads: it starts before the last one ended (replays).
 RUNS = ((0.0, 0.2), (0.15, 0.4), (0.35, 0.6), (0.55, 0.8), (0.75, 1.0))
@@ -43,4 +45,19 @@ def resume_stored_log(spark, sf_dir):
     return scan_from(spark, path, committed).select("ride_id", "part", "off")
 
 
-QUERIES = {f.__name__: f for f in (dedup_key_store, resume_stored_log)}
+def registry_usage(spark, sf_dir):
+    """Framed records counted by the registered version they were written with, the registry stored:
+    two versions of the rides, one refused, one repeated, and a second subject.  An id that is not
+    registered stays, without a subject; a version no record uses has none."""
+    registry = Registry(spark, fresh_dir(spark, "registry"))
+    for subject, text in ((schemas.RIDE_SUBJECT, schemas.RIDE_V1), (schemas.RIDE_SUBJECT, schemas.RIDE_V2_BREAKING),
+                          (schemas.RIDE_SUBJECT, schemas.RIDE_V2_SAFE), ("deliveries-value", schemas.RIDE_V2_BREAKING),
+                          (schemas.RIDE_SUBJECT, schemas.RIDE_V1), ("deliveries-value", schemas.RIDE_V1)):
+        registry.register(subject, text)
+    r = rel.rides(spark, sf_dir)
+    framed = r.select(codec.unframe(codec.frame((1 + F.col("ride_id") % 5).cast("bigint"), F.encode("pickup_city", "UTF-8"))).alias("u"))
+    used = framed.groupBy(F.col("u.schema_id").alias("schema_id")).agg(F.count(F.lit(1)).alias("records"))
+    return contracts.route_by_schema_id(used, registry.table()).select("schema_id", "subject", "version", "records")
+
+
+QUERIES = {f.__name__: f for f in (dedup_key_store, resume_stored_log, registry_usage)}
