@@ -336,3 +336,33 @@ SQL["registry_usage"] = (
     f"WITH {RIDES}, u AS (SELECT 1 + ride_id % 5 AS schema_id, count(*) AS records FROM rides GROUP BY 1) "
     "SELECT u.schema_id, g.subject, g.version, records FROM u LEFT JOIN (VALUES (1, 'rides_avro-value', 1), "
     "(2, 'rides_avro-value', 2), (3, 'deliveries-value', 1), (4, 'deliveries-value', 2)) AS g(schema_id, subject, version) ON u.schema_id = g.schema_id")
+
+_ARRIVALS = FEED + """,
+arrivals AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY batch, ride_id) - 1 AS off
+  FROM (SELECT *, CAST(CASE WHEN user_id % 4 = 3 AND dayofmonth(event_time) > 10 THEN 2 ELSE user_id % 4 END AS INT) AS part
+        FROM feed)),
+per AS (SELECT part, batch, max(event_time) AS newest FROM arrivals GROUP BY 1, 2),
+days AS (SELECT unnest(range(min(batch), max(batch) + 1)) AS batch FROM per),
+grid AS (SELECT d.batch, p.part, max(p.newest) AS newest, max(p.batch) AS seen
+         FROM days d JOIN per p ON p.batch <= d.batch GROUP BY 1, 2),
+least_of AS (SELECT batch, count(*) FILTER (WHERE batch - seen < 3) AS active,
+                    min(newest) FILTER (WHERE batch - seen < 3) AS low, min(newest) AS low_held FROM grid GROUP BY batch),
+ptrace AS (SELECT batch, active, date_trunc('milliseconds', max(low) OVER (ORDER BY batch)) - INTERVAL 5 SECOND AS watermark,
+                  date_trunc('milliseconds', max(low_held) OVER (ORDER BY batch)) - INTERVAL 5 SECOND AS watermark_held FROM least_of),
+told AS (SELECT a.*, time_bucket(INTERVAL '10 seconds', event_time) AS window_start,
+                time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end,
+                coalesce(time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' <= t.watermark, false) AS is_late,
+                date_trunc('milliseconds', max(event_time) OVER (PARTITION BY part ORDER BY off)) - INTERVAL 5 SECOND AS own
+         FROM arrivals a LEFT JOIN ptrace t ON t.batch = a.batch - 1)"""
+
+SQL["watermark_by_partition"] = f"WITH {_ARRIVALS} SELECT batch, active, watermark, watermark_held FROM ptrace"
+
+SQL["late_by_partition"] = (
+    f"WITH {_ARRIVALS} SELECT part, count(*) AS records, count(*) FILTER (WHERE is_late) AS late_records, "
+    "count(*) FILTER (WHERE event_time < own) AS behind_records FROM told GROUP BY part")
+
+SQL["closed_by_partition_watermark"] = (
+    f"WITH {_ARRIVALS}, ends AS (SELECT max(watermark) AS w, max(watermark_held) AS h FROM ptrace) "
+    "SELECT window_start, window_end, pickup_city, count(*) AS ride_count, NOT coalesce(window_end <= any_value(h), false) AS held "
+    "FROM told, ends WHERE NOT is_late AND window_end <= w GROUP BY 1, 2, 3")

@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampType
 
 from tidemark.functions import codec
 from tidemark.operators import avro, contracts, delivery, eventtime, metrics, schemas
-from tidemark.plans import ingest, stored
+from tidemark.plans import ingest, stored, timing
 from tidemark.session import fresh_dir
 from tidemark.sources import log as logs
 from tidemark.sources import relations as rel
@@ -653,3 +653,4 @@ def stream_contract_split(spark, sf_dir):
 # --- queries over stored state, and over times -----------------------------------------
 
 QUERIES.update(stored.QUERIES)
+QUERIES.update(timing.QUERIES)

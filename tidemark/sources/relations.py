@@ -35,6 +35,7 @@ BAD_FARE_TEXT = "forty two dollars"
 
 OFFSET_BLOCK_IDS = 1 << 16  # ride ids per offset block (see offsets.assign_offsets)
 LOG_PARTS = 4
+QUIET_AFTER = 10          # day of the month after which the last partition of ``arrivals`` is quiet
 DAY_MICROS = 86_400_000_000
 
 
@@ -86,6 +87,15 @@ def feed_from(r: DataFrame) -> DataFrame:
     return r.withColumn("batch", arrival_day(F.col("event_time")) + late)
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``feed`` as a log: partitions in order of arrival with dense offsets.  The last partition
+    goes quiet: its rides after the ``QUIET_AFTER``th of the month go to the one before it."""
+    p = (F.col("user_id") % LOG_PARTS).cast("int")
+    quiet = (p == LOG_PARTS - 1) & (F.dayofmonth("event_time") > QUIET_AFTER)
+    f = feed(spark, sf_dir).withColumn("part", F.when(quiet, LOG_PARTS - 2).otherwise(p))
+    return assign_offsets(f, "part", ["batch", "ride_id"], F.col("batch"), "off")
+
+
 def ride_records(r: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The v1 contract fields of each ride (ride_id as text, ISO event time),
     plus the ``keep`` columns passed through."""
