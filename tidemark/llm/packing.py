@@ -28,28 +28,31 @@ by_value(__name__)
 SIZE = 2048
 #: Hash buckets of a length; a length with 40 billion pieces makes 10 million rows in each.
 BUCKETS = 4096
-#: Chunks of text whose ids a worker keeps; the store is emptied when it is full.
-KEPT = 1_000_000
+#: Bytes of the store of chunks' ids in a task, about; when it is full, only the chunks of the texts
+#: at hand stay.  A chunk takes its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
+KEPT, ENTRY, LONGEST = 64 << 20, 200, 256
 
 
 def encoder(path: str):
     """texts -> their ids as bytes (little-endian unsigned 32-bit).
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its
-    chunks.  Chunks recur: their ids are kept, in a store that later tasks of the same worker
-    find again.  A chunk of letters with a full stop or comma behind is two such chunks.  New
-    chunks of letters are encoded many at a time: each ends with the one id that ends a word."""
+    chunks.  Chunks recur: their ids are kept, in a store that goes with the task.  A chunk of
+    letters with a full stop or comma behind is two such chunks.  New chunks of letters are encoded
+    many at a time: each ends with the one id that ends a word."""
     import tokenizers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    store = tokenizers.__dict__.setdefault("_kept_chunks", {})
-    if path not in store:
+    loaded = tokenizers.__dict__.setdefault("_loaded", {})  # the tokenizer itself is read once a worker
+    if path not in loaded:
         tok = tokenizers.Tokenizer.from_file(path)
         suffix = getattr(tok.model, "end_of_word_suffix", None)
         ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
         for word, i in tok.get_vocab().items():
             ends[i] = bool(suffix) and word.endswith(suffix)
-        store[path] = tok, ends, {}
-    tok, ends, kept = store[path]
+        loaded[path] = tok, ends
+    tok, ends = loaded[path]
+    kept: dict[bytes, bytes] = {}
+    held = 0
 
     def letters(chunk: bytes) -> bool:
         if chunk.isascii():
@@ -82,14 +85,21 @@ def encoder(path: str):
             kept[c] = kept[core] + kept[c[-1:]]
 
     def encode(texts: list[str]) -> list[bytes]:
+        nonlocal held
         # the tokenizer lowers case itself; special tokens are matched before it does
         split = [(b if b"<|" in b else b.lower()).split() for b in (t.encode() for t in texts)]
-        new = set().union(*split) - kept.keys()
-        if len(kept) + len(new) > KEPT:
-            kept.clear()
-            new = set().union(*split)
+        here = set().union(*split)
+        new = here - kept.keys()
+        if held > KEPT:
+            for c in kept.keys() - here:
+                del kept[c]
+            held = 0
         learn(new)
-        return [b"".join(map(kept.__getitem__, s)) for s in split]
+        out = [b"".join(map(kept.__getitem__, s)) for s in split]
+        for c in [c for c in new if len(c) > LONGEST]:
+            del kept[c]
+        held += sum(map(len, new)) + len(new) * ENTRY  # ids take about as much as ENTRY leaves room for
+        return out
 
     return encode
 
