@@ -366,3 +366,29 @@ SQL["closed_by_partition_watermark"] = (
     f"WITH {_ARRIVALS}, ends AS (SELECT max(watermark) AS w, max(watermark_held) AS h FROM ptrace) "
     "SELECT window_start, window_end, pickup_city, count(*) AS ride_count, NOT coalesce(window_end <= any_value(h), false) AS held "
     "FROM told, ends WHERE NOT is_late AND window_end <= w GROUP BY 1, 2, 3")
+
+
+def _rate_sql(seconds: int, step: int) -> str:
+    span, grid = seconds * 1_000_000, step * 1_000_000
+    return (f"WITH {DELIVERIES}, s AS (SELECT status AS topic, part, epoch_us(event_time) AS us, max(off) AS v "
+            "FROM deliveries GROUP BY 1, 2, 3), "
+            "i AS (SELECT *, lag(v) OVER (PARTITION BY topic, part ORDER BY us) AS p FROM s), "
+            "u AS (SELECT topic, part, us, CASE WHEN p IS NULL THEN NULL WHEN v < p THEN v ELSE v - p END AS up FROM i), "
+            f"e AS (SELECT DISTINCT topic, part, unnest(range(((us + {grid - 1}) // {grid}) * {grid}, us + {span}, {grid})) AS us FROM s), "
+            "j AS (SELECT e.topic, e.part, e.us AS stp, u.us, u.up, row_number() OVER (PARTITION BY e.topic, e.part, e.us ORDER BY u.us) AS n "
+            f"FROM e JOIN u ON e.topic = u.topic AND e.part = u.part AND u.us <= e.us AND u.us > e.us - {span}), "
+            "r AS (SELECT topic, part, stp, sum(up) FILTER (WHERE n > 1) AS rise, max(us) - min(us) AS time FROM j GROUP BY 1, 2, 3) "
+            "SELECT topic, make_timestamp(stp) AS ts, round(sum(rise / (time / 1e6)), 9) AS rate FROM r WHERE time > 0 GROUP BY 1, 2")
+
+
+SQL["topic_rate_1m"] = _rate_sql(60, 15)
+SQL["topic_rate_1h"] = _rate_sql(3600, 900)
+
+SQL["held_fares"] = (
+    f"WITH {RIDES}, k AS (SELECT (min(epoch_us(event_time)) + 59999999) // 60000000 AS a, "
+    "(max(epoch_us(event_time)) + 59999999) // 60000000 AS b FROM rides), "
+    "g AS (SELECT city, make_timestamp(n * 60000000) AS ts FROM (SELECT DISTINCT pickup_city AS city FROM rides), "
+    "(SELECT unnest(range(a, b + 1)) AS n FROM k)), "
+    "s AS (SELECT pickup_city AS city, event_time AS at, arg_max(fare, ride_id) AS fare FROM rides GROUP BY 1, 2) "
+    "SELECT g.city, g.ts, CASE WHEN s.at > g.ts - INTERVAL 5 MINUTE THEN s.fare END AS fare "
+    "FROM g ASOF LEFT JOIN s ON g.city = s.city AND g.ts >= s.at")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import partition_watermark as pw
+from tidemark.operators import ranges
 from tidemark.sources import relations as rel
 
 DELAY_S = 5
@@ -51,4 +52,22 @@ def closed_by_partition_watermark(spark, sf_dir):
     return _zoneless(pw.closed_counts(rows, trace, ["pickup_city"]))
 
 
-QUERIES = {f.__name__: f for f in (watermark_by_partition, late_by_partition, closed_by_partition_watermark)}
+def _topic_rate(seconds: int, step: int):
+    def run(spark, sf_dir):
+        d = rel.deliveries(spark, sf_dir).select(F.col("status").alias("topic"), "part", "event_time", "off")
+        r = ranges.rate_at_steps(d, ["topic", "part"], "event_time", "off", seconds, step)
+        return _zoneless(r.groupBy("topic", F.col("event_time").alias("ts")).agg(F.round(F.sum("rate"), 9).alias("rate")))
+
+    return run
+
+
+def held_fares(spark, sf_dir):
+    """Fares as a gauge per city at every minute of the table's range; a value holds for 5 minutes."""
+    r = rel.rides(spark, sf_dir).select(F.col("pickup_city").alias("city"), F.col("event_time").alias("ts"), "ride_id", "fare")
+    return _zoneless(ranges.held_grid(r, ["city"], "ts", "fare", 60, 300, tie="ride_id"))
+
+
+QUERIES = {f.__name__: f for f in (watermark_by_partition, late_by_partition, closed_by_partition_watermark, held_fares)}
+# sum(rate(offset[range])) by topic, at steps: the dashboard's minute, and an hour for sparser logs
+QUERIES["topic_rate_1m"] = _topic_rate(60, 15)
+QUERIES["topic_rate_1h"] = _topic_rate(3600, 900)
