@@ -392,3 +392,22 @@ SQL["held_fares"] = (
     "s AS (SELECT pickup_city AS city, event_time AS at, arg_max(fare, ride_id) AS fare FROM rides GROUP BY 1, 2) "
     "SELECT g.city, g.ts, CASE WHEN s.at > g.ts - INTERVAL 5 MINUTE THEN s.fare END AS fare "
     "FROM g ASOF LEFT JOIN s ON g.city = s.city AND g.ts >= s.at")
+
+# a user is known until the watermark (newest of the periods before, less 4 days) reaches the
+# accepted time plus 12 days
+SQL["stream_dedup_outcomes"] = (
+    f"WITH RECURSIVE {DELIVERIES}, d AS (SELECT ride_id, user_id, epoch_us(event_time) AS us, "
+    "CAST(floor(floor(epoch(event_time) / 86400) / 10) AS BIGINT) + CASE WHEN ride_id % 11 = 0 THEN 1 ELSE 0 END + copy AS period FROM deliveries), "
+    "w AS (SELECT period, max(max(us)) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest, "
+    "row_number() OVER (ORDER BY period) AS b FROM d GROUP BY period), "
+    "m AS (SELECT period, b, coalesce(newest // 1000 * 1000 - 4 * 86400000000, 0) AS mark FROM w), "
+    "x AS (SELECT d.*, m.b, m.mark, us < mark AS late FROM d JOIN m USING (period)), "
+    "c AS (SELECT user_id, b, min(us) AS cand FROM x WHERE NOT late GROUP BY 1, 2), "
+    "r(user_id, b, since, took) AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), false FROM x UNION ALL "
+    "SELECT r.user_id, m.b, CASE WHEN c.cand IS NOT NULL AND (since IS NULL OR mark >= since + 12 * 86400000000) THEN c.cand ELSE since END, "
+    "c.cand IS NOT NULL AND (since IS NULL OR mark >= since + 12 * 86400000000) "
+    "FROM r JOIN m ON m.b = r.b + 1 LEFT JOIN c ON c.user_id IS NOT DISTINCT FROM r.user_id AND c.b = m.b), "
+    "o AS (SELECT x.ride_id, x.period, CASE WHEN late THEN 'late' WHEN took AND us = since AND row_number() OVER "
+    "(PARTITION BY x.user_id, x.b, late ORDER BY us, CAST(ride_id AS VARCHAR)) = 1 THEN 'accepted' ELSE 'duplicate' END AS outcome "
+    "FROM x JOIN r ON r.user_id IS NOT DISTINCT FROM x.user_id AND r.b = x.b) "
+    "SELECT ride_id, period, outcome, count(*) AS copies FROM o GROUP BY 1, 2, 3")

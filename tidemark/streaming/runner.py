@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 import threading
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
@@ -114,3 +116,22 @@ def run_available_now(stream: DataFrame, label: str, output_mode: str = "append"
         spark.streams.removeListener(seen)
     out = spark.read.schema(stream.schema).parquet(sink_path)
     return StreamRun(out, progress, sink_path, checkpoint)
+
+
+def run_in_arrivals(df: DataFrame, batch_col: str, build: Callable[[DataFrame], DataFrame], label: str) -> StreamRun:
+    """Run the stream that ``build`` makes over ``df`` as it arrives: the rows of each ``batch_col``
+    (few values) are appended to a folder, and the stream takes them in a run of its own that
+    goes on from the last one's checkpoint.  Rows without a batch arrive first."""
+    spark = df.sparkSession
+    source, sink, checkpoint = (fresh_dir(spark, f"{label}-{k}") for k in ("arrived", "out", "ckpt"))
+    staged = spark.read.schema(df.schema).parquet(stage(df, f"{label}-rows"))
+    progress: list[dict] = []
+    run = None
+    for (batch,) in staged.select(batch_col).distinct().orderBy(F.col(batch_col).asc_nulls_first()).collect():
+        staged.where(F.col(batch_col).eqNullSafe(F.lit(batch))).write.mode("append").parquet(source)
+        run = run_available_now(build(file_stream(spark, source, df.schema)), label, checkpoint=checkpoint, sink_path=sink)
+        progress += run.progress
+    if run is None:  # nothing arrived
+        spark.createDataFrame([], df.schema).write.parquet(source)
+        run = run_available_now(build(file_stream(spark, source, df.schema)), label, checkpoint=checkpoint, sink_path=sink)
+    return StreamRun(run.output, progress, sink, checkpoint)
