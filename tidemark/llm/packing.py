@@ -28,7 +28,7 @@ by_value(__name__)
 SIZE = 2048
 #: Hash buckets of a length; a length with 40 billion pieces makes 10 million rows in each.
 BUCKETS = 4096
-#: Bytes of the store of chunks' ids in a task, about; when it is full, only the chunks of the texts
+#: Bytes of the store of chunks' ids in a worker, about; when it is full, only the chunks of the texts
 #: at hand stay.  A chunk takes its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
 KEPT, ENTRY, LONGEST = 64 << 20, 200, 256
 
@@ -37,26 +37,26 @@ def encoder(path: str):
     """texts -> their ids as bytes (little-endian unsigned 32-bit).
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its
-    chunks.  Chunks recur: their ids are kept, in a store that goes with the task.  A chunk of
-    letters with a full stop or comma behind is two such chunks.  New chunks of letters are encoded
-    many at a time: each ends with the one id that ends a word."""
+    chunks.  Chunks recur: their ids are kept, in a store of bounded size that later tasks of the
+    same worker find again.  A chunk of letters with a full stop or comma behind is two such chunks.
+    New chunks of letters are encoded many at a time: each ends with the one id that ends a word."""
     import tokenizers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    loaded = tokenizers.__dict__.setdefault("_loaded", {})  # the tokenizer itself is read once a worker
+    loaded = tokenizers.__dict__.setdefault("_loaded", {})
     if path not in loaded:
         tok = tokenizers.Tokenizer.from_file(path)
         suffix = getattr(tok.model, "end_of_word_suffix", None)
         ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
         for word, i in tok.get_vocab().items():
             ends[i] = bool(suffix) and word.endswith(suffix)
-        loaded[path] = tok, ends
-    tok, ends = loaded[path]
-    kept: dict[bytes, bytes] = {}
-    held = 0
+        loaded[path] = tok, ends, {}, [0]
+    tok, ends, kept, held = loaded[path]
 
     def letters(chunk: bytes) -> bool:
+        if chunk.isalpha():  # of bytes: A-Z and a-z alone
+            return True
         if chunk.isascii():
-            return chunk.isalpha()
+            return False
         s = chunk.decode()
         return s.isalpha() and s.lower().isalpha() and max(s) < "\u0500"
 
@@ -65,7 +65,7 @@ def encoder(path: str):
             kept[c] = np.array(e.ids, "<u4").tobytes()
 
     def learn(chunks) -> None:
-        parted = {c: c[:-1] for c in chunks if c[-1:] in (b".", b",") and len(c) > 1 and letters(c[:-1])}
+        parted = {c: c[:-1] for c in chunks if c.endswith((b".", b",")) and letters(c[:-1])}
         new = ({parted.get(c, c) for c in chunks} | {c[-1:] for c in parted}) - kept.keys()
         plain = list(filter(letters, new)) if ends.any() else []
         one_by_one(list(new.difference(plain)))
@@ -77,28 +77,25 @@ def encoder(path: str):
             if len(upto) != len(some) or upto[-1] != len(ids):
                 one_by_one(some)
                 continue
-            data, at = ids.tobytes(), 0
-            for c, n in zip(some, (4 * upto).tolist()):
-                kept[c] = data[at:n]
-                at = n
+            data, upto = ids.tobytes(), (4 * upto).tolist()
+            kept.update(zip(some, [data[a:b] for a, b in zip([0, *upto], upto)]))
         for c, core in parted.items():
             kept[c] = kept[core] + kept[c[-1:]]
 
     def encode(texts: list[str]) -> list[bytes]:
-        nonlocal held
         # the tokenizer lowers case itself; special tokens are matched before it does
         split = [(b if b"<|" in b else b.lower()).split() for b in (t.encode() for t in texts)]
         here = set().union(*split)
         new = here - kept.keys()
-        if held > KEPT:
+        if held[0] > KEPT:
             for c in kept.keys() - here:
                 del kept[c]
-            held = 0
+            held[0] = 0
         learn(new)
         out = [b"".join(map(kept.__getitem__, s)) for s in split]
         for c in [c for c in new if len(c) > LONGEST]:
-            del kept[c]
-        held += sum(map(len, new)) + len(new) * ENTRY  # ids take about as much as ENTRY leaves room for
+            kept.pop(c), kept.pop(c[:-1], None)
+        held[0] += sum(map(len, new)) + len(new) * ENTRY  # ids take about as much as ENTRY leaves room for
         return out
 
     return encode
