@@ -154,3 +154,73 @@ def test_registry_tool(spark, tmp_path, capsys):
     assert codes == [0, 0, 1, 1, 0] and main(["drop", path], spark) == 2
     said = [line.split('"status": "')[1].split('"')[0] for line in capsys.readouterr().out.splitlines()]
     assert said == ["nothing_registered", "registered", "incompatible", "incompatible", "exists"]
+
+
+def record(i, **changes):
+    import json
+    doc = {"ride_id": str(i), "rider_name": "r", "pickup_city": "c", "dropoff_city": "d", "fare": 1.5, "status": "ok", "event_time": "t"}
+    return json.dumps({k: v for k, v in (doc | changes).items() if v is not None})
+
+
+def test_refused_records_move_once(spark):
+    from tidemark.operators.schemas import RIDE_V1, RIDE_V2_STATUS, Contract
+    from tidemark.sources.split_store import SplitStore
+    v1, v2 = Contract.parse(RIDE_V1), Contract.parse(RIDE_V2_STATUS)
+    store = SplitStore(spark, fresh_dir(spark, "split"))
+    assert store.accepted(v2).count() == 0 and not store.replay("early", "value", v2)
+    texts = [record(0), record(1, status=None), record(2, fare="x"), record(3, status=None, fare="x"), "no json", None, record(1, status=None)]
+    batch = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert store.ingest("b", batch, "value", v1) and not store.ingest("b", batch, "value", v1)
+    assert rows(store.accepted(v1), "ride_id") == [("0",)] and store.refused().count() == 6
+    assert store.replay("v2", "value", v2)
+    assert rows(store.accepted(v2), "ride_id", "status") == srt([("0", "ok"), ("1", None), ("1", None)])
+    assert rows(store.refused(), "violations") == srt([(["type:fare"],), (["type:fare"],), (["malformed"],), (["malformed"],)])
+    before = store.state()
+    assert not store.replay("v2", "value", v2) and store.state() == before
+    # under another name it moves nothing either: what is refused stays refused
+    assert store.replay("v2 again", "value", v2)
+    assert store.accepted(v2).count() == 3 and store.refused().count() == 4
+    # a batch that comes between a replay's reading and its commit stays
+    assert store.ingest("c", batch, "value", v1)
+    assert store.accepted(v2).count() == 4 and store.refused().count() == 10
+
+
+def test_of_two_replays_of_the_same_records_one_counts(spark):
+    from tidemark.operators.schemas import RIDE_V1, RIDE_V2_STATUS, Contract
+    from tidemark.sources.split_store import SplitStore
+    v1, v2 = Contract.parse(RIDE_V1), Contract.parse(RIDE_V2_STATUS)
+    path = fresh_dir(spark, "split")
+    store = SplitStore(spark, path)
+    store.ingest("b", spark.createDataFrame([(record(i, status=None),) for i in range(20)], "value string"), "value", v1)
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(lambda n: SplitStore(spark, path).replay(n, "value", v2), ["one", "two"]))
+    # side by side one of them finds its records taken; one after the other the second moves nothing
+    assert any(won) and store.accepted(v2).count() == 20 and store.refused().count() == 0
+
+
+def test_audits_merge(spark):
+    from tidemark.operators.audit import block_sketches, merged_audit
+    log = spark.range(60_000).select((F.col("id") % 3).cast("int").alias("part"), F.floor(F.col("id") / 3).alias("off"),
+                                     F.when(F.col("id") % 50 != 0, F.col("id") % 30_000).alias("k"))
+    kept = block_sketches(log, "k", "part", "off", 1000)
+    assert kept.count() == 60
+    for some in (kept, kept.where("part = 1"), kept.where("block < 7"), kept.where("block between 3 and 5 and part != 0")):
+        got = merged_audit(some).first()
+        want = delivery.duplicate_audit(log.withColumn("block", F.floor(F.col("off") / 1000)).join(
+            some.select("part", "block"), ["part", "block"], "left_semi"), "k").first()
+        assert got.processed == want.processed and abs(got.unique_rides - want.unique_rides) <= got.most_error < .03 * want.unique_rides + 2
+    assert tuple(merged_audit(kept.limit(0)).first())[:3] == (0, 0, 0)
+    # few keys are exact, null is one
+    few = spark.createDataFrame([(0, 0, None), (0, 1, "a"), (0, 2, "a"), (0, 3, None), (0, 4, "")], "part int, off bigint, k string")
+    assert tuple(merged_audit(block_sketches(few, "k", "part", "off", 2)).first())[:3] == (5, 3, 2)
+
+
+def test_state_figures(spark):
+    from tidemark.streaming import dedup, runner, state
+    source = runner.stage(spark.range(1000).select((F.col("id") % 300).alias("k")), "state-source")
+    run = runner.run_available_now(dedup.dedup(runner.file_stream(spark, source, spark.read.parquet(source).schema), ["k"]), "state")
+    figures = state.state_figures(spark, run.checkpoint)
+    assert figures.agg(F.sum("keys")).first()[0] == 300
+    parts = state.operators(spark, run.checkpoint).first().numPartitions
+    assert abs(figures.agg(F.sum("share")).first()[0] - parts) < 1e-9
+    assert rows(state.state(spark, run.checkpoint).select("key.k")) == srt([(i,) for i in range(300)])

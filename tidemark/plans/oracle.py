@@ -411,3 +411,16 @@ SQL["stream_dedup_outcomes"] = (
     "(PARTITION BY x.user_id, x.b, late ORDER BY us, CAST(ride_id AS VARCHAR)) = 1 THEN 'accepted' ELSE 'duplicate' END AS outcome "
     "FROM x JOIN r ON r.user_id IS NOT DISTINCT FROM x.user_id AND r.b = x.b) "
     "SELECT ride_id, period, outcome, count(*) AS copies FROM o GROUP BY 1, 2, 3")
+
+SQL["quarantine_replay"] = (
+    f"WITH {RIDES} SELECT 'accepted' AS side, CAST(ride_id AS VARCHAR) AS ride_id, fare, "
+    "CASE WHEN ride_id % 17 <> 0 THEN status END AS status, CAST(NULL AS VARCHAR) AS violations FROM rides WHERE ride_id % 13 <> 0 "
+    "UNION ALL SELECT 'refused', CAST(ride_id AS VARCHAR), NULL, NULL, 'type:fare' FROM rides WHERE ride_id % 13 = 0")
+
+SQL["audit_ranges"] = (
+    f"WITH {DELIVERIES}, b AS (SELECT *, off // 256 AS block, max(off // 256) OVER (PARTITION BY part) AS last FROM deliveries), "
+    "s AS (SELECT unnest([0.25, 0.5, 1.0])::DOUBLE AS share) "
+    "SELECT share, count(*) AS processed, count(DISTINCT ride_id) AS unique_rides, true AS within_error "
+    "FROM b JOIN s ON block <= floor(last * share) GROUP BY share")
+
+SQL["stream_state_keys"] = f"WITH {RIDES} SELECT DISTINCT ride_id, true AS counted FROM rides"
