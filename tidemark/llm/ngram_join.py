@@ -9,7 +9,10 @@ overlaps.  Only entries that can reach the threshold t are made:
 * Overlaps are summed up per pair with the last common places i and j; a pair is dropped if
   overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for, if it shares fewer
   rare columns than two such sets must, or if one surely lacks more of the other's rare columns
-  than they may differ by.
+  than they may differ by.  Before that, while pairs are made, each document's parity row is at
+  hand: a bit for each hash class of n-grams, whether it holds an odd number of them.  Two rows
+  differ in no more bits than their sets differ in n-grams, so pairs that differ in more than the
+  sizes allow are never made; documents that share a passage and nothing else are such pairs.
 * For the pairs that are left, the other block is multiplied: whole rows, exact overlap.
 
 Documents with the same set are one row of A.  The frequencies that order columns are those of
@@ -91,30 +94,39 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     return out
 
 
+def parity_longs(percent: int) -> int:
+    """64-bit words of a parity row.  Rows of unlike sets differ in about half their bits, sets that
+    link in at most 2 (100 - percent) / (100 + percent) of their size: so many words tell sets of
+    about 2000 n-grams apart, and smaller ones all the better.  Larger sets pass more often."""
+    return 8 if percent >= 85 else 16
+
+
 def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``docs`` without text, with n_shingles, print (of the set), rare (its first columns)."""
-    keep = [c for c in docs.columns if c != "text"]
+    """``docs`` without text, with n_shingles, print (of the set), rare (its first columns) and parity."""
+    keep, bits = [c for c in docs.columns if c != "text"], 64 * parity_longs(percent)
 
     def run(batches):
         import xxhash
         shingles = shingler(words)
         for batch in batches:
-            n, prints, rare = [], [], []
+            n, prints, rare, odd = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = np.unique(shingles(text))
                 n.append(len(s))
                 prints.append(xxhash.xxh3_128_digest(s.tobytes()))
+                odd.append(np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view(np.int64))
                 first = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 rare.append(s[np.argsort(order[s >> np.uint64(64 - BITS)], kind="stable")[:first]].view(np.int64))
             ends = np.cumsum([0, *map(len, rare)])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rare])))],
-                [*keep, "n_shingles", "print", "rare"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rare]))),
+                 pa.array(odd, pa.list_(pa.int64()))],
+                [*keep, "n_shingles", "print", "rare", "parity"])
 
     return docs.mapInArrow(run, T.StructType(
         [docs.schema[c] for c in keep] + [T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
-                                          T.StructField("rare", T.ArrayType(T.LongType()))]))
+                                          T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("parity", T.ArrayType(T.LongType()))]))
 
 
 def sieve(ids: DataFrame) -> np.ndarray:
@@ -294,7 +306,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     signs = written(signatures(docs, order, words, percent), "grams-signs")
     # documents of one set are one row of the matrix
     matrix = (signs.filter("n_shingles > 0").groupBy("print")
-              .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare")))
+              .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare"),
+                   F.first("parity").alias("parity")))
     matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
     entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
     rare = written(repeated(entries.select("gram", "id", "i")), "grams-rare")
@@ -312,9 +325,13 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # largest component meet all others in it.
     sizes = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
     hub = sizes.groupBy("gram").agg(F.max_by("root", F.col("k")).alias("hub"))
-    sized = own.join(matrix.select("id", "n"), "id")
-    x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "i", "root")])
-    y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "i", "root")])
+    words64 = [f"p{k}" for k in range(parity_longs(percent))]
+    sized = own.join(matrix.select("id", "n", *[F.col("parity")[k].alias(p) for k, p in enumerate(words64)]), "id")
+    cols = ["id", "n", "i", "root", *words64]
+    x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in cols])
+    y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in cols])
+    apart = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in words64), F.lit(0))
+    asked = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
     need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
     # at a common column at places i and j, the overlap is at most min(i, j) before, 1, and what
     # the shorter rest allows after it
@@ -322,7 +339,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     met = (x.join(y, "gram").filter(
         (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
         & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-        & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))))
+        & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y")))
+        & (apart <= F.col("n_x") + F.col("n_y") - 2 * asked))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
                 (F.col("n_x") + F.col("n_y")).alias("sizes"),
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
