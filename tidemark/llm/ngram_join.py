@@ -45,7 +45,7 @@ SIEVE_BITS = 23
 STAR = 512
 #: Times at most that columns multiply by a centre before all remaining pairs are made; they end
 #: earlier once a turn links fewer than one in WORTH documents.
-TURNS, WORTH = 5, 50
+TURNS, WORTH = 10, 500
 #: Word hashes a task keeps; the store is emptied when it is full.
 KEPT = 500_000
 
