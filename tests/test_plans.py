@@ -51,10 +51,15 @@ def test_orders_of_numbers_aggregate_by_hash(spark, name):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
-def test_dedup_across_runs_passes_over_the_log_once_for_rows(spark):
-    """One scan for the rows and one for the end offsets, each with its block counts."""
-    plan = _plan(E.queries()["dedup_incremental"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
-    assert plan.count("FileScan parquet") <= 4
+@pytest.mark.parametrize("name,scans", [("dedup_incremental", 2), ("crash_replay", 2), ("resume_from_offsets", 2),
+                                        ("run_summary", 2), ("consumer_lag", 2)])
+def test_the_log_is_built_once(spark, name, scans):
+    """One scan for the rows and one for the block counts, which give the end offsets too."""
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()  # the plan as it ran, with what it used again
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
+    assert plan.count("FileScan parquet") <= scans
 
 
 def test_hot_key_results(spark):

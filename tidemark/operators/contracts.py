@@ -188,50 +188,56 @@ _READS = {
 }
 
 
-def observed_fields(records: DataFrame, value_col: str) -> DataFrame:
-    """(field, classes, present): every top-level key seen in the records,
-    the token classes it took and in how many records it appears."""
-    rec = records.select(parsed(value_col).alias("r")).where(
-        F.schema_of_variant("r").startswith("OBJECT"))
-    kv = rec.select(F.explode(F.try_variant_get("r", "$", "map<string,variant>")))
-    return kv.groupBy(F.col("key").alias("field")).agg(
-        F.sort_array(F.collect_set(_kind_class(F.schema_of_variant("value")))).alias("classes"),
-        F.count(F.lit(1)).alias("present"))
-
-
-def compat_with_observed(records: DataFrame, value_col: str,
+def observed_fields(records: DataFrame, record: str | Column) -> DataFrame:
+    """(field, classes, present): every top-level key seen in the records, the
+    token classes it took and in how many records it appears; the row without a
+    field counts the records.  ``record`` is JSON text or a parsed variant."""
+    col = F.col(record) if isinstance(record, str) else record
+    text = records.select(col.alias("r")).schema["r"].dataType.simpleString() != "variant"
+    rec = records.select((parsed(record) if text else col).alias("r"))
+    obj = F.schema_of_variant("r").startswith("OBJECT")
+    keys = F.map_entries(F.when(obj, F.try_variant_get("r", "$", "map<string,variant>")))
+    seen = F.transform(keys, lambda e: F.struct(e["key"].alias("field"), _kind_class(F.schema_of_variant(e["value"])).alias("class")))
+    one = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("class")))
+    kv = rec.select(F.inline(F.concat(one, F.coalesce(seen, F.slice(one, 1, 0)))))
+    return kv.groupBy("field").agg(F.sort_array(F.collect_set("class")).alias("classes"), F.count(F.lit(1)).alias("present"))
+
+
+def compat_with_observed(records: DataFrame, record: str | Column,
                          candidates: dict[str, str]) -> DataFrame:
     """Can each candidate contract read every record in the log?
 
     One row per candidate: (candidate, compatible, problems).  The field
-    statistics come from one aggregation over all records; the candidates'
-    field lists are a few rows of metadata.
+    statistics and the number of records come from one aggregation over all
+    records; the candidates' field lists are a few rows of metadata.
     """
     spark = records.sparkSession
-    total = records.select(F.count(F.lit(1))).scalar()
-    obs = observed_fields(records, value_col)
     rows = []
     for name, js in candidates.items():
-        c = Contract.parse(js)
-        for f in c.fields:
+        rows.append((name, None, None, None, None))  # meets the count of records
+        for f in Contract.parse(js).fields:
             rows.append((name, f.name, _READS[f.value_type], f.nullable, f.has_default))
     cand = spark.createDataFrame(
         rows, "candidate string, field string, reads array<string>, nullable boolean, "
               "has_default boolean")
-    j = cand.join(obs, "field", "left")
-    allowed = F.when(F.col("nullable"), F.array_union("reads", F.array(F.lit("NULL")))) \
-        .otherwise(F.col("reads"))
-    absent_somewhere = F.coalesce(F.col("present"), F.lit(0)) < total
-    problem = (
-        F.when(F.col("present").isNull() & ~F.col("has_default") & ~F.col("nullable"),
-               F.concat(F.lit("missing:"), "field"))
-        .when(absent_somewhere & ~F.col("has_default") & ~F.col("nullable"),
-              F.concat(F.lit("sometimes_missing:"), "field"))
-        .when(F.size(F.array_except("classes", allowed)) > 0,
-              F.concat(F.lit("type:"), "field")))
-    return j.withColumn("_problem", problem).groupBy("candidate").agg(
-        F.sort_array(F.collect_list("_problem")).alias("problems")) \
-        .select("candidate", (F.size("problems") == 0).alias("compatible"), "problems")
+    obs = observed_fields(records, record).withColumnRenamed("field", "seen")
+    j = cand.join(obs, F.col("field").eqNullSafe(F.col("seen")), "left")
+    told = j.groupBy("candidate").agg(
+        F.coalesce(F.max(F.when(F.col("field").isNull(), F.col("present"))), F.lit(0)).alias("total"),
+        F.collect_list(F.when(F.col("field").isNotNull(), F.struct(
+            "field", "reads", "nullable", "has_default", "classes", "present"))).alias("fields"))
+
+    def problem(f: Column) -> Column:
+        allowed = F.when(f["nullable"], F.array_union(f["reads"], F.array(F.lit("NULL")))).otherwise(f["reads"])
+        needed = ~f["has_default"] & ~f["nullable"]
+        return (F.when(f["present"].isNull() & needed, F.concat(F.lit("missing:"), f["field"]))
+                .when((F.coalesce(f["present"], F.lit(0)) < F.col("total")) & needed,
+                      F.concat(F.lit("sometimes_missing:"), f["field"]))
+                .when(F.size(F.array_except(f["classes"], allowed)) > 0, F.concat(F.lit("type:"), f["field"])))
+
+    problems = F.sort_array(F.array_compact(F.transform("fields", problem)))
+    return told.select("candidate", problems.alias("problems")).select(
+        "candidate", (F.size("problems") == 0).alias("compatible"), "problems")
 
 
 def route_by_schema_id(framed: DataFrame, registry: DataFrame) -> DataFrame:

@@ -20,6 +20,18 @@ _START = "_tm_start"
 _PART, _AT = "_tm_part", "_tm_at"
 
 
+def block_counts(df: DataFrame, partition_col: str, block: Column) -> DataFrame:
+    """Rows of each block of a partition: one small row per block."""
+    return df.withColumn(_BLK, block).groupBy(partition_col, _BLK).agg(F.count(F.lit(1)).alias("_tm_n"))
+
+
+def end_offsets(df: DataFrame, partition_col: str, block: Column) -> DataFrame:
+    """(partition, end_offset) that ``assign_offsets`` will give: counts, no row is ranked.  They are
+    the same block counts, so a plan that uses both makes them once."""
+    counts = block_counts(df, partition_col, block)
+    return counts.groupBy(partition_col).agg(F.sum("_tm_n").cast("bigint").alias("end_offset"))
+
+
 def assign_offsets(df: DataFrame, partition_col: str, order_cols: Sequence[str],
                    block: Column, out_col: str = "off") -> DataFrame:
     """Add ``out_col`` = 0-based position of the row within its partition.
@@ -29,7 +41,7 @@ def assign_offsets(df: DataFrame, partition_col: str, order_cols: Sequence[str],
     number of rows any single task ranks.
     """
     d = df.withColumn(_BLK, block)
-    counts = d.groupBy(partition_col, _BLK).agg(F.count(F.lit(1)).alias("_tm_n"))
+    counts = block_counts(df, partition_col, block)
     running = Window.partitionBy(partition_col).orderBy(_BLK).rowsBetween(
         Window.unboundedPreceding, -1)
     starts = counts.select(

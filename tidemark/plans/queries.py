@@ -120,11 +120,6 @@ def dedup_keep_first_lineitem(spark, sf_dir):
     return delivery.keep_first(li, LINEITEM_KEY, order)
 
 
-def _ends(d: DataFrame) -> DataFrame:
-    """(part, end_offset) of a log: one row per partition."""
-    return d.groupBy("part").agg((F.max("off") + 1).alias("end_offset"))
-
-
 def _share(share: float):
     return F.floor(F.col("end_offset") * share).cast("bigint")
 
@@ -132,13 +127,13 @@ def _share(share: float):
 def _crashed_log(spark, sf_dir) -> DataFrame:
     """The log with, per row, where run 1 stopped and what it had committed."""
     d = _deliveries(spark, sf_dir).select("ride_id", "part", "off")
-    e = _ends(d).select(F.col("part").alias("_p"), _share(FIRST_RUN_PROCESSED).alias("processed"),
+    e = rel.delivery_ends(spark, sf_dir).select(F.col("part").alias("_p"), _share(FIRST_RUN_PROCESSED).alias("processed"),
                         _share(FIRST_RUN_COMMITTED).alias("committed"))
     return d.join(e, d["part"].eqNullSafe(e["_p"])).drop("_p")
 
 
 def _incremental_inputs(spark, sf_dir):
-    """(incoming of run 2, keys of run 1); one pass over the log makes both."""
+    """The log with a row for each run that reads a record: 1 (keys seen) and 2 (its input)."""
     runs = F.array(F.when(F.col("off") < F.col("processed"), F.lit(1)),
                    F.when(F.col("off") >= F.col("committed"), F.lit(2)))
     d = _crashed_log(spark, sf_dir).select("ride_id", "part", "off",
@@ -182,7 +177,7 @@ def crash_replay(spark, sf_dir):
 @query("resume_from_offsets")
 def resume_from_offsets(spark, sf_dir):
     d = _deliveries(spark, sf_dir).select("ride_id", "part", "off")
-    committed = _ends(d).select("part", _share(RESUME_COMMITTED).alias("committed"))
+    committed = rel.delivery_ends(spark, sf_dir).select("part", _share(RESUME_COMMITTED).alias("committed"))
     return delivery.resume_from_offsets(d, committed, "part", "off")
 
 
@@ -322,11 +317,10 @@ def schema_compat(spark, sf_dir):
     """Which contract versions can read the records in the log?  The writer
     schema is observed from every accepted record (a merged-schema aggregate
     over the whole log); each candidate is checked against it."""
-    ok = contracts.accepted(_validated(spark, sf_dir), V1)
-    lg = logs.to_log(ok, logs.json_records(ok, V1_FIELDS), "rides")
+    ok = _validated(spark, sf_dir).where(F.size("violations") == 0)
     candidates = {"v1": schemas.RIDE_V1, "v2_safe": schemas.RIDE_V2_SAFE,
                   "v2_breaking": schemas.RIDE_V2_BREAKING, "v2_removed": schemas.RIDE_V2_REMOVED}
-    seen = contracts.compat_with_observed(lg, "value", candidates).select(
+    seen = contracts.compat_with_observed(ok, "_record", candidates).select(
         F.lit(None).cast("string").alias("subject"), "candidate",
         F.when(F.col("compatible"), "compatible").otherwise("incompatible").alias("status"),
         F.array_join("problems", ",").alias("problems"))
@@ -485,8 +479,8 @@ GRID_RANGE_S = 15 * 86_400
 
 
 def _end_offsets(spark, sf_dir) -> DataFrame:
-    return _ends(_deliveries(spark, sf_dir)).select(F.lit(CHAOS_TOPIC).alias("topic"), "part",
-                                                    "end_offset")
+    return rel.delivery_ends(spark, sf_dir).select(F.lit(CHAOS_TOPIC).alias("topic"), "part",
+                                                   "end_offset")
 
 
 def _groups():

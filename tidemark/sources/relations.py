@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.codec import iso_format
-from tidemark.operators.offsets import assign_offsets
+from tidemark.operators.offsets import assign_offsets, end_offsets
 from tidemark.session import use_utc
 from tidemark.sources.tables import table
 
@@ -60,15 +60,27 @@ def rides_from(ev: DataFrame) -> DataFrame:
     )
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """rides + resent copies, with log partition ``part`` and offset ``off``."""
+def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rides + resent copies, with their log partition."""
     r = rides(spark, sf_dir)
     copies = F.when(F.col("ride_id") % RESEND_EVERY == 0, F.array(F.lit(0), F.lit(1))) \
         .otherwise(F.array(F.lit(0)))
-    both = r.withColumn("copy", F.explode(copies)) \
+    return r.withColumn("copy", F.explode(copies)) \
         .withColumn("part", (F.col("user_id") % LOG_PARTS).cast("int"))
-    return assign_offsets(both, "part", ["ride_id", "copy"],
-                          F.expr(f"CAST(ride_id AS BIGINT) div {OFFSET_BLOCK_IDS}"), "off")
+
+
+def _offset_block() -> Column:
+    return F.expr(f"CAST(ride_id AS BIGINT) div {OFFSET_BLOCK_IDS}")
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rides + resent copies, with log partition ``part`` and offset ``off``."""
+    return assign_offsets(_delivered(spark, sf_dir), "part", ["ride_id", "copy"], _offset_block(), "off")
+
+
+def delivery_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part, end_offset) of ``deliveries``, by counting."""
+    return end_offsets(_delivered(spark, sf_dir), "part", _offset_block())
 
 
 def arrival_day(ts: Column) -> Column:
