@@ -72,8 +72,8 @@ def test_skip_edges_label_repeats():
     from tidemark.llm.pii import fit, graph, labelled
     texts = [f"call +1 ({n}) 555-{n}8 now. later +1 ({n}) 555-{n}8 again" for n in range(200, 400)]
     texts += [f"order 88{n}12 and total 1234{n} shipped" for n in range(200, 400)]
-    doc, _, _, rows, fixed, chain, skip, _ = graph(texts)
-    model = fit(rows, np.maximum(fixed, 0), chain, skip)
+    _, _, _, rows, fixed, *edges, _ = graph(texts)
+    model = fit(rows, fixed, *edges)
     text = "write to +1 (980) 555-6268. " + "words " * 50 + "again 9805556268 today, order 5550001112 too"
     base, added = labelled([text, "order 5550001112 too"], model)
     assert [k for _, k, _ in base[0]] == [3] and [k for _, k, _ in added[0]] == [3]
@@ -81,6 +81,66 @@ def test_skip_edges_label_repeats():
     assert added[1] == []
 
 
+def planted(rng, n):
+    """Texts with a base span and, in half of them, a spelling of it that no pattern matches; with
+    numbers and addresses that are nobody's.  Beside each the text of the spelling."""
+    out = []
+    for i in range(n):
+        d = "".join(str(x) for x in rng.integers(0, 10, 10))
+        who, host = "".join(rng.choice(list("abcdefgh"), 7)), "".join(rng.choice(list("pqrstuv"), 6))
+        phone = i % 2 == 0
+        base = f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}" if phone else f"{who}@{host}.com"
+        odd = f"{d[:3]}-{d[3:6]}-{d[6:]}" if phone else f"{who} [at] {host} [dot] com"
+        other = "".join(str(x) for x in rng.integers(0, 10, 10))
+        hidden = odd if i % 4 < 2 else ""
+        words = " some words of a text " * int(rng.integers(1, 30))
+        out.append((f"call or write to {base} now.{words}{hidden}{words}order {other[:7]} of {other} and {other[:3]}x@ home", hidden))
+    return out
+
+
+def test_the_field_finds_other_spellings():
+    from tidemark.llm.pii import fit, graph, labelled
+    rng = np.random.default_rng(3)
+    seen = planted(rng, 300)
+    _, _, _, rows, fixed, *edges, _ = graph([t for t, _ in seen])
+    model = fit(rows, fixed, *edges)
+    fresh = planted(rng, 200)
+    base, added = labelled([t for t, _ in fresh], model)
+    hits = [(t[a:b], h) for (t, h), spans in zip(fresh, added) for a, _, b in spans]
+    right = sum(found == h for found, h in hits)
+    assert right / max(1, len(hits)) > .98 and right / sum(bool(h) for _, h in fresh) > .95
+    text = "mail jane.doe@example.com, then jane.doe [at] example [dot] com, ip 10.0.0.1 and 10.0.0.1"
+    (spans,), (more,) = labelled([text], model)
+    assert [text[a:b] for a, _, b in more] == ["jane.doe [at] example [dot] com"] and [k for _, k, _ in spans] == [0, 1, 1]
+
+
+def test_short_base_spans_are_nodes():
+    from tidemark.llm.pii import graph
+    _, start, _, _, fixed, chain, skip, near, base = graph(["8.8.8.8 here, 8.8.8.8 there, 8.8.8.9 too", "", "1.2.3.4"])
+    assert fixed.tolist() == [2] * 4 and len(base[0]) == 3 and start == [0, 14, 29, 0]
+    assert chain.tolist() == [[0, 1], [1, 2]] and skip.tolist() == [[0, 1]] and near.tolist() == [[1, 2]]
+
+
+def test_messages_are_exact_on_trees():
+    import itertools
+
+    from tidemark.llm.pii import LABELS, marginals
+    rng = np.random.default_rng(1)
+    model = {"node": rng.normal(size=(3, LABELS))} | {k: (m + m.T) / 2 for k in ("chain", "skip", "near")
+                                                       for m in [rng.normal(size=(LABELS, LABELS))]}
+    rows, fixed = rng.normal(size=(5, 3)), np.array([-1, 3, -1, -1, -1])
+    edges = {"chain": np.array([[0, 1], [1, 2]]), "skip": np.array([[1, 3]]), "near": np.array([[2, 4]])}
+    total = np.zeros((5, LABELS))
+    for labels in itertools.product(range(LABELS), repeat=5):
+        if labels[1] == 3:
+            score = sum(rows[n] @ model["node"][:, labels[n]] for n in (0, 2, 3, 4))
+            score += sum(model[k][labels[a], labels[b]] for k, e in edges.items() for a, b in e)
+            for n in range(5):
+                total[n, labels[n]] += np.exp(score)
+    got = marginals(model, rows, fixed, edges["chain"], edges["skip"], edges["near"])
+    assert np.abs(got - total / total.sum(1, keepdims=True)).max() < 1e-2
+
+
 def test_toxicity(spark):
     from tidemark.llm.toxicity import score_toxicity, train
     rng = np.random.default_rng(1)

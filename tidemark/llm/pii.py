@@ -1,14 +1,19 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
-Base spans come from fixed patterns.  Mentions, places that look like an address, a number or a
-dotted group, are the nodes of a random field over one document: neighbours in the text share a
-chain potential, and mentions of the same digits or the same mailbox, however far apart and
-however written, share a skip potential.  Loopy message passing spreads labels over both; base
-spans are fixed nodes, so their label is never lost, and a mention that the patterns miss takes
-the label of what it repeats if its own shape allows.
-
-Weights are fitted by pseudo-likelihood on a bounded sample of documents; mentions are found and
-labelled in every whole text.  All documents of an Arrow batch make one graph, passed over at once.
+Base spans come from fixed patterns.  They and mentions, places that look like an address, a number
+or a dotted group, are the nodes of a random field over one document: neighbours in the text share
+a chain potential; mentions of the same digits or the same mailbox, however far apart and however
+written, share a skip potential; similar ones (the same mailbox name, the last seven digits, the
+network of an address) a weaker one.  Loopy message passing spreads labels over all; base spans are
+fixed, so their label is never lost, and a mention that the patterns miss takes the label of what it
+repeats.
+
+Weights are fitted by pseudo-likelihood on a bounded sample of documents.  A mention that no pattern
+matches is an example of no label only if it repeats no base span: else its label is unknown.  And
+base spans that repeat another are shown once more with the looks of a mention that no pattern
+matches, so that the field learns what a repeat says where the patterns say nothing.  Mentions are
+found and labelled in every whole text.  All documents of an Arrow batch make one graph, passed over
+at once.
 """
 
 from __future__ import annotations
@@ -98,8 +103,9 @@ def mentions(text: str) -> list[tuple[int, int]]:
     return trimmed
 
 
-def features(text: str, start: int, end: int) -> tuple[list[int], str]:
-    """The features that hold for a mention, and what it repeats if another has the same."""
+def features(text: str, start: int, end: int) -> tuple[list[int], str, str]:
+    """The features that hold for a mention, what it repeats if another has the same, and what it is
+    similar to if another has the same."""
     s = text[start:end]
     d = digits_of(s) if len(s) < 100 else "0" * 99
     mail = "@" in s or "at]" in s.lower() or "at)" in s.lower()
@@ -110,6 +116,7 @@ def features(text: str, start: int, end: int) -> tuple[list[int], str]:
             on += [3]
         parts = re.split(r"@| ?[\[(]at[\])] ?", s.lower(), maxsplit=1)
         key = parts[0].strip("\"'<>(),;:") + "@" + re.sub(r" ?[\[(]dot[\])] ?", ".", parts[-1]).strip(".\"'<>(),;:")
+        alike = key.split("@")[0] + "@" if len(key.split("@")[0]) > 4 else ""
     else:
         n = len(d)
         on += [4 + (0 if n < 7 else 1 if n < 10 else 2 if n < 12 else 3 if n < 14 else 4 if n < 16 else
@@ -119,78 +126,107 @@ def features(text: str, start: int, end: int) -> tuple[list[int], str]:
                                   (17, start > 0 and text[start - 1].isalnum()),
                                   (18, end < len(text) and text[end].isalpha())) if holds]
         key = d[-10:] if n <= 19 else ""
+        alike = s.rpartition(".")[0] + "." if s.count(".") == 3 else d[-7:] if 7 <= n <= 19 else ""
     before = re.findall(r"[a-z-]+|=", text[max(0, start - 24):start].lower())[-2:]
     on += [19 + i for i, words in enumerate(CUES) if not words.isdisjoint(before)]
     if before[-1:] == ["="]:
         on += [23]
-    return on, key
+    return on, key, alike
 
 
 def graph(texts: list[str]):
-    """The mentions of many texts as one graph: document, start, end, feature rows, fixed label
-    (-1: none), chain edges, skip edges; and the base spans of each text."""
-    doc, start, end, on, fixed, chain, skip, base = [], [], [], [], [], [], [], []
+    """The mentions and base spans of many texts as one graph: document, start, end, feature rows,
+    fixed label (-1: none), chain, skip and alike edges; and the base spans of each text."""
+    doc, start, end, on, fixed, chain, skip, near, base = [], [], [], [], [], [], [], [], []
     for i, text in enumerate(texts):
         spans = base_spans(text)
         base.append(spans)
         last: dict[str, int] = {}
-        first, at = len(doc), 0
+        first, at, places = len(doc), 0, []
         for a, b in mentions(text):
             while at < len(spans) and spans[at][2] <= a:
                 at += 1
             over = next((s for s in spans[at:at + len(KINDS)] if s[0] < b and s[2] > a), None)
-            f, key = features(text, a, b)
+            places.append((a, b, 1 + over[1] if over else -1))
+        # base spans that no mention meets are nodes as well
+        met, at = [], 0
+        for s in spans:
+            while at < len(places) and places[at][1] <= s[0]:
+                at += 1
+            if not any(a < s[2] and b > s[0] for a, b, _ in places[at:at + 2]):
+                met.append((s[0], s[2], 1 + s[1]))
+        for a, b, label in sorted(places + met):
+            f, key, alike = features(text, a, b)
             n = len(doc)
-            doc.append(i), start.append(a), end.append(b), on.append(f)
-            fixed.append(1 + over[1] if over else -1)
+            doc.append(i), start.append(a), end.append(b), on.append(f), fixed.append(label)
             if n > first:
                 chain.append((n - 1, n))
-            if key in last:
-                skip.append((last[key], n))
-            if key:
-                last[key] = n
+            same = last.get("=" + key) if key else None
+            if same is not None:
+                skip.append((same, n))
+            elif alike and "~" + alike in last:
+                near.append((last["~" + alike], n))
+            last |= {"=" + key: n} if key else {}
+            last |= {"~" + alike: n} if alike else {}
     rows = np.zeros((len(doc), N_FEATURES), np.float64)
     for n, f in enumerate(on):
         rows[n, f] = 1
     pairs = lambda e: np.array(e, np.int64).reshape(-1, 2)
-    return doc, start, end, rows, np.array(fixed, np.int64), pairs(chain), pairs(skip), base
+    return doc, start, end, rows, np.array(fixed, np.int64), pairs(chain), pairs(skip), pairs(near), base
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> dict[str, np.ndarray]:
+def fit(rows: np.ndarray, fixed: np.ndarray, chain: np.ndarray, skip: np.ndarray, near: np.ndarray) -> dict[str, np.ndarray]:
     """Pseudo-likelihood: each mention's label given its features and its neighbours' labels, a
-    multinomial regression whose neighbour weights are the edges' potentials.  Where no mention
-    was seen, a prior holds: like labels attract along skip edges."""
-    n = len(labels)
-    y = np.eye(LABELS)[labels]
-    around = [np.zeros((n, LABELS)) for _ in range(3)]
-    for near, edges, (i, j) in ((0, chain, (1, 0)), (1, chain, (0, 1)), (2, skip, (1, 0)), (2, skip, (0, 1))):
-        np.add.at(around[near], edges[:, i], y[edges[:, j]])
+    multinomial regression whose neighbour weights are the edges' potentials.  ``fixed`` has the
+    base spans' labels, -1 elsewhere.  Where nothing was seen, a prior holds: like labels attract
+    along skip edges, less along alike edges."""
+    n = len(fixed)
+    unknown = np.zeros(n, bool)  # no base span, but tied to one
+    for e in (skip, near):
+        for i, j in ((0, 1), (1, 0)):
+            unknown[e[(fixed[e[:, i]] < 0) & (fixed[e[:, j]] >= 0), i]] = True
+    y = np.eye(LABELS)[np.maximum(fixed, 0)] * ~unknown[:, None]
+    around = [np.zeros((n, LABELS)) for _ in range(4)]
+    for kind, edges, (i, j) in ((0, chain, (1, 0)), (1, chain, (0, 1)), (2, skip, (1, 0)), (2, skip, (0, 1)),
+                                (3, near, (1, 0)), (3, near, (0, 1))):
+        np.add.at(around[kind], edges[:, i], y[edges[:, j]])
     x = np.hstack([rows, *around])
+    # base spans that repeat one, with the looks of mentions that no pattern matches
+    again = np.flatnonzero((fixed > 0) & (around[2][:, 1:].sum(1) > 0))
+    plain = np.flatnonzero((fixed < 0) & ~unknown)
+    if len(again) and len(plain):
+        hidden = x[again]
+        hidden[:, :rows.shape[1]] = rows[np.resize(plain, len(again))]
+        x, y, unknown = np.vstack([x, hidden]), np.vstack([y, y[again]]), np.append(unknown, np.zeros(len(again), bool))
+    x, y = x[~unknown], y[~unknown]
     prior = np.zeros((x.shape[1], LABELS))
-    prior[-LABELS:] = 2 * np.eye(LABELS)
+    prior[-2 * LABELS:-LABELS] = 4 * np.eye(LABELS)
+    prior[-LABELS:] = 0.5 * np.eye(LABELS)
+    # to be tied to something without a label says little: it may be missed itself
+    prior[[-2 * LABELS, -LABELS]] = 0
     prior[0, 0] = 1  # no label, unless something speaks for one
     w, m, v = prior.copy(), 0, 0
     for t in range(1, 301):
         z = x @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        g = x.T @ (p - y) / max(1, n) + 1e-3 * (w - prior)
+        g = x.T @ (p - y) / max(1, len(x)) + 1e-3 * (w - prior)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
     k = rows.shape[1]
-    before, after, like = w[k:k + LABELS], w[k + LABELS:k + 2 * LABELS], w[k + 2 * LABELS:]
-    return {"node": w[:k], "chain": (before + after.T) / 2, "skip": (like + like.T) / 2}
+    before, after, same, like = (w[k + i * LABELS:k + (i + 1) * LABELS] for i in range(4))
+    return {"node": w[:k], "chain": (before + after.T) / 2, "skip": (same + same.T) / 2, "near": (like + like.T) / 2}
 
 
-def marginals(model: dict[str, np.ndarray], rows, fixed, chain, skip) -> np.ndarray:
+def marginals(model: dict[str, np.ndarray], rows, fixed, chain, skip, near) -> np.ndarray:
     """Loopy sum-product in logarithms, all edges at once, damped."""
     node = rows @ model["node"]
     held = fixed >= 0
     node[held] = -50
     node[held, fixed[held]] = 0
-    edges = np.vstack([chain, skip])
-    force = np.concatenate([np.broadcast_to(model["chain"], (len(chain), LABELS, LABELS)),
-                            np.broadcast_to(model["skip"], (len(skip), LABELS, LABELS))])
+    kinds = (("chain", chain), ("skip", skip), ("near", near))
+    edges = np.vstack([e for _, e in kinds])
+    force = np.concatenate([np.broadcast_to(model[k], (len(e), LABELS, LABELS)) for k, e in kinds])
     a, b = edges[:, 0], edges[:, 1]
     there, back = np.zeros((len(edges), LABELS)), np.zeros((len(edges), LABELS))
     norm = lambda z: z - np.logaddexp.reduce(z, axis=1)[:, None]
@@ -209,12 +245,12 @@ def marginals(model: dict[str, np.ndarray], rows, fixed, chain, skip) -> np.ndar
     return np.exp(norm(belief()))
 
 
-def labelled(texts: list[str], model: dict[str, np.ndarray], least: float = 0.5):
+def labelled(texts: list[str], model: dict[str, np.ndarray], least: float = 0.8):
     """For each text: its base spans, and the spans the field adds beside them."""
-    doc, start, end, rows, fixed, chain, skip, base = graph(texts)
+    doc, start, end, rows, fixed, chain, skip, near, base = graph(texts)
     added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     if len(doc) and (fixed < 0).any():
-        p = marginals(model, rows, fixed, chain, skip)
+        p = marginals(model, rows, fixed, chain, skip, near)
         for n in np.flatnonzero((fixed < 0) & (p[:, 1:].max(1) >= least)):
             mine = added[doc[n]]
             if not mine or mine[-1][2] <= start[n]:
@@ -227,21 +263,22 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     What comes to the driver are the mentions' features."""
     def run(batches):
         for batch in batches:
-            doc, _, _, rows, fixed, chain, skip, _ = graph(batch.column("text").to_pylist())
-            blobs = [np.ascontiguousarray(x, np.int64).tobytes() for x in (rows, np.maximum(fixed, 0), chain, skip)]
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs], list("abcd"))
+            _, _, _, rows, fixed, chain, skip, near, _ = graph(batch.column("text").to_pylist())
+            blobs = [np.ascontiguousarray(x, np.int64).tobytes() for x in (rows, fixed, chain, skip, near)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs], list("abcde"))
 
     some = sampled(docs.select("doc_id", text_of().alias("text"))
                    .filter(F.col("text").rlike(r"@|[0-9][0-9 ().-]{5}")), sample, "doc_id", "text")
-    rows, labels, chain, skip, n = [], [], [], [], 0
-    for r in some.select("text").mapInArrow(run, "a binary, b binary, c binary, d binary").collect():
-        at = [np.frombuffer(r[c], np.int64) for c in "abcd"]
-        rows.append(at[0].reshape(-1, N_FEATURES)), labels.append(at[1])
-        chain.append(at[2].reshape(-1, 2) + n), skip.append(at[3].reshape(-1, 2) + n)
+    rows, fixed, edges, n = [], [], ([], [], []), 0
+    for r in some.select("text").mapInArrow(run, "a binary, b binary, c binary, d binary, e binary").collect():
+        at = [np.frombuffer(r[c], np.int64) for c in "abcde"]
+        rows.append(at[0].reshape(-1, N_FEATURES)), fixed.append(at[1])
+        for all_, e in zip(edges, at[2:]):
+            all_.append(e.reshape(-1, 2) + n)
         n += len(at[1])
     if not n:
-        return fit(np.zeros((0, N_FEATURES)), np.zeros(0, int), *[np.zeros((0, 2), int)] * 2)
-    return fit(np.vstack(rows).astype(float), np.concatenate(labels), np.vstack(chain), np.vstack(skip))
+        return fit(np.zeros((0, N_FEATURES)), np.zeros(0, int), *[np.zeros((0, 2), int)] * 3)
+    return fit(np.vstack(rows).astype(float), np.concatenate(fixed), *map(np.vstack, edges))
 
 
 def written_spans(spans) -> str:
