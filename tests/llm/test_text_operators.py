@@ -82,8 +82,9 @@ def test_skip_edges_label_repeats():
 
 
 def planted(rng, n):
-    """Texts with a base span and, in half of them, a spelling of it that no pattern matches; with
-    numbers and addresses that are nobody's.  Beside each the text of the spelling."""
+    """Texts with a base span and, in half of them, a spelling of it that no pattern matches (some of
+    the others hold it twice); with numbers and addresses that are nobody's.  Beside each the text
+    of the spelling."""
     out = []
     for i in range(n):
         d = "".join(str(x) for x in rng.integers(0, 10, 10))
@@ -94,7 +95,7 @@ def planted(rng, n):
         other = "".join(str(x) for x in rng.integers(0, 10, 10))
         hidden = odd if i % 4 < 2 else ""
         words = " some words of a text " * int(rng.integers(1, 30))
-        out.append((f"call or write to {base} now.{words}{hidden}{words}order {other[:7]} of {other} and {other[:3]}x@ home", hidden))
+        out.append((f"call or write to {base} now.{words}{hidden or base * (i % 8 > 3)}{words}order {other[:7]} of {other} and {other[:3]}x@ home", hidden))
     return out
 
 
