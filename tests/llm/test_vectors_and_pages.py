@@ -114,6 +114,16 @@ def test_main_text(source):
     assert main_text(source).split("\n") == TEXT
 
 
+def test_articles_beside_each_other():
+    from tidemark.llm.html_text import main_text
+    other = "<article><p>Another article stands beside the first one and has a sentence of its own.</p></article>"
+    links = "<article><a href=/x>Read this next, it is a long title of a page</a></article>"
+    got = main_text(page(f"{NAV}<article>{PS}</article>{other}{links}{FOOT}")).split("\n")
+    assert got == [*TEXT, "Another article stands beside the first one and has a sentence of its own."]
+    nested = main_text(page(f"{NAV}<main><article>{PS}</article>{other}</main>{FOOT}")).split("\n")
+    assert nested == got
+
+
 def test_odd_pages(spark):
     from pyspark.sql import functions as F
 

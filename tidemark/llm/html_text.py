@@ -252,10 +252,17 @@ class Page:
             if self.tag[k] in MAIN:
                 article = k
             k = self.parent[k] if k != root else -1
+        if article is None and named and chars[top := max(named, key=lambda k: chars[k])] * 4 >= chars[root]:
+            article = top
         if article is not None:
-            return {article}
-        if named and chars[top := max(named, key=lambda k: chars[k])] * 4 >= chars[root]:
-            return {top}
+            # articles beside it are part of the page's text too, unless they are mostly links
+            inside, beside = [False] * n, {article}
+            for k in alive:
+                up = self.parent[k]
+                inside[k] = k != root and (inside[up] or self.tag[up] in MAIN)
+                if self.tag[k] in MAIN and not inside[k] and 0 < chars[k] and link_chars[k] * 2 <= chars[k]:
+                    beside.add(k)
+            return beside
         greatest = list(range(n))  # of each subtree
         for k in range(n - 1, 0, -1):
             up = self.parent[k]
