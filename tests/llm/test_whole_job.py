@@ -154,3 +154,18 @@ def test_named_parts_inside_an_article():
     assert main_text(f"<body><article>{whole}{gone}</article></body>") == want
     assert main_text(f"<body><main>{gone}{whole}</main></body>") == want
     assert main_text(f"<body><div class=header>Top line</div><div><p>{ARTICLE}</p></div><div id=discussion>Talk</div></body>") == ARTICLE
+
+
+def test_parity_rows_differ_no_more_than_their_sets():
+    import numpy as np
+
+    from tidemark.llm.ngram_join import parity
+    rng = np.random.default_rng(2)
+    for longs in (1, 8, 32):
+        for n in (0, 1, 50, 3000):
+            x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            y = np.concatenate([x[n // 5:], rng.integers(0, 1 << 63, n // 7 + 1).astype(np.uint64)])
+            apart = int(np.bitwise_count((parity(x, longs) ^ parity(y, longs)).view(np.uint64)).sum())
+            assert apart <= n // 5 + n // 7 + 1 and len(parity(x, longs)) == longs
+    far = [parity(rng.integers(0, 1 << 63, 3000).astype(np.uint64), 32) for _ in range(2)]
+    assert np.bitwise_count((far[0] ^ far[1]).view(np.uint64)).sum() > 900

@@ -43,6 +43,9 @@ BITS = 18
 SIEVE_BITS = 23
 #: Documents that a task compares with one centre, about.
 STAR = 512
+#: Sets of more n-grams also have a wide parity row, of so many 64-bit words: bits can tell apart
+#: sets that differ in fewer n-grams than half of them.
+WIDE_FROM, WIDE = 1500, 32
 #: Times at most that columns multiply by a centre before all remaining pairs are made; they end
 #: earlier once a turn links fewer than one in WORTH documents.
 TURNS, WORTH = 10, 500
@@ -101,32 +104,41 @@ def parity_longs(percent: int) -> int:
     return 8 if percent >= 85 else 16
 
 
+def parity(s: np.ndarray, longs: int) -> np.ndarray:
+    """The parity row of a set of hashes: a bit a hash class, whether it holds an odd number."""
+    bits = 64 * longs
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view(np.int64)
+
+
 def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``docs`` without text, with n_shingles, print (of the set), rare (its first columns) and parity."""
-    keep, bits = [c for c in docs.columns if c != "text"], 64 * parity_longs(percent)
+    """``docs`` without text, with n_shingles, print (of the set), rare (its first columns), parity
+    and, for large sets, wide."""
+    keep, longs = [c for c in docs.columns if c != "text"], parity_longs(percent)
 
     def run(batches):
         import xxhash
         shingles = shingler(words)
         for batch in batches:
-            n, prints, rare, odd = [], [], [], []
+            n, prints, rare, odd, wide = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = np.unique(shingles(text))
                 n.append(len(s))
                 prints.append(xxhash.xxh3_128_digest(s.tobytes()))
-                odd.append(np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view(np.int64))
+                odd.append(parity(s, longs))
+                wide.append(parity(s, WIDE) if len(s) > WIDE_FROM else None)
                 first = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 rare.append(s[np.argsort(order[s >> np.uint64(64 - BITS)], kind="stable")[:first]].view(np.int64))
             ends = np.cumsum([0, *map(len, rare)])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rare]))),
-                 pa.array(odd, pa.list_(pa.int64()))],
-                [*keep, "n_shingles", "print", "rare", "parity"])
+                 pa.array(odd, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))],
+                [*keep, "n_shingles", "print", "rare", "parity", "wide"])
 
     return docs.mapInArrow(run, T.StructType(
         [docs.schema[c] for c in keep] + [T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
-                                          T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("parity", T.ArrayType(T.LongType()))]))
+                                          T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("parity", T.ArrayType(T.LongType())),
+                                                          T.StructField("wide", T.ArrayType(T.LongType()))]))
 
 
 def sieve(ids: DataFrame) -> np.ndarray:
@@ -307,7 +319,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # documents of one set are one row of the matrix
     matrix = (signs.filter("n_shingles > 0").groupBy("print")
               .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare"),
-                   F.first("parity").alias("parity")))
+                   F.first("parity").alias("parity"), F.first("wide").alias("wide")))
     matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
     entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
     rare = written(repeated(entries.select("gram", "id", "i")), "grams-rare")
@@ -326,11 +338,12 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     sizes = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
     hub = sizes.groupBy("gram").agg(F.max_by("root", F.col("k")).alias("hub"))
     words64 = [f"p{k}" for k in range(parity_longs(percent))]
-    sized = own.join(matrix.select("id", "n", *[F.col("parity")[k].alias(p) for k, p in enumerate(words64)]), "id")
-    cols = ["id", "n", "i", "root", *words64]
+    sized = own.join(matrix.select("id", "n", "wide", *[F.col("parity")[k].alias(p) for k, p in enumerate(words64)]), "id")
+    cols = ["id", "n", "i", "root", "wide", *words64]
     x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in cols])
     y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in cols])
     apart = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in words64), F.lit(0))
+    apart_wide = sum((F.bit_count(F.col("wide_x")[k].bitwiseXOR(F.col("wide_y")[k])) for k in range(WIDE)), F.lit(0))
     asked = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
     need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
     # at a common column at places i and j, the overlap is at most min(i, j) before, 1, and what
@@ -340,7 +353,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
         & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
         & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y")))
-        & (apart <= F.col("n_x") + F.col("n_y") - 2 * asked))
+        & (apart <= F.col("n_x") + F.col("n_y") - 2 * asked)
+        & F.coalesce(apart_wide <= F.col("n_x") + F.col("n_y") - 2 * asked, F.lit(True)))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
                 (F.col("n_x") + F.col("n_y")).alias("sizes"),
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
