@@ -30,7 +30,7 @@ SIZE = 2048
 BUCKETS = 4096
 #: Bytes of the store of chunks' ids in a worker, about; when it is full, only the chunks of the texts
 #: at hand stay.  A chunk takes its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
-KEPT, ENTRY, LONGEST = 64 << 20, 200, 256
+KEPT, ENTRY, LONGEST = 128 << 20, 300, 256
 
 
 def encoder(path: str):
