@@ -6,8 +6,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tests.conftest import rows, srt
-from tidemark.session import session_with
+from tests.conftest import SF_SMALL, rows, srt
+from tidemark.session import STATE_STORE, session_with
 from tidemark.streaming import runner
 from tidemark.streaming.outcomes import dedup_outcomes
 
@@ -76,3 +76,26 @@ def test_arrivals_keep_one_checkpoint(spark):
     run = runner.run_in_arrivals(df, "batch", lambda s: s.withColumn("w", F.col("v") * 2), "arrivals")
     assert rows(run.output) == srt([(None, 1, 2), (2, 2, 4), (2, 3, 6), (5, 4, 8)])
     assert [p["numInputRows"] for p in run.progress if p["numInputRows"]] == [1, 2, 1]
+
+
+def test_default_state_store_is_left_alone(spark):
+    from tidemark.plans.queries import QUERIES
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain_session = session_with(spark, **{STATE_STORE.replace(".", "__"): default})
+    out = QUERIES["stream_dedup_outcomes"](plain_session, SF_SMALL)
+    events = plain_session.read.parquet(f"{SF_SMALL}/events.parquet")
+    want = events.agg(F.sum(F.when(F.col("event_id") % 7 == 0, 2).otherwise(1))).first()[0]
+    assert out.agg(F.sum("copies")).first()[0] == want
+    assert plain_session.conf.get(STATE_STORE) == default
+
+
+def test_processor_needs_no_package_on_workers():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tidemark.streaming.outcomes import KnownKeys
+    read = "import sys, pickle; p = pickle.load(sys.stdin.buffer); assert 'tidemark' not in sys.modules; print(p.horizon_us)"
+    got = subprocess.run([sys.executable, "-c", read], input=cloudpickle.dumps(KnownKeys(7)), capture_output=True, cwd="/", check=True)
+    assert got.stdout.strip() == b"7"

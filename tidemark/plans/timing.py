@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import partition_watermark as pw
 from tidemark.operators import ranges
+from tidemark.session import with_rocksdb
 from tidemark.sources import relations as rel
 from tidemark.streaming import outcomes, runner
 
@@ -73,13 +74,14 @@ def stream_dedup_outcomes(spark, sf_dir):
     """The delivered log by user, as it arrives in periods of ten days: what a bounded stream dedup
     accepts, what it knows already, and what comes too late to tell.  Every 11th ride arrives a
     period late, a resent copy a period after the first."""
-    d = rel.deliveries(spark, sf_dir)
+    d = rel.deliveries(with_rocksdb(spark), sf_dir)
     late = F.when(F.col("ride_id") % rel.LATE_EVERY == 0, 1).otherwise(0)
     day = rel.arrival_day(F.col("event_time"))
     d = d.select("ride_id", "user_id", "event_time", (F.floor(day / 10) + late + F.col("copy")).cast("bigint").alias("period"))
     run = runner.run_in_arrivals(
         d, "period", lambda s: outcomes.dedup_outcomes(s, ["user_id"], "event_time", OUTCOME_DELAY, OUTCOME_HORIZON_S), "outcomes")
-    return run.output.groupBy("ride_id", "period", "outcome").agg(F.sum("copies").alias("copies"))
+    out = spark.read.schema(run.output.schema).parquet(run.sink_path)  # in the given session
+    return out.groupBy("ride_id", "period", "outcome").agg(F.sum("copies").alias("copies"))
 
 
 QUERIES = {f.__name__: f for f in (watermark_by_partition, late_by_partition, closed_by_partition_watermark, held_fares,

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -29,8 +31,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config(STATE_STORE, ROCKSDB)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,3 +88,9 @@ def session_with(spark: SparkSession, **settings: str) -> SparkSession:
     for name, value in settings.items():
         beside.conf.set(name.replace("__", "."), value)
     return beside
+
+
+def with_rocksdb(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` whose streams keep their state in RocksDB, which
+    ``transformWithState`` needs; the given session may have Spark's default store."""
+    return session_with(spark, **{STATE_STORE.replace(".", "__"): ROCKSDB})

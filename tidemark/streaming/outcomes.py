@@ -19,13 +19,18 @@ again and again costs a row a task.  Sums of ``copies`` over outcomes are the ro
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# the processor is shipped by value: executors may have no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ACCEPTED, DUPLICATE, LATE, UNTIMED = "accepted", "duplicate", "late", "untimed"
 TIME, COPIES, OUTCOME = "event_us", "copies", "outcome"
 
@@ -81,7 +86,7 @@ class KnownKeys(StatefulProcessor):
 
 def dedup_outcomes(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, horizon_seconds: int) -> DataFrame:
     """The columns of ``stream``, copies and outcome.  Needs the RocksDB state store
-    (``build_session`` sets it).  A null key is a key."""
+    (``build_session`` sets it, ``with_rocksdb`` makes a session that has it).  A null key is a key."""
     names, keys = stream.columns, list(keys)
     # the watermark is kept on ts; the operator sees the time as a number, so Spark drops nothing
     marked = stream.withWatermark(ts, delay).withColumn(TIME, F.unix_micros(ts))
