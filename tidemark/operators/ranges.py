@@ -1,14 +1,16 @@
 """Figures over ranges of time: counter rates over a sliding range, grids that hold the last value.
 
 Series are cut into blocks of time, so that a series with very many samples is many tasks' work.
-A rate's range may begin before its block: each block also gets the samples of the last range
-before it (a halo).  A held value may be older than its block: it is carried over the blocks, one
+Samples are first added up by pane: a range begins and ends between panes, so its rate takes a
+few rows however dense the samples are.  A rate's range may begin before its block: each block
+also gets the panes of the last range before it (a halo).  A held value may be older than its block: it is carried over the blocks, one
 row a block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +24,11 @@ def _floor(us: Column, size: int) -> Column:
     return ((us - F.pmod(us, F.lit(size))) / F.lit(size)).cast("bigint")
 
 
+def _increase(now: Column, before: Column) -> Column:
+    """Of a counter between two samples; a drop is a reset."""
+    return F.when(before.isNull(), F.lit(None)).when(now < before, now).otherwise(now - before)
+
+
 def _instant(us: Column) -> Column:
     return F.timestamp_micros(us)
 
@@ -36,32 +43,36 @@ def rate_at_steps(samples: DataFrame, series: Sequence[str], ts: str, value: str
     Samples of one series and time are one, the greatest; those without a time or value are none;
     a null label is a label."""
     size, span, grid = max(block, seconds) * SECOND, seconds * SECOND, step * SECOND
-    one = samples.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).groupBy(*series, F.unix_micros(ts).alias("_tm_us")) \
-        .agg(F.max(value).alias("_tm_v"))
+    # ranges begin and end between panes, so a range is a few panes, however many samples these have
+    pane = gcd(step, seconds, block) * SECOND
+    one = samples.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).groupBy(*series, F.unix_micros(ts).alias("_tm_at")) \
+        .agg(F.max(value).alias("_tm_v")).withColumn("_tm_us", _floor(F.col("_tm_at") + pane - 1, pane) * pane)
+    previous = F.lag("_tm_v").over(Window.partitionBy(*series, "_tm_us").orderBy("_tm_at"))
+    one = one.withColumn("_tm_up", _increase(F.col("_tm_v"), previous))
+    ends = F.struct("_tm_at", "_tm_v")
+    panes = one.groupBy(*series, "_tm_us").agg(
+        F.min(ends).alias("_tm_first"), F.max(ends).alias("_tm_last"), F.sum("_tm_up").alias("_tm_inside"))
     us = F.col("_tm_us")
     home = _floor(us, size)
     # the next block's ranges reach back into this one's end
-    in_halo = F.when(us > (home + 1) * size - span, F.struct((home + 1).alias("b"), F.lit(1).alias("kind")))
-    mine = F.struct(home.alias("b"), F.lit(1).alias("kind"))
-    points = one.select(*series, "_tm_us", "_tm_v", F.explode(F.array_compact(F.array(mine, in_halo))).alias("_tm_r"))
-    points = points.select(*series, "_tm_us", "_tm_v", F.col("_tm_r.b").alias("_tm_b"))
-    # steps whose range holds the sample
+    in_halo = F.when(us > (home + 1) * size - span, home + 1)
+    points = panes.withColumn("_tm_b", F.explode(F.array_compact(F.array(home, in_halo)))).withColumn("_tm_step", F.lit(False))
+    # steps whose range holds the pane
     first = _floor(us + grid - 1, grid) * grid
-    steps = one.select(*series, F.explode(F.sequence(first, first + span, F.lit(grid))).alias("_tm_s"), us.alias("_tm_at")) \
-        .where(F.col("_tm_s") < F.col("_tm_at") + span).select(*series, F.col("_tm_s").alias("_tm_us")).distinct()
-    steps = steps.select(*series, "_tm_us", F.lit(None).cast(one.schema["_tm_v"].dataType).alias("_tm_v"), _floor(us, size).alias("_tm_b"),
-                         F.lit(True).alias("_tm_step"))
-    rows = points.withColumn("_tm_step", F.lit(False)).unionByName(steps)
-    order = Window.partitionBy(*series, "_tm_b").orderBy("_tm_us", "_tm_step")
-    before = F.last("_tm_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    up = F.when(before.isNull(), F.lit(None)).when(F.col("_tm_v") < before, F.col("_tm_v")).otherwise(F.col("_tm_v") - before)
-    rows = rows.withColumn("_tm_up", F.when(~F.col("_tm_step"), up))
-    back = Window.partitionBy(*series, "_tm_b").orderBy("_tm_us").rangeBetween(-(span - 1), Window.currentRow)
+    steps = panes.select(*series, F.explode(F.sequence(first, first + span, F.lit(grid))).alias("_tm_s"), us.alias("_tm_end")) \
+        .where(F.col("_tm_s") <= F.col("_tm_end") - pane + span).select(*series, F.col("_tm_s").alias("_tm_us")).distinct() \
+        .withColumn("_tm_b", _floor(us, size)).withColumn("_tm_step", F.lit(True))
+    rows = points.unionByName(steps, allowMissingColumns=True)
+    before = F.last("_tm_last", ignorenulls=True).over(Window.partitionBy(*series, "_tm_b").orderBy("_tm_us", "_tm_step").rowsBetween(
+        Window.unboundedPreceding, -1))["_tm_v"]
     sample = ~F.col("_tm_step")
-    # the first sample's own increase lies before the range
-    lead = F.first(F.when(sample, F.struct("_tm_up")), ignorenulls=True).over(back)["_tm_up"]
-    rise = F.sum("_tm_up").over(back) - F.coalesce(lead, F.lit(0).cast(one.schema["_tm_v"].dataType))
-    time = F.max(F.when(sample, us)).over(back) - F.min(F.when(sample, us)).over(back)
+    rows = rows.withColumn("_tm_enter", F.when(sample, _increase(F.col("_tm_first")["_tm_v"], before)))
+    back = Window.partitionBy(*series, "_tm_b").orderBy("_tm_us").rangeBetween(-(span - 1), Window.currentRow)
+    # the increase into the first pane lies before the range
+    lead = F.first(F.when(sample, F.struct("_tm_enter")), ignorenulls=True).over(back)["_tm_enter"]
+    none = F.lit(0).cast(one.schema["_tm_v"].dataType)
+    rise = F.coalesce(F.sum("_tm_inside").over(back), none) + F.coalesce(F.sum("_tm_enter").over(back), none) - F.coalesce(lead, none)
+    time = F.max("_tm_last").over(back)["_tm_at"] - F.min("_tm_first").over(back)["_tm_at"]
     out = rows.select(*series, _instant(us).alias(ts), "_tm_step", rise.alias("_tm_rise"), time.alias("_tm_time"))
     return out.where(F.col("_tm_step") & (F.col("_tm_time") > 0)).select(
         *series, ts, (F.col("_tm_rise") / (F.col("_tm_time") / F.lit(SECOND))).alias("rate"))
