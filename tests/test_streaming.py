@@ -190,3 +190,18 @@ def test_replay_pads_batches_to_equal_file_counts(spark):
     inputs = [p["numInputRows"] for p in run.progress if p["numInputRows"]]
     assert inputs == [40, 1, 7]
     assert run.output.count() == 48
+
+
+def test_staged_files_are_small_and_batches_take_many(spark, monkeypatch):
+    """One file is one task's work: the split's staged table has many files however its rows are parted."""
+    from tidemark.plans import queries
+    from tidemark.sources import relations as rel
+    d = spark.range(1000).coalesce(1)
+    path = runner.stage(d, "small-files", file_rows=100)
+    assert len(spark.read.parquet(path).inputFiles()) == 10 and spark.read.parquet(path).count() == 1000
+    staged, whole = [], runner.stage
+    monkeypatch.setattr(queries, "SPLIT_FILE_ROWS", 100)
+    monkeypatch.setattr(runner, "stage", lambda *a, **k: staged.append(whole(*a, **k)) or staged[-1])
+    out = queries.QUERIES["stream_contract_split"](spark, SF_SMALL)
+    n = rel.rides(spark, SF_SMALL).count()
+    assert out.count() == n and len(spark.read.parquet(staged[0]).inputFiles()) >= n // 100

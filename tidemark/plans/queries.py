@@ -626,13 +626,18 @@ def avro_decode(spark, sf_dir):
 # --- contract split on a stream ----------------------------------------------------
 
 
+#: Rows of a staged file, and bytes of files that a micro-batch takes.
+SPLIT_FILE_ROWS, SPLIT_BATCH_BYTES = 1 << 17, 512 << 20
+
+
 @query("stream_contract_split")
 def stream_contract_split(spark, sf_dir):
     """The damaged JSON records as a stream, split per micro-batch into an
     accepted and a quarantined table; both are returned, told apart by side."""
-    src = runner.stage(rel.ride_json(spark, sf_dir), "ride-json")
-    schema = spark.read.parquet(src).schema
-    stream = runner.file_stream(spark, src, schema, max_bytes=64 << 20)
+    records = rel.ride_json(spark, sf_dir)
+    # a file is one task's work: many small ones keep all cores busy, and a micro-batch takes many
+    src = runner.stage(records, "ride-json", file_rows=SPLIT_FILE_ROWS)
+    stream = runner.file_stream(spark, src, records.schema, max_bytes=SPLIT_BATCH_BYTES)
     run = scontracts.split_stream(stream, "value", V1)
     nothing = F.lit(None).cast("string")
     good = spark.read.schema(run.accepted_schema).parquet(run.accepted_path)

@@ -49,10 +49,13 @@ def file_stream(spark: SparkSession, path: str, schema: StructType,
     return r.parquet(path)
 
 
-def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> str:
-    """Write a batch DataFrame as a table in the shared folder; returns its path."""
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None, file_rows: int | None = None) -> str:
+    """Write a batch DataFrame as a table in the shared folder, in files of at most
+    ``file_rows`` rows; returns its path."""
     path = fresh_dir(df.sparkSession, label)
     w = df.write.mode("error")
+    if file_rows:
+        w = w.option("maxRecordsPerFile", file_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
