@@ -169,3 +169,31 @@ def test_parity_rows_differ_no_more_than_their_sets():
             assert apart <= n // 5 + n // 7 + 1 and len(parity(x, longs)) == longs
     far = [parity(rng.integers(0, 1 << 63, 3000).astype(np.uint64), 32) for _ in range(2)]
     assert np.bitwise_count((far[0] ^ far[1]).view(np.uint64)).sum() > 900
+
+
+def test_weights_are_fitted_on_all_training_texts(spark):
+    """First weights are the mean of those after each training text, long ones and repeats included, by counts of other parts."""
+    from tidemark.llm import context_mix as M
+    rng = np.random.default_rng(14)
+    texts = [M.normal(" ".join(rng.choice(["red", "green", f"n{n}"], 200 + n))) for n in range(30)] + [M.normal("again")] * 5
+    code = M.Code(rng.integers(1, 1000, (256, 256)))
+    bits, weights = (12, 12, 12), rng.uniform(0.1, 0.4, (M.GATES, len(M.ORDERS) + 1)).astype(np.float32)
+    d = spark.createDataFrame([(t.decode(), n % 3) for n, t in enumerate(texts)], "text string, part int").repartition(3)
+    odds, *without = M.context_odds(d.withColumnRenamed("part", "fitted"), code, bits, parts=3)
+    for p in range(3):
+        others = d.where(f"part <> {p}").selectExpr("text", "0 AS fitted")
+        assert (without[p] == M.context_odds(others, code, bits)[0]).all() and (without[p] != odds).any()
+    got = M.fit_on_all(d, code, without, weights, bits)
+    want = np.mean([M.mixed([t], code, without[n % 3], weights, bits)[1] for n, t in enumerate(texts)], 0)
+    assert np.allclose(got, want, atol=1e-5) and not np.allclose(got, weights, atol=1e-3)
+    assert (M.fit_on_all(d.limit(0), code, without, weights, bits) == weights).all()
+
+
+def test_train_fits_on_texts_that_are_not_drawn(spark, monkeypatch):
+    from tidemark.llm import context_mix as M
+    rows = [(n, f"one two three {n}", "a") for n in range(40)]
+    fitted = []
+    whole = M.fit_on_all
+    monkeypatch.setattr(M, "fit_on_all", lambda texts, *a: (fitted.extend(r["text"] for r in texts.collect()), whole(texts, *a))[1])
+    M.train(docs(spark, rows, clash=False), sample=1)
+    assert sorted(fitted) == sorted(t for _, t, _ in rows)

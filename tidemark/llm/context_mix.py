@@ -8,7 +8,7 @@ odds, and a constant, are mixed by weights; which set of weights is used is gate
 many of the long contexts were seen.  The weights go on learning along a text to its end, and an adaptive map refines the mix by how its
 predictions have turned out there.  The sum over all choices is the text's probability.
 
-Counts cover all training texts.  A task adds up its own and sends them in blocks; blocks are
+Counts and weights cover all training texts.  A task adds up its own and sends them in blocks; blocks are
 added up one by one as they come, so memory doesn't grow with the number of tasks.  The tables have
 at least the slots of ``ORDERS`` and grow with the contexts measured in the corpus, so that these
 don't share slots more as it grows; tables too large for one task are counted part by part.  Beside the model stands the base: word counts, exact for every word.  Scores
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ ORDERS = ((3, 20), (4, 21), (0, 22))
 SLOTS = sum(1 << bits for _, bits in ORDERS)
 BITS = tuple(bits for _, bits in ORDERS)
 PAD = max(k for k, _ in ORDERS)
-#: Slots in a block of counts; slots that a task counts at a time; of so many contexts one is measured.
-BLOCK, COUNTED, MEASURED = 1024, 1 << 25, 256
-#: Training texts that the weights are fitted on, about; those of over so many characters aren't drawn.
+#: Slots in a block of counts; slots that a task counts at a time, and adds up; of so many contexts one is measured.
+BLOCK, COUNTED, ADDED, MEASURED = 1024, 1 << 24, 1 << 20, 256
+#: Training texts that the fit of the weights begins with, about; those of over so many characters aren't drawn.
 SAMPLE, DRAWN = 400, 1 << 18
 #: Words whose counts go along with the model.
 HEAD = 1 << 17
@@ -198,25 +199,23 @@ def table_bits(docs: DataFrame, code: Code, least: tuple[int, ...] = BITS) -> tu
     return tuple(max(b, min(32, int(np.ceil(np.log2(max(1.0, c)))))) for b, c in zip(least, choices))
 
 
-def context_odds(docs: DataFrame, code: Code, bits: tuple[int, ...] = BITS, counted: int = COUNTED) -> tuple[np.ndarray, np.ndarray]:
+def context_odds(docs: DataFrame, code: Code, bits: tuple[int, ...] = BITS, counted: int = COUNTED, parts: int = 2) -> list[np.ndarray]:
     """Log odds of each slot: how often its choice went 1 and 0 in all of ``docs`` (text, fitted),
-    and the same without the texts that are ``fitted``.  Tables of over
-    ``counted`` slots are counted in several runs over ``docs``, so a task's memory stays bounded."""
+    then the same without the texts of each part: ``fitted`` is a text's part, 0 to ``parts`` - 1.
+    A task counts texts of one part.  Tables of over ``counted`` slots are counted in several runs
+    over ``docs``, so a task's memory stays bounded."""
     one, starts = np.uint32(1), bases(bits)
     slots = int(starts[-1])
 
-    def count_part(low: int, high: int):
-        return lambda batches: count(batches, low, high)
+    def count_part(low: int, high: int, part: int):
+        return lambda batches: count(batches, low, high, part)
 
-    def count(batches, low, high):
-        totals: dict[bool, np.ndarray] = {}
+    def count(batches, low, high, part):
+        total = None
         for batch in batches:
-            fitted = batch.column("fitted").to_pylist()
-            texts = [normal(t) for t in batch.column("text").to_pylist()]
-            for own, group in ((f, g) for f in (False, True) for g in grouped([t for t, x in zip(texts, fitted) if x == f])):
-                if own not in totals:
-                    totals[own] = np.zeros(2 * (high - low), np.uint32)
-                total = totals[own]
+            for group in grouped([normal(t) for t in batch.column("text").to_pylist()]):
+                if total is None:
+                    total = np.zeros(2 * (high - low), np.uint32)
                 byte, hashes, _ = contexts(group)
                 for at in range(0, len(byte), 1 << 16):
                     place, length = path_of(byte[at:at + (1 << 16)], code)
@@ -233,40 +232,44 @@ def context_odds(docs: DataFrame, code: Code, bits: tuple[int, ...] = BITS, coun
                         s <<= np.uint32(1)
                         s |= went
                         np.add.at(total[2 * (a - low):2 * (b - low)], s, one)
-        for own, total in totals.items():
-            blocks = total.reshape(-1, 2 * BLOCK)
-            full = np.flatnonzero(blocks.any(1))
-            for k in range(0, len(full), 256):
-                some = full[k:k + 256]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((some + low // BLOCK).astype(np.int32)), pa.array([own] * len(some)),
-                     pa.array([blocks[f].tobytes() for f in some], pa.binary())], ["block", "fitted", "counts"])
+        if total is None:
+            return
+        blocks = total.reshape(-1, 2 * BLOCK)
+        full = np.flatnonzero(blocks.any(1))
+        for k in range(0, len(full), 256):
+            some = full[k:k + 256]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((some + low // BLOCK).astype(np.int32)), pa.array(np.full(len(some), part, np.int32)),
+                 pa.array([blocks[f].tobytes() for f in some], pa.binary())], ["block", "part", "counts"])
+
+    names = [f"odds{k}" for k in range(parts + 1)]
 
     def add(batches):
-        held: dict[tuple[int, bool], np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}  # by block: counts of each part
         for batch in batches:
-            for b, own, c in zip(batch.column("block").to_pylist(), batch.column("fitted").to_pylist(), batch.column("counts")):
-                got = np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64)
-                held[b, own] = held[b, own] + got if (b, own) in held else got
-        nothing = np.zeros(2 * BLOCK, np.int64)
-        for b in {b for b, _ in held}:
-            rest = held.get((b, False), nothing)
-            both = [log_odds(c.reshape(-1, 2)).tobytes() for c in (rest + held.get((b, True), nothing), rest)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in both)], ["block", "odds", "odds_rest"])
-
-    kind = "block int, fitted boolean, counts binary"
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out, rest = np.zeros((slots // BLOCK, BLOCK), np.int8), np.zeros((slots // BLOCK, BLOCK), np.int8)
+            for b, p, c in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("counts")):
+                if b not in held:
+                    held[b] = np.zeros((parts, 2 * BLOCK), np.int64)
+                held[b][p] += np.frombuffer(c.as_buffer(), np.uint32)
+        for b, n in held.items():
+            whole = n.sum(0)
+            odds = [log_odds(c.reshape(-1, 2)).tobytes() for c in (whole, *(whole - own for own in n))]
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in odds)], ["block", *names])
+
+    out = [np.zeros((slots // BLOCK, BLOCK), np.int8) for _ in names]
     for low in range(0, slots, counted):
-        run = count_part(low, min(slots, low + counted))
-        summed = docs.mapInArrow(run, kind).repartition(parts, "block").mapInArrow(
-            add, "block int, odds binary, odds_rest binary")
+        high = min(slots, low + counted)
+        by_part = [docs.where(F.col("fitted").cast("int") == p).select("text").mapInArrow(
+            count_part(low, high, p), "block int, part int, counts binary") for p in range(parts)]
+        # a task adds up at most ADDED slots
+        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (high - low) // ADDED)
+        summed = reduce(DataFrame.unionAll, by_part).repartition(tasks, "block").mapInArrow(
+            add, "block int, " + ", ".join(f"{n} binary" for n in names))
         for r in written(summed, "lm-odds").toArrow().to_batches():
-            for b, c, d in zip(r.column("block").to_pylist(), r.column("odds"), r.column("odds_rest")):
-                out[b] = np.frombuffer(c.as_buffer(), np.int8)
-                rest[b] = np.frombuffer(d.as_buffer(), np.int8)
-    return out.reshape(-1), rest.reshape(-1)
+            for k, n in enumerate(names):
+                for b, c in zip(r.column("block").to_pylist(), r.column(n)):
+                    out[k][b] = np.frombuffer(c.as_buffer(), np.int8)
+    return [o.reshape(-1) for o in out]
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
@@ -362,23 +365,56 @@ class Model:
         return out * np.log10(2), np.array(list(map(len, data)))
 
 
+def fit_on_all(texts: DataFrame, code: Code, without: list[np.ndarray], weights: np.ndarray, bits: tuple[int, ...]) -> np.ndarray:
+    """First weights: the mean of those after each of all ``texts`` (text, part), which begin with
+    ``weights`` and learn to the text's end by the counts ``without`` the texts of its part."""
+    total, n = np.zeros(weights.shape), 0
+    small = cloudpickle.dumps((code, weights, bits))
+    for part, odds in enumerate(without):
+        model = texts.sparkSession.sparkContext.broadcast((small, odds))
+
+        def run(batches, model=model):
+            small, odds = model.value
+            code, weights, bits = cloudpickle.loads(small)
+            total, n = np.zeros(weights.shape), 0
+            for whole in batches:
+                for at in range(0, whole.num_rows, 4000):
+                    data = sorted(map(normal, whole.slice(at, 4000).column("text").to_pylist()), key=len, reverse=True)
+                    for some in grouped(data):
+                        total += len(some) * mixed(some, code, odds, weights, bits)[1].astype(np.float64)
+                        n += len(some)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n])], ["total", "n"])
+
+        # a row a task
+        for r in texts.where(F.col("part") == part).select("text").mapInArrow(run, "total binary, n long").collect():
+            total += np.frombuffer(r["total"]).reshape(total.shape)
+            n += r["n"]
+        model.destroy()
+    return (total / n).astype(np.float32) if n else weights
+
+
 def train(learned: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of ``learned`` (doc_id, text): counts of all, and weights fitted on a small sample of
-    whole texts, by counts of the others.  Equal rows are drawn together and fitted on once."""
+    """A model of ``learned`` (doc_id, text): counts of all, and weights fitted on all.
+
+    A small sample of whole texts, by counts of the others, says where the fit begins: equal rows
+    are drawn together and taken once.  Then every text is fitted on, by the counts of other parts."""
     texts = learned.select(text_of().alias("text"), F.xxhash64(F.lit("fit"), "doc_id", text_of()).alias("h"))
     code = Code(pair_counts(texts.select("text")) * 256 + 1)
     share = min(0.2, sample / max(1, texts.count()))
-    fitted = (F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))) & (F.length("text") <= DRAWN)
+    drawn = (F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))) & (F.length("text") <= DRAWN)
+    part = F.when(drawn, 1).when(F.pmod(F.shiftright("h", 32), F.lit(2)) == 0, 0).otherwise(2)
+    texts = texts.select("text", "h", part.alias("part"))
     bits = table_bits(texts.select("text"), code)
-    odds, odds_rest = context_odds(texts.select("text", fitted.alias("fitted")), code, bits)
+    odds, *without = context_odds(texts.select("text", F.col("part").alias("fitted")), code, bits, parts=3)
     # a bounded sample comes to the driver
-    drawn = texts.filter(fitted).dropDuplicates(["h"]).orderBy("h").limit(2 * sample)
-    some = [normal(r["text"]) for r in drawn.select("text").collect()]
+    first = texts.where("part = 1").dropDuplicates(["h"]).orderBy("h").limit(2 * sample)
+    some = [normal(r["text"]) for r in first.select("text").collect()]
     weights = np.full((GATES, len(ORDERS) + 1), 0.3, np.float32)
     for _ in range(8 if some else 0):
         for run in grouped(some):
-            weights = mixed(run, code, odds_rest, weights, bits)[1].astype(np.float32)
-    return Model(code, odds, weights, bits)
+            weights = mixed(run, code, without[1], weights, bits)[1].astype(np.float32)
+    return Model(code, odds, fit_on_all(texts.select("text", "part"), code, without, weights, bits), bits)
 
 
 def word_hash(cache: dict):
