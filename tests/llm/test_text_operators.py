@@ -381,3 +381,40 @@ def test_score_does_not_depend_on_the_batch():
     together = model.score(texts)[0]
     alone = np.array([model.score([t])[0][0] for t in texts])
     assert np.allclose(together, alone, rtol=1e-6) and together[0] == together[4]
+
+
+def test_columns_of_the_same_documents_are_one(spark, monkeypatch):
+    from tidemark.llm import ngram_join
+    rng = np.random.default_rng(9)
+    members = [tuple(sorted(rng.choice(60, rng.integers(1, 12), replace=False).tolist())) for _ in range(25)]
+    rows = [(g, d, 0) for g in range(200) for d in members[g % 25]] + [(900 + g, d, 0) for g in range(2) for d in range(3000)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "HELD", 500)
+    try:
+        for size in ("3", "10000"):
+            spark.conf.set(key, size)
+            got: dict[int, list[int]] = {}
+            for r in ngram_join.repeated(spark.createDataFrame(rows, "gram long, id long, i int"), by_documents=True).collect():
+                got.setdefault(r["gram"], []).append(r["id"])
+            small = Counter(tuple(sorted(ids)) for ids in got.values() if len(ids) < 3000 and len(set(ids)) < 100)
+            # each set of documents has one column, with a row for each column that it stands for
+            want = Counter(tuple(sorted(d for d in m for _ in range(8 * members.count(m)))) for m in set(members) if len(m) > 1)
+            assert small == want
+            hot = [ids for ids in got.values() if len(set(ids)) >= 100]  # one, or one each where they are too long to hold
+            assert sorted(d for ids in hot for d in ids) == sorted(2 * list(range(3000)))
+            assert all(set(ids) == set(range(3000)) for ids in hot)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_more_links_of_two_components_are_one(spark, monkeypatch):
+    from tidemark.llm import ngram_join
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    parts = ngram_join.joined(None, frame([(i, i - 1) for i in range(1, 30)] + [(i, i - 1) for i in range(101, 130)]))
+    seen, plain = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda links: seen.append(links.count()) or plain(links))
+    cross = [(i, 100 + j) for i in range(30) for j in range(30)] + [(200, 129), (300, 301), (5, 6)]
+    got = {r["v"]: r["root"] for r in ngram_join.joined(parts, frame(cross)).collect()}
+    assert seen == [3]  # 0 - 100, 200 - 100, 300 - 301
+    assert got == {**{v: 0 for v in [*range(30), *range(100, 130), 200]}, 300: 300, 301: 300}

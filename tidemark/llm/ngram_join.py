@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,27 +49,20 @@ WIDE_FROM, WIDE = 1500, 32
 #: Times at most that columns multiply by a centre before all remaining pairs are made; they end
 #: earlier once a turn links fewer than one in WORTH documents.
 TURNS, WORTH = 10, 500
-#: Word hashes a task keeps; the store is emptied when it is full.
-KEPT = 500_000
+#: Entries of a column that a task holds to learn who is in it; a column of more is told apart by itself.
+HELD = 1 << 17
 
 
 def shingler(words: int = WORDS):
     """text -> hashes of its n-grams in order (64 bits); one for a text of fewer words."""
     import xxhash
 
-    class Hashes(dict):
-        def __missing__(self, word):
-            if len(self) > KEPT:
-                self.clear()
-            self[word] = h = xxhash.xxh3_64_intdigest(word)
-            return h
-
-    known, odd = Hashes(), np.uint64(0x9E3779B97F4A7C15)
+    odd = np.uint64(0x9E3779B97F4A7C15)
 
     def shingles(text: str) -> np.ndarray:
         # bytes: lower() is A-Z alone, split() parts at space and \x09-\x0D
         ws = text.encode().lower().split()
-        h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
+        h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, ws)), ">u8").astype(np.uint64)
         n = min(words, len(h))
         out = np.full(len(h) - n + 1 if n else 0, n, np.uint64)
         for k in range(n):
@@ -141,10 +134,10 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
                                                           T.StructField("wide", T.ArrayType(T.LongType()))]))
 
 
-def sieve(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2^SIEVE_BITS bits that has the bit of every doc_id in ``ids``.  It only saves
+def sieve(ids: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of 2^SIEVE_BITS bits that has the bit of every ``key`` in ``ids``.  It only saves
     work: rows that pass by chance are never joined."""
-    bit = sieve_bit(F.col("doc_id"))
+    bit = sieve_bit(F.col(key))
     words = (ids.select(F.shiftright(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int")).alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
     out = np.zeros(1 << SIEVE_BITS - 6, np.int64)
@@ -156,44 +149,79 @@ def sieve_bit(doc_id):
     return F.pmod(F.xxhash64(F.lit("sieve"), doc_id), F.lit(1 << SIEVE_BITS))
 
 
-def sifted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id and text of documents that ``wanted`` may ask for.  Tasks pass over the texts and
-    keep what the sieve lets by, so that few texts are shuffled after."""
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
+def sifted(rows: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose ``key`` ``wanted`` may hold.  Tasks pass over the rows and keep what the sieve
+    lets by, so that few are shuffled after."""
+    bits = rows.sparkSession.sparkContext.broadcast(sieve(wanted, key))
+    names = rows.columns
 
     def run(batches):
         held = bits.value
         for batch in batches:
             at = batch.column("bit").to_numpy()
             let = (held[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            yield batch.select(["doc_id", "text"]).filter(pa.array(let))
-
-    return docs.select(sieve_bit(F.col("doc_id")).alias("bit"), "doc_id", "text").mapInArrow(
-        run, T.StructType([docs.schema["doc_id"], T.StructField("text", T.StringType())]))
-
+            yield batch.select(names).filter(pa.array(let))
+
+    return rows.select(sieve_bit(F.col(key)).alias("bit"), *names).mapInArrow(run, rows.schema)
+
+
+def repeated(entries: DataFrame, by_documents: bool = False) -> DataFrame:
+    """The entries (gram, id, i) of columns with more than one: one shuffle, one pass in order.
+    ``by_documents``: ``gram`` tells only who is in the column, so columns of the same documents
+    get the same one."""
+    def named(table, whole):
+        """Of entries in order, those of columns with more than one; all but the last column are whole."""
+        gram, ids = table.column("gram").to_numpy(), table.column("id").to_numpy()
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        many, who = np.diff(np.append(first, len(gram))), gram[first]
+        h = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        for k in (30, 27, 31):
+            h = (h ^ (h >> np.uint64(k))) * np.uint64(0xBF58476D1CE4E5B9)
+        if by_documents:
+            who = np.add.reduceat(h ^ (h >> np.uint64(29)), first).view(np.int64)
+        if not whole:
+            who[-1] = gram[-1]  # some of it was sent or is to come
+            many[-1] += 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(who, many)[:len(gram)]), pa.array(ids), pa.array(table.column("i").to_numpy())],
+            ["gram", "id", "i"]).filter(pa.array(np.repeat(many > 1, many)[:len(gram)]))
 
-def repeated(entries: DataFrame) -> DataFrame:
-    """The entries (gram, id, i) of columns with more than one: one shuffle, one pass in order."""
     def run(batches):
-        held, sent = None, False  # the last row so far, and whether it was sent: the next may equal it
+        held, parted = None, None  # the last column so far; a column too long to be held
         for batch in batches:
-            if not batch.num_rows:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            if not table.num_rows:
                 continue
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            gram = batch.column("gram").to_numpy()
-            same = gram[1:] == gram[:-1]
-            keep = np.append(same, False) | np.insert(same, 0, False)
-            keep[0] &= not sent
-            yield batch.filter(pa.array(keep))
-            held, sent = batch.slice(len(gram) - 1), bool(len(same) and same[-1])
+            gram = table.column("gram").to_numpy()
+            if parted is not None:
+                end = int(np.searchsorted(gram, parted, "right"))
+                if end:
+                    yield named(table.slice(0, end), False)
+                table, gram = table.slice(end), gram[end:]
+                parted = parted if not len(gram) else None
+                held = None
+                if not len(gram):
+                    continue
+            last = int(np.searchsorted(gram, gram[-1]))
+            if last:
+                yield named(table.slice(0, last), True)
+            table, held = table.slice(last), None
+            if table.num_rows > HELD:
+                parted = gram[-1]
+                yield named(table, False)
+            else:
+                held = table.combine_chunks().to_batches()[0]
+        if held is not None:
+            yield named(pa.Table.from_batches([held]), True)
 
     return entries.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, id long, i int")
 
 
 def overlapping(pairs: DataFrame, matrix: DataFrame, keep) -> DataFrame:
     """Of ``pairs`` (a, b), those whose rare columns overlap enough, as ``keep`` says."""
-    x, y = (matrix.select(F.col("id").alias(k), F.col("rare").alias(c), F.col("n").alias(f"n{c}")) for k, c in (("a", "x"), ("b", "y")))
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    rows = sifted(matrix.select("id", "n", "rare"), ids, "id")
+    x, y = (rows.select(F.col("id").alias(k), F.col("rare").alias(c), F.col("n").alias(f"n{c}")) for k, c in (("a", "x"), ("b", "y")))
 
     def run(batches):
         for batch in batches:
@@ -246,7 +274,7 @@ def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, p
         both = common(x, y)
         return 100 * both >= percent * (m + n - both)
 
-    left = written(overlapping(pairs, matrix, rare), "grams-left")
+    left = written(overlapping(written(pairs, "grams-pairs"), matrix, rare), "grams-left")
     # the texts of a star meet in its centre's task; large stars are parted, the centre goes along
     stars = left.groupBy("b").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
     mine = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
@@ -278,29 +306,59 @@ def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, p
                     b.append(r["star"])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    texts = sifted(docs, asked).withColumnRenamed("doc_id", "of")
+    texts = sifted(docs.select("doc_id", "text"), asked).withColumnRenamed("doc_id", "of")
     rows = asked.join(texts, F.col("doc_id").eqNullSafe(F.col("of"))).select("star", "part", "ray", "id", "print", "text")
     met = rows.repartition("star", "part").sortWithinPartitions("star", "part", "ray", "id")
     return written(met.mapInArrow(run, "a long, b long"), "grams-links")
 
 
-def rooted(rare: DataFrame, links: DataFrame) -> DataFrame:
+def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components ``parts`` (v, root; None: none yet) after ``links`` (a, b) more.  Links of the
+    same two components are one, so that a round of components has few, however many copies link."""
+    if parts is None:
+        return components(links)
+    for c in ("a", "b"):
+        to = parts.select(F.col("v").alias(c), F.col("root").alias(f"r{c}"))
+        links = links.join(to, c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
+    up = components(links.filter("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    moved = parts.join(up.select(F.col("v").alias("root"), F.col("root").alias("top")), "root", "left")
+    return written(moved.select("v", F.coalesce("top", "root").alias("root"))
+                   .unionByName(up.join(parts.select("v"), "v", "left_anti")), "grams-parts")
+
+
+def rooted(rare: DataFrame, parts: DataFrame) -> DataFrame:
     """Entries with the component of their document, of columns that meet more than one."""
-    parts = components(links)
     own = rare.join(parts.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     split = own.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
     return own.join(split.filter("r0 != r1").select("gram"), "gram")
 
 
-def stars(own: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a document and the centre of its columns, if in another component: for each
-    document the centre it shares most columns with."""
+def narrow(matrix: DataFrame, percent: int) -> DataFrame:
+    """What ``alike`` asks of a row of the matrix."""
+    return matrix.select("id", "n", "wide", *[F.col("parity")[k].alias(f"p{k}") for k in range(parity_longs(percent))])
+
+
+def alike(percent: int) -> Column:
+    """Whether two rows (columns ending in _x and _y) may link by their sizes and parity rows."""
+    both = F.col("n_x") + F.col("n_y")
+    differ = both - 2 * F.ceil(F.lit(percent) * both / (100 + percent))
+    apart = sum((F.bit_count(F.col(f"p{k}_x").bitwiseXOR(F.col(f"p{k}_y"))) for k in range(parity_longs(percent))), F.lit(0))
+    apart_wide = sum((F.bit_count(F.col("wide_x")[k].bitwiseXOR(F.col("wide_y")[k])) for k in range(WIDE)), F.lit(0))
+    return ((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (apart <= differ)
+            & F.coalesce(apart_wide <= differ, F.lit(True)))
+
+
+def stars(own: DataFrame, matrix: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a document and the centre of its columns, if in another component and alike:
+    for each document the centre it shares most columns with."""
     order = F.xxhash64(F.lit(turn), "id")
     centre = own.groupBy("gram").agg(F.min(order).alias("o"))
     centre = (own.withColumn("o", order).join(centre, ["gram", "o"]).groupBy("gram")
               .agg(F.min("id").alias("centre"), F.min("root").alias("hub")))
-    return (own.join(centre, "gram").filter("root != hub").groupBy("id", "centre").agg(F.count("*").alias("common"))
-            .groupBy("id").agg(F.max_by("centre", "common").alias("b")).select(F.col("id").alias("a"), "b"))
+    pairs = (own.join(centre, "gram").filter("root != hub").groupBy("id", "centre").agg(F.sum("m").alias("common"))
+             .groupBy("id").agg(F.max_by("centre", "common").alias("b")).select(F.col("id").alias("a"), "b"))
+    x, y = (narrow(matrix, percent).toDF(k, *[f"{c}_{z}" for c in narrow(matrix, percent).columns[1:]]) for k, z in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").filter(alike(percent)).select("a", "b")
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -322,14 +380,16 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                    F.first("parity").alias("parity"), F.first("wide").alias("wide")))
     matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
     entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
-    rare = written(repeated(entries.select("gram", "id", "i")), "grams-rare")
+    # m columns of the same documents are one; i is the place of the last
+    rare = written(repeated(entries.select("gram", "id", "i"), by_documents=True).groupBy("gram", "id")
+                   .agg(F.count("*").alias("m"), F.max("i").alias("i")), "grams-rare")
 
-    links, own, rows = None, rare.withColumn("root", F.col("id")), matrix.count()
+    parts, own, rows = None, rare.withColumn("root", F.col("id")), matrix.count()
     for turn in range(TURNS):
-        more = verified(stars(own, turn), matrix, docs, words, percent, order)
-        links = more if links is None else links.unionByName(more)
+        more = verified(stars(own, matrix, turn, percent), matrix, docs, words, percent, order)
+        parts = joined(parts, more)
         # components only grow, so a column that meets one stays out
-        own = written(rooted(own.select("gram", "id", "i"), links), "grams-split")
+        own = written(rooted(own.select("gram", "id", "m", "i"), parts), "grams-split")
         if more.count() * WORTH < rows:
             break
 
@@ -337,31 +397,24 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # largest component meet all others in it.
     sizes = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
     hub = sizes.groupBy("gram").agg(F.max_by("root", F.col("k")).alias("hub"))
-    words64 = [f"p{k}" for k in range(parity_longs(percent))]
-    sized = own.join(matrix.select("id", "n", "wide", *[F.col("parity")[k].alias(p) for k, p in enumerate(words64)]), "id")
-    cols = ["id", "n", "i", "root", "wide", *words64]
+    cols = [c for c in narrow(matrix, percent).columns if c != "id"]
+    sized = own.join(narrow(matrix, percent), "id")
+    cols = ["id", "m", "i", "root", *cols]
     x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in cols])
     y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in cols])
-    apart = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in words64), F.lit(0))
-    apart_wide = sum((F.bit_count(F.col("wide_x")[k].bitwiseXOR(F.col("wide_y")[k])) for k in range(WIDE)), F.lit(0))
-    asked = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
     need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
     # at a common column at places i and j, the overlap is at most min(i, j) before, 1, and what
     # the shorter rest allows after it
     most = (F.least("i_x", "i_y") + 1 + F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1))
     met = (x.join(y, "gram").filter(
         (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
-        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-        & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y")))
-        & (apart <= F.col("n_x") + F.col("n_y") - 2 * asked)
-        & F.coalesce(apart_wide <= F.col("n_x") + F.col("n_y") - 2 * asked, F.lit(True)))
+        & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))) & alike(percent))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
-                (F.col("n_x") + F.col("n_y")).alias("sizes"),
+                (F.col("n_x") + F.col("n_y")).alias("sizes"), F.least("m_x", "m_y").alias("m"),
                 F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
-        .groupBy("a", "b", "sizes").agg(F.count("*").alias("common"), F.min("left").alias("left"))
+        .groupBy("a", "b", "sizes").agg(F.sum("m").alias("common"), F.min("left").alias("left"))
         .filter(F.col("common") + F.col("left") >= need).select("a", "b"))
-    links = links.unionByName(verified(met, matrix, docs, words, percent, order))
-    parts = components(links)
+    parts = joined(parts, verified(met, matrix, docs, words, percent, order))
     least = (matrix.select("id", "print", "doc_id").join(parts.withColumnRenamed("v", "id"), "id", "left")
              .withColumn("root", F.coalesce("root", "id")))
     lowest = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
