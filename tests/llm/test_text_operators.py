@@ -418,3 +418,27 @@ def test_more_links_of_two_components_are_one(spark, monkeypatch):
     got = {r["v"]: r["root"] for r in ngram_join.joined(parts, frame(cross)).collect()}
     assert seen == [3]  # 0 - 100, 200 - 100, 300 - 301
     assert got == {**{v: 0 for v in [*range(30), *range(100, 130), 200]}, 300: 300, 301: 300}
+
+
+def test_encoder_gives_the_tokenizer_s_ids(monkeypatch):
+    import tokenizers
+
+    from tidemark.llm import packing
+    from tidemark.llm.queries import word_tokenizer
+    monkeypatch.setattr(packing, "KEPT", 20_000)
+    tokenizers.__dict__.pop("_loaded", None)
+    rng = np.random.default_rng(10)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCXYZ\u00e9\u00df\u00c9\u00f1\u0130\u03a3\u03c3\u03c2\u0416\u01c5\u0301\u4e2d\u1e9e")
+    words = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(3000)]
+    behind = ["", ".", ",", "...", "%%%", "!?", "'s", "'", "<|", "3", "-a", "\u2026", ".\u0301", "<|endoftext|>", "\x00", "\u00a0x"]
+    texts = [" ".join(w + str(rng.choice(behind)) for w in rng.choice(words, 40)) for _ in range(200)]
+    texts += ["", " ", "x" * 1000, "\u00e9" * 300 + ".", "Don't <|endoftext|> STOP.", ". , %%%"]
+    tok = tokenizers.Tokenizer.from_file(word_tokenizer())
+    try:
+        encode = packing.encoder(word_tokenizer())
+        for t, ids in zip(texts, encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+        # the store stays bounded within a call, too
+        assert tokenizers._loaded[word_tokenizer()].held < 25_000
+    finally:
+        tokenizers.__dict__.pop("_loaded", None)

@@ -13,6 +13,7 @@ A piece gets its place from its rank among pieces of its length.  Ranks come fro
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -28,9 +29,23 @@ by_value(__name__)
 SIZE = 2048
 #: Hash buckets of a length; a length with 40 billion pieces makes 10 million rows in each.
 BUCKETS = 4096
-#: Bytes of the store of chunks' ids in a worker, about; when it is full, only the chunks of the texts
-#: at hand stay.  A chunk takes its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
-KEPT, ENTRY, LONGEST = 128 << 20, 300, 256
+#: Bytes of the store of chunks' ids in a worker, about; it is emptied when it is full.  A chunk takes
+#: its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
+KEPT, ENTRY, LONGEST = 56 << 20, 150, 256
+#: What may stand behind a word: the tokenizer takes a run of these as one piece.
+BEHIND = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+
+
+def spelled(tok) -> dict[str, str]:
+    """How the model reads each letter below U+0500, if a word of such letters is one piece to it,
+    and what stands behind another."""
+    def read(text: str) -> list[str]:
+        text = tok.normalizer.normalize_str(text) if tok.normalizer else text
+        return [piece for piece, _ in tok.pre_tokenizer.pre_tokenize_str(text)] if tok.pre_tokenizer else []
+
+    letters = {c: r[0] for c in map(chr, range(0x500)) if c.isalpha() and len(r := read(c)) == 1}
+    word, behind = "".join(letters), BEHIND.decode()
+    return letters if read(word + behind) == ["".join(letters.values()), *read(behind)] else {}
 
 
 def encoder(path: str):
@@ -38,65 +53,49 @@ def encoder(path: str):
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its
     chunks.  Chunks recur: their ids are kept, in a store of bounded size that later tasks of the
-    same worker find again.  A chunk of letters with a full stop or comma behind is two such chunks.
-    New chunks of letters are encoded many at a time: each ends with the one id that ends a word."""
+    same worker find again.  A new chunk of letters goes to the model at once, as it is one piece;
+    with punctuation behind it is two chunks; any other goes through the whole tokenizer."""
     import tokenizers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     loaded = tokenizers.__dict__.setdefault("_loaded", {})
     if path not in loaded:
         tok = tokenizers.Tokenizer.from_file(path)
-        suffix = getattr(tok.model, "end_of_word_suffix", None)
-        ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
-        for word, i in tok.get_vocab().items():
-            ends[i] = bool(suffix) and word.endswith(suffix)
-        loaded[path] = tok, ends, {}, [0]
-    tok, ends, kept, held = loaded[path]
-
-    def letters(chunk: bytes) -> bool:
-        if chunk.isalpha():  # of bytes: A-Z and a-z alone
-            return True
-        if chunk.isascii():
-            return False
-        s = chunk.decode()
-        return s.isalpha() and s.lower().isalpha() and max(s) < "\u0500"
-
-    def one_by_one(chunks: list[bytes]) -> None:
-        for c, e in zip(chunks, tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)):
-            kept[c] = np.array(e.ids, "<u4").tobytes()
-
-    def learn(chunks) -> None:
-        parted = {c: c[:-1] for c in chunks if c.endswith((b".", b",")) and letters(c[:-1])}
-        new = ({parted.get(c, c) for c in chunks} | {c[-1:] for c in parted}) - kept.keys()
-        plain = list(filter(letters, new)) if ends.any() else []
-        one_by_one(list(new.difference(plain)))
-        runs = [plain[k:k + 500] for k in range(0, len(plain), 500)]
-        coded = tok.encode_batch_fast([b" ".join(r).decode() for r in runs], add_special_tokens=False)
-        for some, e in zip(runs, coded):
-            ids = np.array(e.ids, "<u4")
-            upto = np.flatnonzero(ends[ids]) + 1
-            if len(upto) != len(some) or upto[-1] != len(ids):
-                one_by_one(some)
-                continue
-            data, upto = ids.tobytes(), (4 * upto).tolist()
-            kept.update(zip(some, [data[a:b] for a, b in zip([0, *upto], upto)]))
-        for c, core in parted.items():
-            kept[c] = kept[core] + kept[c[-1:]]
+        letters, model = spelled(tok), tok.model
+
+        def ids_of(chunk: bytes) -> bytes:
+            word = None
+            try:
+                word = "".join(map(letters.__getitem__, chunk.decode()))
+            except KeyError:
+                core = chunk.rstrip(BEHIND)
+                if letters and core and core != chunk and letters.keys() >= set(core.decode()):
+                    return kept[core] + kept[chunk[len(core):]]
+            if word is None:
+                ids = tok.encode(chunk.decode(), add_special_tokens=False).ids
+            else:
+                ids = [t.id for t in model.tokenize(word)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        class Kept(dict):
+            held = 0
+
+            def __missing__(self, chunk):
+                ids = ids_of(chunk)
+                if len(chunk) <= LONGEST:
+                    if self.held > KEPT:
+                        self.clear()
+                        self.held = 0
+                    self[chunk] = ids
+                    self.held += len(chunk) + len(ids) + ENTRY
+                return ids
+
+        kept = Kept()
+        loaded[path] = kept
+    ids = loaded[path].__getitem__
 
     def encode(texts: list[str]) -> list[bytes]:
         # the tokenizer lowers case itself; special tokens are matched before it does
-        split = [(b if b"<|" in b else b.lower()).split() for b in (t.encode() for t in texts)]
-        here = set().union(*split)
-        new = here - kept.keys()
-        if held[0] > KEPT:
-            for c in kept.keys() - here:
-                del kept[c]
-            held[0] = 0
-        learn(new)
-        out = [b"".join(map(kept.__getitem__, s)) for s in split]
-        for c in [c for c in new if len(c) > LONGEST]:
-            kept.pop(c), kept.pop(c[:-1], None)
-        held[0] += sum(map(len, new)) + len(new) * ENTRY  # ids take about as much as ENTRY leaves room for
-        return out
+        return [b"".join(map(ids, (b if b"<|" in b else b.lower()).split())) for b in (t.encode() for t in texts)]
 
     return encode
 
