@@ -442,3 +442,13 @@ def test_encoder_gives_the_tokenizer_s_ids(monkeypatch):
         assert tokenizers._loaded[word_tokenizer()].held < 25_000
     finally:
         tokenizers.__dict__.pop("_loaded", None)
+
+
+def test_few_texts_are_taken_out_of_a_batch_at_once():
+    import pyarrow as pa
+
+    from tidemark.llm.ngram_join import AT_ONCE, sliced
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["i"]) for n in (0, 3, 2 * AT_ONCE + 7)]
+    got = list(sliced(batches))
+    assert [b.num_rows for b in got] == [3, AT_ONCE, AT_ONCE, 7]
+    assert [i for b in got for i in b.column("i").to_pylist()] == [*range(3), *range(2 * AT_ONCE + 7)]

@@ -51,6 +51,15 @@ WIDE_FROM, WIDE = 1500, 32
 TURNS, WORTH = 10, 500
 #: Entries of a column that a task holds to learn who is in it; a column of more is told apart by itself.
 HELD = 1 << 17
+#: Texts that a task takes out of a batch at once.
+AT_ONCE = 500
+
+
+def sliced(batches):
+    """The batches in slices of at most AT_ONCE rows: so few texts are Python's at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
 
 
 def shingler(words: int = WORDS):
@@ -77,7 +86,7 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     """n-grams of all documents in each hash bucket: 2^BITS numbers, whatever the input."""
     def run(batches):
         shingles, total = shingler(words), np.zeros(1 << BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column("text").to_pylist():
                 np.add.at(total, shingles(text) >> np.uint64(64 - BITS), 1)
         at = np.flatnonzero(total)
@@ -111,7 +120,7 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
     def run(batches):
         import xxhash
         shingles = shingler(words)
-        for batch in batches:
+        for batch in sliced(batches):
             n, prints, rare, odd, wide = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = np.unique(shingles(text))

@@ -31,7 +31,7 @@ SIZE = 2048
 BUCKETS = 4096
 #: Bytes of the store of chunks' ids in a worker, about; it is emptied when it is full.  A chunk takes
 #: its own bytes, its ids' and ENTRY more; none longer than LONGEST is kept.
-KEPT, ENTRY, LONGEST = 56 << 20, 150, 256
+KEPT, ENTRY, LONGEST = 40 << 20, 150, 256
 #: What may stand behind a word: the tokenizer takes a run of these as one piece.
 BEHIND = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
