@@ -197,3 +197,54 @@ def test_train_fits_on_texts_that_are_not_drawn(spark, monkeypatch):
     monkeypatch.setattr(M, "fit_on_all", lambda texts, *a: (fitted.extend(r["text"] for r in texts.collect()), whole(texts, *a))[1])
     M.train(docs(spark, rows, clash=False), sample=1)
     assert sorted(fitted) == sorted(t for _, t, _ in rows)
+
+
+def test_columns_keep_only_entries_that_may_link(spark, monkeypatch):
+    """Documents that share a passage and nothing else are in no column by the time pairs are made; near copies are, and all links stay."""
+    from tidemark.llm import ngram_join as N
+    rng = np.random.default_rng(21)
+    vocabulary, rows = [f"w{i}" for i in range(4000)], []
+    passage = [f"p{i}" for i in range(40)]
+    blocks = [" ".join(f"b{k}.{i}" for i in range(20)) for k in range(16)]
+    for n in range(60):  # two share a passage that nobody else has
+        rows.append((n, " ".join([*(f"q{n // 2}.{i}" for i in range(20)), *rng.choice(blocks, 8, replace=False)]), "a"))
+    for n in range(6):
+        t = [f"g{n}", *passage, *rng.choice(vocabulary, 200 + 300 * n)]
+        for k in range(7):
+            u = list(t)
+            for at in rng.choice(len(u), k * len(u) // 160, replace=False):
+                u[at] = f"x{rng.integers(1 << 30)}"
+            rows.append((1000 + 10 * n + k, " ".join(u), "a"))
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in (words(t) for _, t, _ in rows)]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    held, plain = [], N.stars
+    monkeypatch.setattr(N, "stars", lambda own, *a: held.append(own.select("id").collect()) or plain(own, *a))
+    got = {r["doc_id"]: r["component_id"] for r in N.jaccard_join(docs(spark, rows, clash=False)).collect()}
+    assert [got[i] for i, _, _ in rows] == [rows[r][0] for r in roots(len(rows), links)]
+    assert len(links) > 10 and len({x for pair in links for x in pair}) <= len({r["id"] for r in held[0]}) <= 42
+
+
+def test_near_entries_of_a_column_by_brute_force():
+    from tidemark.llm import ngram_join as N
+    rng = np.random.default_rng(22)
+    many = rng.integers(1, 12, 80)
+    first = np.cumsum(many) - many
+    n = np.concatenate([np.sort(rng.integers(50, 2000, m)) if k % 2 else np.sort(rng.integers(500, 560, m)) for k, m in enumerate(many)])
+    i = (n * rng.uniform(0, 0.1, len(n))).astype(np.int64)
+    # columns hold sets that differ in a share of their n-grams
+    base = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    sets = [np.concatenate([base[:m - (c := int(m * rng.uniform(0, 0.2)))], rng.integers(0, 1 << 63, c).astype(np.uint64)]) for m in n]
+    odd, wide = (np.stack([N.parity(s, w).view(np.uint64) for s in sets]) for w in (8, N.WIDE))
+    has = n > N.WIDE_FROM
+    got = N.near(first, n, i, odd, wide, has, 90)
+    want = np.zeros(len(n), bool)
+    for a, m in zip(first, many):
+        for x in range(a, a + m):
+            for y in range(a, x):
+                need = N.least_overlap(int(n[x]), int(n[y]), 90)
+                differ = n[x] + n[y] - 2 * need
+                rows_ = [odd, wide] if has[x] and has[y] else [odd]
+                if (10 * min(n[x], n[y]) >= 9 * max(n[x], n[y]) and min(n[x] - i[x], n[y] - i[y]) >= need
+                        and all(np.bitwise_count(r[x] ^ r[y]).sum() <= differ for r in rows_)):
+                    want[x] = want[y] = True
+    assert (got == want).all() and 0 < want.sum() < len(n)

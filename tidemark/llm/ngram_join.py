@@ -6,13 +6,17 @@ overlaps.  Only entries that can reach the threshold t are made:
 * Columns are ordered by corpus frequency, rare first.  Sets with Jaccard >= t share at least
   t * |x| n-grams, so one of the first |x| - ceil(t |x|) + 1 columns of x.  The product over
   these columns (the rare block) meets every pair that can link.
-* Overlaps are summed up per pair with the last common places i and j; a pair is dropped if
-  overlap + min(|x| - i, |y| - j) stays below the overlap its sizes ask for, if it shares fewer
-  rare columns than two such sets must, or if one surely lacks more of the other's rare columns
-  than they may differ by.  Before that, while pairs are made, each document's parity row is at
-  hand: a bit for each hash class of n-grams, whether it holds an odd number of them.  Two rows
-  differ in no more bits than their sets differ in n-grams, so pairs that differ in more than the
-  sizes allow are never made; documents that share a passage and nothing else are such pairs.
+* Two sets that link do so by their first common column, at places i and j: min(|x| - i, |y| - j)
+  is at least the overlap their sizes ask for.  While columns are gathered, entries that no other
+  of the column could meet so, by sizes and places, leave it.
+* Then each entry has its document's parity row at hand: a bit for each hash class of n-grams,
+  whether it holds an odd number of them.  Two rows differ in no more bits than their sets differ
+  in n-grams, so an entry without another that differs in few enough leaves its column, too;
+  documents that share a passage and nothing else are such.  What stays are near copies, and the
+  columns of the same documents are one.
+* A pair is made where it may have its first common column: not where both come from the same
+  column before.  It is dropped if it shares fewer rare columns than two such sets must, or if one
+  surely lacks more of the other's rare columns than they may differ by.
 * For the pairs that are left, the other block is multiplied: whole rows, exact overlap.
 
 Documents with the same set are one row of A.  The frequencies that order columns are those of
@@ -26,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +55,8 @@ WIDE_FROM, WIDE = 1500, 32
 TURNS, WORTH = 10, 500
 #: Entries of a column that a task holds to learn who is in it; a column of more is told apart by itself.
 HELD = 1 << 17
+#: Columns of more entries aren't gone through pair by pair for entries without a near one.
+PAIRED = 1 << 12
 #: Texts that a task takes out of a batch at once.
 AT_ONCE = 500
 
@@ -174,56 +180,146 @@ def sifted(rows: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame
     return rows.select(sieve_bit(F.col(key)).alias("bit"), *names).mapInArrow(run, rows.schema)
 
 
-def repeated(entries: DataFrame, by_documents: bool = False) -> DataFrame:
+def of_columns(batches, told):
+    """``told(table, whole)`` of all entries, which come in order of ``gram``: tables end where a column
+    does.  A column of over HELD entries comes in several tables of its own, not ``whole``."""
+    held, parted = None, None  # the last column so far; a column too long to be held
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        if not table.num_rows:
+            continue
+        gram = table.column("gram").to_numpy()
+        if parted is not None:
+            end = int(np.searchsorted(gram, parted, "right"))
+            if end:
+                yield told(table.slice(0, end), False)
+            table, gram = table.slice(end), gram[end:]
+            parted = parted if not len(gram) else None
+            held = None
+            if not len(gram):
+                continue
+        last = int(np.searchsorted(gram, gram[-1]))
+        if last:
+            yield told(table.slice(0, last), True)
+        table, held = table.slice(last), None
+        if table.num_rows > HELD:
+            parted = gram[-1]
+            yield told(table, False)
+        else:
+            held = table.combine_chunks().to_batches()[0]
+    if held is not None:
+        yield told(pa.Table.from_batches([held]), True)
+
+
+def who(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of the columns that begin at ``first``, a hash of who is in each."""
+    h = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for k in (30, 27, 31):
+        h = (h ^ (h >> np.uint64(k))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.add.reduceat(h ^ (h >> np.uint64(29)), first).view(np.int64)
+
+
+def starts(*keys: np.ndarray) -> np.ndarray:
+    """Where entries in order begin another column."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def repeated(entries: DataFrame, by_documents: bool = False, percent: int | None = None) -> DataFrame:
     """The entries (gram, id, i) of columns with more than one: one shuffle, one pass in order.
     ``by_documents``: ``gram`` tells only who is in the column, so columns of the same documents
-    get the same one."""
-    def named(table, whole):
-        """Of entries in order, those of columns with more than one; all but the last column are whole."""
+    get the same one.  ``percent``: entries also have n, the size of their document; only those stay
+    that may be the first common one with another, and columns are parted where sizes lie too far
+    apart to link."""
+    names = ["gram", "id", "i"]
+
+    def told(table, whole):
+        gram, ids, i = (table.column(c).to_numpy() for c in names)
+        if not whole:  # some of it was sent or is to come
+            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(ids), pa.array(i)], names)
+        run = gram
+        if percent is not None:
+            n = table.column("n").to_numpy().astype(np.int64)
+            far = np.append(False, 100 * n[:-1] < percent * n[1:])
+            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]) | far)
+            run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(gram))))
+            # the smaller of two sets that link has no more than this before; it comes first
+            early = n - i >= least_overlap(n, n, percent)
+            at = np.maximum.accumulate(np.where(early, np.arange(len(n)), -1))
+            before = np.append(-1, at[:-1])
+            led = (before >= first[run]) & (100 * n[before] >= percent * n)
+            stay = led | (early & np.append(run[1:] == run[:-1], False))
+            gram, ids, i, run = gram[stay], ids[stay], i[stay], run[stay]
+            if not len(gram):
+                return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(ids), pa.array(i)], names)
+        first = starts(gram, run)
+        many = np.diff(np.append(first, len(gram)))
+        name = who(ids, first) if by_documents or percent is not None else gram[first]
+        more = np.repeat(many > 1, many)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(name, many)[more]), pa.array(ids[more]), pa.array(i[more])], names)
+
+    order = ["gram"] if percent is None else ["gram", "n", "i"]
+    return entries.repartition("gram").sortWithinPartitions(*order).mapInArrow(
+        lambda batches: of_columns(batches, told), "gram long, id long, i int")
+
+
+def near(first: np.ndarray, n: np.ndarray, i: np.ndarray, odd: np.ndarray, wide: np.ndarray, has: np.ndarray, percent: int) -> np.ndarray:
+    """Which entries have another in their column (columns begin at ``first``, in order of n) that they
+    may link with: by sizes n, first common places i and parity rows; ``has`` says whose row is also
+    ``wide``.  Entries of columns of over PAIRED are all said to."""
+    many = np.diff(np.append(first, len(n)))
+    end = np.repeat(first + many, many)
+    found = np.repeat(many > PAIRED, many)
+    a, step = np.flatnonzero(~found), 1
+    while len(a):
+        a = a[a + step < end[a]]
+        a = a[100 * n[a] >= percent * n[a + step]]  # those after are larger still
+        x, y = a, a + step
+        need = least_overlap(n[x], n[y], percent)
+        some = (~found[x] | ~found[y]) & (np.minimum(n[x] - i[x], n[y] - i[y]) >= need)
+        x, y, differ = x[some], y[some], (n[x] + n[y] - 2 * need)[some]
+        some = np.bitwise_count(odd[x] ^ odd[y]).sum(1, dtype=np.int64) <= differ
+        x, y, differ = x[some], y[some], differ[some]
+        both = np.flatnonzero(has[x] & has[y])
+        some = np.ones(len(x), bool)
+        some[both] = np.bitwise_count(wide[x[both]] ^ wide[y[both]]).sum(1, dtype=np.int64) <= differ[both]
+        found[x[some]] = found[y[some]] = True
+        step += 1
+    return found
+
+
+def near_entries(entries: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+    """Of ``entries`` (gram, id, m, i0, i), those with another in their column that is ``near``;
+    columns of the same documents are one again, with the sum of m, the first i0 and the last i."""
+    longs, names = parity_longs(percent), ["gram", "id", "m", "i0", "i"]
+
+    def told(table, whole):
         gram, ids = table.column("gram").to_numpy(), table.column("id").to_numpy()
-        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        many, who = np.diff(np.append(first, len(gram))), gram[first]
-        h = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        for k in (30, 27, 31):
-            h = (h ^ (h >> np.uint64(k))) * np.uint64(0xBF58476D1CE4E5B9)
-        if by_documents:
-            who = np.add.reduceat(h ^ (h >> np.uint64(29)), first).view(np.int64)
-        if not whole:
-            who[-1] = gram[-1]  # some of it was sent or is to come
-            many[-1] += 1
+        out = table.select(names).combine_chunks()
+        if whole:
+            n, i = table.column("n").to_numpy(), table.column("i0").to_numpy().astype(np.int64)
+            odd = np.stack([table.column(f"p{k}").to_numpy() for k in range(longs)], 1).view(np.uint64)
+            rows = table.column("wide").combine_chunks()
+            has = rows.is_valid().to_numpy(zero_copy_only=False)
+            wide = np.zeros((len(has), WIDE if has.any() else 0), np.uint64)
+            if has.any():
+                wide[has] = rows.drop_null().flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
+            stay = near(starts(gram), n, i, odd, wide, has, percent)
+            out, gram, ids = out.filter(pa.array(stay)), gram[stay], ids[stay]
+            if len(gram):
+                first = starts(gram)
+                gram = np.repeat(who(ids, first), np.diff(np.append(first, len(gram))))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(who, many)[:len(gram)]), pa.array(ids), pa.array(table.column("i").to_numpy())],
-            ["gram", "id", "i"]).filter(pa.array(np.repeat(many > 1, many)[:len(gram)]))
-
-    def run(batches):
-        held, parted = None, None  # the last column so far; a column too long to be held
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            if not table.num_rows:
-                continue
-            gram = table.column("gram").to_numpy()
-            if parted is not None:
-                end = int(np.searchsorted(gram, parted, "right"))
-                if end:
-                    yield named(table.slice(0, end), False)
-                table, gram = table.slice(end), gram[end:]
-                parted = parted if not len(gram) else None
-                held = None
-                if not len(gram):
-                    continue
-            last = int(np.searchsorted(gram, gram[-1]))
-            if last:
-                yield named(table.slice(0, last), True)
-            table, held = table.slice(last), None
-            if table.num_rows > HELD:
-                parted = gram[-1]
-                yield named(table, False)
-            else:
-                held = table.combine_chunks().to_batches()[0]
-        if held is not None:
-            yield named(pa.Table.from_batches([held]), True)
+            [pa.array(gram), *(out.column(c).combine_chunks() for c in names[1:])], names)
 
-    return entries.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, id long, i int")
+    sized = entries.join(narrow(matrix, percent), "id")
+    left = sized.repartition("gram").sortWithinPartitions("gram", "n").mapInArrow(
+        lambda batches: of_columns(batches, told), "gram long, id long, m long, i0 int, i int")
+    return left.groupBy("gram", "id").agg(F.sum("m").alias("m"), F.min("i0").alias("i0"), F.max("i").alias("i"))
 
 
 def overlapping(pairs: DataFrame, matrix: DataFrame, keep) -> DataFrame:
@@ -388,41 +484,41 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
               .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("rare").alias("rare"),
                    F.first("parity").alias("parity"), F.first("wide").alias("wide")))
     matrix = written(matrix.withColumn("id", F.monotonically_increasing_id()), "grams-matrix")
-    entries = matrix.select("id", F.posexplode("rare").alias("i", "gram"))
-    # m columns of the same documents are one; i is the place of the last
-    rare = written(repeated(entries.select("gram", "id", "i"), by_documents=True).groupBy("gram", "id")
-                   .agg(F.count("*").alias("m"), F.max("i").alias("i")), "grams-rare")
+    entries = matrix.select("id", F.col("n").cast("int").alias("n"), F.posexplode("rare").alias("i", "gram"))
+    # m columns of the same documents are one; i0 and i are the places of the first and the last
+    rare = written(repeated(entries.select("gram", "id", "i", "n"), percent=percent).groupBy("gram", "id")
+                   .agg(F.count("*").alias("m"), F.min("i").alias("i0"), F.max("i").alias("i")), "grams-rare")
+    rare = written(near_entries(rare, matrix, percent), "grams-near")
 
     parts, own, rows = None, rare.withColumn("root", F.col("id")), matrix.count()
     for turn in range(TURNS):
         more = verified(stars(own, matrix, turn, percent), matrix, docs, words, percent, order)
         parts = joined(parts, more)
         # components only grow, so a column that meets one stays out
-        own = written(rooted(own.select("gram", "id", "m", "i"), parts), "grams-split")
+        own = written(rooted(own.select("gram", "id", "m", "i0", "i"), parts), "grams-split")
         if more.count() * WORTH < rows:
             break
 
-    # what is left: every pair of different components, made once.  Documents outside a column's
-    # largest component meet all others in it.
+    # what is left: every pair of different components, made where its first common column may be:
+    # not where both come from the same one before.  Documents outside a column's largest component
+    # meet all others in it.
     sizes = own.groupBy("gram", "root").agg(F.count("*").alias("k"))
     hub = sizes.groupBy("gram").agg(F.max_by("root", F.col("k")).alias("hub"))
     cols = [c for c in narrow(matrix, percent).columns if c != "id"]
-    sized = own.join(narrow(matrix, percent), "id")
-    cols = ["id", "m", "i", "root", *cols]
+    before = F.lag("gram").over(Window.partitionBy("id").orderBy("i0"))
+    sized = own.withColumn("before", before).join(narrow(matrix, percent), "id")
+    cols = ["id", "i0", "i", "root", "before", *cols]
     x = sized.join(hub, "gram").filter("root != hub").select("gram", "hub", *[F.col(c).alias(f"{c}_x") for c in cols])
     y = sized.select("gram", *[F.col(c).alias(f"{c}_y") for c in cols])
-    need = F.ceil(F.lit(percent) * F.col("sizes") / (100 + percent))
-    # at a common column at places i and j, the overlap is at most min(i, j) before, 1, and what
-    # the shorter rest allows after it
-    most = (F.least("i_x", "i_y") + 1 + F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1))
+    # at common columns from places i0 to i, the overlap is at most what the shorter rest allows from
+    # i0 on, and min(i, j) before the last, 1, and what the rest allows after it
+    most = F.least(F.col("n_x") - F.col("i0_x"), F.col("n_y") - F.col("i0_y"),
+                   F.least("i_x", "i_y") + 1 + F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1))
     met = (x.join(y, "gram").filter(
         (F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("hub")) | (F.col("id_x") < F.col("id_y")))
+        & F.coalesce(F.col("before_x") != F.col("before_y"), F.lit(True))
         & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))) & alike(percent))
-        .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
-                (F.col("n_x") + F.col("n_y")).alias("sizes"), F.least("m_x", "m_y").alias("m"),
-                F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1).alias("left"))
-        .groupBy("a", "b", "sizes").agg(F.sum("m").alias("common"), F.min("left").alias("left"))
-        .filter(F.col("common") + F.col("left") >= need).select("a", "b"))
+        .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct())
     parts = joined(parts, verified(met, matrix, docs, words, percent, order))
     least = (matrix.select("id", "print", "doc_id").join(parts.withColumnRenamed("v", "id"), "id", "left")
              .withColumn("root", F.coalesce("root", "id")))
