@@ -248,3 +248,21 @@ def test_near_entries_of_a_column_by_brute_force():
                         and all(np.bitwise_count(r[x] ^ r[y]).sum() <= differ for r in rows_)):
                     want[x] = want[y] = True
     assert (got == want).all() and 0 < want.sum() < len(n)
+
+
+def test_tasks_give_their_memory_back_at_their_end(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.llm import common
+    done = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: SimpleNamespace(malloc_trim=done.append))
+
+    def run(batches):
+        for b in batches:
+            yield 10 // b
+
+    rows = common.released(run)(iter([1, 2, 5]))
+    assert next(rows) == 10 and done == [] and list(rows) == [5, 2] and done == [0]
+    with pytest.raises(ZeroDivisionError):
+        list(common.released(run)(iter([1, 0])))
+    assert done == [0, 0]

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, text_of, written
+from tidemark.llm.common import by_value, released, text_of, written
 from tidemark.llm.components import components
 
 by_value(__name__)
@@ -98,7 +98,7 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
-    rows = (docs.select(text_of().alias("text")).mapInArrow(run, "bucket int, n long")
+    rows = (docs.select(text_of().alias("text")).mapInArrow(released(run), "bucket int, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(1 << BITS, np.int64)
     out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
@@ -143,7 +143,7 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
                  pa.array(odd, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))],
                 [*keep, "n_shingles", "print", "rare", "parity", "wide"])
 
-    return docs.mapInArrow(run, T.StructType(
+    return docs.mapInArrow(released(run), T.StructType(
         [docs.schema[c] for c in keep] + [T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
                                           T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("parity", T.ArrayType(T.LongType())),
                                                           T.StructField("wide", T.ArrayType(T.LongType()))]))
@@ -177,7 +177,7 @@ def sifted(rows: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame
             let = (held[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             yield batch.select(names).filter(pa.array(let))
 
-    return rows.select(sieve_bit(F.col(key)).alias("bit"), *names).mapInArrow(run, rows.schema)
+    return rows.select(sieve_bit(F.col(key)).alias("bit"), *names).mapInArrow(released(run), rows.schema)
 
 
 def of_columns(batches, told):
@@ -264,7 +264,7 @@ def repeated(entries: DataFrame, by_documents: bool = False, percent: int | None
 
     order = ["gram"] if percent is None else ["gram", "n", "i"]
     return entries.repartition("gram").sortWithinPartitions(*order).mapInArrow(
-        lambda batches: of_columns(batches, told), "gram long, id long, i int")
+        released(lambda batches: of_columns(batches, told)), "gram long, id long, i int")
 
 
 def near(first: np.ndarray, n: np.ndarray, i: np.ndarray, odd: np.ndarray, wide: np.ndarray, has: np.ndarray, percent: int) -> np.ndarray:
@@ -318,7 +318,7 @@ def near_entries(entries: DataFrame, matrix: DataFrame, percent: int) -> DataFra
 
     sized = entries.join(narrow(matrix, percent), "id")
     left = sized.repartition("gram").sortWithinPartitions("gram", "n").mapInArrow(
-        lambda batches: of_columns(batches, told), "gram long, id long, m long, i0 int, i int")
+        released(lambda batches: of_columns(batches, told)), "gram long, id long, m long, i0 int, i int")
     return left.groupBy("gram", "id").agg(F.sum("m").alias("m"), F.min("i0").alias("i0"), F.max("i").alias("i"))
 
 
@@ -334,7 +334,7 @@ def overlapping(pairs: DataFrame, matrix: DataFrame, keep) -> DataFrame:
             ok = [keep(u.values.to_numpy(), v.values.to_numpy(), m.as_py(), n.as_py()) for u, v, m, n in zip(*cols)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(released(run), "a long, b long")
 
 
 def common(x: np.ndarray, y: np.ndarray) -> int:
@@ -414,7 +414,7 @@ def verified(pairs: DataFrame, matrix: DataFrame, docs: DataFrame, words: int, p
     texts = sifted(docs.select("doc_id", "text"), asked).withColumnRenamed("doc_id", "of")
     rows = asked.join(texts, F.col("doc_id").eqNullSafe(F.col("of"))).select("star", "part", "ray", "id", "print", "text")
     met = rows.repartition("star", "part").sortWithinPartitions("star", "part", "ray", "id")
-    return written(met.mapInArrow(run, "a long, b long"), "grams-links")
+    return written(met.mapInArrow(released(run), "a long, b long"), "grams-links")
 
 
 def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, text_of, written
+from tidemark.llm.common import by_value, released, text_of, written
 
 by_value(__name__)
 
@@ -233,7 +233,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, keep_ids: bool = F
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+        released(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
         + ", ids array<int>" * keep_ids)
 
 
@@ -267,4 +267,4 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, keep_ids: bool = Fal
 
     kinds = ", ".join(f"{c} {ranked.schema[c].dataType.simpleString()}" for c in names)
     return ranked.select(*names, (F.col("before") + F.col("inside") - 1).cast("bigint").alias("rank")).mapInArrow(
-        place, f"{kinds}, sequence_id long, offset long")
+        released(place), f"{kinds}, sequence_id long, offset long")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, sampled, text_of
+from tidemark.llm.common import by_value, released, sampled, text_of
 
 by_value(__name__)
 
@@ -270,7 +270,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     some = sampled(docs.select("doc_id", text_of().alias("text"))
                    .filter(F.col("text").rlike(r"@|[0-9][0-9 ().-]{5}")), sample, "doc_id", "text")
     rows, fixed, edges, n = [], [], ([], [], []), 0
-    for r in some.select("text").mapInArrow(run, "a binary, b binary, c binary, d binary, e binary").collect():
+    for r in some.select("text").mapInArrow(released(run), "a binary, b binary, c binary, d binary, e binary").collect():
         at = [np.frombuffer(r[c], np.int64) for c in "abcde"]
         rows.append(at[0].reshape(-1, N_FEATURES)), fixed.append(at[1])
         for all_, e in zip(edges, at[2:]):
@@ -323,4 +323,4 @@ def find_pii(docs: DataFrame, model: dict[str, np.ndarray] | None = None, sample
                          + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()),
                             T.StructField("n_added", T.LongType())]
                          + [T.StructField("redacted", T.StringType())] * redact)
-    return docs.select(*keep, text_of().alias("text")).mapInArrow(run, kinds)
+    return docs.select(*keep, text_of().alias("text")).mapInArrow(released(run), kinds)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, rest_of, sampled, text_of, written
+from tidemark.llm.common import by_value, released, rest_of, sampled, text_of, written
 
 by_value(__name__)
 
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE,
             kept[s] = math.log((a + 0.5) / (pos + 1)) - math.log((b + 0.5) / (neg + 1))
     grammar = Grammar(stems=kept)
     run = counter(grammar)
-    rows = texts.mapInArrow(run, T.StructType([T.StructField("c", T.BinaryType()), T.StructField("toxic", T.BinaryType())])).collect()
+    rows = texts.mapInArrow(released(run), T.StructType([T.StructField("c", T.BinaryType()), T.StructField("toxic", T.BinaryType())])).collect()
     counts = np.concatenate([np.frombuffer(r["c"], np.float64).reshape(-1, FEATURES) for r in rows])
     toxic = np.concatenate([np.frombuffer(r["toxic"], np.int64) for r in rows])
     grammar.weights, grammar.bias = fit(counts, toxic, n[1] / (n[0] + n[1]))
@@ -236,11 +236,13 @@ def score_toxicity(docs: DataFrame, grammar: Grammar) -> DataFrame:
 
     def run(batches):
         reader = Reader(grammar)
-        for batch in batches:
-            c = reader.counts([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(scores(grammar, c)), pa.array(c[:, :PATTERNS].sum(1).astype(np.int64))],
-                [*keep, *out])
-
-    return docs.select(*keep).mapInArrow(run, T.StructType(
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                c = reader.counts([t or "" for t in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k) for k in keep), pa.array(scores(grammar, c)), pa.array(c[:, :PATTERNS].sum(1).astype(np.int64))],
+                    [*keep, *out])
+
+    return docs.select(*keep).mapInArrow(released(run), T.StructType(
         [docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType()), T.StructField("n_hits", T.LongType())]))
