@@ -266,3 +266,50 @@ def test_tasks_give_their_memory_back_at_their_end(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         list(common.released(run)(iter([1, 0])))
     assert done == [0, 0]
+
+
+def test_texts_are_read_once_to_count_contexts(spark):
+    """However few slots a task adds up at a time; the counts are those of plain loops."""
+    from pyspark.sql import functions as F
+    from tidemark.llm import context_mix as M
+    rng = np.random.default_rng(31)
+    texts = [" ".join(rng.choice(["red", "green", "Blue", f"n{n}", "x" * 90], rng.integers(0, 60))) for n in range(40)]
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(t):
+        reads.add(1)
+        return t
+
+    rows = spark.createDataFrame([(t, n % 3) for n, t in enumerate(texts)], "t string, fitted int").repartition(2)
+    d = rows.select(F.udf(read).asNondeterministic()("t").alias("text"), "fitted")
+    code, bits = M.Code(rng.integers(1, 1000, (256, 256))), (12, 11, 13)
+    odds = M.context_odds(d, code, bits, counted=2 * M.BLOCK, parts=3)
+    assert reads.value <= 2 * len(texts)  # their size, then their bytes
+    starts = M.bases(bits)
+    n = np.zeros((3, starts[-1], 2), np.int64)
+    for i, t in enumerate(texts):
+        byte, hashes, _ = M.contexts([M.normal(t)])
+        place, length = M.path_of(byte, code)
+        for k, h in enumerate(hashes):
+            np.add.at(n, (i % 3, starts[k] + M.slots_of(bits[k], h, length, code.key[place]), code.turn[place]), 1)
+    for got, want in zip(odds, (n.sum(0), *(n.sum(0) - own for own in n))):
+        assert (got == M.log_odds(want)).all()
+
+
+def test_token_hashes_and_weights_alone():
+    """Hashes tell tokens apart as words do, in every piece; weights are the same without the score."""
+    from tidemark.llm import context_mix as M
+    rng = np.random.default_rng(32)
+    some = ["one", "eno", "é", "a" * 64, "a" * 65, "b" * 300, "\x00", "\x00\x00"]
+    texts = [M.normal(" ".join(some[i] for i in rng.integers(0, len(some), n))) for n in (0, 1, 7, 900, 0, 9000, 30)]
+    h, of = M.word_hashes(texts)
+    name: dict[int, bytes] = {}
+    for i, t in enumerate(texts):
+        mine, tokens = h[of == i].tolist(), [*t.split(b" "), M.END] if t != M.END else [M.END]
+        tokens = [w.rstrip(b"\n") or M.END for w in tokens]
+        assert [name.setdefault(x, w) for x, w in zip(mine, tokens)] == tokens and len(mine) == len(tokens)
+    assert len(set(name.values())) == len(name) == len(some) + 1
+    code, odds = M.Code(rng.integers(1, 1000, (256, 256))), rng.integers(-60, 60, M.SLOTS).astype(np.int8)
+    weights = rng.uniform(0.1, 0.4, (M.GATES, len(M.ORDERS) + 1)).astype(np.float32)
+    both = M.mixed(texts, code, odds, weights), M.mixed(texts, code, odds, weights, M.BITS, False)
+    assert np.array_equal(both[0][1], both[1][1]) and (both[0][0] < 0).all() and not both[1][0].any()

@@ -8,19 +8,20 @@ odds, and a constant, are mixed by weights; which set of weights is used is gate
 many of the long contexts were seen.  The weights go on learning along a text to its end, and an adaptive map refines the mix by how its
 predictions have turned out there.  The sum over all choices is the text's probability.
 
-Counts and weights cover all training texts.  A task adds up its own and sends them in blocks; blocks are
-added up one by one as they come, so memory doesn't grow with the number of tasks.  The tables have
+Counts and weights cover all training texts.  These are read once to count them: a task sends each
+context and byte after it once, with how often they met, by ranges of hashes; tasks after it add these up, and
+slots get their counts from the sums, range by range.  The tables have
 at least the slots of ``ORDERS`` and grow with the contexts measured in the corpus, so that these
-don't share slots more as it grows; tables too large for one task are counted part by part.  Beside the model stands the base: word counts, exact for every word.  Scores
+don't share slots more as it grows.  Beside the model stands the base: word counts, exact for every word.  Scores
 of the ``HEAD`` most frequent words are looked up in a table of that size; all other words meet
 their counts in a join.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections import Counter
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, rest_of, sampled, text_of, written
+from tidemark.llm.common import by_value, released, rest_of, text_of, written
 
 by_value(__name__)
 
@@ -38,20 +39,26 @@ ORDERS = ((3, 20), (4, 21), (0, 22))
 SLOTS = sum(1 << bits for _, bits in ORDERS)
 BITS = tuple(bits for _, bits in ORDERS)
 PAD = max(k for k, _ in ORDERS)
-#: Slots in a block of counts; slots that a task counts at a time, and adds up; of so many contexts one is measured.
-BLOCK, COUNTED, ADDED, MEASURED = 1024, 1 << 24, 1 << 20, 256
+#: Slots that a task adds up at a time are a number of blocks; slots the driver fetches at a time; of so many contexts one is measured.
+BLOCK, ADDED, FETCHED, MEASURED = 1024, 1 << 19, 1 << 23, 256
+#: Bytes sorted by context at a time; contexts a task holds before it sends them; characters of all texts for each range of hashes.
+SORTED, HELD, CELL = 1 << 21, 1 << 20, 1 << 23
 #: Training texts that the fit of the weights begins with, about; those of over so many characters aren't drawn.
 SAMPLE, DRAWN = 400, 1 << 18
 #: Words whose counts go along with the model.
 HEAD = 1 << 17
 #: Bytes of a text between two updates; bytes of texts read at once.
 STEP, AT_ONCE = 32, 1 << 20
+#: Bytes whose contexts are made, and about as many whose choices are looked up, at once: their arrays stay in the cache.
+PIECE, LOOKED_UP = 1 << 17, 1 << 14
 DEPTHS, SEEN = 8, 3
 GATES = DEPTHS * SEEN
 BUCKETS = 32
 ODDS_STEP = 9 / 127
 RATE, MAP_RATE, BIAS = 0.02, 0.05, np.float32(0.3)
 END = b"\n"
+#: Hash of the end of a text; words of over so many bytes are hashed alone; words a task counts before it sends them.
+END_HASH, LONG, WORDS = np.uint64(0x2545F4914F6CDD1D), 64, 1_000_000
 
 
 class Code:
@@ -72,7 +79,7 @@ class Code:
         self.key ^= self.key >> np.uint32(15)
         self.turn = np.array([t for _, t in steps], np.uint8)
         depth = np.arange(len(steps)) - np.repeat(self.first, self.length)
-        self.gate = (np.minimum(depth, DEPTHS - 1) * SEEN).astype(np.intp)
+        self.gate = (np.minimum(depth, DEPTHS - 1) * SEEN).astype(np.uint8)
 
     @staticmethod
     def paths(counts: list[int]) -> dict[int, list[tuple[int, int]]]:
@@ -99,32 +106,54 @@ def normal(text: str) -> bytes:
     return b" ".join(text.encode().lower().split()) + END
 
 
+def powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd number, and their inverses."""
+    return first_powers() if n <= 2 * PIECE else made_powers(n)
+
+
+def made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    odd, out = 0x9E3779B97F4A7C15, []
+    for x in (odd, pow(odd, -1, 1 << 64)):
+        powers = np.full(n, np.uint64(x))
+        powers[0] = 1
+        out.append(np.cumprod(powers))
+    return out[0], out[1]
+
+
+@functools.lru_cache(1)
+def first_powers() -> tuple[np.ndarray, np.ndarray]:
+    return made_powers(2 * PIECE)
+
+
 def contexts(texts: list[bytes]):
     """Bytes of many texts in order (as pairs with the byte before), a hash of each context for
     each, and where texts begin."""
     ends = np.cumsum([0, *map(len, texts)])
     # texts are parted by PAD end bytes, so that no context reaches into the text before
     data = np.frombuffer((END * PAD).join([b"", *texts]), np.uint8)
+    n = len(data)
     at = np.arange(ends[-1]) + np.repeat(np.arange(1, len(texts) + 1) * PAD, np.diff(ends))
-    wide, out, h = data.astype(np.uint32) + np.uint32(1), {}, np.zeros(len(at), np.uint32)
+    wide, out, h = data.astype(np.uint32) + np.uint32(1), {}, np.zeros(n, np.uint32)
     for k in range(1, PAD + 1):
-        h = (h + wide[at - k]) * np.uint32(0x2F0B4C47)
+        h[k:] += wide[:n - k]
+        h *= np.uint32(0x2F0B4C47)
         h ^= h >> np.uint32(15)
-        out[k] = h
+        out[k] = h.take(at)
     # the word so far: a polynomial over all bytes up to here less that up to the word's start,
     # brought to the same power
-    odd = np.uint64(0x9E3779B97F4A7C15)
-    powers = np.full(len(data), odd)
-    powers[:1] = 1
-    powers = np.cumprod(powers)
-    back = np.full(len(data), np.uint64(pow(int(odd), -1, 1 << 64)))
-    back[:1] = 1
-    back = np.cumprod(back)
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers * wide)])
-    starts = np.maximum.accumulate(np.where((data == 32) | (data == 10), np.arange(1, len(data) + 1), 0))[at - 1]
-    word = (upto[at] - upto[starts]) * back[starts] * np.uint64(0xD6E8FEB86659FD93)
+    powers, back = powers_of(n)
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers[:n] * wide)])
+    starts = np.maximum.accumulate(np.where((data == 32) | (data == 10), np.arange(1, n + 1), 0)).take(at - 1)
+    word = (upto.take(at) - upto.take(starts)) * back.take(starts) * np.uint64(0xD6E8FEB86659FD93)
     out[0] = (word >> np.uint64(32)).astype(np.uint32)
-    return data[at - 1].astype(np.int64) << 8 | data[at], [out[k] for k, _ in ORDERS], ends
+    return data.take(at - 1).astype(np.int64) << 8 | data.take(at), [out[k] for k, _ in ORDERS], ends
+
+
+def read_bytes(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bytes and hashes as of ``contexts``, made piece by piece."""
+    pieces = [contexts(some)[:2] for some in grouped(texts, PIECE)]
+    return (np.concatenate([byte.astype(np.uint16) for byte, _ in pieces]),
+            [np.concatenate([hashes[k] for _, hashes in pieces]) for k in range(len(ORDERS))])
 
 
 def bases(bits: tuple[int, ...]) -> np.ndarray:
@@ -161,115 +190,206 @@ def grouped(texts: list[bytes], at_once: int = AT_ONCE):
         yield run
 
 
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, and the sum of its ``counts`` (or of its rows of them)."""
+    order = np.argsort(keys, kind="stable")  # merges what is in order
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first, axis=0) if len(first) else counts[:0]
+
+
+def grams(docs: DataFrame, parts: int = 1) -> DataFrame:
+    """How often each byte followed each context in the texts of each part of ``docs`` (text, and
+    ``fitted``, a text's part, where there is more than one).  Texts are read once, however large
+    the tables are: a task sorts its bytes by context and sends each context and byte once, a task
+    after it adds up those of a range of hashes.
+
+    A row holds for table k those of a range (cell) of hashes: ``keys``, 64-bit, hash and pair of
+    bytes, in order, and ``counts``, 64-bit, of each key in each part."""
+    part = F.col("fitted").cast("int") if "fitted" in docs.columns else F.lit(0)
+    docs = docs.select("text", part.alias("part"))
+    size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    bits = max(4, (int(size) // CELL).bit_length())
+
+    def sent(k, part, held):
+        keys, counts = summed(*map(np.concatenate, zip(*held))) if len(held) > 1 else held[0]
+        cells = keys >> np.uint64(48 - bits)
+        cuts = np.flatnonzero(np.diff(cells, prepend=np.uint64(1 << bits)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(cuts), k, np.int32)), pa.array(cells[cuts].astype(np.int32)), pa.array(np.full(len(cuts), part, np.int32)),
+             *(pa.array([x.tobytes() for x in np.split(y, cuts[1:])], pa.binary()) for y in (keys, counts))], ["k", "cell", "part", "keys", "counts"])
+
+    def count(batches):
+        held: dict[tuple[int, int], list] = {}
+        n = 0
+        for p, texts in by_part(batches):
+            byte, hashes = read_bytes(texts)
+            for k, h in enumerate(hashes):
+                keys = h.astype(np.uint64)
+                keys <<= np.uint64(16)
+                keys |= byte
+                keys.sort()
+                first = np.flatnonzero(np.concatenate([np.ones(1, bool), keys[1:] != keys[:-1]]))
+                held.setdefault((k, p), []).append((keys[first], np.diff(first, append=len(keys))))
+                n += len(first)
+            if n > HELD:
+                for (k, q), some in held.items():
+                    yield sent(k, q, some)
+                held, n = {}, 0
+        for (k, q), some in held.items():
+            yield sent(k, q, some)
+
+    def by_part(batches):
+        """Runs of texts of one part, of about SORTED bytes, as far as there are so many."""
+        own: dict[int, list[bytes]] = {}
+        sizes: Counter = Counter()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
+                for t, p in zip(some.column("text").to_pylist(), some.column("part").to_pylist()):
+                    t = normal(t)
+                    if sizes[p] and sizes[p] + len(t) > SORTED:
+                        yield p, own.pop(p)
+                        sizes[p] = 0
+                    own.setdefault(p, []).append(t)
+                    sizes[p] += len(t)
+        yield from own.items()
+
+    def add(batches):
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            for k, cell, p, keys, n in zip(*(batch.column(c).to_pylist() for c in ("k", "cell", "part", "keys", "counts"))):
+                keys = np.frombuffer(keys, np.uint64)
+                counts = np.zeros((len(keys), parts), np.int64)
+                counts[:, p] = np.frombuffer(n, np.int64)
+                some = held.setdefault((k, cell), [])
+                some.append((keys, counts))
+                if len(some) > 1 and sum(len(x) for x, _ in some[1:]) > max(1 << 16, len(some[0][0])):
+                    some[:] = [summed(*map(np.concatenate, zip(*some)))]
+        for (k, cell), some in held.items():
+            keys, counts = summed(*map(np.concatenate, zip(*some)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), pa.array([cell], pa.int32()), pa.array([keys.tobytes()], pa.binary()),
+                 pa.array([counts.tobytes()], pa.binary())], ["k", "cell", "keys", "counts"])
+
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << bits)
+    return written(docs.mapInArrow(released(count), "k int, cell int, part int, keys binary, counts binary")
+                   .repartition(tasks, "k", "cell").mapInArrow(released(add), "k int, cell int, keys binary, counts binary"), "lm-grams")
+
+
+def grams_of(docs: DataFrame, parts: int = 1) -> DataFrame:
+    """``docs`` if they are grams already, else theirs."""
+    return docs if "keys" in docs.columns else grams(docs, parts)
+
+
+def opened(batch: pa.RecordBatch, parts: int | None = None):
+    """Of each row of grams: k, hashes, pairs of bytes and counts."""
+    for k, keys, n in zip(batch.column("k").to_pylist(), batch.column("keys"), batch.column("counts")):
+        keys, n = np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(n.as_buffer(), np.int64)
+        yield k, (keys >> np.uint64(16)).astype(np.uint32), (keys & np.uint64(0xFFFF)).astype(np.int64), n.reshape(len(keys), -1)
+
+
 def pair_counts(docs: DataFrame) -> np.ndarray:
-    """How often each byte follows each other, 256 x 256, in all of ``docs``."""
+    """How often each byte follows each other, 256 x 256, in all of ``docs`` (texts, or their grams)."""
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            data = np.frombuffer(END + b"".join(map(normal, batch.column("text").to_pylist())), np.uint8).astype(np.int64)
-            total += np.bincount(data[:-1] << 8 | data[1:], minlength=1 << 16)
+            for _, _, pair, n in opened(batch):
+                np.add.at(total, pair, n.sum(1))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["pair", "n"])
 
     out = np.zeros(1 << 16, np.int64)
-    for r in docs.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    some = grams_of(docs).where("k = 0")  # each byte is once in each table
+    for r in some.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]
     return out.reshape(256, 256)
 
 
 def table_bits(docs: DataFrame, code: Code, least: tuple[int, ...] = BITS) -> tuple[int, ...]:
     """log2 of the slots each table needs, so that there are no fewer than choices after different
-    contexts in ``docs``: those of every MEASURED-th context, by hash, are told apart and counted."""
+    contexts in ``docs`` (texts, or their grams): those of every MEASURED-th context, by hash, are counted."""
     def run(batches):
+        total = np.zeros((len(least), 1 << 16), np.int64)
         for batch in batches:
-            for texts in grouped([normal(t) for t in batch.column("text").to_pylist()]):
-                byte, hashes, _ = contexts(texts)
-                for k, h in enumerate(hashes):
-                    # hashes of other bits than the slot takes
-                    some = np.flatnonzero((h * np.uint32(0xC2B2AE35)) >> np.uint32(16) & np.uint32(MEASURED - 1) == 0)
-                    seen = np.unique(h[some].astype(np.int64) << 16 | byte[some])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(seen), k, np.int32)), pa.array(seen >> 16), pa.array((seen & 0xFFFF).astype(np.int32))],
-                        ["k", "h", "pair"])
-
-    seen = docs.mapInArrow(run, "k int, h long, pair int").distinct().groupBy("k", "pair").count()
+            for k, h, pair, _ in opened(batch):
+                # hashes of other bits than the slot takes
+                some = (h * np.uint32(0xC2B2AE35)) >> np.uint32(16) & np.uint32(MEASURED - 1) == 0
+                total[k] += np.bincount(pair[some], minlength=1 << 16)
+        for k, n in enumerate(total):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(n[at])],
+                                             ["k", "pair", "n"])
+
     choices = np.zeros(len(least))
+    seen = grams_of(docs).mapInArrow(run, "k int, pair int, n long").groupBy("k", "pair").agg(F.sum("n").alias("n"))
     for r in seen.collect():  # at most a row per table and pair of bytes
-        choices[r["k"]] += MEASURED * r["count"] * int(code.length[r["pair"]])
+        choices[r["k"]] += MEASURED * r["n"] * int(code.length[r["pair"]])
     return tuple(max(b, min(32, int(np.ceil(np.log2(max(1.0, c)))))) for b, c in zip(least, choices))
 
 
-def context_odds(docs: DataFrame, code: Code, bits: tuple[int, ...] = BITS, counted: int = COUNTED, parts: int = 2) -> list[np.ndarray]:
-    """Log odds of each slot: how often its choice went 1 and 0 in all of ``docs`` (text, fitted),
-    then the same without the texts of each part: ``fitted`` is a text's part, 0 to ``parts`` - 1.
-    A task counts texts of one part.  Tables of over ``counted`` slots are counted in several runs
-    over ``docs``, so a task's memory stays bounded."""
-    one, starts = np.uint32(1), bases(bits)
+def context_odds(docs: DataFrame, code: Code, bits: tuple[int, ...] = BITS, counted: int = ADDED, parts: int = 2) -> list[np.ndarray]:
+    """Log odds of each slot: how often its choice went 1 and 0 in all of ``docs`` (text, fitted; or
+    their grams in ``parts``), then the same without the texts of each part: ``fitted`` is a text's
+    part, 0 to ``parts`` - 1.  A task adds up ``counted`` slots at a time, so its memory stays bounded."""
+    starts = bases(bits)
     slots = int(starts[-1])
 
-    def count_part(low: int, high: int, part: int):
-        return lambda batches: count(batches, low, high, part)
-
-    def count(batches, low, high, part):
-        total = None
+    def choices(batches):
         for batch in batches:
-            for group in grouped([normal(t) for t in batch.column("text").to_pylist()]):
-                if total is None:
-                    total = np.zeros(2 * (high - low), np.uint32)
-                byte, hashes, _ = contexts(group)
-                for at in range(0, len(byte), 1 << 16):
-                    place, length = path_of(byte[at:at + (1 << 16)], code)
-                    key, turn = code.key[place], code.turn[place]
-                    for k, h in enumerate(hashes):
-                        a, b = max(low, int(starts[k])), min(high, int(starts[k + 1]))
-                        if a >= b:
-                            continue
-                        s, went = slots_of(bits[k], h[at:at + (1 << 16)], length, key), turn
-                        first, last = a - int(starts[k]), b - int(starts[k])
-                        if last - first < 1 << bits[k]:
-                            here = np.flatnonzero((s >= first) & (s < last))
-                            s, went = s[here] - np.uint32(first), turn[here]
-                        s <<= np.uint32(1)
-                        s |= went
-                        np.add.at(total[2 * (a - low):2 * (b - low)], s, one)
-        if total is None:
-            return
-        blocks = total.reshape(-1, 2 * BLOCK)
-        full = np.flatnonzero(blocks.any(1))
-        for k in range(0, len(full), 256):
-            some = full[k:k + 256]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((some + low // BLOCK).astype(np.int32)), pa.array(np.full(len(some), part, np.int32)),
-                 pa.array([blocks[f].tobytes() for f in some], pa.binary())], ["block", "part", "counts"])
+            for k, h, pair, n in opened(batch):
+                for at in range(0, len(h), 1 << 17):
+                    some = pair[at:at + (1 << 17)]
+                    place, length = path_of(some, code)
+                    s = slots_of(bits[k], h[at:at + (1 << 17)], length, code.key[place]).astype(np.int64) + starts[k]
+                    s <<= 1
+                    s |= code.turn[place]
+                    of = np.repeat(np.arange(at, at + len(some)), length)
+                    for p in range(parts):
+                        m = n[of, p]
+                        here = np.flatnonzero(m)
+                        if len(here):
+                            yield sent(p, s[here], m[here])
+
+    def sent(part, s, m):
+        low = s // (2 * counted)
+        order = np.argsort(low.astype(np.uint16) if slots // counted < 1 << 16 else low, kind="stable")
+        low, s, m = low[order], s[order], m[order]
+        s -= low * (2 * counted)
+        cuts = np.flatnonzero(np.diff(low, prepend=-1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(low[cuts].astype(np.int32)), pa.array(np.full(len(cuts), part, np.int32)),
+             *(pa.array([x.tobytes() for x in np.split(y, cuts[1:])], pa.binary()) for y in (s.astype(np.uint32), m))], ["block", "part", "slots", "counts"])
 
     names = [f"odds{k}" for k in range(parts + 1)]
 
     def add(batches):
         held: dict[int, np.ndarray] = {}  # by block: counts of each part
         for batch in batches:
-            for b, p, c in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("counts")):
+            for b, p, s, m in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "slots", "counts"))):
                 if b not in held:
-                    held[b] = np.zeros((parts, 2 * BLOCK), np.int64)
-                held[b][p] += np.frombuffer(c.as_buffer(), np.uint32)
-        for b, n in held.items():
+                    held[b] = np.zeros((parts, 2 * min(counted, slots - b * counted)), np.int64)
+                np.add.at(held[b][p], np.frombuffer(s, np.uint32).astype(np.intp), np.frombuffer(m, np.int64))
+        while held:
+            b, n = held.popitem()
             whole = n.sum(0)
             odds = [log_odds(c.reshape(-1, 2)).tobytes() for c in (whole, *(whole - own for own in n))]
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in odds)], ["block", *names])
 
-    out = [np.zeros((slots // BLOCK, BLOCK), np.int8) for _ in names]
-    for low in range(0, slots, counted):
-        high = min(slots, low + counted)
-        by_part = [docs.where(F.col("fitted").cast("int") == p).select("text").mapInArrow(
-            count_part(low, high, p), "block int, part int, counts binary") for p in range(parts)]
-        # a task adds up at most ADDED slots
-        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (high - low) // ADDED)
-        summed = reduce(DataFrame.unionAll, by_part).repartition(tasks, "block").mapInArrow(
-            add, "block int, " + ", ".join(f"{n} binary" for n in names))
-        for r in written(summed, "lm-odds").toArrow().to_batches():
+    blocks = -(-slots // counted)
+    # a task adds up a block, or about one
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks)
+    table = written(grams_of(docs, parts).mapInArrow(released(choices), "block int, part int, slots binary, counts binary")
+                     .repartition(tasks, "block").mapInArrow(released(add), "block int, " + ", ".join(f"{n} binary" for n in names)), "lm-odds")
+    out = [np.zeros(slots, np.int8) for _ in names]
+    step = max(1, FETCHED // counted)
+    for low in range(0, blocks, step):
+        for r in table.where(F.col("block").between(low, low + step - 1)).toArrow().to_batches():
             for k, n in enumerate(names):
                 for b, c in zip(r.column("block").to_pylist(), r.column(n)):
-                    out[k][b] = np.frombuffer(c.as_buffer(), np.int8)
-    return [o.reshape(-1) for o in out]
+                    odds = np.frombuffer(c.as_buffer(), np.int8)
+                    out[k][b * counted:b * counted + len(odds)] = odds
+    return out
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
@@ -286,64 +406,120 @@ def first_map() -> np.ndarray:
     return (1 / (1 + np.exp(-middle))).astype(np.float32)
 
 
-def mixed(texts: list[bytes], code: Code, odds: np.ndarray, weights: np.ndarray, bits_of: tuple[int, ...] = BITS):
-    """Log2 probability of each text, and the mean of the weights after each text.
+def mixed(texts: list[bytes], code: Code, odds: np.ndarray, weights: np.ndarray, bits_of: tuple[int, ...] = BITS, scored: bool = True):
+    """Log2 probability of each text (0 unless ``scored``: the weights alone don't need it), and the
+    mean of the weights after each text.
 
     Texts learn side by side, each with weights and a map of its own from its beginning to its
-    end.  They are read STEP bytes at a time, and what these showed is learned before the next.
+    end.  They are read STEP bytes at a time, and what these showed is learned before the next;
+    what doesn't depend on that is looked up for several such rounds at once.
     The longest are the first lanes, so that those still read are always the first ones."""
-    byte, hashes, ends = contexts(texts)
-    size = np.diff(ends)
+    f = np.float32
+    size = np.array(list(map(len, texts)))
     longest = np.argsort(-size, kind="stable")
-    lanes = len(texts)
-    lane_of = np.empty(lanes, np.intp)
-    lane_of[longest] = np.arange(lanes)
-    lane = np.repeat(lane_of, size)
-    round_ = (np.arange(len(byte)) - np.repeat(ends[:-1], size)) // STEP
-    rounds = int(size.max()) // -STEP * -1
+    lanes, size = len(texts), size[longest]
+    byte, hashes = read_bytes([texts[i] for i in longest])
+    ends = np.cumsum([0, *size])
+    rounds = int(size[0]) // -STEP * -1
+    inside = np.arange(len(byte)) - np.repeat(ends[:-1], size)
+    round_ = inside // STEP
     if rounds <= 1 << 16:
         round_ = round_.astype(np.uint16)  # sorted by its digits
     order = np.argsort(round_, kind="stable")
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(round_, minlength=rounds))])
-    alive = np.searchsorted(-size[longest], -STEP * np.arange(rounds))  # lanes of over so many bytes
-    byte, lane, hashes = byte[order], lane[order], [h[order] for h in hashes]
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(round_, minlength=rounds))]).tolist()
+    alive = np.searchsorted(-size, -STEP * np.arange(rounds)).tolist()  # lanes of over so many bytes
+    begins = np.flatnonzero((inside % STEP == 0)[order])  # each lane's bytes in each round
+    byte, hashes, lane = byte.take(order), [h.take(order) for h in hashes], np.repeat(np.arange(lanes), size).take(order)
     starts_of = bases(bits_of)
     tables = [odds[a:b] for a, b in zip(starts_of, starts_of[1:])]
-    w = [np.tile(weights[:, k], lanes) for k in range(weights.shape[1])]
+    # weights are held times the step of what they weigh
+    scale = np.array([ODDS_STEP] * len(tables) + [BIAS], f)
+    w = [np.tile(weights[:, k] * scale[k], lanes) for k in range(weights.shape[1])]
+    *_, rate, rate_of_bias = (RATE * scale.astype(np.float64) ** 2).astype(f)
     refine, bits = np.tile(first_map(), lanes), np.zeros(lanes)
-    for a, b, live in zip(cuts, cuts[1:], alive):
-        place, length = path_of(byte[a:b], code)
-        key, turn = code.key[place], code.turn[place]
-        y = turn.astype(np.float32)
-        x = [t.take(slots_of(k, h[a:b], length, key), mode="wrap") for k, t, h in zip(bits_of, tables, hashes)]
-        who = np.repeat(lane[a:b], length)
-        # indices are machine integers: of any other kind, each use would convert them
-        g = code.gate[place]
-        g += x[-1] != 0
-        g += x[-2] != 0
-        g += who * GATES
-        x = [xk * np.float32(ODDS_STEP) for xk in x]
-        z = w[-1][g] * BIAS
-        for xk, wk in zip(x, w):
-            z += wk[g] * xk
-        np.clip(z, -8, 7.99, out=z)
-        p = 1 / (1 + np.exp(-z))
-        c = ((z + 8) * np.float32(BUCKETS / 16)).astype(np.intp)
-        c += who * BUCKETS
-        m = refine[c]
-        q = np.clip(p * np.float32(0.6) + m * np.float32(0.4), 1 / 8192, 1 - 1 / 8192)
-        bits[:live] += np.bincount(who, np.log2(np.abs(1 - y - q)), live)  # q where y is 1, else 1 - q
-        miss = (y - p).astype(np.float64)  # as bincount takes it
-        for xk, wk in zip(x, w):
-            wk[:live * GATES] += np.float32(RATE) * np.bincount(g, miss * xk, live * GATES).astype(np.float32)
-        w[-1][:live * GATES] += np.float32(RATE) * BIAS * np.bincount(g, miss, live * GATES).astype(np.float32)
-        c *= 2
-        c += turn
-        went = np.bincount(c, minlength=2 * live * BUCKETS).astype(np.float32).reshape(-1, 2)
-        n = went[:, 0] + went[:, 1]
-        now = refine[:live * BUCKETS]
-        now += MAP_RATE * (went[:, 1] - n * now) / (1 + MAP_RATE * n)
-    return bits[lane_of], np.stack(w, 1).reshape(lanes, *weights.shape).mean(0)
+    low, high, least, most, mix, map_, cell_of, middle, one = map(f, (-8, 7.99, 1 / 8192, 1 - 1 / 8192, 0.6, 0.4, BUCKETS / 16, BUCKETS / 2, 1))
+    r = said = 0
+    while r < rounds:
+        last = max(r + 1, int(np.searchsorted(cuts, cuts[r] + LOOKED_UP, "right")) - 1)
+        a, b = cuts[r], cuts[last]
+        length = code.length.take(byte[a:b])
+        upto = np.concatenate([[0], np.cumsum(length)])
+        of = np.repeat(np.arange(b - a), length)
+        place = (code.first.take(byte[a:b]) - upto[:-1]).take(of)
+        place += np.arange(len(place))
+        key, turns, gate = code.key.take(place), code.turn.take(place), code.gate.take(place)
+        seen = []
+        for k, (t, h) in enumerate(zip(tables, hashes)):
+            s = h[a:b].take(of)
+            s += key
+            s *= np.uint32(0x85EBCA6B)
+            s >>= np.uint32(32 - bits_of[k])
+            # indices are machine integers: of any other kind, each use would convert them
+            found = t.take(s.astype(np.intp), mode="wrap")
+            if k >= len(tables) - 2:
+                gate += (found != 0).view(np.uint8)
+            seen.append(found.astype(f))
+        gates = (lane[a:b] * GATES).take(of)
+        gates += gate
+        ys = turns.astype(f)
+        if scored:
+            seats = (lane[a:b] * (2 * BUCKETS)).take(of)
+            seats += turns
+        for i in range(r, last):
+            c, d, live = upto[cuts[i] - a], upto[cuts[i + 1] - a], alive[i]
+            g, y, x = gates[c:d], ys[c:d], [xk[c:d] for xk in seen]
+            z = w[-1].take(g)
+            for xk, wk in zip(x, w):
+                t = wk.take(g)
+                t *= xk
+                z += t
+            if scored:
+                np.maximum(z, low, out=z)
+                np.minimum(z, high, out=z)
+                np.multiply(z, cell_of, out=t)
+                t += middle
+                cell = t.astype(np.intp)
+                cell *= 2
+                cell += seats[c:d]
+                q = refine.take(cell >> 1)
+            else:
+                np.clip(z, low, high, out=z)
+            np.negative(z, out=z)
+            np.exp(z, out=z)
+            z += one
+            p = np.reciprocal(z, out=z)
+            if scored:
+                q *= map_
+                np.multiply(p, mix, out=t)
+                q += t
+                np.maximum(q, least, out=q)
+                np.minimum(q, most, out=q)
+                np.subtract(one, q, out=t)
+                t -= y
+                np.abs(t, out=t)  # q where y is 1, else 1 - q
+                lanes_at = upto.take(begins[said:said + live] - a) - c
+                said += live
+                product = np.multiply.reduceat(t.astype(np.float64), lanes_at)
+                if product.min() > 1e-290:
+                    bits[:live] += np.log2(product)
+                else:  # too small to multiply
+                    bits[:live] += np.add.reduceat(np.log2(t), lanes_at, dtype=np.float64)
+            miss = np.subtract(y, p, out=p)
+            np.multiply(miss, rate_of_bias, out=t)
+            np.add.at(w[-1], g, t)
+            miss *= rate
+            for xk, wk in zip(x, w):
+                np.multiply(miss, xk, out=t)
+                np.add.at(wk, g, t)
+            if scored:
+                went = np.bincount(cell, minlength=2 * live * BUCKETS).astype(f).reshape(-1, 2)
+                n = went[:, 0] + went[:, 1]
+                now = refine[:live * BUCKETS]
+                now += MAP_RATE * (went[:, 1] - n * now) / (1 + MAP_RATE * n)
+        r = last
+    out = np.empty(lanes)
+    out[longest] = bits
+    return out, (np.stack(w, 1).reshape(lanes, *weights.shape) / scale).mean(0)
 
 
 class Model:
@@ -354,9 +530,9 @@ class Model:
         weights = np.pad(weights, ((0, 0), (0, len(ORDERS) + 1 - weights.shape[1])))
         self.code, self.odds, self.weights, self.bits = code, odds, weights, bits
 
-    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability and bytes of each text."""
-        data = [normal(t) for t in texts]
+    def score(self, texts: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability and bytes of each text; bytes are those of a text made ``normal``."""
+        data = [t if isinstance(t, bytes) else normal(t) for t in texts]
         # texts of like lengths are read together, so that few rounds have few texts left
         order = sorted(range(len(data)), key=lambda i: -len(data[i]))
         bits = [mixed(run, self.code, self.odds, self.weights, self.bits)[0] for run in grouped([data[i] for i in order])]
@@ -381,13 +557,13 @@ def fit_on_all(texts: DataFrame, code: Code, without: list[np.ndarray], weights:
                 for at in range(0, whole.num_rows, 4000):
                     data = sorted(map(normal, whole.slice(at, 4000).column("text").to_pylist()), key=len, reverse=True)
                     for some in grouped(data):
-                        total += len(some) * mixed(some, code, odds, weights, bits)[1].astype(np.float64)
+                        total += len(some) * mixed(some, code, odds, weights, bits, False)[1].astype(np.float64)
                         n += len(some)
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n])], ["total", "n"])
 
         # a row a task
-        for r in texts.where(F.col("part") == part).select("text").mapInArrow(run, "total binary, n long").collect():
+        for r in texts.where(F.col("part") == part).select("text").mapInArrow(released(run), "total binary, n long").collect():
             total += np.frombuffer(r["total"]).reshape(total.shape)
             n += r["n"]
         model.destroy()
@@ -400,13 +576,14 @@ def train(learned: DataFrame, sample: int = SAMPLE) -> Model:
     A small sample of whole texts, by counts of the others, says where the fit begins: equal rows
     are drawn together and taken once.  Then every text is fitted on, by the counts of other parts."""
     texts = learned.select(text_of().alias("text"), F.xxhash64(F.lit("fit"), "doc_id", text_of()).alias("h"))
-    code = Code(pair_counts(texts.select("text")) * 256 + 1)
     share = min(0.2, sample / max(1, texts.count()))
     drawn = (F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))) & (F.length("text") <= DRAWN)
     part = F.when(drawn, 1).when(F.pmod(F.shiftright("h", 32), F.lit(2)) == 0, 0).otherwise(2)
     texts = texts.select("text", "h", part.alias("part"))
-    bits = table_bits(texts.select("text"), code)
-    odds, *without = context_odds(texts.select("text", F.col("part").alias("fitted")), code, bits, parts=3)
+    counts = grams(texts.select("text", F.col("part").alias("fitted")), parts=3)
+    code = Code(pair_counts(counts) * 256 + 1)
+    bits = table_bits(counts, code)
+    odds, *without = context_odds(counts, code, bits, parts=3)
     # a bounded sample comes to the driver
     first = texts.where("part = 1").dropDuplicates(["h"]).orderBy("h").limit(2 * sample)
     some = [normal(r["text"]) for r in first.select("text").collect()]
@@ -417,38 +594,62 @@ def train(learned: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(code, odds, fit_on_all(texts.select("text", "part"), code, without, weights, bits), bits)
 
 
-def word_hash(cache: dict):
-    import xxhash
+@functools.lru_cache(1)
+def letters() -> np.ndarray:
+    """A random 64-bit number for each byte."""
+    return np.random.default_rng(64).integers(0, 1 << 64, 256, np.uint64)
 
-    class Hashes(dict):
-        def __missing__(self, word):
-            if len(self) > 500_000:
-                self.clear()
-            self[word] = h = xxhash.xxh3_64_intdigest(word) - (1 << 63)
-            return h
 
-    return Hashes(cache)
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each token of normal texts (words and, for each text, its end), and the
+    number of each token's text.  Words of up to LONG bytes: a polynomial over random numbers of
+    their bytes, all at once; polynomials of longer ones may meet, so these are hashed one by one."""
+    if sum(map(len, texts)) > PIECE and len(texts) > 1:
+        runs = list(grouped(texts, PIECE))
+        before = np.cumsum([0, *map(len, runs)])
+        h, of = zip(*map(word_hashes, runs))
+        return np.concatenate(h), np.concatenate([o + b for o, b in zip(of, before)])
+    import xxhash
+    joined = b"".join(texts)
+    data = np.frombuffer(joined, np.uint8)
+    powers, back = powers_of(len(data))
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers[:len(data)] * letters().take(data))])
+    gaps = np.flatnonzero((data == 32) | (data == 10))  # one after each word; an end's is its own
+    starts = np.concatenate([[0], gaps[:-1] + 1])
+    h = (upto.take(gaps) - upto.take(starts)) * back.take(starts)
+    for k in np.flatnonzero(gaps - starts > LONG):
+        h[k] = xxhash.xxh3_64_intdigest(joined[starts[k]:gaps[k]])
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    ends = data.take(gaps) == 10
+    of = np.cumsum(ends) - ends
+    words = gaps > starts  # an empty text has none
+    return (np.concatenate([h[words], np.full(len(texts), END_HASH)]).view(np.int64),
+            np.concatenate([of[words], np.arange(len(texts))]))
 
 
 def word_counts(learned: DataFrame) -> DataFrame:
     """h, c: the count of every distinct token (by a 64-bit hash) of ``learned`` (text)."""
     def run(batches):
-        hashes, total = word_hash({}), Counter()
-
-        def rows():
-            hs = np.fromiter((hashes[w] for w in total), np.int64, len(total))
-            return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(np.fromiter(total.values(), np.int64, len(total)))], ["h", "c"])
-
+        held, n = [], 0
         for batch in batches:
-            for t in batch.column("text").to_pylist():
-                total.update(t.encode().lower().split())
-                total[END] += 1
-                if len(total) > 1_000_000:
-                    yield rows()
-                    total.clear()
-        yield rows()
-
-    return learned.select(text_of().alias("text")).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+            for at in range(0, batch.num_rows, 1000):
+                for texts in grouped([normal(t) for t in batch.slice(at, 1000).column("text").to_pylist()]):
+                    h = np.sort(word_hashes(texts)[0])
+                    first = np.flatnonzero(np.concatenate([np.ones(1, bool), h[1:] != h[:-1]]))
+                    held.append((h[first], np.diff(first, append=len(h))))
+                    n += len(first)
+                    if n > 2 * WORDS:
+                        held = [summed(*map(np.concatenate, zip(*held)))]
+                        n = len(held[0][0])
+                        if n > WORDS:
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["h", "c"])
+                            held, n = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed(*map(np.concatenate, zip(*held)))], ["h", "c"])
+
+    return (learned.select(text_of().alias("text")).mapInArrow(released(run), "h long, c long")
+            .groupBy("h").agg(F.sum("c").alias("c")))
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, sample: int = SAMPLE, head: int = HEAD) -> DataFrame:
@@ -477,24 +678,26 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, sample: int = S
         small, odds, heads, logs = model.value
         code, weights, bits = cloudpickle.loads(small)
         lm = Model(code, odds, weights, bits)
-        hashes = word_hash({})
         for whole in batches:
             for at in range(0, whole.num_rows, 4000):
                 batch = whole.slice(at, 4000)
-                texts = batch.column("text").to_pylist()
-                score, size = lm.score(texts)
+                data = [normal(t) for t in batch.column("text").to_pylist()]
+                score, size = lm.score(data)
                 sums, known, tokens, rare, often = [], [], [], [], []
-                for t in texts:
-                    ws = t.encode().lower().split()
-                    h = np.fromiter(map(hashes.__getitem__, [*ws, END]), np.int64, len(ws) + 1)
-                    h, c = np.unique(h, return_counts=True)
+                for texts in grouped(data):
+                    h, of = word_hashes(texts)
                     k = np.minimum(np.searchsorted(heads, h), len(heads) - 1)
                     hit = heads[k] == h if len(heads) else np.zeros(len(h), bool)
-                    sums.append(float((logs[k[hit]] * c[hit]).sum()))
-                    known.append(int(c[hit].sum()))
-                    tokens.append(len(ws) + 1)
-                    rare.append(h[~hit])
-                    often.append(c[~hit])
+                    sums.append(np.bincount(of[hit], logs[k[hit]], len(texts)))
+                    known.append(np.bincount(of[hit], minlength=len(texts)))
+                    tokens.append(np.bincount(of, minlength=len(texts)))
+                    order = np.lexsort((h[~hit], of[~hit]))
+                    h, of = h[~hit][order], of[~hit][order]
+                    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (of[1:] != of[:-1])]))
+                    cuts = np.searchsorted(of[first], np.arange(1, len(texts)))
+                    rare += np.split(h[first], cuts)
+                    often += np.split(np.diff(first, append=len(h)), cuts)
+                sums, known, tokens = map(np.concatenate, (sums, known, tokens))
                 ends = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *x]))) for x in (rare, often)]
                 yield pa.RecordBatch.from_arrays(
@@ -509,7 +712,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, sample: int = S
                           T.StructField("bits_per_byte", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType())),
                           T.StructField("often", T.ArrayType(T.LongType()))])
     scored = written(rows.withColumn("row", F.monotonically_increasing_id())
-                     .select("row", "doc_id", "held_out", "text").mapInArrow(run, kinds), "lm-scored")
+                     .select("row", "doc_id", "held_out", "text").mapInArrow(released(run), kinds), "lm-scored")
     rest = (scored.select("row", F.explode(F.arrays_zip("rare", "often")).alias("t"))
             .select("row", F.col("t.rare").alias("h"), F.col("t.often").alias("k")).join(words, "h")
             .groupBy("row").agg(F.sum(F.log10(F.col("c") + 1) * F.col("k")).alias("more_sums"), F.sum("k").alias("more_known")))
