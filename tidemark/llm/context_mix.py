@@ -39,8 +39,9 @@ ORDERS = ((3, 20), (4, 21), (0, 22))
 SLOTS = sum(1 << bits for _, bits in ORDERS)
 BITS = tuple(bits for _, bits in ORDERS)
 PAD = max(k for k, _ in ORDERS)
-#: Slots that a task adds up at a time are a number of blocks; slots the driver fetches at a time; of so many contexts one is measured.
-BLOCK, ADDED, FETCHED, MEASURED = 1024, 1 << 19, 1 << 23, 256
+#: Slots in a block, of which a task adds up some at a time (ADDED); slots the driver fetches at a time; of so many contexts one is measured.
+BLOCK, FETCHED, MEASURED = 1024, 1 << 23, 256
+ADDED = 512 * BLOCK
 #: Bytes sorted by context at a time; contexts a task holds before it sends them; characters of all texts for each range of hashes.
 SORTED, HELD, CELL = 1 << 21, 1 << 20, 1 << 23
 #: Training texts that the fit of the weights begins with, about; those of over so many characters aren't drawn.
@@ -163,7 +164,11 @@ def bases(bits: tuple[int, ...]) -> np.ndarray:
 
 def slots_of(bits: int, h: np.ndarray, length: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Slots, of 2 ** ``bits``, of the choices of bytes with context hashes ``h``."""
-    s = np.repeat(h, length)
+    return placed(bits, np.repeat(h, length), key)
+
+
+def placed(bits: int, s: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Context hashes of choices, ``s``, made their slots."""
     s += key
     s *= np.uint32(0x85EBCA6B)
     s >>= np.uint32(32 - bits)
@@ -450,10 +455,7 @@ def mixed(texts: list[bytes], code: Code, odds: np.ndarray, weights: np.ndarray,
         key, turns, gate = code.key.take(place), code.turn.take(place), code.gate.take(place)
         seen = []
         for k, (t, h) in enumerate(zip(tables, hashes)):
-            s = h[a:b].take(of)
-            s += key
-            s *= np.uint32(0x85EBCA6B)
-            s >>= np.uint32(32 - bits_of[k])
+            s = placed(bits_of[k], h[a:b].take(of), key)
             # indices are machine integers: of any other kind, each use would convert them
             found = t.take(s.astype(np.intp), mode="wrap")
             if k >= len(tables) - 2:
