@@ -84,6 +84,85 @@ def test_kd_boxes_are_tight():
         assert left >= 0 or b - a <= 10 or not (hi - lo).any()
 
 
+def test_kd_blocks_go_to_groups_without_broadcasts(spark, monkeypatch):
+    """Blocks expanded to all shards and broadcast once filled the driver's memory."""
+    from tidemark.llm import kd_search
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=8), 0) for i in range(2000)]
+    sent, make = [], kd_search.meet
+
+    def meet(k, size, first):
+        got = make(k, size, first)
+
+        def run(batches):
+            return got(counted(batches))
+
+        def counted(batches):
+            for b in batches:
+                seen.add(sum(x is None for x in b.column("nodes").to_pylist()))
+                yield b
+        seen = spark.sparkContext.accumulator(0)
+        sent.append(seen)
+        return run
+
+    monkeypatch.setattr(kd_search, "meet", meet)
+    monkeypatch.setattr(kd_search, "TASKS", 4)
+    got = kd_search.top_k(table(spark, rows), every=2, shard=50, queries=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    assert got.count() == 5000
+    # 10 blocks (some numbers of blocks may be empty), 40 shards, 4 groups: one group first, then the three others
+    first, others = (x.value for x in sent)
+    assert 5 <= first <= 10 and others == 3 * first
+
+
+def kd_forest(v, ids, shards, leaf=16):
+    from tidemark.llm.kd_search import Forest, kd_tree, packed
+    trees = []
+    for n in range(shards):
+        mine = np.arange(n, len(v), shards)
+        order, nodes, low, high = kd_tree(v[mine], leaf)
+        order = mine[order]
+        trees.append(dict(zip(("ids", "v", "nodes", "low", "high"),
+                              [ids[order].tobytes(), *packed(v[order]), nodes.tobytes(), *packed(low, high)])))
+    return Forest(trees, v.shape[1])
+
+
+@pytest.mark.parametrize("size,kind", [(90, np.float32), (1 << 20, np.float64), (1 << 28, np.int64)])
+@pytest.mark.parametrize("kept", [1 << 16, 7])
+def test_kd_forest_by_brute_force(monkeypatch, size, kind, kept):
+    from tidemark.llm import kd_search
+    monkeypatch.setattr(kd_search, "KEPT", kept)
+    monkeypatch.setattr(kd_search, "SHARD", 40)  # so wide leaves are read in parts
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.integers(-size, size, (900, 6)), np.tile(rng.integers(-size, size, 6), (300, 1)), np.zeros((60, 6), np.int64)])
+    ids = rng.permutation(len(v)).astype(np.int64)
+    ids[:20] = ids[20:40]
+    forest, some = kd_forest(v, ids, 7), rng.integers(0, len(v), 80)
+    q, q_ids = v[some], ids[some]
+    want = [sorted((-int(s), int(i)) for s, i in zip(v @ x, ids) if i != own)[:5] for x, own in zip(q, q_ids)]
+    kth, kth_id = np.full(80, kd_search.NONE), np.full(80, kd_search.LAST)
+    known = np.arange(80) % 3 == 0  # these come with a kth: the fourth best
+    kth[known], kth_id[known] = [-w[3][0] for w, x in zip(want, known) if x], [w[3][1] for w, x in zip(want, known) if x]
+    rows, found, score = forest.search(5, q_ids, q, kth, kth_id)
+    assert forest.kind is kind
+    for n in range(80):
+        got = list(zip((-score[rows == n]).tolist(), found[rows == n].tolist()))
+        assert got == ([w for w in want[n] if w < want[n][3]] if known[n] else want[n])
+        assert (-kth[n], kth_id[n]) == want[n][3 if known[n] else 4]
+
+
+def test_kd_forest_opens_few_leaves_of_clusters():
+    from tidemark.llm.kd_search import LAST, NONE
+    rng = np.random.default_rng(6)
+    v = (40 * rng.normal(size=(64, 1, 16)) + rng.normal(size=(64, 256, 16))).reshape(-1, 16).round().astype(np.int64)
+    forest = kd_forest(v, np.arange(len(v)), 2)
+    q = np.arange(0, len(v), 50)
+    rows, _, score = forest.search(5, q, v[q], np.full(len(q), NONE), np.full(len(q), LAST))
+    assert len(rows) == 5 * len(q)
+    assert forest.opened < len(q) * len(forest.leaves) / 20
+
+
 TEXT = ["The first paragraph of an article has quite a few words in it, so that it counts.",
         "A second one follows & mentions <tags> and cafés; it is also long enough to be told from menus.", "Short.",
         "The last one closes the text with a sentence of its own, and nothing else is worth reading here."]
